@@ -1,0 +1,88 @@
+"""Registered queries: one per operator key of the survey, with its oracle SQL.
+
+Each query takes ``(spark, sf_dir)``, reads the ledger derived from that
+directory's tables, and returns a DataFrame over the whole data; parameters are
+fixed so that every run is comparable.  The oracle statement (DuckDB) derives
+everything again from the raw tables and must give the same rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from . import fixed
+from .oracle import with_ctes
+from .plans import statements as st
+from .sources.store import ledger
+
+
+@dataclass
+class Query:
+    key: str
+    run: Callable[[SparkSession, str], DataFrame]
+    sql: str | None
+
+
+REGISTRY: dict[str, Query] = {}
+
+
+def register(key: str, sql: str | None = None, extra_ctes=None):
+    def deco(fn):
+        REGISTRY[key] = Query(key, fn, with_ctes(sql, extra_ctes) if sql is not None else None)
+        return fn
+    return deco
+
+
+def _lines(spark, sf_dir):
+    led = ledger(spark, sf_dir)
+    return st.income_statement_lines(led.glcal, led.accmast)
+
+
+P = fixed.LAST_CLOSE
+
+
+# --- FS1 / SRC6 -----------------------------------------------------------------------
+@register("income_statement_lines", "SELECT * FROM is_lines")
+def q_income_statement_lines(spark, sf_dir):
+    return _lines(spark, sf_dir)
+
+
+# --- FS2 ------------------------------------------------------------------------------
+@register("income_statement", f"""
+    SELECT CASE WHEN GROUPING(Section, SectionOrder) = 0 THEN Section ELSE '{st.TOTAL_LABEL}' END AS Section,
+           SectionOrder, COUNT(*) AS Lines, CAST(SUM(NetIncomeImpact) AS DECIMAL(18, 2)) AS NetIncomeImpact
+    FROM is_lines WHERE Period = {P}
+    GROUP BY GROUPING SETS ((Section, SectionOrder), ())""")
+def q_income_statement(spark, sf_dir):
+    return st.income_statement(_lines(spark, sf_dir), P)
+
+
+@register("income_statement_by_account", f"""
+    SELECT Section, SectionOrder, AccountNumber, AccountName, Company, Division, Branch,
+           CAST(SUM(NetIncomeImpact) AS DECIMAL(18, 2)) AS NetIncomeImpact,
+           CAST(SUM(Amount) AS DECIMAL(18, 2)) AS Amount
+    FROM is_lines WHERE Period = {P}
+    GROUP BY Section, SectionOrder, AccountNumber, AccountName, Company, Division, Branch""")
+def q_income_statement_by_account(spark, sf_dir):
+    return st.income_statement(_lines(spark, sf_dir), P, detail="by_account")
+
+
+# --- FS3 ------------------------------------------------------------------------------
+@register("pnl_by_section", f"""
+    SELECT Section, SectionOrder, COUNT(*) AS Lines,
+           CAST(SUM(NetIncomeImpact) AS DECIMAL(18, 2)) AS NetIncomeImpact
+    FROM is_lines WHERE Period BETWEEN {fixed.PRIOR_YEAR}01 AND {P}
+    GROUP BY Section, SectionOrder""")
+def q_pnl_by_section(spark, sf_dir):
+    return st.pnl_by_section(_lines(spark, sf_dir), f"{fixed.PRIOR_YEAR}01", P)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: q.run for k, q in REGISTRY.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: q.sql for k, q in REGISTRY.items() if q.sql is not None}
