@@ -107,3 +107,14 @@ def period_of_date(yyyymmdd: Column) -> Column:
 
 def quarter_of(period: Column) -> Column:
     return ((month_of(period) - 1) / 3).cast("int") + 1
+
+
+def parse_period_col(text: Column) -> Column:
+    """PRD2 column form: text ``YYYY-MM``, ``YYYY-MM-DD`` or ``YYYYMM`` -> CCYYMM, or
+    NULL when the text does not parse or is out of range."""
+    rx = PERIOD_PATTERN.pattern
+    y = F.regexp_extract(text, rx, 1)
+    m = F.regexp_extract(text, rx, 2)
+    v = F.when(y != "", y.cast("int") * 100 + m.cast("int"))
+    ok = v.between(PERIOD_MIN, PERIOD_MAX) & (v % 100).between(1, 12)
+    return F.when(ok, v)
