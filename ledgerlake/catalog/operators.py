@@ -406,7 +406,10 @@ _SERIES_SQL = f"""
     SELECT Company, COUNT(Amount) AS count, CAST(SUM(Amount) AS DECIMAL(18, 2)) AS total,
            CAST(SUM(Amount) AS DOUBLE) / CAST(COUNT(Amount) AS DOUBLE) AS mean, min(Amount) AS min, max(Amount) AS max,
            min(Period) AS first_period, max(Period) AS latest_period, arg_min(Amount, Period) AS first_amount,
-           arg_max(Amount, Period) AS latest_amount, round(stddev_samp(CAST(Amount AS DOUBLE)), 4) AS stdev
+           arg_max(Amount, Period) AS latest_amount,
+           CASE WHEN COUNT(Amount) > 1 THEN sqrt(greatest((CAST(SUM(Amount * Amount) AS DOUBLE)
+                - CAST(SUM(Amount) AS DOUBLE) * CAST(SUM(Amount) AS DOUBLE) / CAST(COUNT(Amount) AS DOUBLE))
+                / CAST(COUNT(Amount) - 1 AS DOUBLE), 0.0)) END AS stdev
     FROM series GROUP BY Company""", extra_ctes=[("series", _SERIES_SQL)])
 def q_series_stats(spark, sf):
     g = C.dim_filter(L(spark, sf).glcal, account=SERIES_ACCOUNT)
@@ -554,12 +557,13 @@ def q_mom_variance(spark, sf):
 
 
 @register("trailing_anomaly", """
-    SELECT Company, AccountNumber, Period, Amount, round(TrailingMean, 4) AS TrailingMean,
-           round(TrailingStdev, 4) AS TrailingStdev, TrailingMonths
-    FROM (SELECT *, avg(CAST(Amount AS DOUBLE)) OVER w AS TrailingMean,
-                 stddev_samp(CAST(Amount AS DOUBLE)) OVER w AS TrailingStdev, count(Amount) OVER w AS TrailingMonths
-          FROM pl_grid WINDOW w AS (PARTITION BY Company, AccountNumber ORDER BY midx
-                                    RANGE BETWEEN 12 PRECEDING AND 1 PRECEDING))
+    SELECT Company, AccountNumber, Period, Amount, TrailingMean, TrailingStdev, TrailingMonths
+    FROM (SELECT *, CAST(sx AS DOUBLE) / CAST(TrailingMonths AS DOUBLE) AS TrailingMean,
+                 CASE WHEN TrailingMonths > 1 THEN sqrt(greatest((CAST(sxx AS DOUBLE) - CAST(sx AS DOUBLE) * CAST(sx AS DOUBLE)
+                      / CAST(TrailingMonths AS DOUBLE)) / CAST(TrailingMonths - 1 AS DOUBLE), 0.0)) END AS TrailingStdev
+          FROM (SELECT *, SUM(Amount) OVER w AS sx, SUM(Amount * Amount) OVER w AS sxx, count(Amount) OVER w AS TrailingMonths
+                FROM pl_grid WINDOW w AS (PARTITION BY Company, AccountNumber ORDER BY midx
+                                          RANGE BETWEEN 12 PRECEDING AND 1 PRECEDING)))
     WHERE TrailingMonths >= 3 AND TrailingStdev > 0
       AND abs(CAST(Amount AS DOUBLE) - TrailingMean) > 2.0 * TrailingStdev""", extra_ctes=_GRID)
 def q_trailing_anomaly(spark, sf):
@@ -585,7 +589,9 @@ def q_ytd(spark, sf):
 
 
 @register("seasonality", """
-    SELECT Company, AccountNumber, month, round(avg(CAST(Amount AS DOUBLE) / CAST(year_total AS DOUBLE)), 6) AS AvgShare,
+    SELECT Company, AccountNumber, month,
+           CAST(SUM(CAST(round(CAST(Amount AS DOUBLE) / CAST(year_total AS DOUBLE), 6) AS DECIMAL(18, 6))) AS DOUBLE)
+               / CAST(COUNT(*) AS DOUBLE) AS AvgShare,
            COUNT(*) AS Years
     FROM (SELECT Company, AccountNumber, CAST(Period // 100 AS INTEGER) AS year, CAST(Period % 100 AS INTEGER) AS month,
                  Amount, SUM(Amount) OVER (PARTITION BY Company, AccountNumber, Period // 100) AS year_total,

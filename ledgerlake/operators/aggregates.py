@@ -52,8 +52,13 @@ def series_stats(df: DataFrame, order: str, value: str, by: Sequence[str] = ())
         F.max(order).alias("latest_period"),
         F.min_by(v, F.col(order)).alias("first_amount"),
         F.max_by(v, F.col(order)).alias("latest_amount"),
-        F.round(F.stddev_samp(v.cast("double")), 4).alias("stdev"),
-    )
+        F.sum(v * v).alias("_sxx"),
+    ).transform(lambda d: d.withColumn("stdev", _sd(F.col("total"), F.col("_sxx"), F.col("count"))).drop("_sxx"))
+
+
+def _sd(sx, sxx, n):
+    from .windows import exact_stats
+    return exact_stats(sx, sxx, n)[1]
 
 
 def conditional_pivot(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence, amount: str,

@@ -51,23 +51,34 @@ def mom_variance(grid: DataFrame, keys: Sequence[str], period: str = "period", a
         "ChangePct", safe_pct(F.col("Change"), F.col("PriorAmount")))
 
 
+def exact_stats(sx, sxx, n):
+    """Mean and sample deviation from *exact* decimal sums: one double division and
+    one square root, so every engine gets the same bits (floating sums depend on
+    the order rows arrive in)."""
+    mean = sx.cast("double") / n.cast("double")
+    var = (sxx.cast("double") - sx.cast("double") * sx.cast("double") / n.cast("double")) / (n - 1).cast("double")
+    sd = F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+    return mean, sd
+
+
 def trailing_anomaly(grid: DataFrame, keys: Sequence[str], n_sd: float = 2.0, period: str = "period",
                      amount: str = "amount", min_months: int = 3) -> DataFrame:
     """WIN3: months whose amount is more than ``n_sd`` sample deviations from the
     mean of the trailing 12 months (window on the month index, -12..-1)."""
     w = Window.partitionBy(*keys).orderBy(month_index(F.col(period))).rangeBetween(-12, -1)
-    a = F.col(amount).cast("double")
+    a = F.col(amount)
     out = grid.select(
         "*",
-        F.avg(a).over(w).alias("TrailingMean"),
-        F.stddev_samp(a).over(w).alias("TrailingStdev"),
+        F.sum(a).over(w).alias("_sx"),
+        F.sum(a * a).over(w).alias("_sxx"),
         F.count(a).over(w).alias("TrailingMonths"),
     )
+    mean, sd = exact_stats(F.col("_sx"), F.col("_sxx"), F.col("TrailingMonths"))
+    out = out.withColumn("TrailingMean", mean).withColumn("TrailingStdev", sd)
     return out.where(
         (F.col("TrailingMonths") >= min_months) & (F.col("TrailingStdev") > 0)
-        & (F.abs(a - F.col("TrailingMean")) > F.lit(n_sd) * F.col("TrailingStdev"))
-    ).select(*keys, period, amount, F.round("TrailingMean", 4).alias("TrailingMean"),
-             F.round("TrailingStdev", 4).alias("TrailingStdev"), "TrailingMonths")
+        & (F.abs(a.cast("double") - F.col("TrailingMean")) > F.lit(n_sd) * F.col("TrailingStdev"))
+    ).select(*keys, period, amount, "TrailingMean", "TrailingStdev", "TrailingMonths")
 
 
 def rolling_12m(monthly: DataFrame, keys: Sequence[str], period: str = "period", amount: str = "amount") -> DataFrame:
@@ -93,9 +104,12 @@ def seasonality(monthly: DataFrame, keys: Sequence[str], period: str = "period",
         *keys, yr.alias("year"), (F.col(period) % 100).cast("int").alias("month"), F.col(amount),
         F.sum(amount).over(w).alias("year_total"), F.count(F.lit(1)).over(w).alias("months"),
     ).where((F.col("months") == 12) & (F.col("year_total") != 0))
-    share = F.col(amount).cast("double") / F.col("year_total").cast("double")
+    # Each share is rounded to a DECIMAL(18,6) first, so the average is an exact
+    # decimal sum divided once (engine-independent).
+    share = F.round(F.col(amount).cast("double") / F.col("year_total").cast("double"), 6).cast("decimal(18,6)")
     return s.groupBy(*keys, "month").agg(
-        F.round(F.avg(share), 6).alias("AvgShare"), F.count(F.lit(1)).alias("Years"))
+        (F.sum(share).cast("double") / F.count(F.lit(1)).cast("double")).alias("AvgShare"),
+        F.count(F.lit(1)).alias("Years"))
 
 
 def rank_movers(changes: DataFrame, partition: Sequence[str], change: str = "Change") -> DataFrame:
