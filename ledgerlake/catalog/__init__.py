@@ -45,4 +45,4 @@ def oracle_sql() -> dict[str, str]:
     return {k: q.sql for k, q in REGISTRY.items() if q.sql is not None}
 
 
-from . import statements, operators, quality, ingest, streaming  # noqa: E402,F401  (registration side effects)
+from . import statements, operators, quality, ingest, streaming, forecast  # noqa: E402,F401  (registration side effects)
