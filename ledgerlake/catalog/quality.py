@@ -326,3 +326,31 @@ def q_subledger_coverage(spark, sf):
     WHERE g.GB_DATE IN ({PY}12, {Y0}, {P}) AND g.GB_AMT <> 0 GROUP BY ALL""")
 def q_close_checklist(spark, sf):
     return Q.close_checklist(L(spark, sf), [PY * 100 + 12, Y0, P])
+
+
+# --- SRC2: sub-ledger scan (PARTHIST shape) ----------------------------------------------
+@register("scan_subledger", f"""
+    SELECT PH_CO, PH_GLIA, COUNT(*) AS Rows, CAST(SUM(PH_NET) AS DECIMAL(18, 2)) AS Amount, min(PH_DTR) AS FirstDate,
+           max(PH_DTR) AS LastDate FROM (
+        SELECT co AS PH_CO, '33100' AS PH_GLIA, CAST(year(ship) * 10000 + month(ship) * 100 + day(ship) AS INTEGER) AS PH_DTR,
+               CAST(CAST(-c AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(12, 2)) AS PH_NET FROM jbase WHERE dept = '4'
+        UNION ALL
+        SELECT co, '43100', CAST(year(ship) * 10000 + month(ship) * 100 + day(ship) AS INTEGER),
+               CAST(CAST(c * {fixed.COST_NUMERATOR} // {fixed.COST_DENOMINATOR} AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(12, 2))
+        FROM jbase WHERE dept = '4')
+    GROUP BY PH_CO, PH_GLIA""")
+def q_scan_subledger(spark, sf):
+    from ..sources import scan
+    from ..sources.subledgers import PARTHIST
+    path = f"{L(spark, sf).root}/parthist"
+    if not _written(spark, path):
+        subledgers.parts_history(spark, sf).write.mode("overwrite").parquet(path)
+    ph = scan.scan_subledger(spark, path, PARTHIST)
+    return ph.groupBy("PH_CO", "PH_GLIA").agg(
+        F.count(F.lit(1)).alias("Rows"), F.sum("PH_NET").cast("decimal(18,2)").alias("Amount"),
+        F.min("PH_DTR").alias("FirstDate"), F.max("PH_DTR").alias("LastDate"))
+
+
+def _written(spark, path) -> bool:
+    from ..sources.store import _exists
+    return _exists(spark, path)

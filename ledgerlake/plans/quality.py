@@ -23,7 +23,7 @@ FAULT_DROP = ("0001", 1)            # (journal number, leg) of the legs dropped
 FAULT_DUPLICATE = ("0002", 2)       # legs posted twice
 FAULT_UNKNOWN = ("0003", 5, "59999")  # legs re-posted to an account absent from ACCMAST
 FAULT_GAP = ("03", 200006)          # company and period removed
-FAULT_DRIFT = ("01", "201", "31001", fixed.LAST_CLOSE, "0.01")  # GLCAL row nudged
+FAULT_DRIFT = ("01", "205", "31001", fixed.LAST_CLOSE, "0.01")  # GLCAL row nudged (present at every scale)
 
 
 def faulted_journal(journal: DataFrame) -> DataFrame:

@@ -42,6 +42,17 @@ def cents_to_amount(c: Column, dtype: str = "decimal(12,2)") -> Column:
     return (c.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).cast(dtype)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on small inputs: a file with a single row group is one scan
+    task, and the joins and the leg generator would run in it alone.  Only when the
+    scan has fewer splits than the cluster has cores is it redistributed
+    (round-robin, no skew); large inputs already have far more splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with everything the legs need.
 
@@ -49,7 +60,7 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     AQE measures a small side); part and supplier are joined on their keys and left
     to the planner; nation is TPC-H's fixed 25-row table and is broadcast.
     """
-    li = read_source(spark, sf_dir, "lineitem").select(*LINEITEM_COLS)
+    li = spread(read_source(spark, sf_dir, "lineitem").select(*LINEITEM_COLS))
     o = read_source(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     p = read_source(spark, sf_dir, "part").select("p_partkey", "p_type")
     s = read_source(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

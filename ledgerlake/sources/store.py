@@ -24,7 +24,7 @@ from ..operators import rollups
 from ..session import shared_dir
 from . import adapter
 
-LAYOUT_VERSION = "v3"
+LAYOUT_VERSION = "v4"
 TABLES = ("journal", "accmast", "glcal", "glfis", "deptmast", "coacmast")
 
 
@@ -85,10 +85,11 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> dict:
     secs = {}
     t = time.time()
     journal = adapter.derive_journal(spark, sf_dir)
-    # Range-partition on (period, company, account): each task writes one or two
-    # period folders with few, sorted files, even when one period is huge.
-    journal = journal.repartitionByRange("period", "YJ_CO", "YJ_ACC").sortWithinPartitions(
-        "period", "YJ_CO", "YJ_ACC", "YJ_CC")
+    # Rebalance on the period: one writer per period folder, and AQE splits a
+    # period that is larger than the advisory partition size into several tasks
+    # (no sampling pass, unlike range partitioning).  Rows are sorted by account
+    # inside each file, so row-group min/max statistics prune account filters.
+    journal = journal.hint("rebalance", "period").sortWithinPartitions("period", "YJ_ACC")
     _write(journal, f"{root}/journal", partition_by="period")
     secs["journal"] = time.time() - t
     j = spark.read.parquet(f"{root}/journal")

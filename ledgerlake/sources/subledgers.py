@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed
 from .adapter import cents_to_amount, line_items
@@ -36,3 +37,9 @@ def normalise(parthist: DataFrame) -> DataFrame:
     """(company, account, period, amount) — the common shape of every sub-ledger."""
     return parthist.select(F.col("PH_CO").alias("Company"), F.col("PH_GLIA").alias("AccountNumber"),
                            (F.col("PH_DTR") / 100).cast("int").alias("Period"), F.col("PH_NET").alias("Amount"))
+
+
+PARTHIST = T.StructType([
+    T.StructField("PH_CO", T.StringType()), T.StructField("PH_GLIA", T.StringType()),
+    T.StructField("PH_DTR", T.IntegerType()), T.StructField("PH_NET", T.DecimalType(12, 2)),
+])
