@@ -254,7 +254,7 @@ def q_change_kind(spark, sf):
            (SELECT COUNT(*) FROM caplog WHERE CaptureRunId = 'cap-3') AS LastRowsCaptured
     UNION ALL SELECT 'journal', {T(T0)}, CAST(NULL AS TIMESTAMP), CAST(NULL AS BIGINT)""", extra_ctes=SNAP)
 def q_advance_snapshot_watermark(spark, sf):
-    control = spark.createDataFrame([("orders", W[0], None, None), ("journal", T0, None, None)],
+    control = spark.createDataFrame([("orders", W[0], None, None), ("journal", T0, None, None)],  # NTZ: zone-free
                                     "TableName string, LastCapturedThroughUtc timestamp_ntz, "
                                     "LastSnapshotRunUtc timestamp_ntz, LastRowsCaptured bigint")
     log = LD.capture_log(spark, sf)
@@ -303,8 +303,7 @@ def q_lockstep_timing(spark, sf):
     m = per(LD.merged_orders(spark, sf)).groupBy("Period").agg(F.min(IG.ADDED).alias("FirstAdded"))
     s = per(LD.snapshot_table(spark, sf)).groupBy("Period").agg(F.min("SnapshotCapturedUtc").alias("FirstCaptured"))
     j = m.join(s, "Period", "full_outer")
-    lag = F.unix_timestamp(F.col("FirstCaptured").cast("timestamp")) - F.unix_timestamp(F.col("FirstAdded").cast("timestamp"))
-    return j.withColumn("LagSeconds", lag.cast("bigint"))
+    return j.withColumn("LagSeconds", F.timestamp_diff("SECOND", F.col("FirstAdded"), F.col("FirstCaptured")).cast("bigint"))
 
 
 # ======================================================================= run log
@@ -417,7 +416,7 @@ def q_load_history(spark, sf):
     FROM runlog WHERE Status = 'FAILED'""", extra_ctes=RUNLOG)
 def q_failed_loads(spark, sf):
     r = _runs(spark, sf).where(F.col("Status") == "FAILED")
-    dur = F.unix_timestamp(F.col("EndedUtc").cast("timestamp")) - F.unix_timestamp(F.col("StartedUtc").cast("timestamp"))
+    dur = F.timestamp_diff("SECOND", F.col("StartedUtc"), F.col("EndedUtc"))
     return r.select("RunId", "TableName", "StartedUtc", "ErrorMessage", dur.cast("bigint").alias("DurationSec"))
 
 

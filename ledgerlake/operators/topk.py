@@ -35,11 +35,9 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order, n: int) -> DataF
 
 
 def capped_result(df: DataFrame, order: Sequence, cap: int) -> DataFrame:
-    """TOP4: at most ``cap`` rows plus a ``Truncated`` flag.  Takes ``cap + 1``
-    rows (a top-k), flags whether the extra row exists and drops it; totals are
-    computed by a separate aggregate, never from the capped rows."""
-    w = Window.orderBy(*order)
-    top = df.orderBy(*order).limit(cap + 1)
-    # The window runs over at most cap + 1 rows (bounded), after the top-k.
-    numbered = top.withColumn("_rn", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
-    return numbered.where(F.col("_rn") <= cap).withColumn("Truncated", F.col("_n") > cap).drop("_rn", "_n")
+    """TOP4: the first ``cap`` rows in ``order`` (a top-k: per-partition heaps,
+    never a full sort) plus a ``Truncated`` flag.  The flag comes from counting at
+    most ``cap + 1`` rows, a limit that stops scanning early; totals belong in a
+    separate aggregate, never in the capped rows."""
+    truncated = df.limit(cap + 1).count() > cap
+    return df.orderBy(*order).limit(cap).withColumn("Truncated", F.lit(truncated))

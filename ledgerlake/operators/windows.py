@@ -149,8 +149,7 @@ def snapshot_diff(snap: DataFrame, keys: Sequence[str], value: str, order: str =
 def duration_trend(runs: DataFrame) -> DataFrame:
     """WIN11: load duration per table over time, change from the previous run and a
     3-run moving average."""
-    dur = (F.unix_timestamp(F.col("EndedUtc").cast("timestamp"))
-           - F.unix_timestamp(F.col("StartedUtc").cast("timestamp"))).cast("bigint")
+    dur = F.timestamp_diff("SECOND", F.col("StartedUtc"), F.col("EndedUtc")).cast("bigint")
     w = Window.partitionBy("TableName").orderBy("StartedUtc", "RunId")
     r = runs.where(F.col("EndedUtc").isNotNull()).withColumn("DurationSec", dur)
     return r.select(

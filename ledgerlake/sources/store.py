@@ -24,7 +24,7 @@ from ..operators import rollups
 from ..session import shared_dir
 from . import adapter
 
-LAYOUT_VERSION = "v4"
+LAYOUT_VERSION = "v5"
 TABLES = ("journal", "accmast", "glcal", "glfis", "deptmast", "coacmast")
 
 
@@ -100,7 +100,10 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> dict:
     secs["accmast"] = time.time() - t
 
     t = time.time()
-    _write(rollups.build_glcal(j, acc), f"{root}/glcal")
+    # GLCAL is partitioned by period too: single-period reports (income statement,
+    # trial balance, balance sheet) read one folder.
+    glcal = rollups.build_glcal(j, acc).hint("rebalance", "GB_DATE").sortWithinPartitions("GB_DATE", "GB_GLA")
+    _write(glcal, f"{root}/glcal", partition_by="GB_DATE")
     glcal = spark.read.parquet(f"{root}/glcal")
     secs["glcal"] = time.time() - t
 
