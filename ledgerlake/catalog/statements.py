@@ -308,36 +308,48 @@ def q_orphan_accounts(spark, sf):
 
 # --- FS17 / FS18 / FS19 / FS46
 _SUBLINES = " ".join(
-    f"UNION ALL SELECT '{label}', {order}, Department, Measure, v FROM m WHERE SectionOrder <= {last}"
+    f"UNION ALL SELECT '{label}', {order}, Department, Measure, v FROM dm_base WHERE SectionOrder <= {last}"
     for label, order, last in fixed.PL_SUBTOTALS)
 DEPTS = [("2", "Sales"), ("3", "Service"), ("4", "Parts"), ("5", "Rental"), ("1", "Admin")]
 
 
-def _dept_sql(account_filter: str = "") -> str:
-    prev12 = (P // 100 - 1) * 100 + P % 100
+def _dept_sql() -> str:
     cols = ", ".join(f"{_z(f'CASE WHEN Department = {d!r} THEN v END')} AS {n}" for d, n in DEPTS)
-    return f"""
+    base = f"""
     SELECT *, CAST(Sales + TotalFixed + Admin AS DECIMAL(18, 2)) AS Total FROM (
     SELECT *, CAST(Service + Parts + Rental AS DECIMAL(18, 2)) AS TotalFixed FROM (
     SELECT Line, LineOrder, Measure, {cols} FROM (
-        WITH base AS (SELECT Section, SectionOrder, Department, Period, {_m('NetIncomeImpact')} AS v FROM is_lines
-                      WHERE Period BETWEEN {prev12} AND {P} {account_filter}
-                      GROUP BY Section, SectionOrder, Department, Period),
-        m AS (SELECT Section, SectionOrder, Department, 'Current' AS Measure, v FROM base WHERE Period = {P}
-              UNION ALL SELECT Section, SectionOrder, Department, 'PriorMonth', v FROM base WHERE Period = {PREV}
-              UNION ALL SELECT Section, SectionOrder, Department, 'Change', v FROM base WHERE Period = {P}
-              UNION ALL SELECT Section, SectionOrder, Department, 'Change', -v FROM base WHERE Period = {PREV}
-              UNION ALL SELECT Section, SectionOrder, Department, 'YTD', v FROM base WHERE Period BETWEEN {Y0} AND {P})
-        SELECT Section AS Line, SectionOrder AS LineOrder, Department, Measure, v FROM m {_SUBLINES})
+        SELECT Section AS Line, SectionOrder AS LineOrder, Department, Measure, v FROM dm_base {_SUBLINES})
     GROUP BY Line, LineOrder, Measure))"""
+    rc = ["Sales", "Service", "Parts", "Rental", "Admin", "TotalFixed", "Total"]
+    pcts = ", ".join(f"CAST({pct(f'c.{x}', f'r.{x}')} AS DECIMAL(18, 2)) AS {x}" for x in rc)
+    return f"""
+    SELECT * FROM ({base}) UNION ALL
+    SELECT c.Line, c.LineOrder, 'PctOfRevenue', {pcts}
+    FROM ({base}) c JOIN ({base}) r ON r.Measure = c.Measure AND r.Line = 'Total revenue'
+    WHERE c.Measure = 'Current'"""
 
 
-@register("departmental_pnl", _dept_sql())
+def _dept_ctes(account_filter: str = ""):
+    prev12 = (P // 100 - 1) * 100 + P % 100
+    return [
+        ("dept_base", f"""SELECT Section, SectionOrder, Department, Period, {_m('NetIncomeImpact')} AS v FROM is_lines
+                          WHERE Period BETWEEN {prev12} AND {P} {account_filter}
+                          GROUP BY Section, SectionOrder, Department, Period"""),
+        ("dm_base", f"""SELECT Section, SectionOrder, Department, 'Current' AS Measure, v FROM dept_base WHERE Period = {P}
+              UNION ALL SELECT Section, SectionOrder, Department, 'PriorMonth', v FROM dept_base WHERE Period = {PREV}
+              UNION ALL SELECT Section, SectionOrder, Department, 'Change', v FROM dept_base WHERE Period = {P}
+              UNION ALL SELECT Section, SectionOrder, Department, 'Change', -v FROM dept_base WHERE Period = {PREV}
+              UNION ALL SELECT Section, SectionOrder, Department, 'YTD', v FROM dept_base WHERE Period BETWEEN {Y0} AND {P}"""),
+    ]
+
+
+@register("departmental_pnl", _dept_sql(), extra_ctes=_dept_ctes())
 def q_departmental_pnl(spark, sf):
     return rp.departmental_pnl(lines(spark, sf), P)
 
 
-@register("per_brand_pnl", _dept_sql("AND AccountNumber IN ('31001', '41001')"))
+@register("per_brand_pnl", _dept_sql(), extra_ctes=_dept_ctes("AND AccountNumber IN ('31001', '41001')"))
 def q_per_brand_pnl(spark, sf):
     return rp.per_brand_pnl(lines(spark, sf), P, "Brand A")
 

@@ -94,6 +94,7 @@ SECTIONS = [
 # Subtotal lines of the structured income statement: (label, order, last section order
 # included).  Each sums NetIncomeImpact over sections 10..last.
 PL_SUBTOTALS = [
+    ("Total revenue", 45, 40),
     ("Gross profit", 85, 80),
     ("EBITDA", 115, 110),
     ("Operating income", 125, 120),

@@ -243,3 +243,45 @@ def watermark_table(runs: DataFrame) -> DataFrame:
     wm = (F.when(F.col("RunKind") == "INCREMENTAL", F.col("incremental"))
           .when(F.col("RunKind") == "INITIAL", F.lit(0).cast("bigint")).otherwise(F.lit(None).cast("bigint")))
     return e.select("TableName", "RunKind", wm.alias("WatermarkFrom"))
+
+
+# --- SNK9 + SNK10 as one guarded run over an append-only run-event log ---------------
+
+def run_log_view(events: DataFrame) -> DataFrame:
+    """The run log: the latest event of every run (events are append-only, so a
+    crash between two writes leaves the earlier state, never a half-updated row)."""
+    w = Window.partitionBy("RunId").orderBy(F.col("EventUtc").desc())
+    return events.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "EventUtc")
+
+
+def execute_run(spark, log_path: str, table: str, kind: str, run_id: str, load, clock,
+                allowed_tables: Sequence[str]) -> dict:
+    """Open a RUNNING run (watermark chosen by SNK9), call ``load(watermark)`` which
+    returns the run's counts (RowsCopied, RowsInserted, ..., WatermarkTo), then
+    record COMPLETE; on any error record FAILED with the message and re-raise.
+    Only COMPLETE runs advance the next watermark."""
+    from ..sources.schemas import LOAD_CONTROL
+    schema = T.StructType([*[T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType)
+                                           else f.dataType) for f in LOAD_CONTROL.fields],
+                           T.StructField("EventUtc", T.TimestampNTZType())])
+    try:
+        events = spark.read.schema(schema).parquet(log_path)
+        events.schema  # noqa: B018 - resolves the folder
+    except Exception:
+        events = spark.createDataFrame([], schema)
+    runs = run_log_view(events)
+
+    def record(df: DataFrame) -> None:
+        df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields[:-1]], ts(clock()).alias("EventUtc")) \
+            .coalesce(1).write.mode("append").parquet(log_path)
+
+    started = start_run(runs, table, kind, run_id, clock(), allowed_tables)
+    watermark = started.first()["WatermarkFrom"]
+    record(started)
+    try:
+        counts = load(watermark)
+    except Exception as e:
+        record(fail_run(started, run_id, clock(), f"{type(e).__name__}: {e}"[:4000]))
+        raise
+    record(finish_run(started, run_id, clock(), {k: v for k, v in counts.items() if v is not None or k == "WatermarkTo"}))
+    return counts

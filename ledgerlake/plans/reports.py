@@ -80,7 +80,22 @@ def departmental_pnl(lines: DataFrame, period, account_filter: Column | None = N
     out = pv.select("Line", "LineOrder", "Measure", *[c.alias(n) for n, c in cols.items()])
     out = out.withColumn("TotalFixed", money(F.col("Service") + F.col("Parts") + F.col("Rental")))
     out = out.withColumn("Total", money(F.col("Sales") + F.col("TotalFixed") + F.col("Admin")))
-    return out
+    return out.unionByName(_pct_of_revenue(out))
+
+
+REPORT_COLUMNS = ["Sales", "Service", "Parts", "Rental", "Admin", "TotalFixed", "Total"]
+
+
+def _pct_of_revenue(out: DataFrame) -> DataFrame:
+    """The '%' measure: each current-month line as a percent of its column's total
+    revenue.  The revenue row is joined on the measure (one row per measure), an
+    equi-join, not a cross product."""
+    rev = out.where(F.col("Line") == "Total revenue").select(
+        "Measure", *[F.col(c).alias("rev_" + c) for c in REPORT_COLUMNS])
+    cur = out.where(F.col("Measure") == "Current").join(rev, "Measure")
+    return cur.select("Line", "LineOrder", F.lit("PctOfRevenue").alias("Measure"),
+                      *[safe_pct(F.col(c), F.col("rev_" + c)).cast("decimal(18,2)").alias(c)
+                        for c in REPORT_COLUMNS])
 
 
 def departmental_pnl_detail(lines: DataFrame, period, department: str) -> DataFrame:

@@ -12,6 +12,7 @@ A build is complete when its marker dataset exists; the marker is written last.
 from __future__ import annotations
 
 import hashlib
+import threading
 import time
 from dataclasses import dataclass, field
 
@@ -50,6 +51,7 @@ class Ledger:
 
 
 _CACHE: dict[tuple[str, str], Ledger] = {}
+_LOCK = threading.Lock()
 
 
 def _root(spark: SparkSession, sf_dir: str) -> str:
@@ -127,8 +129,13 @@ def ledger(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Ledger:
     """The ledger for ``sf_dir``: read if already built, else built first."""
     root = _root(spark, sf_dir)
     key = (spark.sparkContext.applicationId, root)
-    if not rebuild and key in _CACHE:
-        return _CACHE[key]
+    with _LOCK:  # one build per process even when queries are started from threads
+        if not rebuild and key in _CACHE:
+            return _CACHE[key]
+        return _load(spark, sf_dir, root, key, rebuild)
+
+
+def _load(spark: SparkSession, sf_dir: str, root: str, key, rebuild: bool) -> Ledger:
     latest = None if rebuild else _read_marker(spark, root)
     secs = {}
     if latest is None:

@@ -203,3 +203,38 @@ def test_advance_watermark_requires_control_row(spark):
     assert (out.LastCapturedThroughUtc, out.LastRowsCaptured) == (T1, 5)
     with pytest.raises(ValueError):
         IG.advance_snapshot_watermark(control, "journal", T1, T1, 5)
+
+
+# --------------------------------------------------------------------------- guarded runs
+
+def test_guarded_runs_advance_the_watermark_only_when_complete(spark, led):
+    from ledgerlake.streaming.events import scratch
+    log, target = scratch(spark, "t-runlog"), scratch(spark, "t-journal")
+    ticks = iter(dt.datetime(2001, 3, 1, 3, m) for m in range(60))
+    clock = lambda: next(ticks)
+    split = 200101010000000000
+    j = led.journal
+
+    def initial(wm):
+        assert wm == 0
+        return IG.append_journal(j.where(F.col("YJ_UID") <= split), target)
+
+    def incremental(wm):
+        assert wm is not None and wm <= split
+        return IG.append_journal(j.where(F.col("YJ_UID") > wm), target)
+
+    def broken(wm):
+        raise RuntimeError("source unreachable")
+
+    IG.execute_run(spark, log, "journal", "INITIAL", "r1", initial, clock, ["journal"])
+    IG.execute_run(spark, log, "journal", "INCREMENTAL", "r2", incremental, clock, ["journal"])
+    with pytest.raises(RuntimeError, match="unreachable"):
+        IG.execute_run(spark, log, "journal", "INCREMENTAL", "r3", broken, clock, ["journal"])
+    runs = {r.RunId: r for r in IG.run_log_view(spark.read.parquet(log)).collect()}
+    assert [runs[k].Status for k in ("r1", "r2", "r3")] == ["COMPLETE", "COMPLETE", "FAILED"]
+    assert "unreachable" in runs["r3"].ErrorMessage
+    max_uid = j.agg(F.max("YJ_UID")).first()[0]
+    assert runs["r2"].WatermarkTo == max_uid and runs["r3"].WatermarkFrom == max_uid
+    assert spark.read.parquet(target).count() == j.count()
+    with pytest.raises(ValueError):
+        IG.execute_run(spark, log, "glcal", "INCREMENTAL", "r4", initial, clock, ["journal"])
