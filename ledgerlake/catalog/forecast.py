@@ -179,7 +179,7 @@ def q_part_lookup(spark, sf):
 
 
 @register("slow_moving_parts", f"""
-    SELECT p.p_partkey, p.p_name, l.LastShipped, date_diff('day', l.LastShipped, DATE '{AS_OF}') AS IdleDays
+    SELECT p.p_partkey, p.p_name, l.LastShipped, CAST(date_diff('day', l.LastShipped, DATE '{AS_OF}') AS INTEGER) AS IdleDays
     FROM part p LEFT JOIN (SELECT l_partkey, max(CAST(l_shipdate AS DATE)) AS LastShipped FROM lineitem GROUP BY l_partkey) l
       ON l.l_partkey = p.p_partkey
     WHERE l.LastShipped IS NULL OR date_diff('day', l.LastShipped, DATE '{AS_OF}') > 90""")
@@ -226,7 +226,7 @@ def q_salesperson_performance(spark, sf):
 
 
 @register("bank_rec_summary", f"""
-    SELECT *, date_diff('day', strptime(CAST(YJ_DT AS VARCHAR), '%Y%m%d')::DATE, DATE '{AS_OF}') AS AgeDays FROM (
+    SELECT *, CAST(date_diff('day', strptime(CAST(YJ_DT AS VARCHAR), '%Y%m%d')::DATE, DATE '{AS_OF}') AS INTEGER) AS AgeDays FROM (
         SELECT coalesce(b.YJ_JRL, k.YJ_JRL) AS YJ_JRL, coalesce(b.YJ_DT, k.YJ_DT) AS YJ_DT, b.Book, k.Bank,
                CAST(coalesce(b.Book, 0) - coalesce(k.Bank, 0) AS DECIMAL(18, 2)) AS Difference
         FROM (SELECT YJ_JRL, YJ_DT, CAST(SUM(-YJ_AMT) AS DECIMAL(18, 2)) AS Book FROM journal WHERE YJ_ACC = '10100'
@@ -248,7 +248,7 @@ def q_bank_rec_summary(spark, sf):
 
 
 @register("vendor_patterns", f"""
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY Purchases DESC, s_suppkey) AS RankInNation
+    SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY Purchases DESC, s_suppkey) AS INTEGER) AS RankInNation
                    FROM (SELECT g.*, s.s_nationkey FROM (
                              SELECT l_suppkey AS s_suppkey, COUNT(*) AS Lines, {m('SUM(cost)')} AS Purchases
                              FROM econ GROUP BY l_suppkey) g JOIN supplier s ON s.s_suppkey = g.s_suppkey))

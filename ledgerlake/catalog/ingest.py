@@ -6,7 +6,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -403,7 +402,7 @@ def q_load_status(spark, sf):
 
 @register("load_history", """
     SELECT * FROM (SELECT RunId, TableName, RunKind, Status, StartedUtc, EndedUtc, RowsCopied,
-                          row_number() OVER (PARTITION BY TableName ORDER BY StartedUtc DESC) AS Recent FROM runlog)
+                          CAST(row_number() OVER (PARTITION BY TableName ORDER BY StartedUtc DESC) AS INTEGER) AS Recent FROM runlog)
     WHERE Recent <= 3""", extra_ctes=RUNLOG)
 def q_load_history(spark, sf):
     from ..operators.topk import top_n_per_group

@@ -4,7 +4,6 @@ set operations and scalar functions (survey sections 2.1, 2.3-2.9)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import fixed
 from ..functions import columns as C
@@ -602,7 +601,7 @@ def q_seasonality(spark, sf):
 
 
 @register("rank_movers", f"""
-    SELECT * FROM (SELECT *, rank() OVER (PARTITION BY Period ORDER BY abs(Change) DESC) AS MoverRank
+    SELECT * FROM (SELECT *, CAST(rank() OVER (PARTITION BY Period ORDER BY abs(Change) DESC) AS INTEGER) AS MoverRank
                    FROM ({_MOM_SQL})) WHERE MoverRank <= 5""", extra_ctes=_GRID)
 def q_rank_movers(spark, sf):
     r = WN.rank_movers(WN.mom_variance(_grid(spark, sf), KEYS2, "Period", "Amount"), ["Period"])

@@ -159,7 +159,7 @@ _DUP_KEY = ["YJ_UID", "YJ_CO", "YJ_CC", "YJ_ACC", "YJ_AMT"]
 
 
 @register("duplicate_keys", f"""
-    SELECT SUM(n) AS Rows, COUNT(*) AS DistinctKeys, SUM(n - 1) AS DuplicateRows,
+    SELECT CAST(SUM(n) AS BIGINT) AS Rows, COUNT(*) AS DistinctKeys, CAST(SUM(n - 1) AS BIGINT) AS DuplicateRows,
            CAST(SUM(n - 1) AS DOUBLE) * 100.0 / CAST(SUM(n) AS DOUBLE) AS DuplicatePct
     FROM (SELECT COUNT(*) AS n FROM journal GROUP BY {', '.join(_DUP_KEY)})""")
 def q_duplicate_keys(spark, sf):
@@ -167,9 +167,10 @@ def q_duplicate_keys(spark, sf):
 
 
 @register("row_count_check", """
-    SELECT 'journal' AS TableName, s.SourceRows, r.ReplicaRows, r.ReplicaRows - s.SourceRows AS Difference
-    FROM (SELECT SUM(CASE WHEN l_linenumber = 1 THEN 10 ELSE 8 END) AS SourceRows FROM lineitem) s,
-         (SELECT COUNT(*) AS ReplicaRows FROM journal) r""")
+    SELECT TableName, SourceRows, ReplicaRows, CAST(ReplicaRows - SourceRows AS BIGINT) AS Difference FROM (
+        SELECT 'journal' AS TableName,
+               (SELECT CAST(SUM(CASE WHEN l_linenumber = 1 THEN 10 ELSE 8 END) AS BIGINT) FROM lineitem) AS SourceRows,
+               (SELECT COUNT(*) FROM journal) AS ReplicaRows)""")
 def q_row_count_check(spark, sf):
     from ..sources.adapter import read_source
     li = read_source(spark, sf, "lineitem")

@@ -43,7 +43,7 @@ def q_stream_merge(spark, sf):
 
 @register("stream_flash", f"""
     SELECT CAST(ts AS DATE) AS Day, {_ACC} AS account, COUNT(*) AS Postings,
-           CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS Amount
+           CAST(CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS Amount
     FROM events GROUP BY ALL""")
 def q_stream_flash(spark, sf):
     src, sink, late = EV.scratch(spark, "events"), EV.scratch(spark, "flash-sink"), EV.scratch(spark, "flash-late")
@@ -51,7 +51,7 @@ def q_stream_flash(spark, sf):
     EV.stream_flash(spark, src, sink, late, EV.scratch(spark, "flash-ckpt"))
     out = spark.read.parquet(sink)
     return out.select("Day", "account", "Postings",
-                      (F.col("cents").cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).alias("Amount"))
+                      (F.col("cents").cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(18,2)").alias("Amount"))
 
 
 @register("late_postings", """

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.columns import is_profit_and_loss, money, safe_pct
-from ..functions.periods import month_index, parse_period, period_of_index
-from .statements import bs_lines, cumulative_net_income
+from ..functions.periods import month_index, parse_period
+from .statements import bs_lines
 
 DEPT_COLUMNS = [("2", "Sales"), ("3", "Service"), ("4", "Parts"), ("5", "Rental"), ("1", "Admin")]
 
@@ -210,7 +210,6 @@ def unclosed_activity(led) -> DataFrame:
 def unclosed_monthly_pnl(led, last_close: int = fixed.LAST_CLOSE) -> DataFrame:
     """FS27: revenue, expense and net income per unclosed month from the journal:
     aggregate first, then join ACCMAST on company and account."""
-    from ..operators.joins import agg_then_dim
     j = led.journal.where(F.col("period") > last_close)
     a = j.groupBy("YJ_CO", "YJ_ACC", "period").agg(money(F.sum("YJ_AMT")).alias("amt"))
     a = a.join(F.broadcast(led.accmast.select(F.col("ACCO").alias("YJ_CO"), F.col("ACACC").alias("YJ_ACC"), "ACTYP")),
