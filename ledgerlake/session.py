@@ -45,3 +45,30 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
+
+
+def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, sized from the input and the cluster.
+
+    Shuffle partitions start at the larger of 3 waves of tasks and
+    input / target size (AQE then coalesces small ones and splits skewed ones), so a
+    partition stays well inside an executor's memory at any scale.  File splits
+    match the target size.  Broadcasts stay for bounded tables: the threshold is
+    a fixed byte size that Spark checks against statistics and AQE against the
+    measured shuffle output."""
+    slots = executors * cores_per_executor
+    partitions = max(3 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
