@@ -42,8 +42,11 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = os.path.join(tempfile.gettempdir(), "ledgerlake-checkpoints")
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
+        try:
+            if not spark.sparkContext.getCheckpointDir():
+                spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # remote session: checkpoint() then uses the server's setting
+            pass
     return d.rstrip("/")
 
 

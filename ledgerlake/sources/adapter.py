@@ -47,10 +47,12 @@ def spread(df: DataFrame) -> DataFrame:
     task, and the joins and the leg generator would run in it alone.  Only when the
     scan has fewer splits than the cluster has cores is it redistributed
     (round-robin, no skew); large inputs already have far more splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a remote (Connect) session has no RDD view: leave the plan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:

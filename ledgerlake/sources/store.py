@@ -6,7 +6,10 @@ account filters), and read back; every roll-up is built from the *written* journ
 so lineage is cut at each table and a lost executor recomputes at most one stage of
 one table.  Tables live in the shared folder named by ``spark.checkpoint.dir``.
 
-A build is complete when its marker dataset exists; the marker is written last.
+Each build writes into its own folder (``b-<uuid>``); a marker dataset written
+last names the complete build to read.  Two processes building at the same time
+each finish their own folder, and readers only ever follow the marker to a
+complete one.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import threading
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -25,7 +29,7 @@ from ..operators import rollups
 from ..session import shared_dir
 from . import adapter
 
-LAYOUT_VERSION = "v5"
+LAYOUT_VERSION = "v6"
 TABLES = ("journal", "accmast", "glcal", "glfis", "deptmast", "coacmast")
 
 
@@ -67,12 +71,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _read_marker(spark: SparkSession, root: str) -> int | None:
+def _read_marker(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """(latest period, build folder) of the published build, or None."""
     path = f"{root}/_built"
     if not _exists(spark, path):
         return None
-    row = spark.read.parquet(path).first()
-    return None if row is None else int(row["latest_period"])
+    try:
+        row = spark.read.parquet(path).first()
+    except Exception:  # being replaced by a concurrent publisher
+        return None
+    return None if row is None else (int(row["latest_period"]), row["build"])
 
 
 def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -83,8 +91,12 @@ def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
 
 
 def build(spark: SparkSession, sf_dir: str, root: str) -> dict:
-    """Derive and write every ledger table; returns seconds per table."""
+    """Derive and write every ledger table into a fresh build folder, then publish
+    it; returns seconds per table."""
     secs = {}
+    build_id = f"b-{uuid.uuid4().hex}"
+    published = root
+    root = f"{root}/{build_id}"
     t = time.time()
     journal = adapter.derive_journal(spark, sf_dir)
     # Rebalance on the period: one writer per period folder, and AQE splits a
@@ -120,15 +132,15 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> dict:
     _write(rollups.build_coacmast(bal), f"{root}/coacmast")
     secs["coacmast"] = time.time() - t
 
-    spark.createDataFrame([(int(latest), time.time())], "latest_period int, built_at double") \
-        .coalesce(1).write.mode("overwrite").parquet(f"{root}/_built")
+    spark.createDataFrame([(int(latest), build_id, time.time())], "latest_period int, build string, built_at double") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{published}/_built")
     return secs
 
 
 def ledger(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Ledger:
     """The ledger for ``sf_dir``: read if already built, else built first."""
     root = _root(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, root)
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), root)
     with _LOCK:  # one build per process even when queries are started from threads
         if not rebuild and key in _CACHE:
             return _CACHE[key]
@@ -136,12 +148,14 @@ def ledger(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Ledger:
 
 
 def _load(spark: SparkSession, sf_dir: str, root: str, key, rebuild: bool) -> Ledger:
-    latest = None if rebuild else _read_marker(spark, root)
+    marker = None if rebuild else _read_marker(spark, root)
     secs = {}
-    if latest is None:
+    if marker is None:
         secs = build(spark, sf_dir, root)
-        latest = _read_marker(spark, root)
-    tables = {t: spark.read.parquet(f"{root}/{t}") for t in TABLES}
-    led = Ledger(spark=spark, root=root, latest_period=int(latest), build_seconds=secs, **tables)
+        marker = _read_marker(spark, root)
+    latest, build_id = marker
+    base = f"{root}/{build_id}"
+    tables = {t: spark.read.parquet(f"{base}/{t}") for t in TABLES}
+    led = Ledger(spark=spark, root=base, latest_period=int(latest), build_seconds=secs, **tables)
     _CACHE[key] = led
     return led
