@@ -160,22 +160,23 @@ def q_period_coverage(spark, sf):
 # --- FS11 / FS20 / FS21 / FS28
 def _bs_block(p: int, name: str, where: str = "", ni_where: str = "") -> str:
     return f"""
-    SELECT CASE WHEN gid = 7 THEN 'Check' WHEN Statement = 'BA' THEN 'Assets' ELSE 'Liabilities and equity' END AS Side,
-           CASE WHEN gid = 0 THEN Section WHEN gid = 3 AND Statement = 'BA' THEN 'Total assets'
+    SELECT CASE WHEN gid = 7 THEN 'Check' ELSE Side END AS Side,
+           CASE WHEN gid = 0 THEN Section WHEN gid = 3 AND Side = 'Assets' THEN 'Total assets'
                 WHEN gid = 3 THEN 'Total liabilities and equity' ELSE 'Difference' END AS Section,
-           CASE WHEN gid = 0 THEN SectionOrder WHEN gid = 3 AND Statement = 'BA' THEN 45 WHEN gid = 3 THEN 95
+           CASE WHEN gid = 0 THEN SectionOrder WHEN gid = 3 AND Side = 'Assets' THEN 45 WHEN gid = 3 THEN 95
                 ELSE 99 END AS SectionOrder,
            CASE WHEN gid = 7 THEN net ELSE amt END AS {name}
-    FROM (SELECT Statement, Section, SectionOrder, {_m('Amount')} AS amt,
-                 GROUPING(Statement, Section, SectionOrder) AS gid,
-                 {_m("CASE WHEN Statement = 'BA' THEN Amount ELSE -Amount END")} AS net
-          FROM (SELECT Statement, Section, SectionOrder,
+    FROM (SELECT Side, Section, SectionOrder, {_m('Amount')} AS amt,
+                 GROUPING(Side, Section, SectionOrder) AS gid,
+                 {_m("CASE WHEN Side = 'Assets' THEN Amount ELSE -Amount END")} AS net
+          FROM (SELECT CASE WHEN Statement = 'BA' THEN 'Assets' ELSE 'Liabilities and equity' END AS Side, * FROM (
+                SELECT Statement, Section, SectionOrder,
                        {_m("CASE WHEN Statement = 'BA' THEN GB_AMT ELSE -GB_AMT END")} AS Amount
                 FROM bsl WHERE GB_DATE = {p} {where} GROUP BY Statement, Section, SectionOrder
                 UNION ALL
                 SELECT 'BE', '{fixed.NET_INCOME_SECTION[0]}', {fixed.NET_INCOME_SECTION[1]},
-                       {_z('NetIncomeImpact')} FROM is_lines WHERE Period <= {p} {ni_where})
-          GROUP BY GROUPING SETS ((Statement, Section, SectionOrder), (Statement), ()))"""
+                       {_z('NetIncomeImpact')} FROM is_lines WHERE Period <= {p} {ni_where}))
+          GROUP BY GROUPING SETS ((Side, Section, SectionOrder), (Side), ()))"""
 
 
 @register("balance_sheet", f"""

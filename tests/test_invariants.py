@@ -75,3 +75,11 @@ def test_append_union_equals_journal(spark, led):
     j = {r.period: (r.n, r.s) for r in led.journal.groupBy("period").agg(
         F.count(F.lit(1)).alias("n"), F.sum("YJ_AMT").cast("decimal(18,2)").alias("s")).collect()}
     assert a == j
+
+
+def test_balance_sheet_has_one_total_per_side_and_they_agree(spark):
+    for key in ("balance_sheet", "structured_balance_sheet"):
+        rows = _q(spark, key).collect()
+        totals = {r.Section: r.Amount for r in rows if r.Section.startswith("Total")}
+        assert sum(1 for r in rows if r.Section == "Total liabilities and equity") == 1
+        assert totals["Total assets"] == totals["Total liabilities and equity"]
