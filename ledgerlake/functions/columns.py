@@ -123,6 +123,13 @@ def tolerance_exceeded(a: Column, b: Column, tol: str = fixed.DRIFT_TOLERANCE) -
     return F.abs(F.coalesce(a, F.lit(0)) - F.coalesce(b, F.lit(0))) > F.lit(tol).cast("decimal(10,3)")
 
 
+def ntz_literal(value) -> Column:
+    """A wall-clock TIMESTAMP_NTZ literal parsed from text: neither the session nor
+    the machine time zone can shift it (a Python datetime literal goes through the
+    machine's zone)."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def money(c: Column) -> Column:
     """Cast an aggregate to DECIMAL(18,2), the one money type of all outputs."""
     return c.cast("decimal(18,2)")

@@ -29,7 +29,8 @@ ADDED, MODIFIED, RUN = "DateAddedUtc", "DateModifiedUtc", "LastRunId"
 def ts(value: dt.datetime) -> Column:
     """A UTC wall-clock literal (TIMESTAMP_NTZ, parsed from text, so neither the
     session nor the machine time zone is involved)."""
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    from ..functions.columns import ntz_literal
+    return ntz_literal(value)
 
 
 # --- SNK2 / SNK3 / SNK1 / SNK4 --------------------------------------------------------

@@ -34,8 +34,8 @@ def scan_subledger(spark: SparkSession, path: str, schema: T.StructType) -> Data
 def full_reload_pull(source: DataFrame, run_id: str, loaded_at: dt.datetime) -> DataFrame:
     """SRC3: every source row, stamped with the run id and load time (staging shape:
     all columns nullable).  The caller writes it with ``mode('overwrite')``."""
-    return source.select("*", F.lit(run_id).alias("LoadRunId"),
-                         F.lit(loaded_at).cast("timestamp_ntz").alias("LoadedAt"))
+    from ..functions.columns import ntz_literal
+    return source.select("*", F.lit(run_id).alias("LoadRunId"), ntz_literal(loaded_at).alias("LoadedAt"))
 
 
 def incremental_pull(source: DataFrame, watermark: int, uid: str = "YJ_UID") -> DataFrame:

@@ -33,3 +33,18 @@ def test_entry_smoke(spark):
     assert len(rows) > 0
     assert set(df.columns) == {"Section", "SectionOrder", "Lines", "NetIncomeImpact"}
     assert set(mod.queries()) == set(mod.oracle_sql())
+
+
+TIME_SENSITIVE = ["capture_snapshot", "load_status", "duration_trend", "lockstep_timing", "stream_flash", "fn_dates",
+                  "aging", "bank_rec_summary", "full_reload_pull", "advance_snapshot_watermark", "audit_log_search"]
+
+
+@pytest.mark.parametrize("key", TIME_SENSITIVE)
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = compare(spark, key, SMOKE, duck)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["status"] == "match", r
