@@ -317,7 +317,7 @@ def q_large_change_alert(spark, sf):
             ON s.Company = g.Company AND s.AccountNumber = g.AccountNumber)
     GROUP BY Section""")
 def q_subledger_coverage(spark, sf):
-    sl = subledgers.normalise(subledgers.parts_history(spark, sf))
+    sl = subledgers.normalise(_parthist(spark, sf))
     return Q.subledger_coverage(sl, lines(spark, sf), PY * 100 + 1, PY * 100 + 12)
 
 
@@ -341,17 +341,19 @@ def q_close_checklist(spark, sf):
         FROM jbase WHERE dept = '4')
     GROUP BY PH_CO, PH_GLIA""")
 def q_scan_subledger(spark, sf):
-    from ..sources import scan
-    from ..sources.subledgers import PARTHIST
-    path = f"{L(spark, sf).root}/parthist"
-    if not _written(spark, path):
-        subledgers.parts_history(spark, sf).write.mode("overwrite").parquet(path)
-    ph = scan.scan_subledger(spark, path, PARTHIST)
+    ph = _parthist(spark, sf)
     return ph.groupBy("PH_CO", "PH_GLIA").agg(
         F.count(F.lit(1)).alias("Rows"), F.sum("PH_NET").cast("decimal(18,2)").alias("Amount"),
         F.min("PH_DTR").alias("FirstDate"), F.max("PH_DTR").alias("LastDate"))
 
 
-def _written(spark, path) -> bool:
+def _parthist(spark, sf):
+    """The parts sub-ledger, derived once per ledger build and read back with its
+    fixed schema (SRC2)."""
+    from ..sources import scan
     from ..sources.store import _exists
-    return _exists(spark, path)
+    from ..sources.subledgers import PARTHIST
+    path = f"{L(spark, sf).root}/parthist"
+    if not _exists(spark, path):
+        subledgers.parts_history(spark, sf).write.mode("overwrite").parquet(path)
+    return scan.scan_subledger(spark, path, PARTHIST)

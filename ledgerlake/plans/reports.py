@@ -140,30 +140,33 @@ def cash_flow_indirect(led, lines: DataFrame, start_period, end_period) -> DataF
     """FS22: indirect cash flow between two balance-sheet periods: net income of the
     months in (start, end], depreciation added back, the change of every other
     balance-sheet section (sign: a rise in an asset uses cash), the net change in
-    cash, and the residual left unexplained (shown, not hidden)."""
+    cash, and the residual left unexplained (shown, not hidden).
+
+    One aggregation gives net income and depreciation; one pruned GLCAL read gives
+    both balance sheets (closing minus opening)."""
     s, e = parse_period(start_period), parse_period(end_period)
-    ni = lines.where(F.col("Period") > s).where(F.col("Period") <= e)
-    da = ni.where(F.col("SectionOrder") == 120).agg(money(-F.coalesce(F.sum("NetIncomeImpact"), F.lit(0))).alias("Amount"))
-    nit = ni.agg(money(F.coalesce(F.sum("NetIncomeImpact"), F.lit(0))).alias("Amount"))
-    bs = bs_lines(led, s).select("Section", "SectionOrder", (-F.col("GB_AMT")).alias("d")).unionByName(
-        bs_lines(led, e).select("Section", "SectionOrder", F.col("GB_AMT").alias("d")))
-    delta = bs.groupBy("Section", "SectionOrder").agg(money(F.sum("d")).alias("delta"))
-    cash = delta.where(F.col("Section") == "Cash").agg(money(F.coalesce(F.sum("delta"), F.lit(0))).alias("Amount"))
+    v = F.col("NetIncomeImpact")
+    pl = lines.where((F.col("Period") > s) & (F.col("Period") <= e)).agg(
+        money(F.coalesce(F.sum(v), F.lit(0))).alias("ni"),
+        money(-F.coalesce(F.sum(F.when(F.col("SectionOrder") == 120, v)), F.lit(0))).alias("da"))
+    # Depreciation is inside net income and inside the fixed-asset change; it is shown
+    # as an add-back and taken out of the fixed-asset line so nothing counts twice.
+    def line(label: str, order: int, amount) -> Column:
+        return F.struct(F.lit(label).alias("Line"), F.lit(order).alias("LineOrder"), money(amount).alias("Amount"))
+    pl_lines = pl.select(F.inline(F.array(
+        line("Net income", 100, F.col("ni")), line("Depreciation and amortization", 110, F.col("da")),
+        line("Change in fixed assets net", 240, -F.col("da")))))
+    b = bs_lines(led, [s, e])
+    delta = b.groupBy("Section", "SectionOrder").agg(
+        money(F.sum(F.when(F.col("GB_DATE") == e, F.col("GB_AMT")).otherwise(-F.col("GB_AMT")))).alias("delta"))
     wc = delta.where(F.col("Section") != "Cash").select(
         F.concat(F.lit("Change in "), F.lower("Section")).alias("Line"), (F.col("SectionOrder") + 200).alias("LineOrder"),
         money(-F.col("delta")).alias("Amount"))
-    # Depreciation is inside net income and inside the fixed-asset change; it is shown
-    # as an add-back and taken out of the fixed-asset line so nothing counts twice.
-    parts = (
-        nit.select(F.lit("Net income").alias("Line"), F.lit(100).alias("LineOrder"), "Amount")
-        .unionByName(da.select(F.lit("Depreciation and amortization").alias("Line"), F.lit(110).alias("LineOrder"), "Amount"))
-        .unionByName(da.select(F.lit("Change in fixed assets net").alias("Line"), F.lit(240).alias("LineOrder"), money(-F.col("Amount")).alias("Amount")))
-        .unionByName(wc)
-    )
-    explained = parts.groupBy("Line", "LineOrder").agg(money(F.sum("Amount")).alias("Amount"))
-    total = explained.agg(money(F.sum("Amount")).alias("explained"))
-    tail = cash.select(F.lit("Net change in cash").alias("Line"), F.lit(900).alias("LineOrder"), "Amount")
-    resid = cash.unionByName(total.select(money(-F.col("explained")).alias("Amount"))).agg(
+    explained = pl_lines.unionByName(wc).groupBy("Line", "LineOrder").agg(money(F.sum("Amount")).alias("Amount"))
+    cash = delta.where(F.col("Section") == "Cash").select(F.col("delta").alias("Amount"))
+    tail = cash.agg(F.lit("Net change in cash").alias("Line"), F.lit(900).alias("LineOrder"),
+                    money(F.coalesce(F.sum("Amount"), F.lit(0))).alias("Amount"))
+    resid = cash.unionByName(explained.select(money(-F.col("Amount")).alias("Amount"))).agg(
         F.lit("Residual").alias("Line"), F.lit(950).alias("LineOrder"), money(F.sum("Amount")).alias("Amount"))
     return explained.unionByName(tail).unionByName(resid)
 
