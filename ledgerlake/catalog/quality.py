@@ -348,12 +348,8 @@ def q_scan_subledger(spark, sf):
 
 
 def _parthist(spark, sf):
-    """The parts sub-ledger, derived once per ledger build and read back with its
-    fixed schema (SRC2)."""
+    """The parts sub-ledger, written with the ledger build, read back with its fixed
+    schema (SRC2)."""
     from ..sources import scan
-    from ..sources.store import _exists
     from ..sources.subledgers import PARTHIST
-    path = f"{L(spark, sf).root}/parthist"
-    if not _exists(spark, path):
-        subledgers.parts_history(spark, sf).write.mode("overwrite").parquet(path)
-    return scan.scan_subledger(spark, path, PARTHIST)
+    return scan.scan_subledger(spark, f"{L(spark, sf).root}/parthist", PARTHIST)

@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..operators import rollups
 from ..session import shared_dir
-from . import adapter
+from . import adapter, subledgers
 
-LAYOUT_VERSION = "v7"
-TABLES = ("journal", "accmast", "glcal", "glfis", "deptmast", "coacmast")
+LAYOUT_VERSION = "v8"
+TABLES = ("journal", "accmast", "glcal", "glfis", "deptmast", "coacmast", "parthist")
 
 
 @dataclass
@@ -46,6 +46,7 @@ class Ledger:
     glfis: DataFrame
     deptmast: DataFrame
     coacmast: DataFrame
+    parthist: DataFrame
     latest_period: int
     build_seconds: dict = field(default_factory=dict)
 
@@ -138,12 +139,18 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> dict:
         _write(rollups.build_coacmast(bal), f"{root}/coacmast")
         secs["coacmast"] = time.time() - t0
 
-    # The monthly chain and the balances are independent jobs: submitted from two
-    # driver threads, Spark interleaves their tasks (on a large cluster each job
-    # fills the slots on its own; on a small one the second uses the idle ones).
+    def subledger() -> None:
+        t0 = time.time()
+        _write(subledgers.parts_history(spark, sf_dir), f"{root}/parthist")
+        secs["parthist"] = time.time() - t0
+
+    # The monthly chain, the balances and the parts sub-ledger are independent jobs:
+    # submitted from driver threads, Spark interleaves their tasks (on a large
+    # cluster each job fills the slots on its own; on a small one the others use
+    # the idle ones).
     t = time.time()
-    with ThreadPoolExecutor(2) as pool:
-        for f in [pool.submit(monthly_chain), pool.submit(balances)]:
+    with ThreadPoolExecutor(3) as pool:
+        for f in [pool.submit(monthly_chain), pool.submit(balances), pool.submit(subledger)]:
             f.result()
     secs["rollups"] = time.time() - t
 
