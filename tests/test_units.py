@@ -238,3 +238,11 @@ def test_guarded_runs_advance_the_watermark_only_when_complete(spark, led):
     assert spark.read.parquet(target).count() == j.count()
     with pytest.raises(ValueError):
         IG.execute_run(spark, log, "glcal", "INCREMENTAL", "r4", initial, clock, ["journal"])
+
+
+def test_adhoc_select_is_read_only_and_capped(spark, led):
+    from ledgerlake.plans.statements import adhoc_select
+    assert adhoc_select(led, "SELECT GB_CO FROM glcal", limit=5).count() == 100  # cap clamped to >= 100
+    for bad in ("DROP VIEW glcal", "INSERT INTO x SELECT 1", "SELECT 1; DROP VIEW glcal", "  "):
+        with pytest.raises(ValueError):
+            adhoc_select(led, bad)
