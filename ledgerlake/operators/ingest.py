@@ -265,10 +265,10 @@ def execute_run(spark, log_path: str, table: str, kind: str, run_id: str, load,
     schema = T.StructType([*[T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType)
                                            else f.dataType) for f in LOAD_CONTROL.fields],
                            T.StructField("EventUtc", T.TimestampNTZType())])
-    try:
+    from ..sources.store import _exists
+    if _exists(spark, log_path):
         events = spark.read.schema(schema).parquet(log_path)
-        events.schema  # noqa: B018 - resolves the folder
-    except Exception:
+    else:  # first run of this log (any other read error propagates)
         events = spark.createDataFrame([], schema)
     runs = run_log_view(events)
 

@@ -66,11 +66,16 @@ def _root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet dataset exists at ``path`` (listing only, no data read).
+    Only "path not found" / "no files" count as absent; other errors propagate."""
     try:
-        spark.read.parquet(path).schema  # resolving the schema lists the folder only
+        spark.read.parquet(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        msg = str(e)
+        if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg:
+            return False
+        raise
 
 
 def _read_marker(spark: SparkSession, root: str) -> tuple[int, str] | None:

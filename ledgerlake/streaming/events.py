@@ -104,9 +104,10 @@ def merge_into_buckets(spark: SparkSession, staged: DataFrame, path: str, keys,
     touched = [r[0] for r in staged.select("bucket").distinct().collect()]
     if not touched:
         return
-    try:
+    from ..sources.store import _exists
+    if _exists(spark, path):
         target = spark.read.schema(schema).parquet(path).where(F.col("bucket").isin(touched))
-    except Exception:  # first batch: the table does not exist yet
+    else:  # first batch: the table does not exist yet (any other read error propagates)
         target = spark.createDataFrame([], schema)
     merged = IG.merge_upsert(target.drop("bucket"), staged.drop("bucket"), keys, run_id, now, validate=True)
     merged = merged.drop("MergeAction").withColumn("bucket", _bucket(keys)).checkpoint()
