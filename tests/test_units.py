@@ -246,3 +246,23 @@ def test_adhoc_select_is_read_only_and_capped(spark, led):
     for bad in ("DROP VIEW glcal", "INSERT INTO x SELECT 1", "SELECT 1; DROP VIEW glcal", "  "):
         with pytest.raises(ValueError):
             adhoc_select(led, bad)
+
+
+# --------------------------------------------------------------------------- scale helpers
+
+def test_cluster_settings_scale_with_input_and_cluster():
+    from ledgerlake.session import cluster_settings
+    small = cluster_settings(10 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 120  # three waves of 40 slots
+    big = cluster_settings(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)  # ~256 MB per partition
+    assert big["spark.sql.adaptive.enabled"] == "true" and big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_spread_only_redistributes_narrow_inputs(spark):
+    from ledgerlake.sources.adapter import spread
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(100).coalesce(1)
+    wide = spark.range(0, 1000, 1, cores * 2)
+    assert spread(narrow).rdd.getNumPartitions() == cores
+    assert spread(wide) is wide
