@@ -157,17 +157,26 @@ def stream_flash(spark: SparkSession, source: str, sink: str, late_sink: str, ch
           .option("checkpointLocation", f"{checkpoint}/flash").trigger(availableNow=True).start())
     q1.awaitTermination()
 
-    state = {"high": None}
     secs = int(lateness.split()[0]) * 86400
+    marks = f"{late_sink}_marks"  # high-water mark per batch: survives a restart
 
     def side(batch: DataFrame, batch_id: int) -> None:
-        high = state["high"]
-        if high is not None:
-            late = batch.where(F.col("ts") < F.lit(high) - F.expr(f"INTERVAL {secs} SECONDS"))
-            late.withColumn("BatchId", F.lit(batch_id)).write.mode("append").parquet(late_sink)
-        m = batch.agg(F.max("ts")).first()[0]  # one scalar per batch
-        if m is not None and (high is None or m > high):
-            state["high"] = m
+        from ..sources.store import _exists
+        # The high-water mark of the batches before this one (a replayed batch
+        # sees the same marks, so it writes the same late rows again, idempotently).
+        high = None
+        if _exists(spark, marks):
+            high = spark.read.parquet(marks).where(F.col("BatchId") < batch_id).agg(F.max("HighWater")).first()[0]
+        if high is None:
+            late = batch.limit(0)
+        else:
+            import datetime as dt
+            from ..functions.columns import ntz_literal
+            late = batch.where(F.col("ts") < ntz_literal(high - dt.timedelta(seconds=secs)))
+        late.withColumn("BatchId", F.lit(batch_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("BatchId").parquet(late_sink)
+        batch.agg(F.lit(batch_id).cast("bigint").alias("BatchId"), F.max("ts").alias("HighWater")) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("BatchId").parquet(marks)
 
     q2 = (post.writeStream.foreachBatch(side).option("checkpointLocation", f"{checkpoint}/late")
           .trigger(availableNow=True).start())

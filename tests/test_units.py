@@ -266,3 +266,12 @@ def test_spread_only_redistributes_narrow_inputs(spark):
     wide = spark.range(0, 1000, 1, cores * 2)
     assert spread(narrow).rdd.getNumPartitions() == cores
     assert spread(wide) is wide
+
+
+def test_cached_view_is_released(spark, led):
+    from ledgerlake.plans.statements import cached, income_statement, income_statement_lines
+    with cached(income_statement_lines(led.glcal, led.accmast)) as lines:
+        assert lines.is_cached
+        a = income_statement(lines, 200102).collect()
+        b = income_statement(lines, 200102, detail="by_account").count()
+    assert not lines.is_cached and a and b
