@@ -105,6 +105,23 @@ def merge_actions(merged: DataFrame) -> DataFrame:
     return merged.agg(F.count_if(a == "INSERT").alias("RowsInserted"), F.count_if(a == "UPDATE").alias("RowsUpdated"))
 
 
+def write_version(df: DataFrame, table_root: str, version: str) -> str:
+    """SNK1 commit: write the merged table as a new version folder, then point the
+    table at it (the pointer is written last, so readers never see a partial
+    version; a failed run leaves the previous version current)."""
+    path = f"{table_root}/v={version}"
+    df.drop("MergeAction").write.mode("overwrite").parquet(path)
+    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{table_root}/_current")
+    return path
+
+
+def read_current(spark, table_root: str) -> DataFrame:
+    """The current version of a versioned table."""
+    version = spark.read.parquet(f"{table_root}/_current").first()["version"]
+    return spark.read.parquet(f"{table_root}/v={version}")
+
+
 # --- SNK5 ---------------------------------------------------------------------------------
 
 def append_journal(increment: DataFrame, path: str, uid: str = "YJ_UID", partition_by: str = "period") -> dict:
@@ -124,11 +141,17 @@ def eastern_date(utc: Column) -> Column:
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(EASTERN), utc))
 
 
-def capture_snapshot(current: DataFrame, previous: dt.datetime, now: dt.datetime, run_id: str) -> DataFrame:
+def capture_snapshot(current: DataFrame, previous: dt.datetime, now: dt.datetime, run_id: str,
+                     date_floor: dt.datetime | None = None) -> DataFrame:
     """SNK6 + SNK7: rows with ``previous < modified <= now`` stamped with the
-    Eastern day of ``now``; ChangeKind 'I' if added after ``previous`` else 'U'."""
+    Eastern day of ``now``; ChangeKind 'I' if added after ``previous`` else 'U'.
+
+    ``date_floor`` (optional) additionally bounds the modified time from below, so a
+    watermark reset can never turn a capture into a full-table copy."""
     m = F.col(MODIFIED)
     chg = current.where((m > ts(previous)) & (m <= ts(now)))
+    if date_floor is not None:
+        chg = chg.where(m >= ts(date_floor))
     kind = F.when(F.col(ADDED) > ts(previous), F.lit("I")).otherwise(F.lit("U"))
     base = [c for c in current.columns if c not in (ADDED, MODIFIED, RUN, "MergeAction")]
     return chg.select(

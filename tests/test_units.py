@@ -275,3 +275,18 @@ def test_cached_view_is_released(spark, led):
         a = income_statement(lines, 200102).collect()
         b = income_statement(lines, 200102, detail="by_account").count()
     assert not lines.is_cached and a and b
+
+
+def test_versioned_merge_commit_and_date_floor(spark):
+    from ledgerlake.streaming.events import scratch
+    root = scratch(spark, "t-versioned")
+    tgt = _target(spark, [(1, "a", Decimal("1")), (2, "b", Decimal("2"))])
+    stg = spark.createDataFrame([(2, "c", Decimal("2")), (3, "d", Decimal("3"))], SCHEMA_S)
+    IG.write_version(tgt.withColumn("MergeAction", F.lit("KEPT")), root, "r0")
+    merged = IG.merge_upsert(IG.read_current(spark, root), stg, ["k"], "r1", T1)
+    IG.write_version(merged, root, "r1")
+    cur = {r.k: r.s for r in IG.read_current(spark, root).collect()}
+    assert cur == {1: "a", 2: "c", 3: "d"}
+    assert spark.read.parquet(f"{root}/v=r0").count() == 2  # the old version stays readable
+    snap = IG.capture_snapshot(IG.read_current(spark, root), T0, T1, "cap", date_floor=T1)
+    assert sorted(r.k for r in snap.collect()) == [2, 3]
