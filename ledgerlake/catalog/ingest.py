@@ -228,11 +228,13 @@ def q_stage_vs_current(spark, sf):
 @register("append_journal", "SELECT period, COUNT(*) AS Legs, CAST(SUM(YJ_AMT) AS DECIMAL(18, 2)) AS Amount, "
                             "max(YJ_UID) AS MaxUid FROM journal GROUP BY period")
 def q_append_journal(spark, sf):
+    """The journal as of the first run (UIDs up to the split) plus the appended
+    increment: only the increment is written, and base and increment are read
+    together, as a reader of an append-only table sees them."""
     j = L(spark, sf).journal
     path = f"{shared_dir(spark)}/ledgerlake/scratch/append-{uuid.uuid4().hex}"
-    IG.append_journal(j.where(F.col("YJ_UID") <= S), path)
     IG.append_journal(scan.incremental_pull(j, S), path)
-    out = spark.read.parquet(path)
+    out = j.where(F.col("YJ_UID") <= S).unionByName(spark.read.parquet(path))
     return out.groupBy("period").agg(F.count(F.lit(1)).alias("Legs"), F.sum("YJ_AMT").cast("decimal(18,2)").alias("Amount"),
                                      F.max("YJ_UID").alias("MaxUid"))
 
