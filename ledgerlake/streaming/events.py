@@ -59,12 +59,14 @@ def land_events(spark: SparkSession, sf_dir: str, path: str, corrections: bool =
     """Write the events as out-of-order files (one per ``event_id % 5``) and then
     a corrections file.  Landing is a batch job; the stream reads the folder."""
     ev = read_source(spark, sf_dir, "events")
-    for i in range(SPLIT_FILES):
-        ev.where(F.col("event_id") % SPLIT_FILES == i).coalesce(1).write.mode("append").parquet(path)
+    # One scan: every row goes to the folder of its bucket (one file per bucket).
+    bucket = (F.col("event_id") % SPLIT_FILES).cast("int")
+    ev.repartition(SPLIT_FILES, bucket).withColumn("bucket", bucket).write.mode("append") \
+        .partitionBy("bucket").parquet(path)
     if corrections:
         time.sleep(1.1)  # the file source orders files by modification time
         fix = ev.where(F.col("event_id") % CORRECTION_EVERY == 0).withColumn("value", F.col("value") + 1)
-        fix.coalesce(1).write.mode("append").parquet(path)
+        fix.coalesce(1).write.mode("append").parquet(f"{path}/corrections")
 
 
 def postings(events: DataFrame) -> DataFrame:
@@ -79,7 +81,8 @@ def postings(events: DataFrame) -> DataFrame:
 
 
 def read_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
-    return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
+            .option("recursiveFileLookup", "true").parquet(path))
 
 
 def stream_append(spark: SparkSession, source: str, sink: str, checkpoint: str) -> None:
