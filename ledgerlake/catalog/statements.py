@@ -217,8 +217,10 @@ def q_branch_balance_check(spark, sf):
 @register("live_balance_sheet", f"""
     SELECT CASE WHEN Statement = 'BA' THEN 'Assets' ELSE 'Liabilities and equity' END AS Side, Section, SectionOrder, Amount
     FROM (SELECT s.Statement, s.Section, s.SectionOrder,
-                 {_m("CASE WHEN s.Statement = 'BA' THEN t.CA_CUR ELSE -t.CA_CUR END")} AS Amount
-          FROM tchart t LEFT JOIN sections s ON s.rule_account = t.CA_ACC WHERE t.ACTYP = '1'
+                 {_m("CASE WHEN s.Statement = 'BA' THEN s.CA_CUR ELSE -s.CA_CUR END")} AS Amount
+          FROM (SELECT t.CA_CUR, s.Section, s.SectionOrder,
+                       CASE t.ACLIA WHEN 'A' THEN 'BA' WHEN 'L' THEN 'BL' ELSE s.Statement END AS Statement
+                FROM tchart t LEFT JOIN sections s ON s.rule_account = t.CA_ACC WHERE t.ACTYP = '1') s
           GROUP BY s.Statement, s.Section, s.SectionOrder
           UNION ALL
           SELECT 'BE', 'Current and prior net income', 70, {_z('x')} FROM (

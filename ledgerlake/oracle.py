@@ -185,11 +185,13 @@ CTES: list[tuple[str, str]] = [
         FROM balances
         WHERE NOT (YJ_ACC = {_q(fixed.ORPHAN_ACCOUNT)} AND right(YJ_CC, 2) = {_q(fixed.ORPHAN_BRANCH)})"""),
     ("bsl", """
-        SELECT g.*, a.ACNME, a.ACTYP, a.ACCT, s.Statement, s.Section, s.SectionOrder
+        SELECT g.*, a.ACNME, a.ACTYP, a.ACCT,
+               CASE a.ACLIA WHEN 'A' THEN 'BA' WHEN 'L' THEN 'BL' ELSE s.Statement END AS Statement,
+               s.Section, s.SectionOrder
         FROM glcal g JOIN accmast a ON a.ACCO = g.GB_CO AND a.ACACC = g.GB_GLA
         LEFT JOIN sections s ON s.rule_account = g.GB_GLA WHERE a.ACTYP = '1'"""),
     ("tchart", """
-        SELECT c.*, a.ACTYP, a.ACSTA FROM coacmast c
+        SELECT c.*, a.ACTYP, a.ACSTA, a.ACLIA FROM coacmast c
         LEFT JOIN accmast a ON a.ACCO = c.CA_CO AND a.ACACC = c.CA_ACC"""),
     ("is_lines", """
         SELECT g.GB_CO AS Company, g.GB_DIV AS Division, right(g.GB_GLC, 2) AS Branch,

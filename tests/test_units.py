@@ -290,3 +290,10 @@ def test_versioned_merge_commit_and_date_floor(spark):
     assert spark.read.parquet(f"{root}/v=r0").count() == 2  # the old version stays readable
     snap = IG.capture_snapshot(IG.read_current(spark, root), T0, T1, "cap", date_floor=T1)
     assert sorted(r.k for r in snap.collect()) == [2, 3]
+
+
+def test_asset_flag_wins_over_the_section_rule(spark):
+    from ledgerlake.plans.statements import flag_side
+    df = spark.createDataFrame([("20150", "A", "BL"), ("20350", "L", "BL"), ("19999", "", "BA"), ("18888", None, None)],
+                               "acc string, ACLIA string, Statement string")
+    assert [r.Statement for r in flag_side(df).orderBy("acc").collect()] == [None, "BA", "BA", "BL"]
