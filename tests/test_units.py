@@ -297,3 +297,15 @@ def test_asset_flag_wins_over_the_section_rule(spark):
     df = spark.createDataFrame([("20150", "A", "BL"), ("20350", "L", "BL"), ("19999", "", "BA"), ("18888", None, None)],
                                "acc string, ACLIA string, Statement string")
     assert [r.Statement for r in flag_side(df).orderBy("acc").collect()] == [None, "BA", "BA", "BL"]
+
+
+def test_section_rules_exact_first_then_longest_prefix(spark):
+    from ledgerlake.functions.sections import classify_section
+    df = spark.createDataFrame([("31001",), ("15500",), ("15999",), ("19000",), ("77777",)], "acc string")
+    prefix = [("1", "BA", "Other assets", 90), ("155", "BA", "Equipment", 45), ("15", "BA", "Fixed assets", 40)]
+    got = {r.acc: (r.Section, r.SectionOrder) for r in classify_section(df, "acc", prefix_rules=prefix).collect()}
+    assert got["31001"] == ("Equipment revenue", 10)       # exact rule from the fixed table
+    assert got["15500"] == ("Equipment", 45)               # longest prefix wins
+    assert got["15999"] == ("Fixed assets", 40)
+    assert got["19000"] == ("Other assets", 90)
+    assert got["77777"] == (None, None)                    # unclassified stays NULL, never guessed
