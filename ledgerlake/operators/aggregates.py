@@ -26,14 +26,17 @@ def sum_by(df: DataFrame, keys: Sequence[str], amount: str = "NetIncomeImpact",
     return df.groupBy(*keys).agg(*aggs)
 
 
-def coverage_stats(df: DataFrame, period: str = "GB_DATE", by: Sequence[str] = ()) -> DataFrame:
+def coverage_stats(df: DataFrame, period: str = "GB_DATE", by: Sequence[str] = (),
+                   approximate: bool = False) -> DataFrame:
     """AGG5: MIN, MAX, COUNT DISTINCT and COUNT of the period column.
 
-    ``countDistinct`` is exact (the distinct set is bounded by the calendar); for
-    unbounded columns use ``approx_count_distinct``."""
+    The distinct count is exact by default (periods are bounded by the calendar);
+    ``approximate=True`` uses a HyperLogLog sketch (``approx_count_distinct``,
+    fixed-size state per group) for unbounded columns."""
+    distinct = F.approx_count_distinct(period) if approximate else F.countDistinct(period)
     return df.groupBy(*by).agg(
         F.min(period).alias("MinPeriod"), F.max(period).alias("MaxPeriod"),
-        F.countDistinct(period).alias("DistinctPeriods"), F.count(F.lit(1)).alias("TotalRows"),
+        distinct.alias("DistinctPeriods"), F.count(F.lit(1)).alias("TotalRows"),
     )
 
 
