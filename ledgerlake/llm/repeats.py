@@ -18,9 +18,11 @@ What is ordered is the dictionary, not the corpus:
 2. *Dictionary.*  Groups send the distinct phrases of repeated triggers with their
    smallest document; buckets sort them and send back the smallest of all.  In any
    later document such a phrase is a repeat as a whole.
-3. *Suffixes.*  Only the first document of each phrase sends the phrase's windows
-   (its suffixes, each cut to WIDTH bytes); buckets sort them, and those that an
-   earlier document holds within another phrase come back.
+   Buckets also tell which triggers stand in more than one phrase: a trigger with one
+   phrase has its windows nowhere else, so nothing is left to ask about it.
+3. *Suffixes.*  For the other triggers the first document of each phrase sends the
+   phrase's windows (its suffixes, each cut to WIDTH bytes); buckets sort them, and
+   those that an earlier document holds within another phrase come back.
 4. Each document's repeats are put together from 2 and 3 and cut out.
 
 Every exchange carries packed arrays of hashes, already combined per group of
@@ -100,6 +102,10 @@ class Parsed:
         self.anchor = chosen[first]
         self.gram = h[self.anchor]
 
+    def triggers(self, buckets: int) -> np.ndarray:
+        """Bucket and 40 bits of each phrase's trigger."""
+        return (self.gram & LOW40) | (bucket_of(self.gram, buckets).astype(np.uint64) << np.uint64(40))
+
     def docs(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, at, side="right")
 
@@ -239,7 +245,31 @@ def _smallest(pdf: pd.DataFrame) -> tuple[list, np.ndarray, np.ndarray, np.ndarr
     return list(zip(np.cumsum(n) - n, np.cumsum(n))), h, d, smallest
 
 
-def _answer_phrases(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+def _answer_phrases(buckets: int):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return _answer_triggers(pdf) if key[0] >= buckets else _answer_smallest(pdf)
+    return run
+
+
+def _answer_triggers(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Triggers of each cell that stand in more than one phrase (b: the phrase, 0 for
+    several within the group)."""
+    n = np.array([len(a) // 8 for a in pdf["a"]])
+    g = np.concatenate([np.frombuffer(a, np.uint64) for a in pdf["a"]])
+    f = np.concatenate([np.frombuffer(b, np.uint64) for b in pdf["b"]])
+    o = np.argsort(g, kind="stable")
+    at = np.flatnonzero(np.r_[True, g[o][1:] != g[o][:-1]])
+    several = (np.minimum.reduceat(f[o], at) < np.maximum.reduceat(f[o], at)) | (np.minimum.reduceat(f[o], at) == 0)
+    flag = np.empty(len(g), bool)
+    flag[o] = np.repeat(several, np.diff(np.r_[at, len(g)]))
+    out = []
+    for k, (s, e) in enumerate(zip(np.cumsum(n) - n, np.cumsum(n))):
+        if flag[s:e].any():
+            out.append((pdf["grp"].iat[k], -3, g[s:e][flag[s:e]].tobytes(), b""))
+    return pd.DataFrame(out, columns=["grp", "bucket", "a", "b"])
+
+
+def _answer_smallest(pdf: pd.DataFrame) -> pd.DataFrame:
     spans, h, _, smallest = _smallest(pdf)
     return pd.DataFrame([(pdf["grp"].iat[k], -1, h[s:e].tobytes(), smallest[s:e].tobytes())
                          for k, (s, e) in enumerate(spans)], columns=["grp", "bucket", "a", "b"])
@@ -271,21 +301,27 @@ def _send(h, d, both: bool, grp: int, buckets: int) -> pd.DataFrame:
 
 def _send_phrases(buckets: int):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        alive, hs, ds = _alive(right), [], []
+        alive, hs, ds, gs = _alive(right), [], [], []
         for p in runs(left["doc_id"], left["text"]) if len(alive) else []:
-            of = _repeats(p, alive, buckets)
+            of = np.flatnonzero(member(p.triggers(buckets), alive) >= 0)
             if len(of):
                 hs.append(p.phrases(of))
                 ds.append(p.ids[p.docs(p.anchor[of])])
-        return _send(hs, ds, False, int(key[0]), buckets)
+                gs.append(p.gram[of])
+        out = [_send(hs, ds, False, int(key[0]), buckets)]
+        if gs:
+            # each trigger once, with its phrase, or 0 if it has several here
+            g, f = np.concatenate(gs), np.concatenate(hs)
+            o = np.lexsort((f, g))
+            g, f = g[o], f[o]
+            at = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+            one = np.where(f[at] == f[np.r_[at[1:], len(f)] - 1], f[at], np.uint64(0))
+            for rows in cells(np.full(len(at), int(key[0])), g[at], one, buckets, lambda k, x: (k.tobytes(), x.tobytes())):
+                out.append(rows.assign(bucket=(rows["bucket"] + buckets).astype(np.int32)))
+        return pd.concat(out)
     return run
 
 
-def _repeats(p: Parsed, alive: np.ndarray, buckets: int) -> np.ndarray:
-    key = (p.gram & LOW40) | (bucket_of(p.gram, buckets).astype(np.uint64) << np.uint64(40))
-    return np.flatnonzero(member(key, alive) >= 0)
-
-
 def _known(right: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
     own = right[right["bucket"] == kind]
     if not len(own):
@@ -314,9 +350,12 @@ def _dictionary(p: Parsed, h: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np
 def _send_windows(buckets: int):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         (h, d), hs, ds = _known(right, -1), [], []
-        for p in runs(left["doc_id"], left["text"]) if len(h) else []:
+        several = right.loc[right["bucket"] == -3, "a"]
+        several = np.sort(np.concatenate([np.frombuffer(a, np.uint64) for a in several])) if len(several) else []
+        for p in runs(left["doc_id"], left["text"]) if len(several) else []:
             of, later = _dictionary(p, h, d)
             of = of[~later]
+            of = of[member(p.gram[of], several) >= 0]
             if len(of):
                 at = _spread(p.lo[of], p.hi[of])
                 hs.append(p.windows(at))
@@ -362,7 +401,7 @@ RESULT = "row bigint, n_bytes bigint, starts array<bigint>, ends array<bigint>,
 
 
 def cut_repeats(docs: DataFrame, *, row_col: str = "doc_id", id_col: str = "doc_id", text_col: str = "text",
-                group_bytes: int = 8 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
+                group_bytes: int = 4 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
     """One row per document row: ``row`` (the value of ``row_col``), ``n_bytes``, the
     removed byte runs ``starts`` and ``ends``, and ``kept``, the bytes that are left."""
     _, size = corpus_size(docs, text_col)
@@ -376,7 +415,7 @@ def cut_repeats(docs: DataFrame, *, row_col: str = "doc_id", id_col: str = "doc_
     alive = stored(grams.groupBy("bucket").applyInPandas(_repeated_grams, ANSWER), "grams")
     grouped = src.groupBy("grp")
     phrases = grouped.cogroup(alive.groupBy("grp")).applyInPandas(_send_phrases(buckets), CELL)
-    first = phrases.groupBy("bucket").applyInPandas(_answer_phrases, ANSWER)
+    first = phrases.groupBy("bucket").applyInPandas(_answer_phrases(buckets), ANSWER)
     windows = grouped.cogroup(first.groupBy("grp")).applyInPandas(_send_windows(4 * buckets), CELL)
     earlier = windows.groupBy("bucket").applyInPandas(_answer_windows, ANSWER)
     return grouped.cogroup(first.unionByName(earlier).groupBy("grp")).applyInPandas(_cut, RESULT)
