@@ -12,14 +12,16 @@ smallest document are the dictionary.
 
 What is ordered is the dictionary, not the corpus:
 
-1. *Triggers.*  Grams met in one document only can't hold a repeat.  Gram hashes
-   are combined per partition and group of documents, dealt into buckets, and those
-   met in two places come back to the groups that sent them.
+0. *Copies.*  A text that an earlier document holds whole loses everything; only the
+   first of equal texts goes on.
+1. *Triggers.*  Grams met in one document only can't hold a repeat.  Groups of
+   documents deal their distinct gram hashes into buckets, and those met in two
+   documents come back to the groups that sent them.
 2. *Dictionary.*  Groups send the distinct phrases of repeated triggers with their
-   smallest document; buckets sort them and send back the smallest of all.  In any
-   later document such a phrase is a repeat as a whole.
-   Buckets also tell which triggers stand in more than one phrase: a trigger with one
-   phrase has its windows nowhere else, so nothing is left to ask about it.
+   smallest document; buckets sort them and tell which an earlier group has: there
+   such a phrase is a repeat as a whole.  Buckets also tell which triggers stand in
+   more than one phrase: a trigger with one phrase has its windows nowhere else, so
+   nothing is left to ask about it.
 3. *Suffixes.*  For the other triggers the first document of each phrase sends the
    phrase's windows (its suffixes, each cut to WIDTH bytes); buckets sort them, and
    those that an earlier document holds within another phrase come back.
@@ -30,8 +32,8 @@ documents (about ``group_bytes`` of text, dealt by a hash), so a passage that ve
 many documents share arrives once per group; buckets are sized from the corpus.
 The text is shuffled once: the passes over it share one exchange.
 
-Hashes of phrases and windows have 64 bits (with the bucket more); gram hashes
-have 40 bits beside the bucket, where a collision costs time only.
+Hashes of phrases and windows have 64 bits (with the bucket more), copies are told
+by md5; gram hashes have 32 bits beside the bucket, where a collision costs time only.
 
 Defined results: a null text is empty; a document of under WIDTH bytes keeps
 everything; equal texts lose all of the later ones; documents with the same id
@@ -50,15 +52,21 @@ from pyspark.sql import types as T
 
 from .common import as_bytes, corpus_size, mix, stored
 
-WIDTH, GRAM = 50, 16
+#: A gram is a multiple of 8 bytes: longer ones meet less by chance, shorter ones are
+#: chosen more sparsely (two in CHOICES + 1 positions).
+WIDTH, GRAM = 50, 24
 CHOICES = WIDTH - GRAM + 1
 LAST_ID = np.iinfo(np.int64).max
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-LOW40 = np.uint64((1 << 40) - 1)
+LOW32 = np.uint64((1 << 32) - 1)
 #: Words of 8 bytes that cover a window.
 WORDS = (8, 16, 24, 32, 40, WIDTH - 8)
 CELL = "bucket int, grp int, a binary, b binary"
-ANSWER = "grp int, bucket int, a binary, b binary"
+ANSWER = "grp int, kind string, bucket int, a binary, b binary"
+#: Kinds of what comes back to a group: copies (id, hash of the text), repeated
+#: triggers, phrases an earlier group has, triggers of several phrases, windows an
+#: earlier document has.
+COPY, ALIVE, EARLIER, SEVERAL, HIT = "copy", "alive", "earlier", "several", "hit"
 
 
 class Parsed:
@@ -77,8 +85,10 @@ class Parsed:
         # the 8 bytes at every position, as one number
         self.w8 = np.array(np.ndarray((n,), "<u8", buffer=buf + bytes(8), strides=(1,)))
         x = self.w8[:n - GRAM + 1] * M1
-        x ^= x >> np.uint64(32)
-        x += self.w8[8:n - GRAM + 9] * M2
+        for off in range(8, GRAM, 8):
+            x ^= x >> np.uint64(32)
+            x *= M1
+            x += self.w8[off:n - GRAM + 1 + off] * M2
         h = mix(x)
         bits = np.uint64(max(20, n.bit_length()))
         low = (np.uint64(1) << bits) - np.uint64(1)
@@ -103,8 +113,8 @@ class Parsed:
         self.gram = h[self.anchor]
 
     def triggers(self, buckets: int) -> np.ndarray:
-        """Bucket and 40 bits of each phrase's trigger."""
-        return (self.gram & LOW40) | (bucket_of(self.gram, buckets).astype(np.uint64) << np.uint64(40))
+        """Bucket and 32 bits of each phrase's trigger."""
+        return (self.gram & LOW32) | (bucket_of(self.gram, buckets).astype(np.uint64) << np.uint64(32))
 
     def docs(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, at, side="right")
@@ -143,16 +153,27 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def low40(h: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
+def low32(h: np.ndarray) -> bytes:
+    return h.astype(np.uint32).tobytes()
 
 
-def high40(raw: bytes, bucket: int) -> np.ndarray:
-    """Bucket and 40 bits as one sortable number."""
-    b = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-    full = np.zeros((len(b), 8), np.uint8)
-    full[:, :5] = b
-    return full.view("<u8").ravel() | (np.uint64(bucket) << np.uint64(40))
+def with_bucket(raw: bytes, bucket: int) -> np.ndarray:
+    """Bucket and 32 bits as one sortable number, as ``Parsed.triggers`` gives it."""
+    return np.frombuffer(raw, np.uint32).astype(np.uint64) | (np.uint64(bucket) << np.uint64(32))
+
+
+def pack_ids(d: np.ndarray) -> bytes:
+    """Ids as offsets of 4 bytes from the smallest, where they fit."""
+    low = int(d.min())
+    if int(d.max()) - low < 1 << 32:
+        return b"4" + np.int64(low).tobytes() + (d - low).astype(np.uint32).tobytes()
+    return b"8" + d.tobytes()
+
+
+def unpack_ids(raw: bytes) -> np.ndarray:
+    if raw[:1] == b"4":
+        return np.frombuffer(raw, np.uint32, offset=9).astype(np.int64) + np.frombuffer(raw[1:9], np.int64)[0]
+    return np.frombuffer(raw, np.int64, offset=1)
 
 
 def member(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -176,160 +197,168 @@ def cells(grp: np.ndarray, key: np.ndarray, extra: np.ndarray, buckets: int, pac
                             "a": [x[0] for x in both], "b": [x[1] for x in both]})
 
 
-def _send_grams(buckets: int):
-    """One row per group of documents and bucket: distinct grams, and which of them
-    two documents of this partition and group share."""
-    def run(batches):
-        grams, docs, grps, seen = [], [], [], 0
-        for b in batches:
-            grp = b["grp"].to_numpy()
-            base = 0
-            for p in runs(b["doc_id"], b["text"]):
-                own = p.docs(p.anchor)
-                grams.append(p.gram)
-                docs.append((own + (seen + base)).astype(np.int64))
-                grps.append(grp[base + own].astype(np.int64))
-                base += len(p.raws)
-            seen += base
-            if sum(map(len, grams)) > 4_000_000:
-                yield from _gram_cells(grams, docs, grps, buckets)
-                grams, docs, grps = [], [], []
-        if grams:
-            yield from _gram_cells(grams, docs, grps, buckets)
-    return run
-
-
-def _gram_cells(grams, docs, grps, buckets: int):
-    g, d, p = np.concatenate(grams), np.concatenate(docs), np.concatenate(grps)
-    if not len(g):
-        return
-    o = np.lexsort((g, p))
-    g, d, p = g[o], d[o], p[o]
-    at = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (p[1:] != p[:-1])])
-    several = np.minimum.reduceat(d, at) < np.maximum.reduceat(d, at)
-    yield from cells(p[at], g[at], several, buckets, lambda k, x: (low40(k).tobytes(), np.packbits(x).tobytes()))
-
+def joined(parts: list[np.ndarray], kind=np.uint64) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def firsts(*ordered: np.ndarray) -> np.ndarray:
+    """Where a new value of the (jointly sorted) arrays begins."""
+    if not len(ordered[0]):
+        return np.zeros(0, np.int64)
+    new = np.zeros(len(ordered[0]) - 1, bool)
+    for x in ordered:
+        new |= x[1:] != x[:-1]
+    return np.flatnonzero(np.r_[True, new])
+
+
+class Group:
+    """A group of documents with what has come back to it."""
+
+    def __init__(self, key: tuple, left: pd.DataFrame, right: pd.DataFrame):
+        self.grp = int(key[0])
+        self.right = dict(list(right.groupby("kind")))
+        copies = self.right.get(COPY)
+        gone = {(int(i), int(h)) for i, h in zip(copies["a"], copies["b"])} if copies is not None else set()
+        self.copy = [(i, h) in gone for i, h in zip(left["doc_id"], left["hash"])]
+        self.first = ~np.array(self.copy, bool)
+        self.left = left
+        own = left[self.first]
+        self.runs = list(runs(own["doc_id"], own["text"]))
+
+    def numbers(self, kind: str, column: str = "a") -> np.ndarray:
+        rows = self.right.get(kind)
+        return joined([np.frombuffer(x, np.uint64) for x in rows[column]] if rows is not None else [])
+
+    def keys(self, kind: str) -> np.ndarray:
+        rows = self.right.get(kind)
+        return np.unique(joined([with_bucket(a, k) for a, k in zip(rows["a"], rows["bucket"])] if rows is not None else []))
+
+    def phrases(self) -> list[tuple[Parsed, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per run: its phrases, their documents, and whether one before them (in this
+        group, or as the answer tells) has the phrase."""
+        earlier = np.sort(self.numbers(EARLIER))
+        fs = [p.phrases(np.arange(len(p.anchor))) if len(p.anchor) else np.zeros(0, np.uint64) for p in self.runs]
+        ds = [p.ids[p.docs(p.anchor)] for p in self.runs]
+        f, d = joined(fs), joined(ds, np.int64)
+        o = np.lexsort((d, f))
+        at = firsts(f[o])
+        known, low = f[o][at], d[o][at]
+        return [(p, f, d, (d > low[member(f, known)]) | (member(f, earlier) >= 0) if len(f) else np.zeros(0, bool))
+                for p, f, d in zip(self.runs, fs, ds)]
+
+    def open_windows(self, buckets: int):
+        """Per run: it, where windows start that no earlier phrase answers for, and the
+        phrases that are repeats as a whole."""
+        several = self.keys(SEVERAL)
+        for p, f, d, later in self.phrases():
+            rest = np.flatnonzero(~later & (member(p.triggers(buckets), several) >= 0)) if len(several) else np.zeros(0, int)
+            yield p, _spread(p.lo[rest], p.hi[rest]) if len(rest) else np.zeros(0, np.int64), np.flatnonzero(later)
+
+
+def _rows(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    parts = [x for x in parts if len(x)]
+    empty = pd.DataFrame({"bucket": [], "grp": [], "a": [], "b": []}).astype({"bucket": "int32", "grp": "int32", "a": object, "b": object})
+    return pd.concat(parts) if parts else empty
 
-def _repeated_grams(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: the grams of each cell that occur in two documents."""
-    bucket = int(key[0])
-    parts = [high40(a, bucket) for a in pdf["a"]]
-    n = np.array([len(x) for x in parts])
-    every = np.concatenate(parts)
-    several = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=k) for b, k in zip(pdf["b"], n)]).astype(np.int64)
-    _, of, count = np.unique(every, return_inverse=True, return_counts=True)
-    alive = (count + np.bincount(of, several, len(count)) > 1)[of]
-    out = []
-    for k, (s, e) in enumerate(zip(np.cumsum(n) - n, np.cumsum(n))):
-        if alive[s:e].any():
-            out.append((pdf["grp"].iat[k], bucket, low40(np.sort(every[s:e][alive[s:e]])).tobytes(), b""))
-    return pd.DataFrame(out, columns=["grp", "bucket", "a", "b"])
 
-
-def _alive(right: pd.DataFrame) -> np.ndarray:
-    found = [high40(a, int(k)) for a, k in zip(right["a"], right["bucket"])]
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-
-
-def _smallest(pdf: pd.DataFrame) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
-    """Of one bucket: hashes and documents as sent, and the smallest document of each
-    hash.  Hashes are put in order, so equal strings stand together."""
-    h = np.concatenate([np.frombuffer(a, np.uint64) for a in pdf["a"]])
-    d = np.concatenate([np.frombuffer(b, np.int64) for b in pdf["b"]])
-    n = np.array([len(a) // 8 for a in pdf["a"]])
-    o = np.argsort(h, kind="stable")
-    at = np.flatnonzero(np.r_[True, h[o][1:] != h[o][:-1]])
-    low = np.minimum.reduceat(d[o], at)
-    smallest = np.empty(len(h), np.int64)
-    smallest[o] = np.repeat(low, np.diff(np.r_[at, len(h)]))
-    return list(zip(np.cumsum(n) - n, np.cumsum(n))), h, d, smallest
-
-
-def _answer_phrases(buckets: int):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return _answer_triggers(pdf) if key[0] >= buckets else _answer_smallest(pdf)
+def _send_grams(buckets: int):
+    """Distinct grams of a group, and which of them two of its documents share."""
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        group = Group(key, left, right)
+        g = joined([p.gram for p in group.runs])
+        d = joined([p.ids[p.docs(p.anchor)] for p in group.runs], np.int64)
+        o = np.argsort(g, kind="stable")
+        g, d = g[o], d[o]
+        at = firsts(g)
+        several = np.minimum.reduceat(d, at) < np.maximum.reduceat(d, at) if len(at) else np.zeros(0, bool)
+        return _rows(list(cells(np.full(len(at), group.grp), g[at], several, buckets,
+                                lambda k, x: (low32(k), np.packbits(x).tobytes()))))
     return run
 
 
-def _answer_triggers(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Triggers of each cell that stand in more than one phrase (b: the phrase, 0 for
-    several within the group)."""
-    n = np.array([len(a) // 8 for a in pdf["a"]])
-    g = np.concatenate([np.frombuffer(a, np.uint64) for a in pdf["a"]])
-    f = np.concatenate([np.frombuffer(b, np.uint64) for b in pdf["b"]])
-    o = np.argsort(g, kind="stable")
-    at = np.flatnonzero(np.r_[True, g[o][1:] != g[o][:-1]])
-    several = (np.minimum.reduceat(f[o], at) < np.maximum.reduceat(f[o], at)) | (np.minimum.reduceat(f[o], at) == 0)
-    flag = np.empty(len(g), bool)
-    flag[o] = np.repeat(several, np.diff(np.r_[at, len(g)]))
-    out = []
-    for k, (s, e) in enumerate(zip(np.cumsum(n) - n, np.cumsum(n))):
-        if flag[s:e].any():
-            out.append((pdf["grp"].iat[k], -3, g[s:e][flag[s:e]].tobytes(), b""))
-    return pd.DataFrame(out, columns=["grp", "bucket", "a", "b"])
+def _answers(pdf: pd.DataFrame, kind: str, a: list[bytes]) -> pd.DataFrame:
+    """What each row of a bucket gets back, without empty answers."""
+    out = pd.DataFrame({"grp": pdf["grp"].to_numpy(), "kind": kind, "bucket": pdf["bucket"].to_numpy(), "a": a, "b": [b""] * len(a)})
+    return out[[len(x) > 0 for x in a]]
 
 
-def _answer_smallest(pdf: pd.DataFrame) -> pd.DataFrame:
-    spans, h, _, smallest = _smallest(pdf)
-    return pd.DataFrame([(pdf["grp"].iat[k], -1, h[s:e].tobytes(), smallest[s:e].tobytes())
-                         for k, (s, e) in enumerate(spans)], columns=["grp", "bucket", "a", "b"])
+def _spans_of(n: np.ndarray):
+    end = np.cumsum(n)
+    return list(zip(end - n, end))
 
 
-def _answer_windows(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    spans, h, d, smallest = _smallest(pdf)
-    out = []
-    for k, (s, e) in enumerate(spans):
-        hit = smallest[s:e] < d[s:e]
-        if hit.any():
-            out.append((pdf["grp"].iat[k], -2, h[s:e][hit].tobytes(), d[s:e][hit].tobytes()))
-    return pd.DataFrame(out, columns=["grp", "bucket", "a", "b"])
-
-
-def _distinct(h: np.ndarray, d: np.ndarray, both: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (hash, document) pairs in order, or each hash with its smallest document."""
-    o = np.lexsort((d, h))
-    h, d = h[o], d[o]
-    new = np.r_[True, (h[1:] != h[:-1]) | ((d[1:] != d[:-1]) if both else False)] if len(h) else np.zeros(0, bool)
-    return h[new], d[new]
-
-
-def _send(h, d, both: bool, grp: int, buckets: int) -> pd.DataFrame:
-    h, d = _distinct(np.concatenate(h), np.concatenate(d), both) if h else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    rows = list(cells(np.full(len(h), grp), h, d, buckets, lambda k, x: (k.tobytes(), x.tobytes())))
-    return pd.concat(rows) if rows else pd.DataFrame({"bucket": [], "grp": [], "a": [], "b": []}).astype({"bucket": "int32", "grp": "int32", "a": object, "b": object})
+def _repeated_grams(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: the grams of each group that two documents hold."""
+    n = np.array([len(a) // 4 for a in pdf["a"]])
+    every = joined([np.frombuffer(a, np.uint32) for a in pdf["a"]])
+    several = joined([np.unpackbits(np.frombuffer(b, np.uint8), count=k) for b, k in zip(pdf["b"], n)]).astype(np.int64)
+    _, of, count = np.unique(every, return_inverse=True, return_counts=True)
+    alive = (count + np.bincount(of, several, len(count)) > 1)[of]
+    return _answers(pdf, ALIVE, [np.sort(every[s:e][alive[s:e]]).tobytes() for s, e in _spans_of(n)])
 
 
 def _send_phrases(buckets: int):
+    """Distinct phrases of repeated triggers with their smallest document, and, in
+    buckets of their own, each such trigger with its phrase (0: several here)."""
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        alive, hs, ds, gs = _alive(right), [], [], []
-        for p in runs(left["doc_id"], left["text"]) if len(alive) else []:
+        group = Group(key, left, right)
+        alive, fs, ds, gs = group.keys(ALIVE), [], [], []
+        for p in group.runs if len(alive) else []:
             of = np.flatnonzero(member(p.triggers(buckets), alive) >= 0)
             if len(of):
-                hs.append(p.phrases(of))
+                fs.append(p.phrases(of))
                 ds.append(p.ids[p.docs(p.anchor[of])])
                 gs.append(p.gram[of])
-        out = [_send(hs, ds, False, int(key[0]), buckets)]
-        if gs:
-            # each trigger once, with its phrase, or 0 if it has several here
-            g, f = np.concatenate(gs), np.concatenate(hs)
-            o = np.lexsort((f, g))
-            g, f = g[o], f[o]
-            at = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
-            one = np.where(f[at] == f[np.r_[at[1:], len(f)] - 1], f[at], np.uint64(0))
-            for rows in cells(np.full(len(at), int(key[0])), g[at], one, buckets, lambda k, x: (k.tobytes(), x.tobytes())):
-                out.append(rows.assign(bucket=(rows["bucket"] + buckets).astype(np.int32)))
-        return pd.concat(out)
+        f, d, g = joined(fs), joined(ds, np.int64), joined(gs)
+        o = np.lexsort((d, f))
+        at = o[firsts(f[o])]
+        out = list(cells(np.full(len(at), group.grp), f[at], d[at], buckets, lambda k, x: (k.tobytes(), pack_ids(x))))
+        o = np.lexsort((f, g))
+        g, f = g[o], f[o]
+        at = firsts(g)
+        one = np.where(f[at] == f[np.r_[at[1:], len(f)].astype(np.int64) - 1], f[at], np.uint64(0)) if len(at) else f
+        for rows in cells(np.full(len(at), group.grp), g[at], one, buckets, lambda k, x: (low32(k), x.tobytes())):
+            out.append(rows.assign(bucket=(rows["bucket"] + buckets).astype(np.int32)))
+        return _rows(out)
+    return run
+
+
+def _answer_phrases(buckets: int):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        if key[0] < buckets:
+            return _answer_smaller(pdf, EARLIER)
+        pdf = pdf.assign(bucket=pdf["bucket"] - buckets)
+        n = np.array([len(a) // 4 for a in pdf["a"]])
+        g = joined([np.frombuffer(a, np.uint32) for a in pdf["a"]])
+        f = joined([np.frombuffer(b, np.uint64) for b in pdf["b"]])
+        o = np.argsort(g, kind="stable")
+        at = firsts(g[o])
+        low = np.minimum.reduceat(f[o], at)
+        several = (low < np.maximum.reduceat(f[o], at)) | (low == 0)
+        flag = np.empty(len(g), bool)
+        flag[o] = np.repeat(several, np.diff(np.r_[at, len(g)]))
+        return _answers(pdf, SEVERAL, [g[s:e][flag[s:e]].tobytes() for s, e in _spans_of(n)])
     return run
 
 
-def _known(right: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    own = right[right["bucket"] == kind]
-    if not len(own):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = np.concatenate([np.frombuffer(a, np.uint64) for a in own["a"]])
-    d = np.concatenate([np.frombuffer(b, np.int64) for b in own["b"]])
+def _answer_smaller(pdf: pd.DataFrame, kind: str) -> pd.DataFrame:
+    """Of one bucket: the hashes of each group that come with a smaller document in
+    another row, with the document they were sent with."""
+    h = joined([np.frombuffer(a, np.uint64) for a in pdf["a"]])
+    d = joined([unpack_ids(b) for b in pdf["b"]], np.int64)
     o = np.argsort(h, kind="stable")
-    return h[o], d[o]
+    at = firsts(h[o])
+    smallest = np.empty(len(h), np.int64)
+    smallest[o] = np.repeat(np.minimum.reduceat(d[o], at), np.diff(np.r_[at, len(h)]))
+    hit = smallest < d
+    spans = _spans_of(np.array([len(a) // 8 for a in pdf["a"]]))
+    if kind == HIT:
+        h = mix(h + d.astype(np.uint64) * M1)
+    return _answers(pdf, kind, [h[s:e][hit[s:e]].tobytes() for s, e in spans])
+
+
+def _answer_windows(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    return _answer_smaller(pdf, HIT)
 
 
 def _spread(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -338,87 +367,90 @@ def _spread(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
 
 
-def _dictionary(p: Parsed, h: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases of a run that are in the dictionary, and whether an earlier document
-    has them.  Only phrases that repeated triggers sent can match."""
-    of = np.arange(len(p.anchor))
-    at = member(p.phrases(of), h) if len(of) else of
-    of, at = of[at >= 0], at[at >= 0]
-    return of, d[at] < p.ids[p.docs(p.anchor[of])] if len(of) else np.zeros(0, bool)
-
-
 def _send_windows(buckets: int):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        (h, d), hs, ds = _known(right, -1), [], []
-        several = right.loc[right["bucket"] == -3, "a"]
-        several = np.sort(np.concatenate([np.frombuffer(a, np.uint64) for a in several])) if len(several) else []
-        for p in runs(left["doc_id"], left["text"]) if len(several) else []:
-            of, later = _dictionary(p, h, d)
-            of = of[~later]
-            of = of[member(p.gram[of], several) >= 0]
-            if len(of):
-                at = _spread(p.lo[of], p.hi[of])
+        group, hs, ds = Group(key, left, right), [], []
+        for p, at, _ in group.open_windows(buckets):
+            if len(at):
                 hs.append(p.windows(at))
                 ds.append(p.ids[p.docs(at)])
-        return _send(hs, ds, True, int(key[0]), buckets)
+        h, d = joined(hs), joined(ds, np.int64)
+        o = np.lexsort((d, h))
+        at = o[firsts(h[o], d[o])]
+        return _rows(list(cells(np.full(len(at), group.grp), h[at], d[at], WINDOW_BUCKETS * buckets,
+                                lambda k, x: (k.tobytes(), pack_ids(x)))))
     return run
 
 
-def _cut(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    h, d = _known(right, -1)
-    wh, wd = _known(right, -2)
-    hits = np.sort(mix(wh + wd.astype(np.uint64) * M1))
-    starts, ends, kept = [], [], []
-    for p in runs(left["doc_id"], left["text"]):
-        gone = np.zeros(p.n + 1, np.int64)
-        if len(h) and p.n >= WIDTH:
-            of, later = _dictionary(p, h, d)
-            lo, hi = p.lo[of[later]], p.hi[of[later]] + WIDTH
-            rest = of[~later]
-            if len(rest) and len(hits):
-                at = _spread(p.lo[rest], p.hi[rest])
-                ids = p.ids[p.docs(at)].astype(np.uint64)
-                at = at[member(mix(p.windows(at) + ids * M1), hits) >= 0]
+def _cut(buckets: int):
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        group = Group(key, left, right)
+        hits = np.sort(group.numbers(HIT))
+        found = []
+        for p, at, later in group.open_windows(buckets):
+            lo, hi = p.lo[later], p.hi[later] + WIDTH
+            if len(at) and len(hits):
+                of = mix(p.windows(at) + p.ids[p.docs(at)].astype(np.uint64) * M1)
+                at = at[member(of, hits) >= 0]
                 lo, hi = np.r_[lo, at], np.r_[hi, at + WIDTH]
-            gone += np.bincount(lo, minlength=p.n + 1) - np.bincount(hi, minlength=p.n + 1)
-        mask = (np.cumsum(gone) > 0)[:-1]
-        for raw, e in zip(p.raws, p.ends):
-            own = mask[e - len(raw):e]
-            if own.any():
-                edge = np.diff(np.r_[0, own.astype(np.int8), 0])
-                starts.append(np.flatnonzero(edge == 1).tolist())
-                ends.append(np.flatnonzero(edge == -1).tolist())
-                kept.append(p.bytes[e - len(raw):e][~own].tobytes())
-            else:
-                starts.append([])
-                ends.append([])
-                kept.append(raw)
-    return pd.DataFrame({"row": left["row"], "n_bytes": [len(as_bytes(t)) for t in left["text"]],
-                         "starts": starts, "ends": ends, "kept": kept})
+            gone = np.bincount(lo, minlength=p.n + 1) - np.bincount(hi, minlength=p.n + 1)
+            mask = (np.cumsum(gone) > 0)[:-1]
+            for raw, e in zip(p.raws, p.ends):
+                own = mask[e - len(raw):e]
+                if own.any():
+                    edge = np.diff(np.r_[0, own.astype(np.int8), 0])
+                    found.append((len(raw), np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(),
+                                  p.bytes[e - len(raw):e][~own].tobytes()))
+                else:
+                    found.append((len(raw), [], [], raw))
+        rest = iter(found)
+        out = []
+        for copy, text in zip(group.copy, left["text"]):
+            raw = as_bytes(text)
+            out.append(next(rest) if not copy else (len(raw), [], [], raw) if len(raw) < WIDTH else (len(raw), [0], [len(raw)], b""))
+        return pd.DataFrame({"row": left["row"], "n_bytes": [x[0] for x in out], "starts": [x[1] for x in out],
+                             "ends": [x[2] for x in out], "kept": [x[3] for x in out]})
+    return run
 
 
+WINDOW_BUCKETS = 4
 RESULT = "row bigint, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary"
 
 
 def cut_repeats(docs: DataFrame, *, row_col: str = "doc_id", id_col: str = "doc_id", text_col: str = "text",
-                group_bytes: int = 4 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
+                group_bytes: int = 4 << 20, bucket_bytes: int = 2 << 20) -> DataFrame:
     """One row per document row: ``row`` (the value of ``row_col``), ``n_bytes``, the
     removed byte runs ``starts`` and ``ends``, and ``kept``, the bytes that are left."""
     _, size = corpus_size(docs, text_col)
     groups = max(1, -(-size // group_bytes))
-    buckets = max(1, -(-size // CHOICES * 2 * 5 // bucket_bytes))
+    buckets = max(1, -(-size * 8 // CHOICES // bucket_bytes))
+    text = F.col(text_col).cast("binary")
     src = docs.select(F.col(row_col).cast("long").alias("row"),
-                      F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST_ID))).alias("doc_id"),
-                      F.col(text_col).cast("binary").alias("text"))
+                      F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST_ID))).alias("doc_id"), text.alias("text"),
+                      F.xxhash64(text).alias("hash"), F.md5(text).alias("md5"))
     src = src.withColumn("grp", F.pmod(F.xxhash64("doc_id", "row"), F.lit(groups)).cast("int"))
-    grams = src.where(F.octet_length("text") >= WIDTH).select("doc_id", "text", "grp").mapInPandas(_send_grams(buckets), CELL)
-    alive = stored(grams.groupBy("bucket").applyInPandas(_repeated_grams, ANSWER), "grams")
-    grouped = src.groupBy("grp")
-    phrases = grouped.cogroup(alive.groupBy("grp")).applyInPandas(_send_phrases(buckets), CELL)
-    first = phrases.groupBy("bucket").applyInPandas(_answer_phrases(buckets), ANSWER)
-    windows = grouped.cogroup(first.groupBy("grp")).applyInPandas(_send_windows(4 * buckets), CELL)
-    earlier = windows.groupBy("bucket").applyInPandas(_answer_windows, ANSWER)
-    return grouped.cogroup(first.unionByName(earlier).groupBy("grp")).applyInPandas(_cut, RESULT)
+    # Equal texts after the first; stored, so that the join gets exchanges of its own.
+    whole = src.where(F.octet_length("text") >= WIDTH).select("grp", "doc_id", "hash", "md5")
+    equal = stored(whole.groupBy("md5").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                   .where("first < last").select("md5", "first"), "equal")
+    copies = stored(whole.join(equal, "md5").where("doc_id > first").select(
+        "grp", F.lit(COPY).alias("kind"), F.lit(0).alias("bucket"), F.col("doc_id").cast("string").cast("binary").alias("a"),
+        F.col("hash").cast("string").cast("binary").alias("b")), "copies")
+    grouped = src.select("row", "doc_id", "text", "hash", "grp").groupBy("grp")
+
+    def ask(function, schema: str, *answers: DataFrame) -> DataFrame:
+        back = copies
+        for x in answers:
+            back = back.unionByName(x)
+        return grouped.cogroup(back.groupBy("grp")).applyInPandas(function, schema)
+
+    def answer(asked: DataFrame, function) -> DataFrame:
+        return asked.groupBy("bucket").applyInPandas(function, ANSWER)
+
+    alive = answer(ask(_send_grams(buckets), CELL), _repeated_grams)
+    phrases = answer(ask(_send_phrases(buckets), CELL, alive), _answer_phrases(buckets))
+    windows = answer(ask(_send_windows(buckets), CELL, phrases), _answer_windows)
+    return ask(_cut(buckets), RESULT, phrases, windows)
 
 
 def digest(cut: DataFrame) -> DataFrame:
