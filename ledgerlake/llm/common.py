@@ -3,11 +3,14 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.session import shared_dir
@@ -17,14 +20,32 @@ MIX_A, MIX_B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 S33 = np.uint64(33)
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives executors this package, as ``--py-files`` would, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgerlake_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp()) / "ledgerlake.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._ledgerlake_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, observation: Observation | None = None, *observed: Column) -> DataFrame:
     """Cuts lineage: writes ``df`` below the shared folder of the session and
     reads it back.  The files outlive lost executors and go when the driver ends."""
     spark = df.sparkSession
+    ship(spark)
+    if observation is not None:
+        df = df.observe(observation, *observed)
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -135,13 +156,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         joined = large.join(low, "u")
         small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        new = stored(small, "cc")
-        r = new.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
+        seen = Observation()
+        new = stored(small, "cc", seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s"))
         drop_stored(e)
         e = new
-        if (r["n"], r["s"]) == mark:
+        if seen.get == mark:
             break
-        mark = (r["n"], r["s"])
+        mark = seen.get
     else:
         raise RuntimeError("components did not settle")
     return (e.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, mix
+from .common import as_bytes, mix, ship, stored
 
 #: Bytes that separate words once A-Z are in lower case.
 SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -88,6 +88,7 @@ class WindowSet:
 
 def _slices(benchmark: DataFrame, item_col: str, text_col: str, slice_bytes: int) -> list[Callable[[], list[tuple]]]:
     """The benchmark's rows as slices of bounded size, each read when it is called."""
+    ship(benchmark.sparkSession)
     src = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-total // slice_bytes))
@@ -136,7 +137,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     if len(slices) == 1:
         return src.mapInPandas(scanned(slices[0]()), schema)
     # Several slices: number the rows once, scan each slice, merge hits per row.
-    from .common import stored
     numbered = stored(src.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
     found = None
     for rows in slices:

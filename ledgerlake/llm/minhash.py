@@ -9,15 +9,16 @@ confirmation and connected components.
 3. Nodes that share a band are candidates.  A bucket is not expanded into pairs: its
    members are compared with the member that shares the most buckets, which in a
    group of copies is the text they were made from.  Signature bytes rule out pairs
-   whose estimate is far below the threshold; the rest is confirmed on full sets,
-   first each node's best candidate, then those that still stand between components.
+   whose estimate is far below the threshold; the rest is confirmed on full sets.
 4. Buckets whose members are not yet one component are then searched for links
-   between components: pairs of members of different components, and only those.  So
-   every candidate pair is either tried or already connected.
+   between components.  A member takes part only if enough of its shingles occur in
+   another component, and meets only members whose counts allow the threshold; both
+   are bounds, so every candidate pair is tried, connected already, or impossible.
 5. Components come from alternating large-star and small-star.
 
 With 32 bands of 4 minima a pair at similarity 0.8 shares no band with probability
-5e-8, and its 128 signature bytes agree in fewer than ``SURE`` with about 1e-5.
+5e-8; its 128 signature bytes miss the margin with about 1e-5, its 2,048 bits (step 4)
+with about 1e-6.
 
 Defined results: null and empty texts and texts without words have an empty set, are
 linked with nothing and kept; rows with a null id take no part and are kept; rows that
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, components, drop_stored, mix, shingles, stored, words_of
+from .common import WordHashes, components, mix, shingles, stored, words_of
 
 BANDS, ROWS = 32, 4
 PERMS = BANDS * ROWS
@@ -40,6 +41,9 @@ _rng = np.random.default_rng(20240601)
 FACTORS = _rng.integers(0, 1 << 63, PERMS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 OFFSETS = _rng.integers(0, 1 << 63, PERMS, dtype=np.uint64)
 STEP = 512
+#: Minima of the long signature (one bit each).
+LONG = 2048
+LONG_FACTORS = _rng.integers(0, 1 << 63, LONG, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 SIGNED = "id bigint, n_shingles bigint, fp binary, bands array<bigint>, sig binary"
 
 
@@ -53,6 +57,14 @@ def minima(x: np.ndarray) -> np.ndarray:
     return low >> np.uint64(32)
 
 
+def long_signature(x: np.ndarray) -> np.ndarray:
+    """One bit of each of LONG minima, as 64-bit numbers."""
+    low = np.full(LONG, np.iinfo(np.uint64).max, np.uint64)
+    for s in range(0, len(x), 64):
+        np.minimum(low, (LONG_FACTORS[:, None] * x[None, s:s + 64]).min(axis=1), out=low)
+    return np.packbits((mix(low) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
 def band_hashes(m: np.ndarray) -> np.ndarray:
     """(n, PERMS) minima to (n, BANDS) hashes; the band's number is part of a hash."""
     r = m.reshape(len(m), BANDS, ROWS)
@@ -130,14 +142,6 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
             .mapInPandas(_confirm(words, percent), "a bigint, b bigint"))
 
 
-def _labelled(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of different components, with these (a node without links is its own)."""
-    return (pairs.join(comp.select(F.col("node").alias("a"), F.col("root").alias("_ra")), "a", "left")
-            .join(comp.select(F.col("node").alias("b"), F.col("root").alias("_rb")), "b", "left")
-            .withColumn("ra", F.coalesce("_ra", "a")).withColumn("rb", F.coalesce("_rb", "b")).drop("_ra", "_rb")
-            .where("ra <> rb"))
-
-
 def links(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, percent: int, sure: int) -> DataFrame:
     """Confirmed links (a, b) between nodes; together they connect what all links connect."""
     bands = nodes.select("id", F.explode("bands").alias("bucket"))
@@ -149,28 +153,67 @@ def links(docs: DataFrame, signed: DataFrame, nodes: DataFrame, words: int, perc
                .select("bucket", (-F.col("m.minus")).alias("b")))
     star = members.join(leaders, "bucket").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
     near = stored(estimated(star, signed, sure), "near")
-    best = near.groupBy("a").agg(F.max(F.struct("same", (-F.col("b")).alias("minus"))).alias("m")).select(
-        "a", (-F.col("m.minus")).alias("b"))
     wanted = members.select("id").distinct()
     texts = stored(docs.join(wanted, "id"), "texts")
-    found = stored(confirmed(best, texts, words, percent), "links")
-    comp = stored(components(found), "comp")
-    rest = _labelled(near.join(found, ["a", "b"], "left_anti"), comp)
-    found = found.unionByName(stored(confirmed(rest, texts, words, percent), "links"))
-    comp = stored(components(found), "comp")
+    found = stored(confirmed(near, texts, words, percent), "links")
+    comp = components(found)
     # Links between components that no leader saw: only in buckets of several components.
-    held = members.join(comp.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
-    held = stored(held, "held")
-    split = held.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    mixed = stored(held.join(split, "bucket"), "mixed")
-    x = mixed.select("bucket", F.col("id").alias("a"), F.col("root").alias("ra"))
-    y = mixed.select("bucket", F.col("id").alias("b"), F.col("root").alias("rb"))
-    cross = x.join(y, "bucket").where("ra < rb").select("a", "b").distinct()
-    cross = stored(estimated(cross, signed, sure).join(near.select("a", "b"), ["a", "b"], "left_anti")
-                   .join(near.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "cross")
+    held = stored(members.select("bucket", "id").join(comp.withColumnRenamed("node", "id"), "id", "left")
+                  .select("bucket", "id", F.coalesce("root", "id").alias("root")), "held")
+    mixed = stored(_mixed(held), "mixed")
+    able = stored(_able(mixed, texts, words, percent), "able")
+    # Only members that can reach the threshold with another component at all.
+    mixed = _mixed(mixed.join(able.join(nodes, "id"), "id"))
+    x, y = (mixed.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "root", "n", "shared", "bits", "bands")]) for side in "ab")
+    common = F.filter(F.zip_with("bands_a", "bands_b", lambda a, b: F.when(a == b, a)), lambda a: a.isNotNull())
+    differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(LONG // 64)), F.lit(0))
+    p = (1 + percent / 100) / 2
+    cross = x.join(y, "bucket").where(
+        (F.col("root_a") < F.col("root_b"))
+        & ((100 + percent) * F.least("shared_a", "shared_b") >= percent * (F.col("n_a") + F.col("n_b")))
+        & (differ <= int(LONG * (1 - p) + 4.75 * (LONG * p * (1 - p)) ** 0.5))
+        & (common[0] == F.col("bucket")))  # a pair of several buckets comes out of the first one
+    cross = cross.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     return found.unionByName(stored(confirmed(cross, texts, words, percent), "links"))
 
 
+def _mixed(held: DataFrame) -> DataFrame:
+    """Rows of ``held`` in buckets whose members are of several components."""
+    split = (held.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+             .where("lo < hi").select("bucket"))
+    return held.join(split, "bucket", "left_semi")
+
+
+def _able(mixed: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(id, n, shared, bits): members whose set could reach the threshold with a member of
+    another component.  ``shared`` counts the shingles that also occur in another
+    component; no pair across components has a larger intersection.  Edits of a copy
+    that nobody shares so rule it out against the whole group, without pairs.  ``bits``
+    is a long signature, one bit of each of LONG minima, for the few that are left."""
+    def sets(batches):
+        hashes = WordHashes()
+        for b in batches:
+            yield pd.DataFrame({"id": b["id"], "root": b["root"],
+                                "s": [shingles(hashes.of(words_of(t)), words).view(np.int64) for t in b["text"]]})
+
+    own = mixed.select("id", "root").distinct()
+    rows = stored(own.join(texts, "id").select("id", "root", "text").mapInPandas(sets, "id bigint, root bigint, s array<bigint>")
+                  .dropDuplicates(["id"]), "sets")
+    each = rows.select("id", "root", F.explode("s").alias("shingle"))
+    across = stored(each.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                    .where("lo < hi").select("shingle"), "across")
+    shared = each.join(across, "shingle").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+
+    def long_signatures(batches):
+        for b in batches:
+            yield pd.DataFrame({"id": b["id"], "n": b["n"], "shared": b["shared"],
+                                "bits": [long_signature(np.asarray(x).view(np.uint64)) for x in b["s"]]})
+
+    left = rows.select("id", "s", F.size("s").cast("long").alias("n")).join(shared, "id")
+    return (left.where(100 * F.col("shared") >= percent * F.col("n"))
+            .mapInPandas(long_signatures, "id bigint, n bigint, shared bigint, bits array<bigint>"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                     percent: int = 80, margin: float = 0.15) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id (the smallest id it is

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, repeats, sharding, topk
+from . import decontaminate, lm, minhash, repeats, sharding, topk, toxicity
 from .common import table
 
 
@@ -25,17 +25,26 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.cut_repeats(table(spark, sf_dir, "documents")))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash_near_dedup, op4_exact_top_k, op5_sharding, op7_suffix_array_dedup, op10_benchmark_decontamination)}
+    f.__name__: f for f in (op1_minhash_near_dedup, op4_exact_top_k, op5_sharding, op6_toxicity, op7_suffix_array_dedup, op9_lm_scoring,
+                               op10_benchmark_decontamination)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": minhash.SQL,

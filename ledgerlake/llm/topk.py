@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ship
+
 #: Whole numbers up to here are exact in double arithmetic.
 EXACT = float(1 << 53)
 HITS = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()),
@@ -152,6 +154,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vec
     """The k best rows of ``vectors`` for each row of ``queries``: query_id, rank,
     vec_id, score.  ``enough`` is how many possible members per query end the reading
     of segments; it changes time only, never results."""
+    ship(vectors.sparkSession)
     index = quantise(vectors, id_col, vector_col, scale).mapInPandas(_pack(block_rows), PACK)
     rows = queries.count()
     groups = max(1, -(-rows // group_rows))
