@@ -11,12 +11,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, minhash, repeats
+from ledgerlake.llm import decontaminate, minhash, repeats, sentencepieces, toxicity
 from ledgerlake.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier predicts toxic go."""
+    return toxicity.reject(docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: 5 words, similarity 0.8."""
     return minhash.keep_one(docs, words=5)
@@ -32,10 +37,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of each text, checked by decoding them again."""
+    return sentencepieces.encode_documents(docs).select("doc_id", "ids", "n_tokens", "round_trip")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxic_documents),
     ("near_duplicates", near_duplicates),
     ("repeated_text", repeated_text),
     ("decontamination", decontamination),
+    ("tokens", tokens),
 ]
 
 #: Toxicity, MinHash and tokens can't be expressed in SQL; tests compare the stages

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm, minhash, repeats, sharding, topk, toxicity
+from . import decontaminate, extract, licenses, lm, minhash, repeats, sentencepieces, sharding, topk, toxicity
 from .common import table
 
 
@@ -16,6 +16,15 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.as_files(table(spark, sf_dir, "documents")))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepieces.encode_documents(table(spark, sf_dir, "documents"))
+    return coded.select("doc_id", "ids", "n_tokens", "round_trip")
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
@@ -33,6 +42,10 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.cut_repeats(table(spark, sf_dir, "documents")))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -43,7 +56,8 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash_near_dedup, op4_exact_top_k, op5_sharding, op6_toxicity, op7_suffix_array_dedup, op9_lm_scoring,
+    f.__name__: f for f in (op1_minhash_near_dedup, op2_license_scan, op3_sentencepiece, op4_exact_top_k, op5_sharding,
+                               op6_toxicity, op7_suffix_array_dedup, op8_html_extraction, op9_lm_scoring,
                                op10_benchmark_decontamination)}
 
 ORACLE_SQL: dict[str, str] = {
