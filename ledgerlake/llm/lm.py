@@ -200,8 +200,10 @@ class Automaton:
 
 def _ask(buckets: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        words = WordHashes()
-        h = np.unique(np.concatenate([np.unique(words.of(words_of(t))) for t in pdf["text"]]))
+        distinct: set[bytes] = set()
+        for t in pdf["text"]:
+            distinct.update(words_of(t))
+        h = np.unique(WordHashes().of(list(distinct)))
         rows = list(cells(np.full(len(h), int(key[0])), h, h, buckets, lambda k, x: (k.tobytes(), b"")))
         return pd.concat(rows) if rows else pd.DataFrame({"bucket": [], "grp": [], "a": [], "b": []}).astype(
             {"bucket": "int32", "grp": "int32", "a": object, "b": object})
@@ -221,24 +223,35 @@ def _reply(key: tuple, asked: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFram
     return pd.DataFrame(out, columns=["grp", "a", "b"])
 
 
+class Places(dict):
+    """word -> place of its hash in the counts that came back, filled on demand."""
+
+    def __init__(self, hashes: np.ndarray):
+        super().__init__()
+        self.place = dict(zip(hashes.tolist(), range(len(hashes))))
+        self.hashes = WordHashes(1 << 62)
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = self.place[self.hashes[word]]
+        return found
+
+
 def _score(model, of_hash: dict[int, int], total: int, words: int, rare: tuple[int, int], ends: int):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         automaton: Automaton = model.value
-        hashes, classes = WordHashes(), Classes(of_hash)
         h = joined([np.frombuffer(a, np.uint64) for a in right["a"]])
         n = joined([np.frombuffer(b, np.uint32 if 2 * len(b) == len(a) else np.int64).astype(np.int64)
                     for a, b in zip(right["a"], right["b"])], np.int64)
-        o = np.argsort(h)
-        h, n = h[o], n[o]
+        places = Places(h)
+        cls = np.array([of_hash.get(x, RARE) for x in h.tolist()], np.int64)
         base, inside = np.log10((n + 1.0) / (total + words + 1)), np.log10((n + 1.0) / (rare[0] + rare[1] + 1))
         end = math.log10((ends + 1.0) / (total + words + 1))
         out = []
         for t in left["text"]:
             w = words_of(t)
-            at = np.searchsorted(h, hashes.of(w)) if w else np.zeros(0, np.int64)
-            c = classes.of(w)
-            is_rare = np.array(c, np.int64) == RARE
-            score = automaton.score([*c, END]) + float(inside[at[is_rare]].sum())
+            at = np.fromiter(map(places.__getitem__, w), np.int64, len(w))
+            c = cls[at]
+            score = automaton.score([*c.tolist(), END]) + float(inside[at[c == RARE]].sum())
             out.append((len(w) + 1, int((n[at] > 0).sum()) + (ends > 0), float(base[at].sum()) + end, score))
         return pd.DataFrame({"doc_id": left["doc_id"], "n_tokens": [x[0] for x in out], "n_known": [x[1] for x in out],
                              "base_score": [x[2] for x in out], "score": [x[3] for x in out]})
