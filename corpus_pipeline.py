@@ -39,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of each text, checked by decoding them again."""
-    return sentencepieces.encode_documents(docs).select("doc_id", "ids", "n_tokens", "round_trip")
+    return sentencepieces.encode_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [

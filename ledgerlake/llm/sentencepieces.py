@@ -42,16 +42,17 @@ class Trie:
 
     def __init__(self, keys: list[bytes], values: list[int]):
         order = sorted(range(len(keys)), key=lambda i: keys[i])
-        size = 1 << 12
-        self.base, self.check, self.value = np.zeros(size, np.int64), np.full(size, -1, np.int64), np.full(size, -1, np.int64)
-        used = np.zeros(size, bool)
-        used[0] = True
+        size = 4 * sum(map(len, keys)) + 4096
+        taken = bytearray(size)
+        used = np.frombuffer(taken, np.bool_)
+        base, check, value = np.zeros(size, np.int64), np.full(size, -1, np.int64), np.full(size, -1, np.int64)
+        taken[:257] = b"\1" * 257
         todo = [(0, 0, len(order), 0)]  # state, keys from..to, depth
-        free = 1
+        free = look = 257
         while todo:
             state, lo, hi, depth = todo.pop()
             while lo < hi and len(keys[order[lo]]) == depth:
-                self.value[state] = values[order[lo]]
+                value[state] = values[order[lo]]
                 lo += 1
             children: list[tuple[int, int, int]] = []
             i = lo
@@ -63,29 +64,30 @@ class Trie:
                 i = j
             if not children:
                 continue
-            offsets = np.array([c[0] + 1 for c in children])
-            while used[free]:
-                free += 1
-            look = free
-            while True:
-                if look + 1024 > len(used):
-                    self.base, self.check, self.value = (np.r_[a, np.full(len(a), f)] for a, f in
-                                                         ((self.base, 0), (self.check, -1), (self.value, -1)))
-                    used = np.r_[used, np.zeros(len(used), bool)]
-                at = look + np.flatnonzero(~used[look:look + 512]) - offsets[0]
-                at = at[at >= 0]
-                fits = at[~used[at[:, None] + offsets].any(axis=1)] if len(offsets) > 1 else at
-                if len(fits):
-                    at = int(fits[0])
-                    break
-                look += 512
-            self.base[state] = at
+            if len(children) == 1:  # any free place will do
+                while taken[free]:
+                    free += 1
+                at = free - children[0][0] - 1
+            else:
+                offsets = np.array([c[0] + 1 for c in children])
+                look = max(look, free)
+                start = look
+                while True:
+                    places = start + np.flatnonzero(~used[start:start + 512]) - offsets[0]
+                    fits = places[~used[places[:, None] + offsets].any(axis=1)]
+                    if len(fits):
+                        break
+                    start += 512
+                if start > look + 8 * 512:  # what lies far behind is too dense to look at again
+                    look = start - 4 * 512
+                at = int(fits[0])
+            base[state] = at
             for b, i, j in children:
-                used[at + b + 1] = True
-                self.check[at + b + 1] = state
+                taken[at + b + 1] = 1
+                check[at + b + 1] = state
                 todo.append((at + b + 1, i, j, depth + 1))
-        # room for any byte after the last state
-        self.base, self.check, self.value = (np.r_[a, np.full(257, f)] for a, f in ((self.base, 0), (self.check, -1), (self.value, -1)))
+        end = int(np.flatnonzero(used)[-1]) + 258  # room for any byte after the last state
+        self.base, self.check, self.value = base[:end].copy(), check[:end].copy(), value[:end].copy()
 
 
 class Pieces:
@@ -192,52 +194,64 @@ class Pieces:
 class Encoder:
     """Encodes texts, keeping the paths of units it has met (at most ``limit``)."""
 
-    def __init__(self, pieces: Pieces, limit: int = 250_000):
-        self.pieces, self.limit, self.known = pieces, limit, {}
+    def __init__(self, pieces: Pieces, limit: int = 300_000):
+        self.pieces, self.limit = pieces, limit
+        # units as they stand, and words by what follows their one marker
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def units(self, text: str) -> list[str]:
+    def units(self, text: str) -> tuple[list[str], bool]:
+        """Units of a text; True: each without its marker."""
+        if not self.pieces.whole and not ("  " in text or MARK in text or text[-1] == " " or text[0] == " "):
+            return text.split(" "), True
         marked = MARK + text.replace(" ", MARK)
-        if self.pieces.whole:
-            return [marked]
-        if "  " in text or MARK in text or text[-1:] == " " or text[:1] == " ":
-            return UNITS.findall(marked)
-        return marked[1:].split(MARK)  # each unit without its marker
-
-    def encode(self, texts: list) -> list[np.ndarray]:
+        return ([marked] if self.pieces.whole else UNITS.findall(marked)), False
+
+    def _learn(self, texts: list) -> None:
+        units: set[str] = set()
+        words: set[str] = set()
+        for t in texts:
+            if t:
+                found, bare = self.units(t)
+                (words if bare else units).update(found)
+        if len(self.known) + len(self.words) + len(units) + len(words) > self.limit:
+            self.known.clear()
+            self.words.clear()
+        new, new_words = sorted(units - self.known.keys()), sorted(words - self.words.keys())
+        paths = self.pieces.viterbi([u.encode("utf-8", "replace") for u in new] + [(MARK + w).encode("utf-8", "replace") for w in new_words])
+        self.known.update(zip(new, paths))
+        self.words.update(zip(new_words, paths[len(new):]))
+
+    def encode(self, texts: list, at_once: int = 2000) -> list[np.ndarray]:
         out = []
-        for s in range(0, len(texts), 256):
-            cut = [([], False) if not t else (u := self.units(t), not self.pieces.whole and u[0][:1] != MARK) for t in texts[s:s + 256]]
-            # a unit of the quick way stands for itself after a marker
-            new = {u if not bare else MARK + u for us, bare in cut for u in us} if not self.known else \
-                {x for us, bare in cut for u in us if (x := MARK + u if bare else u) not in self.known}
-            if len(self.known) + len(new) > self.limit:
-                self.known.clear()
-                new = {MARK + u if bare else u for us, bare in cut for u in us}
-            new = sorted(new)
-            self.known.update(zip(new, self.pieces.viterbi([u.encode("utf-8", "replace") for u in new])))
-            get = self.known.__getitem__
-            for us, bare in cut:
-                out.append(np.frombuffer(b"".join([get(MARK + u) for u in us] if bare else map(get, us)), np.int32))
+        for s in range(0, len(texts), at_once):
+            self._learn(texts[s:s + at_once])
+            for t in texts[s:s + at_once]:
+                found, bare = self.units(t) if t else ((), False)
+                get = (self.words if bare else self.known).__getitem__
+                out.append(np.frombuffer(b"".join(map(get, found)), np.int32))
         return out
 
 
 def encode_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
-    """One row per document row: doc_id, ids (piece numbers), n_tokens, decoded (the text
-    that the pieces give) and round_trip (it is the text)."""
+    """One row per document row: doc_id, ids (piece numbers), n_tokens and round_trip
+    (decoding the pieces gives the text)."""
     spark = docs.sparkSession
     ship(spark)
     given = spark.sparkContext.broadcast(Pieces.load(model))
 
     def run(batches):
-        encoder = Encoder(given.value)
+        encoder, pieces = Encoder(given.value), given.value
         for b in batches:
-            ids = encoder.encode(list(b["text"]))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": ids, "n_tokens": [len(x) for x in ids],
-                                "decoded": [given.value.decode(x.tolist()) for x in ids], "text": b["text"]})
+            for s in range(0, len(b), 1000):
+                part = b.iloc[s:s + 1000]
+                texts = part["text"].tolist()
+                ids = encoder.encode(texts)
+                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": ids, "n_tokens": [len(x) for x in ids],
+                                    "round_trip": [pieces.decode(x.tolist()) == t for x, t in zip(ids, texts)]})
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return src.mapInPandas(run, "doc_id bigint, ids array<int>, n_tokens bigint, decoded string, text string").select(
-        "doc_id", "ids", "n_tokens", "decoded", (F.col("decoded") == F.col("text")).alias("round_trip"))
+    return src.mapInPandas(run, "doc_id bigint, ids array<int>, n_tokens bigint, round_trip boolean")
 
 
 def decode_documents(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids", model: str = MODEL) -> DataFrame:
