@@ -173,6 +173,20 @@ def digest(found: DataFrame) -> DataFrame:
         (F.size("starts") > 0).alias("contaminated"))
 
 
+def _clean(given):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not given.value.scan(t)[2] for t in texts], dtype=bool)
+    return clean
+
+
+def _cut(given):
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series) -> pd.Series:
+        return pd.Series([cut_text(t, given.value) for t in texts], dtype=object)
+    return cut
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
                      item_text_col: str = "text", words: int = 10, slice_bytes: int = 16 << 20) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark window.  One narrow
@@ -180,12 +194,7 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "
     spark = docs.sparkSession
     for rows in _slices(benchmark, item_col, item_text_col, slice_bytes):
         given = spark.sparkContext.broadcast(WindowSet(rows(), words))
-
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, given=given) -> pd.Series:
-            return pd.Series([not given.value.scan(t)[2] for t in texts], dtype=bool)
-
-        docs = docs.where(clean(F.col(text_col)))
+        docs = docs.where(_clean(given)(F.col(text_col)))
     return docs
 
 
@@ -196,12 +205,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text
     spark = docs.sparkSession
     for rows in _slices(benchmark, item_col, item_text_col, slice_bytes):
         given = spark.sparkContext.broadcast(WindowSet(rows(), words))
-
-        @F.pandas_udf("string")
-        def cut(texts: pd.Series, given=given) -> pd.Series:
-            return pd.Series([cut_text(t, given.value) for t in texts], dtype=object)
-
-        docs = docs.withColumn(text_col, cut(F.col(text_col)))
+        docs = docs.withColumn(text_col, _cut(given)(F.col(text_col)))
     return docs
 
 
