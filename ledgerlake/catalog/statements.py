@@ -313,18 +313,23 @@ def q_orphan_accounts(spark, sf):
 _SUBLINES = " ".join(
     f"UNION ALL SELECT '{label}', {order}, Department, Measure, v FROM dm_base WHERE SectionOrder <= {last}"
     for label, order, last in fixed.PL_SUBTOTALS)
-DEPTS = [("2", "Sales"), ("3", "Service"), ("4", "Parts"), ("5", "Rental"), ("1", "Admin")]
+DEPTS = [("2", "Sales"), ("3", "Service"), ("4", "Parts"), ("5", "Rental"), ("1", "Admin"), (None, "Other")]
+
+
+def _is_dept(d) -> str:
+    named = ", ".join(repr(k) for k, _ in DEPTS if k)
+    return f"Department = {d!r}" if d else f"coalesce(Department, '') NOT IN ({named})"
 
 
 def _dept_sql() -> str:
-    cols = ", ".join(f"{_z(f'CASE WHEN Department = {d!r} THEN v END')} AS {n}" for d, n in DEPTS)
+    cols = ", ".join(f"{_z(f'CASE WHEN {_is_dept(d)} THEN v END')} AS {n}" for d, n in DEPTS)
     base = f"""
-    SELECT *, CAST(Sales + TotalFixed + Admin AS DECIMAL(18, 2)) AS Total FROM (
+    SELECT *, CAST(Sales + TotalFixed + Admin + Other AS DECIMAL(18, 2)) AS Total FROM (
     SELECT *, CAST(Service + Parts + Rental AS DECIMAL(18, 2)) AS TotalFixed FROM (
     SELECT Line, LineOrder, Measure, {cols} FROM (
         SELECT Section AS Line, SectionOrder AS LineOrder, Department, Measure, v FROM dm_base {_SUBLINES})
     GROUP BY Line, LineOrder, Measure))"""
-    rc = ["Sales", "Service", "Parts", "Rental", "Admin", "TotalFixed", "Total"]
+    rc = ["Sales", "Service", "Parts", "Rental", "Admin", "Other", "TotalFixed", "Total"]
     pcts = ", ".join(f"CAST({pct(f'c.{x}', f'r.{x}')} AS DECIMAL(18, 2)) AS {x}" for x in rc)
     return f"""
     SELECT * FROM ({base}) UNION ALL
@@ -750,7 +755,7 @@ _ALLOC = ["51900", "51910", "54000", "55100", "58200", "58400"]
 
 
 @register("allocation_analysis", "SELECT AccountNumber, " + ", ".join(
-    f"{_z(f'CASE WHEN Department = {d!r} THEN Amount END')} AS {n}" for d, n in DEPTS)
+    f"{_z(f'CASE WHEN {_is_dept(d)} THEN Amount END')} AS {n}" for d, n in DEPTS)
     + f" FROM is_lines WHERE Period = {P} AND AccountNumber IN ({', '.join(repr(a) for a in _ALLOC)}) GROUP BY AccountNumber")
 def q_allocation_analysis(spark, sf):
     return rp.allocation_analysis(lines(spark, sf), P, _ALLOC)
@@ -760,7 +765,7 @@ ADHOC_SQL = ("SELECT GB_CO, GB_DATE, CAST(SUM(GB_AMT) AS DECIMAL(18, 2)) AS Amou
              f"WHERE GB_DATE >= {PY}01 GROUP BY GB_CO, GB_DATE")
 
 
-@register("adhoc_select", ADHOC_SQL + " LIMIT 5000")
+@register("adhoc_select", f"SELECT *, FALSE AS Truncated FROM ({ADHOC_SQL}) LIMIT 5000")
 def q_adhoc_select(spark, sf):
     return st.adhoc_select(L(spark, sf), ADHOC_SQL, 5000)
 

@@ -14,7 +14,14 @@ from ..functions.columns import is_profit_and_loss, money, safe_pct
 from ..functions.periods import month_index, parse_period
 from .statements import bs_lines
 
-DEPT_COLUMNS = [("2", "Sales"), ("3", "Service"), ("4", "Parts"), ("5", "Rental"), ("1", "Admin")]
+#: Named departments; any other code, and none, is in the column Other.
+DEPT_COLUMNS = [("2", "Sales"), ("3", "Service"), ("4", "Parts"), ("5", "Rental"), ("1", "Admin"), ("other", "Other")]
+
+
+def department_column(department: Column) -> Column:
+    """The department's column key, so that a pivot over the keys loses no row."""
+    named = [d for d, name in DEPT_COLUMNS if name != "Other"]
+    return F.when(department.isin(*named), department).otherwise(F.lit("other"))
 
 
 def _prev_period(p: int, months: int = 1) -> int:
@@ -64,6 +71,7 @@ def departmental_pnl(lines: DataFrame, period, account_filter: Column | None = N
     li = lines.where(F.col("Period").between(_prev_period(per, 12), per))
     if account_filter is not None:
         li = li.where(account_filter)
+    li = li.withColumn("Department", department_column(F.col("Department")))
     base = li.groupBy("Section", "SectionOrder", "Department", "Period").agg(
         money(F.sum("NetIncomeImpact")).alias("v"))
     arr = F.filter(F.array(*[F.when(cond, F.struct(F.lit(m).alias("m"), F.lit(sg).alias("s"))) for m, sg, cond in meas]),
@@ -79,11 +87,11 @@ def departmental_pnl(lines: DataFrame, period, account_filter: Column | None = N
     cols = {name: F.coalesce(F.col(d), z) for d, name in DEPT_COLUMNS}
     out = pv.select("Line", "LineOrder", "Measure", *[c.alias(n) for n, c in cols.items()])
     out = out.withColumn("TotalFixed", money(F.col("Service") + F.col("Parts") + F.col("Rental")))
-    out = out.withColumn("Total", money(F.col("Sales") + F.col("TotalFixed") + F.col("Admin")))
+    out = out.withColumn("Total", money(F.col("Sales") + F.col("TotalFixed") + F.col("Admin") + F.col("Other")))
     return out.unionByName(_pct_of_revenue(out))
 
 
-REPORT_COLUMNS = ["Sales", "Service", "Parts", "Rental", "Admin", "TotalFixed", "Total"]
+REPORT_COLUMNS = ["Sales", "Service", "Parts", "Rental", "Admin", "Other", "TotalFixed", "Total"]
 
 
 def _pct_of_revenue(out: DataFrame) -> DataFrame:
@@ -570,6 +578,7 @@ def allocation_analysis(lines: DataFrame, period, accounts: Sequence[str]) -> Da
     """FS47: the given allocation accounts pivoted by department for one period."""
     per = parse_period(period)
     li = lines.where((F.col("Period") == per) & F.col("AccountNumber").isin(*accounts))
+    li = li.withColumn("Department", department_column(F.col("Department")))
     p = li.groupBy("AccountNumber").pivot("Department", [d for d, _ in DEPT_COLUMNS]).agg(money(F.sum("Amount")))
     return p.select("AccountNumber", *[F.coalesce(F.col(d), F.lit(0).cast("decimal(18,2)")).alias(n) for d, n in DEPT_COLUMNS])
 

@@ -242,12 +242,39 @@ def test_guarded_runs_advance_the_watermark_only_when_complete(spark, led):
 
 def test_adhoc_select_is_read_only_and_capped(spark, led):
     from ledgerlake.plans.statements import adhoc_select
-    assert adhoc_select(led, "SELECT GB_CO FROM glcal", limit=5).count() == 100  # cap clamped to >= 100
-    for bad in ("DROP VIEW glcal", "INSERT INTO x SELECT 1", "SELECT 1; DROP VIEW glcal", "  "):
-        with pytest.raises(ValueError):
+    from pyspark.errors import AnalysisException, ParseException
+    cut = adhoc_select(led, "SELECT GB_CO FROM glcal", limit=5).collect()
+    assert len(cut) == 5 and all(r.Truncated for r in cut)
+    whole = adhoc_select(led, "SELECT 1 AS x", limit=0).collect()
+    assert [tuple(r) for r in whole] == [(1, False)]
+    assert adhoc_select(led, "WITH a AS (SELECT Period FROM v_IncomeStatementLines) SELECT * FROM a", 99_999).count() <= 10_000
+    for bad in ("DROP VIEW glcal", "INSERT INTO x SELECT 1", "SELECT 1; DROP VIEW glcal", "  ",
+                "WITH a AS (SELECT 1 AS x) INSERT OVERWRITE DIRECTORY '/tmp/never' USING parquet SELECT * FROM a",
+                "FROM glcal INSERT OVERWRITE DIRECTORY '/tmp/never' USING parquet SELECT GB_CO",
+                "SELECT * FROM parquet.`/root/testdata/sf0.001/nation.parquet`"):
+        with pytest.raises((AnalysisException, ParseException)):
             adhoc_select(led, bad)
 
 
+def test_departments_outside_the_named_ones_are_in_other(spark, led):
+    from ledgerlake.plans import reports as RP
+    from ledgerlake.plans.statements import income_statement_lines
+    li = income_statement_lines(led.glcal, led.accmast)
+    period = li.agg(F.max("Period")).first()[0]
+    moved = li.withColumn("Department", F.when(F.col("Department") == "1", F.lit("0"))
+                          .when(F.col("Department") == "5", F.lit(None).cast("string")).otherwise(F.col("Department")))
+    total = lambda x: {(r.Line, r.Measure): r.Total for r in RP.departmental_pnl(x, period).where("Measure <> 'PctOfRevenue'").collect()}
+    assert total(moved) == total(li)
+    assert any(r.Other for r in RP.departmental_pnl(moved, period).collect())
+
+
+def test_dense_grid_ends_before_the_last_posting(spark):
+    from ledgerlake.operators.windows import dense_grid
+    m = spark.createDataFrame([("a", 200101, 5), ("a", 200103, 7), ("a", 200105, 9)], "k string, period int, activity int")
+    got = [(r.period, int(r.activity)) for r in dense_grid(m, ["k"], "period", "activity", 200104).orderBy("period").collect()]
+    assert got == [(200101, 5), (200102, 0), (200103, 7), (200104, 0)]
+
+
 # --------------------------------------------------------------------------- scale helpers
 
 def test_cluster_settings_scale_with_input_and_cluster():
@@ -259,15 +286,6 @@ def test_cluster_settings_scale_with_input_and_cluster():
     assert big["spark.sql.adaptive.enabled"] == "true" and big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
-def test_spread_only_redistributes_narrow_inputs(spark):
-    from ledgerlake.sources.adapter import spread
-    cores = spark.sparkContext.defaultParallelism
-    narrow = spark.range(100).coalesce(1)
-    wide = spark.range(0, 1000, 1, cores * 2)
-    assert spread(narrow).rdd.getNumPartitions() == cores
-    assert spread(wide) is wide
-
-
 def test_cached_view_is_released(spark, led):
     from ledgerlake.plans.statements import cached, income_statement, income_statement_lines
     with cached(income_statement_lines(led.glcal, led.accmast)) as lines:
