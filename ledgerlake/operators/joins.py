@@ -66,7 +66,8 @@ def anti_orphans(fact: DataFrame, dim: DataFrame, fact_keys: Sequence[str], dim_
 
 def semi_used(dim: DataFrame, fact: DataFrame, dim_keys: Sequence[str], fact_keys: Sequence[str]) -> DataFrame:
     """JN8: dimension rows having at least one fact row (``left_semi``)."""
-    f = fact.select(*[F.col(s).alias(t) for s, t in zip(fact_keys, dim_keys)])
+    # distinct first: its map-side combine keeps hot keys out of the exchange
+    f = fact.select(*[F.col(s).alias(t) for s, t in zip(fact_keys, dim_keys)]).distinct()
     return dim.join(f, list(dim_keys), "left_semi")
 
 

@@ -32,6 +32,8 @@ def dense_grid(monthly: DataFrame, keys: Sequence[str], period: str, amount: str
     w = Window.partitionBy(*keys).orderBy("midx")
     m = monthly.withColumn("midx", month_index(F.col(period)))
     last = month_index(F.lit(end_period)) if end_period is not None else None
+    if last is not None:  # postings after the end are not part of the grid
+        m = m.where(F.col("midx") <= last)
     m = m.withColumn("nxt", F.lead("midx", 1).over(w))
     until = F.coalesce(F.col("nxt") - 1, last if last is not None else F.col("midx"))
     out = m.select(*keys, "midx", F.col(amount), F.explode(F.sequence("midx", until)).alias("gidx"))

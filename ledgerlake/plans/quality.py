@@ -185,7 +185,7 @@ def status_coverage(accmast: DataFrame) -> DataFrame:
 
 def unused_accounts(accmast: DataFrame, journal: DataFrame) -> DataFrame:
     """DQ16: accounts in the dictionary that were never posted (``left_anti``)."""
-    posted = journal.select(F.col("YJ_CO").alias("ACCO"), F.col("YJ_ACC").alias("ACACC"))
+    posted = journal.select(F.col("YJ_CO").alias("ACCO"), F.col("YJ_ACC").alias("ACACC")).distinct()
     return accmast.join(posted, ["ACCO", "ACACC"], "left_anti").select("ACCO", "ACACC", "ACNME", "ACSTA")
 
 
