@@ -35,18 +35,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator to a folder every executor can
-    reach; we only read it.  When it is unset (a test or a laptop session) we
-    set a local one, which is the only place a machine-local folder is used.
-    """
+    On a cluster it is set by the operator to a folder every executor can reach; we
+    only read it, or the folder given to ``setCheckpointDir``.  Where neither is set,
+    a local session (a test, a laptop) gets a local folder; any other session is
+    refused, because each machine would write to a disk of its own."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = os.path.join(tempfile.gettempdir(), "ledgerlake-checkpoints")
-        try:
-            if not spark.sparkContext.getCheckpointDir():
-                spark.sparkContext.setCheckpointDir(d)
-        except Exception:  # remote session: checkpoint() then uses the server's setting
-            pass
+        sc = spark.sparkContext
+        own = os.path.join(tempfile.gettempdir(), "ledgerlake-checkpoints")
+        given = sc.getCheckpointDir()
+        if given and not given.removeprefix("file:").startswith(own):
+            return given.rstrip("/")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        if not given:
+            sc.setCheckpointDir(own)
+        d = own
     return d.rstrip("/")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed
-from .adapter import cents_to_amount, read_source, spread
+from .adapter import cents_to_amount, read_source
 
 PARTS_TYPE = "SMALL"
 
@@ -22,7 +22,7 @@ def parts_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     Only what the sub-ledger needs is joined: parts of the parts type (the filter is
     pushed into the part scan before the join) and the supplier's region for the
     company; the orders table is not read."""
-    li = spread(read_source(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"))
+    li = read_source(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     p = read_source(spark, sf_dir, "part").where(F.col("p_type") == PARTS_TYPE).select("p_partkey")
     s = read_source(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = read_source(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
