@@ -234,7 +234,7 @@ def q_append_journal(spark, sf):
     j = L(spark, sf).journal
     path = f"{shared_dir(spark)}/ledgerlake/scratch/append-{uuid.uuid4().hex}"
     IG.append_journal(scan.incremental_pull(j, S), path)
-    out = j.where(F.col("YJ_UID") <= S).unionByName(spark.read.parquet(path))
+    out = j.where(F.col("YJ_UID") <= S).unionByName(spark.read.parquet(path).drop("run"))
     return out.groupBy("period").agg(F.count(F.lit(1)).alias("Legs"), F.sum("YJ_AMT").cast("decimal(18,2)").alias("Amount"),
                                      F.max("YJ_UID").alias("MaxUid"))
 

@@ -15,10 +15,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,31 +108,59 @@ def merge_actions(merged: DataFrame) -> DataFrame:
 
 
 def write_version(df: DataFrame, table_root: str, version: str) -> str:
-    """SNK1 commit: write the merged table as a new version folder, then point the
-    table at it (the pointer is written last, so readers never see a partial
-    version; a failed run leaves the previous version current)."""
-    path = f"{table_root}/v={version}"
-    df.drop("MergeAction").write.mode("overwrite").parquet(path)
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1) \
-        .write.mode("overwrite").parquet(f"{table_root}/_current")
+    """SNK1 commit: write the merged table as a new version folder, then append a
+    commit row.  Commit rows are never replaced, so a reader always finds one; the
+    newest names the current version.  A version that is committed already is refused
+    (its files may be what ``df`` reads); an attempt gets a folder of its own, so a
+    failed one leaves nothing that is read."""
+    spark = df.sparkSession
+    done = _commits(spark, table_root)
+    if any(r["version"] == version for r in done):
+        raise ValueError(f"version {version!r} of {table_root} is committed already")
+    path = f"{table_root}/v={version}/{uuid.uuid4().hex}"
+    df.drop("MergeAction").write.parquet(path)
+    spark.createDataFrame([(len(done), version, path)], COMMIT).coalesce(1).write.mode("append").parquet(f"{table_root}/_commits")
     return path
 
 
+COMMIT = "seq long, version string, path string"
+
+
+def _commits(spark, table_root: str) -> list:
+    """Commit rows, oldest first: one per version of the table."""
+    try:
+        rows = spark.read.schema(COMMIT).parquet(f"{table_root}/_commits").collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return []
+    return sorted(rows, key=lambda r: r["seq"])
+
+
 def read_current(spark, table_root: str) -> DataFrame:
     """The current version of a versioned table."""
-    version = spark.read.parquet(f"{table_root}/_current").first()["version"]
-    return spark.read.parquet(f"{table_root}/v={version}")
+    return spark.read.parquet(_commits(spark, table_root)[-1]["path"])
+
+
+def read_version(spark, table_root: str, version: str) -> DataFrame:
+    """An earlier version, which stays readable."""
+    return spark.read.parquet(next(r["path"] for r in _commits(spark, table_root) if r["version"] == version))
 
 
 # --- SNK5 ---------------------------------------------------------------------------------
 
-def append_journal(increment: DataFrame, path: str, uid: str = "YJ_UID", partition_by: str = "period") -> dict:
-    """SNK5: plain append of an increment; returns copied/inserted counts and the
-    new watermark (MAX uid, None when the increment is empty).  The counts come
-    from one aggregate over the increment; the write is an append into period
-    partitions."""
-    stats = increment.agg(F.count(F.lit(1)).alias("n"), F.max(uid).alias("wm")).first()
-    increment.write.mode("append").partitionBy(partition_by).parquet(path)
+def append_journal(increment: DataFrame, path: str, uid: str = "YJ_UID", partition_by: str = "period",
+                   run_id: str = "run") -> dict:
+    """SNK5: append of a run's increment; returns copied/inserted counts and the new
+    watermark (MAX uid, None when the increment is empty).
+
+    A run writes partitions of its own (``run``, then the period) and a retry replaces
+    them, so a run that is repeated adds nothing.  The counts are observed by the
+    write itself: they are of the rows written, and the increment is read once."""
+    seen = Observation()
+    (increment.observe(seen, F.count(F.lit(1)).alias("n"), F.max(uid).alias("wm")).withColumn("run", F.lit(run_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", partition_by).parquet(path))
+    stats = seen.get
     return {"RowsCopied": stats["n"], "RowsInserted": stats["n"], "RowsUpdated": 0, "WatermarkTo": stats["wm"]}
 
 

@@ -60,8 +60,23 @@ _CACHE: dict[tuple[str, str], Ledger] = {}
 _LOCK = threading.Lock()
 
 
+def _stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and modification times of the source files: a ledger is of the
+    files it was built from, so new or changed rows lead to another one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def files(p, depth: int):
+        for s in fs.listStatus(p):
+            if s.isDirectory() and depth:
+                yield from files(s.getPath(), depth - 1)
+            else:
+                yield f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}"
+    return ",".join(sorted(files(path, 1)))
+
+
 def _root(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(f"{sf_dir.rstrip('/')}|{LAYOUT_VERSION}|{fixed.LAST_CLOSE}".encode()).hexdigest()[:16]
+    tag = hashlib.sha1(f"{sf_dir.rstrip('/')}|{LAYOUT_VERSION}|{fixed.LAST_CLOSE}|{_stamp(spark, sf_dir)}".encode()).hexdigest()[:16]
     return f"{shared_dir(spark)}/ledgerlake/{tag}"
 
 

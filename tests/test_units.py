@@ -217,11 +217,12 @@ def test_guarded_runs_advance_the_watermark_only_when_complete(spark, led):
 
     def initial(wm):
         assert wm == 0
-        return IG.append_journal(j.where(F.col("YJ_UID") <= split), target)
+        return IG.append_journal(j.where(F.col("YJ_UID") <= split), target, run_id="r1")
 
     def incremental(wm):
         assert wm is not None and wm <= split
-        return IG.append_journal(j.where(F.col("YJ_UID") > wm), target)
+        IG.append_journal(j.where(F.col("YJ_UID") > wm), target, run_id="r2")
+        return IG.append_journal(j.where(F.col("YJ_UID") > wm), target, run_id="r2")  # a retry adds nothing
 
     def broken(wm):
         raise RuntimeError("source unreachable")
@@ -305,7 +306,10 @@ def test_versioned_merge_commit_and_date_floor(spark):
     IG.write_version(merged, root, "r1")
     cur = {r.k: r.s for r in IG.read_current(spark, root).collect()}
     assert cur == {1: "a", 2: "c", 3: "d"}
-    assert spark.read.parquet(f"{root}/v=r0").count() == 2  # the old version stays readable
+    assert IG.read_version(spark, root, "r0").count() == 2  # the old version stays readable
+    with pytest.raises(ValueError, match="committed already"):  # a retry of a committed run loses nothing
+        IG.write_version(IG.read_current(spark, root), root, "r1")
+    assert IG.read_current(spark, root).count() == 3
     snap = IG.capture_snapshot(IG.read_current(spark, root), T0, T1, "cap", date_floor=T1)
     assert sorted(r.k for r in snap.collect()) == [2, 3]
 
