@@ -126,9 +126,10 @@ def q_plan_vs_actual(spark, sf):
 _AGE = f"date_diff('day', CAST(o_orderdate AS DATE), DATE '{AS_OF}')"
 _AGING_SQL = f"""
     SELECT o_custkey, {', '.join(f"{m(f'coalesce(SUM(CASE WHEN age BETWEEN {lo} AND {hi} THEN c END), 0)')} AS {n}" for n, lo, hi in EX.AGING_BUCKETS)},
+           {m('coalesce(SUM(CASE WHEN age < 0 THEN c END), 0)')} AS NotDue,
            {m('coalesce(SUM(CASE WHEN age > 120 THEN c END), 0)')} AS Over120, {m('SUM(c)')} AS Total
     FROM (SELECT o_custkey, {_AGE} AS age, {c('o_totalprice')} AS c FROM orders WHERE o_orderstatus = 'O')
-    WHERE age >= 0 GROUP BY o_custkey"""
+    GROUP BY o_custkey"""
 
 
 def _aging(spark, sf):

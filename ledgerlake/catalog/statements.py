@@ -497,13 +497,11 @@ def q_monthly_named(spark, sf):
 @register("cash_summary", f"""
     SELECT Branch, Cash, Receivables, Inventory, FloorPlan,
            CAST(Cash + Receivables + Inventory - FloorPlan AS DECIMAL(18, 2)) AS NetCash,
-           CAST(TotalAssets - TotalLiabilities AS DECIMAL(18, 2)) AS NetEquity
+           CAST(Inventory - FloorPlan AS DECIMAL(18, 2)) AS NetEquity
     FROM (SELECT right(GB_GLC, 2) AS Branch, {_z("CASE WHEN Section = 'Cash' THEN GB_AMT END")} AS Cash,
                  {_z("CASE WHEN Section = 'Receivables' THEN GB_AMT END")} AS Receivables,
                  {_z("CASE WHEN Section = 'Wholegoods inventory' THEN GB_AMT END")} AS Inventory,
-                 {_z("CASE WHEN Section = 'Floorplan payable' THEN -GB_AMT END")} AS FloorPlan,
-                 {_m("CASE WHEN Statement = 'BA' THEN GB_AMT ELSE 0 END")} AS TotalAssets,
-                 CAST(-SUM(CASE WHEN Statement <> 'BA' THEN GB_AMT ELSE 0 END) AS DECIMAL(18, 2)) AS TotalLiabilities
+                 {_z("CASE WHEN Section = 'Floorplan payable' THEN -GB_AMT END")} AS FloorPlan
           FROM bsl WHERE GB_DATE = {P} GROUP BY right(GB_GLC, 2))""")
 def q_cash_summary(spark, sf):
     return rp.cash_summary(L(spark, sf), lines(spark, sf), P)

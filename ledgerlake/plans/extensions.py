@@ -33,12 +33,13 @@ AGING_BUCKETS = [("Current", 0, 30), ("D31_60", 31, 60), ("D61_90", 61, 90), ("D
 
 def aging(items: DataFrame, as_of: dt.date, party: str, date_col: str, amount_col: str) -> DataFrame:
     """EXT1: open items by party in age buckets (days since ``date_col`` at
-    ``as_of``), plus the total; amounts in exact cents."""
+    ``as_of``), items dated later as not due, plus the total; amounts in exact cents."""
     days = F.datediff(F.lit(as_of), F.to_date(F.col(date_col)))
     cents = _cents(F.col(amount_col))
-    it = items.where(days >= 0).select(F.col(party), days.alias("age"), cents.alias("c"))
+    it = items.select(F.col(party), days.alias("age"), cents.alias("c"))
     aggs = [_money(F.coalesce(F.sum(F.when(F.col("age").between(lo, hi), F.col("c"))), F.lit(0))).alias(name)
             for name, lo, hi in AGING_BUCKETS]
+    aggs.append(_money(F.coalesce(F.sum(F.when(F.col("age") < 0, F.col("c"))), F.lit(0))).alias("NotDue"))
     aggs.append(_money(F.coalesce(F.sum(F.when(F.col("age") > 120, F.col("c"))), F.lit(0))).alias("Over120"))
     aggs.append(_money(F.sum("c")).alias("Total"))
     return it.groupBy(party).agg(*aggs)

@@ -279,7 +279,8 @@ def monthly_named(led, start: int, end: int) -> DataFrame:
 
 def cash_summary(led, lines: DataFrame, period) -> DataFrame:
     """FS33: per branch: cash, receivables, inventory, floor plan (display sign),
-    net cash (cash + receivables + inventory - floor plan) and net equity."""
+    net cash (cash + receivables + inventory - floor plan) and net equity (inventory -
+    floor plan: what the dealer owns of the goods on the lot)."""
     per = parse_period(period)
     b = bs_lines(led, per).withColumn("Branch", F.substring("GB_GLC", -2, 2))
     sec = F.col("Section")
@@ -288,12 +289,10 @@ def cash_summary(led, lines: DataFrame, period) -> DataFrame:
         return money(F.coalesce(F.sum(F.when(sec == name, F.col("GB_AMT") * sign)), F.lit(0)))
     r = b.groupBy("Branch").agg(
         s("Cash").alias("Cash"), s("Receivables").alias("Receivables"),
-        s("Wholegoods inventory").alias("Inventory"), s("Floorplan payable", -1).alias("FloorPlan"),
-        money(F.sum(F.when(F.col("Statement") == "BA", F.col("GB_AMT")).otherwise(0))).alias("TotalAssets"),
-        money(-F.sum(F.when(F.col("Statement") != "BA", F.col("GB_AMT")).otherwise(0))).alias("TotalLiabilities"))
+        s("Wholegoods inventory").alias("Inventory"), s("Floorplan payable", -1).alias("FloorPlan"))
     return r.select("Branch", "Cash", "Receivables", "Inventory", "FloorPlan",
                     money(F.col("Cash") + F.col("Receivables") + F.col("Inventory") - F.col("FloorPlan")).alias("NetCash"),
-                    money(F.col("TotalAssets") - F.col("TotalLiabilities")).alias("NetEquity"))
+                    money(F.col("Inventory") - F.col("FloorPlan")).alias("NetEquity"))
 
 
 def cash_detail(led, period) -> DataFrame:
