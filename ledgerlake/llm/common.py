@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +79,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+#: The hash that tells words apart.
+word_hash = xxhash.xxh64_intdigest
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, filled on demand.  It is emptied when it has
     grown to ``limit`` words, which bounds memory and changes no result."""
@@ -87,8 +92,7 @@ class WordHashes(dict):
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
-        import xxhash
-        h = xxhash.xxh64_intdigest(word)
+        h = word_hash(word)
         self[word] = h
         return h
 

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, corpus_size, ship, stored, words_of
+from .common import WordHashes, corpus_size, ship, stored, word_hash, words_of
 from .repeats import bucket_of, cells, firsts, joined, member
 
 WORD_SHARE, CONTEXT_SHARE, ARC_SHARE = 5e-5, 1e-3, 1e-5
@@ -91,18 +91,17 @@ class Classes(dict):
 
     def __init__(self, of_hash: dict[int, int]):
         super().__init__()
-        self.of_hash, self.hashes = of_hash, WordHashes()
+        self.of_hash = of_hash
 
     def __missing__(self, word: bytes) -> int:
-        c = self.of_hash.get(self.hashes[word], RARE)
+        c = self.of_hash.get(word_hash(word), RARE)
         self[word] = c
         return c
 
-    def of(self, words: list[bytes]) -> list[int]:
+    def of(self, words: list[bytes]) -> np.ndarray:
         if len(self) > 1 << 20:
             self.clear()
-            self.hashes.clear()
-        return list(map(self.__getitem__, words))
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 def _count_grams(of_hash: dict[int, int], context: np.ndarray):
@@ -110,24 +109,28 @@ def _count_grams(of_hash: dict[int, int], context: np.ndarray):
     k = len(context)  # classes and, last, the beginning of a text
 
     def counted(parts):
-        c = np.array([x for p in parts for x in p], np.int64)
+        c = joined(parts, np.int64)
         if len(c) < 2:
             return
         two = c[:-1] * k + c[1:]
-        two = two[(c[:-1] != END)]
+        both = (c[:-1] == RARE) & (c[1:] == RARE)
+        two = two[(c[:-1] != END) & ~both]
         three = (c[:-2] * k + c[1:-1]) * k + c[2:]
         three = three[context[c[:-2]] & context[c[1:-1]]]
         for order, keys in ((2, two), (3, three)):
             key, n = np.unique(keys, return_counts=True)
+            if order == 2 and both.any():
+                key, n = np.r_[RARE * k + RARE, key], np.r_[both.sum(), n]
             for s in range(0, len(key), 100_000):
                 yield pd.DataFrame({"ord": np.int32(order), "key": key[s:s + 100_000], "n": n[s:s + 100_000]})
 
     def run(batches):
         classes, parts, size = Classes(of_hash), [], 0
+        begin, end = np.array([k - 1]), np.array([END])
         for b in batches:
             for t in b["text"]:
-                parts.append([k - 1, *classes.of(words_of(t)), END])
-                size += len(parts[-1])
+                parts += [begin, classes.of(words_of(t)), end]
+                size += len(parts[-2]) + 2
                 if size > 3_000_000:
                     yield from counted(parts)
                     parts, size = [], 0
@@ -229,10 +232,9 @@ class Places(dict):
     def __init__(self, hashes: np.ndarray):
         super().__init__()
         self.place = dict(zip(hashes.tolist(), range(len(hashes))))
-        self.hashes = WordHashes(1 << 62)
 
     def __missing__(self, word: bytes) -> int:
-        found = self[word] = self.place[self.hashes[word]]
+        found = self[word] = self.place[word_hash(word)]
         return found
 
 
