@@ -1,28 +1,28 @@
-"""Language-model scores by a weighted backoff automaton.
+"""Language-model scores by a weighted backoff automaton over word trigrams.
 
 *Tokens* are words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case, then one end.
 
-*Counts* of every token of the training texts are gathered in buckets of token
-hashes; they grow with the corpus and are never sent anywhere whole.
+*Model.*  Every word, bigram and trigram of the training texts is kept with its whole
+count; no word is classed, no n-gram dropped.  A state is a context; an arc carries the
+probability of a word, discounted by ``DISCOUNT`` and interpolated with the shorter
+context's; the failure arc goes to the shorter context and carries
+``DISCOUNT * successors / count``, so each state's probabilities sum to one.  The empty
+context has add-one shares of all known tokens and one unknown.
 
-*Automaton.*  Tokens of a share of ``WORD_SHARE`` or more of the corpus are classes of
-their own (at most 1 / WORD_SHARE), the end is one, all other tokens are the class of
-rare tokens.  Class bigrams, and trigrams after two words of a share of
-``CONTEXT_SHARE``, are kept if their share is ``ARC_SHARE`` or more (at most
-1 / ARC_SHARE of each order), which bounds the automaton at any corpus size.  A state
-is a context; an arc carries the discounted probability of a class; the failure arc
-goes to the shorter context and carries the backoff weight that makes each state's
-probabilities sum to one.  A rare token costs its class's arc and its add-one share
-among rare tokens, so probabilities over all known tokens and one unknown sum to one.
+*Groups.*  Texts are packed, partition by partition, into groups of about
+``group_bytes`` as arrays of word numbers.  In each round a group deals its distinct
+keys, with their training counts in it, into buckets of their hashes; buckets add up
+and send the totals back in the order of the keys.  Rounds: words, bigrams, trigrams
+and successors of words, successors of bigrams.  Nothing is sent anywhere whole.
 
-*Scoring.*  Documents are dealt into groups by a hash.  A group asks the buckets for
-the counts of its distinct tokens, then every text is traversed once from left to
-right, carrying the state and adding up log10 probabilities.  The text is shuffled
-once: asking and scoring share one exchange.
+*What need not be asked.*  Buckets tell a group which words and bigrams no other group
+has; every n-gram that holds one is in that group only, which counts it itself, exactly.
+
+*Scoring* runs over a group's arrays, each token from the state of the two before it.
 
 Defined results: a null text is empty and has the end as its only token; rows with a
 null id are scored and not learned from; equal texts have equal scores; with nothing
-to learn from all counts are 0.  Tokens are told apart by 64-bit hashes.
+to learn from all counts are 0.  Tokens and n-grams are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -31,232 +31,254 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, corpus_size, ship, stored, word_hash, words_of
-from .repeats import bucket_of, cells, firsts, joined, member
+from .common import WordHashes, corpus_size, mix, ship, stored, word_hash, words_of
+from .repeats import M1, M2, bucket_of, firsts, joined
 
-WORD_SHARE, CONTEXT_SHARE, ARC_SHARE = 5e-5, 1e-3, 1e-5
 DISCOUNT = 0.75
 #: No word holds a space.
 END_WORD = b" end"
-RARE, END = 0, 1
-CELL = "bucket int, grp int, a binary, b binary"
-
+END_HASH, BEGIN_HASH = np.uint64(word_hash(END_WORD)), np.uint64(word_hash(b" begin"))
+#: Rounds: what a group asks about.
+WORDS, PAIRS, TRIPLES, AFTER_WORD, AFTER_PAIR = "words", "pairs", "triples", "after word", "after pair"
+GROUP = "grp bigint, ids binary, nulls binary, learn binary, lens binary, words binary, tokens binary"
+CELL = "kind string, bucket int, grp bigint, a binary, b binary"
+REPLY = "grp bigint, kind string, bucket int, b binary, n bigint, first bigint"
 
-def _counted(hashes: list[np.ndarray], buckets: int):
-    h, n = np.unique(np.concatenate(hashes), return_counts=True)
-    yield from cells(np.zeros(len(h), np.int64), h, n, buckets, lambda k, x: (k.tobytes(), x.astype(np.int64).tobytes()))
 
+def narrow(n: np.ndarray) -> bytes:
+    """Numbers from 0 up in as many bytes each as the largest needs, named in front."""
+    kind = np.min_scalar_type(int(n.max(initial=0)))
+    return bytes([kind.itemsize]) + n.astype(kind).tobytes()
 
-def _count_tokens(buckets: int):
-    def run(batches):
-        words, parts, size = WordHashes(), [], 0
-        end = np.array([WordHashes()[END_WORD]], np.uint64)
-        for b in batches:
-            for t in b["text"]:
-                parts += [words.of(words_of(t)), end]
-                size += len(parts[-2]) + 1
-                if size > 4_000_000:
-                    yield from _counted(parts, buckets)
-                    parts, size = [], 0
-        if parts:
-            yield from _counted(parts, buckets)
-    return run
 
+def wide(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"u{raw[0]}", offset=1).astype(np.int64)
 
-def _sum_tokens(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    h = joined([np.frombuffer(a, np.uint64) for a in pdf["a"]])
-    n = joined([np.frombuffer(b, np.int64) for b in pdf["b"]], np.int64)
-    o = np.argsort(h, kind="stable")
-    at = firsts(h[o])
-    total = np.add.reduceat(n[o], at)
-    return pd.DataFrame({"bucket": [int(key[0])], "a": [h[o][at].tobytes()], "b": [total.tobytes()],
-                         "tokens": [int(total.sum())], "words": [len(at)]})
 
+def _pack(group_bytes: int):
+    """Texts as groups of word numbers."""
+    def packed(grp: int, docs: list, hashes: list[np.ndarray]) -> pd.DataFrame:
+        words, at = np.unique(np.concatenate(hashes), return_inverse=True)
+        null = np.array([d[0] is None for d in docs])
+        return pd.DataFrame({
+            "grp": [grp], "ids": [np.array([d[0] or 0 for d in docs], np.int64).tobytes()], "nulls": [null.tobytes()],
+            "learn": [np.array([d[1] for d in docs], bool).tobytes()],
+            "lens": [np.array([len(h) for h in hashes], np.int64).tobytes()], "words": [words.tobytes()], "tokens": [narrow(at)]})
 
-def _common(least: float):
     def run(batches):
+        seen, docs, hashes, size = WordHashes(), [], [], 0
+        grp = TaskContext.get().partitionId() << 32
         for b in batches:
-            for x, y in zip(b["a"], b["b"]):
-                n = np.frombuffer(y, np.int64)
-                keep = n >= least
-                yield pd.DataFrame({"h": np.frombuffer(x, np.uint64)[keep].view(np.int64), "n": n[keep]})
+            for i, learn, t in zip(b["doc_id"], b["learn"], b["text"]):
+                if size + len(t or b"") > group_bytes and docs:
+                    yield packed(grp, docs, hashes)
+                    grp, docs, hashes, size = grp + 1, [], [], 0
+                docs.append((None if pd.isna(i) else int(i), bool(learn)))
+                hashes.append(seen.of([*words_of(t), END_WORD]))
+                size += len(t or b"")
+        if docs:
+            yield packed(grp, docs, hashes)
     return run
 
 
-class Classes(dict):
-    """word -> class, filled on demand, emptied when it is large."""
-
-    def __init__(self, of_hash: dict[int, int]):
-        super().__init__()
-        self.of_hash = of_hash
-
-    def __missing__(self, word: bytes) -> int:
-        c = self.of_hash.get(word_hash(word), RARE)
-        self[word] = c
-        return c
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > 1 << 20:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-
-
-def _count_grams(of_hash: dict[int, int], context: np.ndarray):
-    """Class bigrams (order 2) and trigrams (order 3), combined per partition."""
-    k = len(context)  # classes and, last, the beginning of a text
-
-    def counted(parts):
-        c = joined(parts, np.int64)
-        if len(c) < 2:
-            return
-        two = c[:-1] * k + c[1:]
-        both = (c[:-1] == RARE) & (c[1:] == RARE)
-        two = two[(c[:-1] != END) & ~both]
-        three = (c[:-2] * k + c[1:-1]) * k + c[2:]
-        three = three[context[c[:-2]] & context[c[1:-1]]]
-        for order, keys in ((2, two), (3, three)):
-            key, n = np.unique(keys, return_counts=True)
-            if order == 2 and both.any():
-                key, n = np.r_[RARE * k + RARE, key], np.r_[both.sum(), n]
-            for s in range(0, len(key), 100_000):
-                yield pd.DataFrame({"ord": np.int32(order), "key": key[s:s + 100_000], "n": n[s:s + 100_000]})
-
+class Group:
+    """A group of texts with what has come back to it."""
+
+    def __init__(self, row, replies: pd.DataFrame | None = None):
+        self.grp = int(row["grp"])
+        self.replies = {k: r.sort_values("bucket") for k, r in replies.groupby("kind")} if replies is not None else {}
+        word = np.frombuffer(row["words"], np.uint64)
+        k = self.k = len(word)
+        self.word = np.r_[word, BEGIN_HASH]
+        self.end = int(np.searchsorted(word, END_HASH))
+        self.lens = np.frombuffer(row["lens"], np.int64)
+        self.at = np.cumsum(self.lens) - self.lens
+        self.docs_learn = np.frombuffer(row["learn"], bool)
+        self.learn = np.repeat(self.docs_learn, self.lens)
+        self.w = wide(row["tokens"])
+        self.n1 = np.bincount(self.w[self.learn], minlength=k)
+
+    def reply(self, kind: str, order: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all keys: totals, whether this group is the first that learns from them,
+        and whether no other group has them, as with those not asked about (not in
+        ``order``)."""
+        total, first, alone = own.copy(), own > 0, np.ones(len(own), bool)
+        got = self.replies.get(kind)
+        x = joined([wide(b) for b in got["b"]] if got is not None else [], np.int64)
+        total[order], alone[order], first[order] = x >> 2, (x & 2) > 0, (x & 1) > 0
+        return total, first, alone
+
+    def asked(self, kind: str, hashes: np.ndarray, where: np.ndarray) -> np.ndarray:
+        """The keys that the group asks about, in order of their hashes."""
+        at = np.flatnonzero(where)
+        return at[np.argsort(hashes[at], kind="stable")]
+
+    def words(self) -> None:
+        order = np.arange(self.k)  # hashes are sorted already
+        total, _, alone = self.reply(WORDS, order, self.n1)
+        # a beginning is as frequent as an end
+        self.t1, self.alone1 = np.r_[total, total[self.end]], np.r_[alone, alone[self.end]]
+
+    def pairs(self) -> None:
+        self.words()
+        v = np.r_[0, self.w[:-1]]
+        v[self.at] = self.k
+        self.v = v
+        self.key2, self.p = np.unique(v * self.k + self.w, return_inverse=True)
+        self.v2, self.w2 = self.key2 // self.k, self.key2 % self.k
+        self.h2 = mix(mix(self.word[self.v2] * M1) + self.word[self.w2] * M2)
+        self.n2 = np.bincount(self.p[self.learn], minlength=len(self.key2))
+        self.ask2 = self.asked(PAIRS, self.h2, ~(self.alone1[self.v2] | self.alone1[self.w2]))
+
+    def triples(self) -> None:
+        self.pairs()
+        self.t2, self.first2, self.alone2 = self.reply(PAIRS, self.ask2, self.n2)
+        self.inner = np.ones(len(self.w), bool)
+        self.inner[self.at] = False
+        i = np.flatnonzero(self.inner)
+        key, self.q = np.unique(self.p[i - 1] * self.k + self.w[i], return_inverse=True)
+        self.c3, w3 = key // self.k, key % self.k
+        self.h3 = mix(mix(self.h2[self.c3] * M1) + self.word[w3] * M2)
+        self.n3 = np.bincount(self.q[self.learn[i]], minlength=len(key))
+        shorter = np.searchsorted(self.key2, self.w2[self.c3] * self.k + w3)
+        self.ask3 = self.asked(TRIPLES, self.h3, ~(self.alone2[self.c3] | self.alone2[shorter]))
+        self.after1 = np.bincount(self.v2, self.first2, self.k + 1).astype(np.int64)
+        self.ask_after1 = self.asked(AFTER_WORD, self.word, ~self.alone1)
+
+    def successors(self) -> None:
+        self.triples()
+        self.t3, first3, _ = self.reply(TRIPLES, self.ask3, self.n3)
+        self.after1 = self.reply(AFTER_WORD, self.ask_after1, self.after1)[0]
+        self.after2 = np.bincount(self.c3, first3, len(self.key2)).astype(np.int64)
+        self.ask_after2 = self.asked(AFTER_PAIR, self.h2, ~self.alone2 & (self.w2 != self.end))
+
+    def score(self, total: int, words: int) -> tuple[np.ndarray, ...]:
+        """Tokens, known tokens, base score and score of each text."""
+        self.successors()
+        after2 = self.reply(AFTER_PAIR, self.ask_after2, self.after2)[0]
+        base = (self.t1[self.w] + 1.0) / (total + words + 1)
+
+        def longer(n, context, after, shorter):
+            of = np.maximum(context, 1)
+            p = (np.maximum(n - DISCOUNT, 0) + DISCOUNT * after * shorter) / of
+            return np.where(context > 0, p, shorter)
+
+        p = longer(self.t2[self.p], self.t1[self.v], self.after1[self.v], base)
+        i = np.flatnonzero(self.inner)
+        c = self.p[i - 1]
+        p[i] = longer(self.t3[self.q], self.t2[c], after2[c], p[i])
+        known = (self.t1[self.w] > 0).astype(np.int64)
+        return self.lens, np.add.reduceat(known, self.at), np.add.reduceat(np.log10(base), self.at), np.add.reduceat(np.log10(p), self.at)
+
+    def cells(self, kind: str, hashes: np.ndarray, n: np.ndarray, order: np.ndarray, buckets: int) -> pd.DataFrame:
+        h, n = hashes[order], n[order]
+        bucket = bucket_of(h, buckets)
+        at = firsts(bucket)
+        to = np.r_[at[1:], len(h)]
+        return pd.DataFrame({"kind": kind, "bucket": bucket[at].astype(np.int32), "grp": np.int64(self.grp),
+                             "a": [h[s:e].tobytes() for s, e in zip(at, to)], "b": [narrow(n[s:e]) for s, e in zip(at, to)]})
+
+
+def _ask_words(buckets: int):
     def run(batches):
-        classes, parts, size = Classes(of_hash), [], 0
-        begin, end = np.array([k - 1]), np.array([END])
         for b in batches:
-            for t in b["text"]:
-                parts += [begin, classes.of(words_of(t)), end]
-                size += len(parts[-2]) + 2
-                if size > 3_000_000:
-                    yield from counted(parts)
-                    parts, size = [], 0
-        yield from counted(parts)
+            for _, row in b.iterrows():
+                g = Group(row)
+                yield g.cells(WORDS, g.word, g.n1, np.arange(g.k), buckets)
     return run
 
 
+def _ask(kind: str, buckets: int):
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        g = Group(left.iloc[0], right)
+        if kind == PAIRS:
+            g.pairs()
+            return g.cells(PAIRS, g.h2, g.n2, g.ask2, buckets)
+        if kind == TRIPLES:
+            g.triples()
+            return pd.concat([g.cells(TRIPLES, g.h3, g.n3, g.ask3, buckets),
+                              g.cells(AFTER_WORD, g.word, g.after1, g.ask_after1, buckets)])
+        g.successors()
+        return g.cells(AFTER_PAIR, g.h2, g.after2, g.ask_after2, buckets)
+    return run
+
+
+def _total(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Adds up a bucket.  Each group's totals, four times, plus two where no other group
+    has the key, plus one where it is the first that learns from it."""
+    pdf = pdf.sort_values("grp")
+    parts = [np.frombuffer(a, np.uint64) for a in pdf["a"]]
+    h, n = joined(parts), joined([wide(b) for b in pdf["b"]], np.int64)
+    o = np.argsort(h, kind="stable")
+    at = firsts(h[o])
+    size = np.diff(np.r_[at, len(h)])
+    total = np.repeat(np.add.reduceat(n[o], at), size)
+    learns = n[o] > 0
+    before = np.cumsum(learns) - learns
+    first = learns & (before == np.repeat(before[at], size))
+    out = np.empty(len(h), np.int64)
+    out[o] = 4 * total + 2 * np.repeat(size == 1, size) + first
+    cut = np.cumsum([len(x) for x in parts])
+    rows = list(zip(np.split(out, cut[:-1]), np.split(n, cut[:-1])))
+    return pd.DataFrame({"grp": pdf["grp"].to_numpy(), "kind": key[0], "bucket": np.int32(key[1]), "b": [narrow(x) for x, _ in rows],
+                         "n": [int(y.sum()) for _, y in rows], "first": [int((x & 1).sum()) for x, _ in rows]})
+
+
 class Automaton:
-    """States, arcs and failure arcs of the backoff model over classes."""
+    """States, arcs and failure arcs of a model that fits in memory (tests compare the
+    scores of groups with it)."""
 
     def __init__(self, counts: np.ndarray, total: int, two: dict[int, int], three: dict[int, int]):
-        """counts: of each class, and of beginnings last; two, three: kept n-grams by key."""
+        """counts: of each word, and of beginnings last; two, three: n-grams by key."""
         k = self.k = len(counts)
-        self.unigram = np.log10((counts[:-1] + 1.0) / (total + k - 1))
+        self.unigram = (counts[:-1] + 1.0) / (total + k - 1)
         contexts: dict[tuple, list] = {}
         for key, n in two.items():
             contexts.setdefault((key // k,), []).append((key % k, n))
         for key, n in three.items():
-            u, v, w = key // (k * k), key // k % k, key % k
-            if u * k + v in two:
-                contexts.setdefault((u, v), []).append((w, n))
+            contexts.setdefault((key // (k * k), key // k % k), []).append((key % k, n))
         self.states = {(): 0}
-        self.last, self.fail, self.back, self.arcs = [-1], [0], [0.0], {}
+        self.last, self.fail, self.back, self.arcs = [-1], [0], [1.0], {}
         for context in sorted(contexts, key=lambda c: (len(c), c)):
             s = len(self.last)
-            shorter = self.states.get(context[1:], 0)
             size = two[context[0] * k + context[1]] if len(context) == 2 else int(counts[context[0]])
-            kept = {w: (n - DISCOUNT) / size for w, n in contexts[context]}
-            below = sum(10 ** self.probability(shorter, w) for w in kept)
-            left = max(1 - sum(kept.values()), 1e-9)
             self.states[context] = s
             self.last.append(context[-1])
-            self.fail.append(shorter)
-            self.back.append(math.log10(left / max(1 - below, 1e-9)))
-            for w, p in kept.items():
-                self.arcs[s * k + w] = math.log10(p)
-        self.steps: dict[int, tuple[float, int]] = {}
+            self.fail.append(self.states.get(context[1:], 0))
+            self.back.append(1 - sum(n - DISCOUNT for _, n in contexts[context]) / size)
+            for w, n in contexts[context]:
+                self.arcs[s * k + w] = (n - DISCOUNT) / size
         self.start = self.states.get((k - 1,), 0)
 
+    def share(self, state: int, w: int) -> float:
+        if not state:
+            return float(self.unigram[w])
+        return self.arcs.get(state * self.k + w, 0.0) + self.back[state] * self.share(self.fail[state], w)
+
     def probability(self, state: int, w: int) -> float:
-        """log10 probability of a class: along failure arcs until an arc fits."""
-        x = 0.0
-        while state:
-            p = self.arcs.get(state * self.k + w)
-            if p is not None:
-                return x + p
-            x += self.back[state]
-            state = self.fail[state]
-        return x + self.unigram[w]
-
-    def step(self, key: int) -> tuple[float, int]:
-        state, w = divmod(key, self.k)
-        if len(self.steps) > 2_000_000:
-            self.steps.clear()
-        to = self.states.get((self.last[state], w)) or self.states.get((w,), 0)
-        found = self.steps[key] = (float(self.probability(state, w)), to)
-        return found
-
-    def score(self, classes: list[int]) -> float:
+        """log10 probability of a word after a context."""
+        return math.log10(self.share(state, w))
+
+    def score(self, words: list[int]) -> float:
         """One traversal: the state is carried, log-probabilities are added."""
-        total, state, k, steps = 0.0, self.start, self.k, self.steps
-        for w in classes:
-            found = steps.get(state * k + w)
-            if found is None:
-                found = self.step(state * k + w)
-            total += found[0]
-            state = found[1]
+        total, state = 0.0, self.start
+        for w in words:
+            total += self.probability(state, w)
+            state = self.states.get((self.last[state], w)) or self.states.get((w,), 0)
         return total
 
 
-def _ask(buckets: int):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        distinct: set[bytes] = set()
-        for t in pdf["text"]:
-            distinct.update(words_of(t))
-        h = np.unique(WordHashes().of(list(distinct)))
-        rows = list(cells(np.full(len(h), int(key[0])), h, h, buckets, lambda k, x: (k.tobytes(), b"")))
-        return pd.concat(rows) if rows else pd.DataFrame({"bucket": [], "grp": [], "a": [], "b": []}).astype(
-            {"bucket": "int32", "grp": "int32", "a": object, "b": object})
-    return run
-
-
-def _reply(key: tuple, asked: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-    known = joined([np.frombuffer(a, np.uint64) for a in counts["a"]])
-    n = joined([np.frombuffer(b, np.int64) for b in counts["b"]], np.int64)
-    out = []
-    for grp, a in zip(asked["grp"], asked["a"]):
-        h = np.frombuffer(a, np.uint64)
-        at = member(h, known)
-        found = np.where(at >= 0, n[at] if len(n) else 0, 0)
-        small = found.max(initial=0) < 1 << 32
-        out.append((grp, a, found.astype(np.uint32 if small else np.int64).tobytes()))
-    return pd.DataFrame(out, columns=["grp", "a", "b"])
-
-
-class Places(dict):
-    """word -> place of its hash in the counts that came back, filled on demand."""
-
-    def __init__(self, hashes: np.ndarray):
-        super().__init__()
-        self.place = dict(zip(hashes.tolist(), range(len(hashes))))
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = self.place[word_hash(word)]
-        return found
-
-
-def _score(model, of_hash: dict[int, int], total: int, words: int, rare: tuple[int, int], ends: int):
+def _score(total: int, words: int):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        automaton: Automaton = model.value
-        h = joined([np.frombuffer(a, np.uint64) for a in right["a"]])
-        n = joined([np.frombuffer(b, np.uint32 if 2 * len(b) == len(a) else np.int64).astype(np.int64)
-                    for a, b in zip(right["a"], right["b"])], np.int64)
-        places = Places(h)
-        cls = np.array([of_hash.get(x, RARE) for x in h.tolist()], np.int64)
-        base, inside = np.log10((n + 1.0) / (total + words + 1)), np.log10((n + 1.0) / (rare[0] + rare[1] + 1))
-        end = math.log10((ends + 1.0) / (total + words + 1))
-        out = []
-        for t in left["text"]:
-            w = words_of(t)
-            at = np.fromiter(map(places.__getitem__, w), np.int64, len(w))
-            c = cls[at]
-            score = automaton.score([*c.tolist(), END]) + float(inside[at[c == RARE]].sum())
-            out.append((len(w) + 1, int((n[at] > 0).sum()) + (ends > 0), float(base[at].sum()) + end, score))
-        return pd.DataFrame({"doc_id": left["doc_id"], "n_tokens": [x[0] for x in out], "n_known": [x[1] for x in out],
-                             "base_score": [x[2] for x in out], "score": [x[3] for x in out]})
+        row = left.iloc[0]
+        tokens, known, base, score = Group(row, right).score(total, words)
+        ids = pd.array(np.frombuffer(row["ids"], np.int64), "Int64")
+        ids[np.frombuffer(row["nulls"], bool)] = pd.NA
+        return pd.DataFrame({"doc_id": ids, "n_tokens": tokens, "n_known": known, "base_score": base, "score": score})
     return run
 
 
@@ -264,53 +286,26 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     group_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """One row per document row: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score."""
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     _, size = corpus_size(docs, text_col)
-    groups, buckets = max(1, -(-size // group_bytes)), max(1, -(-size // bucket_bytes))
+    buckets = max(1, -(-size // bucket_bytes))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
-    train = src.where(part != held_part).select("text")
+    learn = F.coalesce(part != held_part, F.lit(False))
+    groups = stored(src.select("doc_id", learn.alias("learn"), "text").mapInPandas(_pack(group_bytes), GROUP), "groups")
 
-    counts = stored(train.mapInPandas(_count_tokens(buckets), CELL).groupBy("bucket").applyInPandas(
-        _sum_tokens, "bucket int, a binary, b binary, tokens bigint, words bigint"), "tokens")
-    r = counts.agg(F.sum("tokens").alias("n"), F.sum("words").alias("v")).first()
-    total, words = r["n"] or 0, r["v"] or 0
+    def totals(cells: DataFrame, name: str) -> DataFrame:
+        return stored(cells.groupBy("kind", "bucket").applyInPandas(_total, REPLY), name)
 
-    # Classes: bounded by 1 / WORD_SHARE.
-    end = WordHashes()[END_WORD]
-    frequent = {int(x["h"]) & (1 << 64) - 1: int(x["n"]) for x in counts.select("a", "b").mapInPandas(
-        _common(max(2.0, WORD_SHARE * total)), "h bigint, n bigint").collect()}
-    ends = frequent.pop(end, 0) or _count_of(counts, end, buckets)
-    ordered = sorted(frequent, key=lambda h: (-frequent[h], h))
-    of_hash = {h: i + 2 for i, h in enumerate(ordered)}
-    own = np.array([frequent[h] for h in ordered], np.int64)
-    rare = (total - int(own.sum()) - ends, words - len(own) - (ends > 0))
-    class_counts = np.r_[rare[0], ends, own, ends]
-    context = np.r_[False, False, own >= CONTEXT_SHARE * total, True]
-
-    # Arcs: bounded by 1 / ARC_SHARE for each order.
-    grams = (train.mapInPandas(_count_grams(of_hash, context), "ord int, key bigint, n bigint")
-             .groupBy("ord", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2.0, ARC_SHARE * total)).toPandas())
-    kept = [{int(k): int(n) for k, n in zip(g["key"], g["n"])} for g in (grams[grams["ord"] == i].sort_values("key") for i in (2, 3))]
-    model = spark.sparkContext.broadcast(Automaton(class_counts, total, *kept))
-
-    grouped = src.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int")).groupBy("grp")
-    asked = grouped.applyInPandas(_ask(buckets), CELL)
-    replies = asked.groupBy("bucket").cogroup(counts.select("bucket", "a", "b").groupBy("bucket")).applyInPandas(
-        _reply, "grp int, a binary, b binary")
+    replies = totals(groups.mapInPandas(_ask_words(buckets), CELL), "words")
+    r = replies.agg(F.sum("n").alias("n"), F.sum("first").alias("v")).first()
+    total, words = r["n"] or 0, r["v"] or 0
+    grouped = groups.groupBy("grp")
+    for kind in (PAIRS, TRIPLES, AFTER_PAIR):
+        asked = grouped.cogroup(replies.groupBy("grp")).applyInPandas(_ask(kind, buckets), CELL)
+        replies = replies.unionByName(totals(asked, kind.replace(" ", "-")))
     scores = grouped.cogroup(replies.groupBy("grp")).applyInPandas(
-        _score(model, of_hash, total, words, rare, ends),
-        "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+        _score(total, words), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == held_part, F.lit(False))
     return scores.select("doc_id", held.alias("held_out"), "n_tokens", "n_known",
                          F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def _count_of(counts: DataFrame, h: int, buckets: int) -> int:
-    """The count of one token."""
-    row = counts.where(F.col("bucket") == int(bucket_of(np.array([h], np.uint64), buckets)[0])).select("a", "b").first()
-    if row is None:
-        return 0
-    at = member(np.array([h], np.uint64), np.frombuffer(row["a"], np.uint64))[0]
-    return int(np.frombuffer(row["b"], np.int64)[at]) if at >= 0 else 0

@@ -114,6 +114,25 @@ def test_automaton_states_are_distributions():
         a.probability(a.states[(4,)], 2) + a.probability(a.states[(2,)], 3) + a.probability(a.states[(2, 3)], 2) + a.probability(a.states[(2,)], 1))
 
 
+def test_lm_keeps_every_ngram(spark):
+    """Scores of groups that ask each other equal one automaton over all words."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(150)
+    rows = [(d.doc_id, [*words_of(d.text), lm.END_WORD]) for d in docs.collect()]
+    learned = [w for i, w in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    number = {w: i + 1 for i, w in enumerate(sorted({x for w in learned for x in w}))}  # 0: unknown
+    k = len(number) + 2
+    counts, two, three = np.zeros(k, int), Counter(), Counter()
+    for w in learned:
+        c = [k - 1, *(number[x] for x in w)]
+        np.add.at(counts, c, 1)
+        two.update(a * k + b for a, b in zip(c, c[1:]))
+        three.update((x * k + y) * k + z for x, y, z in zip(c, c[1:], c[2:]))
+    automaton = lm.Automaton(counts, int(counts[:-1].sum()), two, three)
+    got = {r.doc_id: r.score for r in lm.score_documents(docs.repartition(3), group_bytes=20_000, bucket_bytes=50_000).collect()}
+    for i, w in rows:
+        assert got[i] == pytest.approx(automaton.score([number.get(x, 0) for x in w]), rel=1e-9)
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
