@@ -17,7 +17,8 @@ counts once).  Labels of rows with ``crc32(doc_id) % 5 = 0`` are never read.  A
 depends on the text alone.
 
 Defined results: null and empty texts score like a text without votes; without any
-labels of both kinds only the fixed lexicon and patterns vote, with fixed weights;
+labels of both kinds only the fixed lexicon and patterns vote, with fixed weights, which
+voters that no text of the sample moves have too;
 equal texts have equal scores; labels that are null, repeated or contradict are left
 out, counted once, and taken as toxic.
 """
@@ -42,6 +43,8 @@ OPENING = 8
 EDGE = b"\"'`.,;:!?()[]{}<>%&$#*@/\\|~^_=+-"
 #: Least rate of the label 1 on toxic and greatest on clean texts.
 LABEL = (0.85, 0.02)
+#: Least ratio of a voter's rate on toxic to that on clean texts.
+LIFT = 4
 PATTERNS = ("pattern:shouting", "pattern:exclaiming")
 
 
@@ -140,12 +143,13 @@ def mine(rows: DataFrame, most: int, least: float) -> list[bytes]:
     total = counts.where(F.length("name") == 0).first()
     if total is None or not total["a"] or not total["b"]:
         return []
-    p = total["a"] / (total["a"] + total["b"])
+    toxic, clean = total["a"], total["b"]
+    p = toxic / (toxic + clean)
     n = F.col("a") + F.col("b")
     g = 2 * (F.col("a") * F.log(F.col("a") / (n * F.lit(p)))
              + F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / (n * F.lit(1 - p)))).otherwise(F.lit(0.0)))
     found = (counts.where((F.length("name") > 0) & (F.col("a") > 0)).withColumn("g", g)
-             .where((F.col("g") >= least) & (F.col("a") > 4 * n * F.lit(p)))
+             .where((F.col("g") >= least) & (F.col("a") * F.lit(clean) > LIFT * F.col("b") * F.lit(toxic)))
              .orderBy(F.desc("g"), "name").limit(most).collect())
     return [bytes(r["name"]) for r in found]
 
@@ -211,17 +215,19 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     fixed = [b"=" + w.encode() for w in INSULTS]
     mined = [n for n in mine(rows, most_voters, least) if n not in fixed]
     names = fixed + mined
-    found = rows.mapInPandas(_collect_votes(names), "y int, votes array<int>").collect() if mined else []
+    found = rows.mapInPandas(_collect_votes(names), "y int, votes array<int>").collect()
     votes = np.zeros((len(found), len(names) + len(PATTERNS)))
     for i, r in enumerate(found):
         votes[i, r["votes"]] = 1
     given = np.array([r["y"] > 0 for r in found], float)
-    if not mined or not 0 < given.sum() < len(given):
-        return Model(names, np.r_[np.full(len(PATTERNS), 0.5), np.full(len(names), 4.0)], -2.0)
+    start = np.r_[np.full(len(PATTERNS), 0.5), np.full(len(names), 4.0)]
+    if not 0 < given.sum() < len(given):
+        return Model(names, start, -2.0)
     order = np.lexsort(np.c_[votes, given].T)  # the same sums whatever order rows came in
     votes, given = votes[order], given[order]
     post = label_model(votes, given)
     weights, bias = logistic(votes, post)
+    weights = np.where(votes.any(axis=0), weights, start)
     return Model(names, weights, bias)
 
 

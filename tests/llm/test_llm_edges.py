@@ -114,6 +114,22 @@ def test_toxicity(docs, labels):
     assert toxicity.reject(docs, labels).count() == len(TEXTS) - 1
 
 
+def test_toxicity_where_a_third_is_toxic(spark):
+    rows = [(i, f"note {i} about {'zorblax' if i % 3 == 0 else 'gardens'} and item{i % 7}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    assert {(x.doc_id % 3 == 0, x.predicted) for x in toxicity.score_documents(docs, labels).collect()} == {(True, 1), (False, 0)}
+
+
+def test_toxicity_is_fitted_without_mined_voters(spark):
+    rows = [(i, f"you idiot {i}" if i % 2 else f"fine {i}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, toxic int")
+    m = toxicity.fit(docs, labels)
+    assert m.bias != -2.0 and m.weights[len(toxicity.PATTERNS) + m.names.index(b"=idiot")] not in (0.0, 4.0)
+    assert m.weights[len(toxicity.PATTERNS) + m.names.index(b"=vermin")] == 4.0
+
+
 def test_lm(docs):
     r = {x.doc_id: x for x in lm.score_documents(docs).collect()}
     assert r[4].n_tokens == 1 and r[4].score == r[5].score == r[6].score and r[7].n_tokens == 2
