@@ -12,15 +12,14 @@
 4. Every whole text is scored in one narrow pass with the classifier's weights.
 
 Fitting reads at most ``sample_rows`` labelled rows (a documented bound; chosen by a
-hash of the id, one for each opening of ``OPENING`` words, so a group of copies
-counts once).  Labels of rows with ``crc32(doc_id) % 5 = 0`` are never read.  A score
+hash of the id; equal texts count once, whatever their ids and partitions).  Labels of rows with ``crc32(doc_id) % 5 = 0`` are never read.  A score
 depends on the text alone.
 
 Defined results: null and empty texts score like a text without votes; without any
 labels of both kinds only the fixed lexicon and patterns vote, with fixed weights, which
 voters that no text of the sample moves have too;
-equal texts have equal scores; labels that are null, repeated or contradict are left
-out, counted once, and taken as toxic.
+equal texts have equal scores; labels that are null, repeated or contradict, of
+one id or of equal texts, are left out, counted once, and taken as toxic.
 """
 
 from __future__ import annotations
@@ -39,7 +38,6 @@ from .common import as_bytes, ship
 INSULTS = ("idiot", "moron", "stupid", "scum", "loser", "trash", "clown", "pathetic", "worthless", "disgusting",
            "imbecile", "bastard", "bitch", "asshole", "retard", "filth", "vermin", "cretin", "dumbass", "degenerate")
 BEGINNINGS = range(3, 8)
-OPENING = 8
 EDGE = b"\"'`.,;:!?()[]{}<>%&$#*@/\\|~^_=+-"
 #: Least rate of the label 1 on toxic and greatest on clean texts.
 LABEL = (0.85, 0.02)
@@ -106,30 +104,24 @@ class Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
-    """(opening, y, text) of at most ``rows`` labelled rows, none of them held out."""
+    """(text, y) of the distinct texts of at most ``rows`` labelled rows, none of them held out."""
     own = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
            .where("id is not null and y is not null").where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0)
            .groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(rows))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # bounded by ``rows``, so it may be broadcast: the texts are not shuffled
-    return texts.join(F.broadcast(own), "id").select("y", "text")
+    # bounded by ``rows``, so it may be broadcast: only their texts are shuffled
+    return texts.join(F.broadcast(own), "id").groupBy("text").agg(F.max("y").alias("y"))
 
 
 def _counts(batches):
-    """Documents with each trait, by label, combined per partition; the first of each opening."""
-    seen: set = set()
+    """Documents with each trait, by label, combined per partition."""
     counts: tuple[Counter, Counter] = Counter(), Counter()
     docs = [0, 0]
     for b in batches:
         for y, t in zip(b["y"], b["text"]):
-            words = forms(t)
-            opening = tuple(words[:OPENING])
-            if opening in seen:
-                continue
-            seen.add(opening)
             y = int(y > 0)
             docs[y] += 1
-            counts[y].update({x for w in set(words) if w for x in traits(w)})
+            counts[y].update({x for w in set(forms(t)) if w for x in traits(w)})
     names = set(counts[1]) | {b""}
     out = [(n, counts[1][n], counts[0][n]) if n else (b"", docs[1], docs[0]) for n in names]
     for s in range(0, len(out), 50_000):

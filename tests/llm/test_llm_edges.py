@@ -121,6 +121,16 @@ def test_toxicity_where_a_third_is_toxic(spark):
     assert {(x.doc_id % 3 == 0, x.predicted) for x in toxicity.score_documents(docs, labels).collect()} == {(True, 1), (False, 0)}
 
 
+def test_toxicity_of_texts_with_a_common_header(spark):
+    head = "notice from the desk of the town forum"
+    rows = [(i, f"{head} {'zorblax' if i % 5 == 0 else 'gardens'} item{i}") for i in range(400)]
+    rows += [(i + 400, t) for i, t in rows[:50]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0 and i < 400)) for i, _ in rows], "doc_id bigint, toxic int")
+    got = [{x.doc_id: x.score for x in toxicity.score_documents(d, labels).collect()} for d in (docs.coalesce(1), docs.repartition(7, "text"))]
+    assert got[0] == got[1] and {i for i, s in got[0].items() if s >= 0.5} == {i for i, t in rows if "zorblax" in t}
+
+
 def test_toxicity_is_fitted_without_mined_voters(spark):
     rows = [(i, f"you idiot {i}" if i % 2 else f"fine {i}") for i in range(12)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
