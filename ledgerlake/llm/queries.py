@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, extract, licenses, lm, minhash, repeats, sentencepieces, sharding, topk, toxicity
+from . import decontaminate, extract, licenses, lm, minhash, repeats, sentencepieces, sharding, topk, toxicity, urls
 from .common import table
 
 
@@ -54,10 +54,14 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minhash_near_dedup, op2_license_scan, op3_sentencepiece, op4_exact_top_k, op5_sharding,
                                op6_toxicity, op7_suffix_array_dedup, op8_html_extraction, op9_lm_scoring,
-                               op10_benchmark_decontamination)}
+                               op10_benchmark_decontamination, op11_url_filter)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": minhash.SQL,
@@ -65,4 +69,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_sharding": sharding.SQL,
     "op7_suffix_array_dedup": repeats.SQL,
     "op10_benchmark_decontamination": decontaminate.SQL,
+    "op11_url_filter": urls.SQL,
 }
