@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, extract, licenses, lm, minhash, repeats, sentencepieces, sharding, topk, toxicity, urls
+from . import decontaminate, extract, licenses, lm, minhash, repeats, sentencepieces, sharding, spelling, topk, toxicity, trie, urls
 from .common import table
 
 
@@ -58,10 +58,19 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minhash_near_dedup, op2_license_scan, op3_sentencepiece, op4_exact_top_k, op5_sharding,
                                op6_toxicity, op7_suffix_array_dedup, op8_html_extraction, op9_lm_scoring,
-                               op10_benchmark_decontamination, op11_url_filter)}
+                               op10_benchmark_decontamination, op11_url_filter, op12_spelling_variants,
+                               op13_conversation_trie)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": minhash.SQL,
@@ -70,4 +79,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_suffix_array_dedup": repeats.SQL,
     "op10_benchmark_decontamination": decontaminate.SQL,
     "op11_url_filter": urls.SQL,
+    "op12_spelling_variants": spelling.SQL,
+    "op13_conversation_trie": trie.SQL,
 }
