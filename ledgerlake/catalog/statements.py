@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import fixed
+from ..functions.columns import money
+from ..functions.sections import longest_prefix
+from ..operators import joins as JN
 from ..oracle import midx
 from ..plans import statements as st
+from ..sources.detail import detailed_balances
 from ..sources.store import ledger
 from . import register
 
@@ -195,9 +201,92 @@ def q_balance_sheet_detail(spark, sf):
     return st.balance_sheet(L(spark, sf), lines(spark, sf), P, detail="by_account")
 
 
-@register("structured_balance_sheet", _bs_block(P, "Amount", "AND right(GB_GLC, 2) = '05'", "AND Branch = '05'"))
+def _list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _detail_sql() -> str:
+    """GLCAL's balance-sheet rows in detailed accounts (FIXTURES F6)."""
+    inv, dep, n = fixed.INVENTORY_ACCOUNT, fixed.ACCUM_DEPRECIATION_ACCOUNT, len(fixed.INVENTORY_PAIRS)
+    base = ("(SELECT g.*, CAST(right(g.GB_GLC, 2) AS INTEGER) AS br, CAST(round(g.GB_AMT * 100) AS BIGINT) AS cents FROM glcal g "
+            "JOIN accmast a ON a.ACCO = g.GB_CO AND a.ACACC = g.GB_GLA WHERE a.ACTYP = '1')")
+    key = "GB_CO, GB_DIV, GB_GLC, GB_DATE"
+    suffix = f"{_list(fixed.ASSET_SUFFIXES)}[br % {len(fixed.ASSET_SUFFIXES)} + 1]"
+    picks = " ".join(f"WHEN '{a}' THEN {_list(v)}[br % {len(v)} + 1]" for a, v in fixed.DETAIL_OF.items())
+    arms = [
+        f"SELECT {key}, CASE GB_GLA {picks} ELSE GB_GLA END AS acc, cents FROM b WHERE GB_GLA NOT IN ('{inv}', '{dep}')",
+        f"SELECT {key}, {_list(p[0] for p in fixed.INVENTORY_PAIRS)}[br % {n} + 1], cents + abs(cents) // {fixed.RESERVE_SHARE} FROM b WHERE GB_GLA = '{inv}'",
+        f"SELECT {key}, {_list(p[1] for p in fixed.INVENTORY_PAIRS)}[br % {n} + 1], -(abs(cents) // {fixed.RESERVE_SHARE}) FROM b WHERE GB_GLA = '{inv}'",
+        f"SELECT {key}, '15' || {suffix}, abs(cents) * {fixed.ASSET_COST_FACTOR} FROM b WHERE GB_GLA = '{dep}'",
+        f"SELECT {key}, '16' || {suffix}, cents - abs(cents) * {fixed.ASSET_COST_FACTOR} FROM b WHERE GB_GLA = '{dep}'",
+    ]
+    return f"WITH b AS {base} " + " UNION ALL ".join(arms)
+
+
+def _rows(rows) -> str:
+    return ", ".join("(" + ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in r) + ")" for r in rows)
+
+
+DETAIL = [
+    ("det", _detail_sql()),
+    ("det_rules", f"SELECT * FROM (VALUES {_rows(fixed.BS_PREFIX_RULES)}) AS t(prefix, Side, Section, SectionOrder, IsCurrent)"),
+    ("det_names", f"SELECT * FROM (VALUES {_rows(fixed.DETAIL_ACCOUNTS)}) AS t(acc, name)"),
+    ("det_acct", f"""
+        SELECT a.acc, n.name, r.Side, r.Section, r.SectionOrder, r.IsCurrent,
+               CASE WHEN r.Side = 'Assets' THEN a.cents ELSE -a.cents END AS cents
+        FROM (SELECT acc, SUM(cents) AS cents FROM det WHERE GB_DATE = {P} GROUP BY acc) a
+        JOIN det_names n ON n.acc = a.acc
+        JOIN det_rules r ON starts_with(a.acc, r.prefix)
+         AND NOT EXISTS (SELECT 1 FROM det_rules q WHERE starts_with(a.acc, q.prefix) AND length(q.prefix) > length(r.prefix))"""),
+    ("det_ni", f"SELECT coalesce(CAST(SUM(NetIncomeImpact) * 100 AS BIGINT), 0) AS cents FROM is_lines WHERE Period <= {P}"),
+]
+
+
+@register("structured_balance_sheet", f"""
+    SELECT Side, Section, CAST(SectionOrder AS INTEGER) AS SectionOrder, LineGroup, CAST(LineOrder AS INTEGER) AS LineOrder, Account, Label,
+           CAST(cents * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS Amount FROM (
+      SELECT Side, Section, SectionOrder, CASE WHEN substr(acc, 1, 2) IN ('15', '16') THEN substr(acc, 3) ELSE acc END AS LineGroup,
+             CASE WHEN substr(acc, 1, 2) = '16' THEN 2 ELSE 1 END AS LineOrder, acc AS Account, name AS Label, CAST(cents AS DECIMAL(18, 0)) AS cents FROM det_acct
+      UNION ALL
+      SELECT 'Assets', '{fixed.PPE_SECTION}', 90, substr(acc, 3), 3, '', 'Net book value ' || substr(acc, 3), SUM(cents)
+      FROM det_acct WHERE substr(acc, 1, 2) IN ('15', '16') GROUP BY substr(acc, 3)
+      UNION ALL SELECT Side, Section, SectionOrder, '~', 9, '', 'Total ' || lower(Section), SUM(cents) FROM det_acct GROUP BY Side, Section, SectionOrder
+      UNION ALL SELECT 'Liabilities and equity', '{fixed.NET_INCOME_SECTION[0]}', 280, '~', 9, '', 'Total ' || lower('{fixed.NET_INCOME_SECTION[0]}'), cents FROM det_ni
+      UNION ALL SELECT 'Assets', 'Current assets', 65, '~', 9, '', 'Total current assets', SUM(cents) FROM det_acct
+                WHERE substr(acc, 1, 3) IN ('101', '102', '103') AND acc NOT LIKE '1018%' OR acc IN ('12000', '13000', '14000')
+      UNION ALL SELECT 'Assets', 'Assets', 199, '~', 9, '', 'Total assets', SUM(cents) FROM det_acct WHERE acc < '2'
+      UNION ALL SELECT 'Liabilities and equity', 'Liabilities and equity', 299, '~', 9, '', 'Total liabilities and equity',
+                SUM(cents) + (SELECT cents FROM det_ni) FROM det_acct WHERE acc >= '2'
+      UNION ALL SELECT 'Check', 'Check', 999, '~', 9, '', 'Difference', 0)""", DETAIL)
 def q_structured_balance_sheet(spark, sf):
-    return st.balance_sheet(L(spark, sf), lines(spark, sf), P, branch="05")
+    led = L(spark, sf)
+    bal = st.bs_lines(led, P).select(*led.glcal.columns)
+    return st.structured_balance_sheet(detailed_balances(bal), lines(spark, sf), P, fixed.BS_PREFIX_RULES, fixed.DETAIL_ACCOUNTS)
+
+
+@register("paired_assets", """
+    SELECT coalesce(a.GB_CO, d.GB_CO) AS GB_CO, coalesce(a.GB_DATE, d.GB_DATE) AS GB_DATE, coalesce(a.s, d.s) AS suffix,
+           a.acc AS LeftAccount, a.v AS LeftAmount, d.acc AS RightAccount, d.v AS RightAmount
+    FROM (SELECT GB_CO, GB_DATE, acc, substr(acc, 3) AS s, CAST(SUM(cents) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS v
+          FROM det WHERE acc LIKE '15%' GROUP BY GB_CO, GB_DATE, acc) a
+    FULL JOIN (SELECT GB_CO, GB_DATE, acc, substr(acc, 3) AS s, CAST(SUM(cents) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS v
+               FROM det WHERE acc LIKE '16%' GROUP BY GB_CO, GB_DATE, acc) d
+      ON a.GB_CO = d.GB_CO AND a.GB_DATE = d.GB_DATE AND a.s = d.s""", DETAIL[:1])
+def q_paired_assets(spark, sf):
+    led = L(spark, sf)
+    bal = led.glcal.join(led.accmast.where("ACTYP = '1'").select(F.col("ACCO").alias("GB_CO"), F.col("ACACC").alias("GB_GLA")), ["GB_CO", "GB_GLA"])
+    return JN.paired_accounts(detailed_balances(bal.select(*led.glcal.columns)), "GB_GLA", "GB_AMT", ["GB_CO", "GB_DATE"], "15", "16")
+
+
+@register("section_by_prefix", """
+    SELECT d.acc AS Account, CAST(SUM(d.cents) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS Balance, r.Side, r.Section
+    FROM det d JOIN det_rules r ON starts_with(d.acc, r.prefix)
+     AND NOT EXISTS (SELECT 1 FROM det_rules q WHERE starts_with(d.acc, q.prefix) AND length(q.prefix) > length(r.prefix))
+    WHERE d.GB_DATE = """ + str(P) + """ GROUP BY d.acc, r.Side, r.Section""", DETAIL[:2])
+def q_section_by_prefix(spark, sf):
+    rules = spark.createDataFrame([r[:3] for r in fixed.BS_PREFIX_RULES], "prefix string, Side string, Section string")
+    bal = detailed_balances(st.bs_lines(L(spark, sf), P).select(*L(spark, sf).glcal.columns))
+    return longest_prefix(bal.groupBy(F.col("GB_GLA").alias("Account")).agg(money(F.sum("GB_AMT")).alias("Balance")), "Account", rules)
 
 
 @register("branch_balance_check", f"""

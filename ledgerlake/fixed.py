@@ -166,3 +166,106 @@ SPLIT_ALIAS_LOW, SPLIT_ALIAS_HIGH, SPLIT_ALIAS_CUT = "F101", "F102", "09"
 YEAR_END_ACCOUNT, YEAR_END_MONTH = "55100", 12
 # Run-id format used for merge runs.
 RUN_ID = "00000000-0000-0000-0000-000000000001"
+
+# --- Fixed values: detailed balance-sheet accounts (FIXTURES F6) ------------------------
+# (account, name) in account order: the accounts that the structured balance sheet tells
+# apart.  Balances of the chart above are dealt to them by branch.
+DETAIL_ACCOUNTS = [
+    ("10113", "Ameris checking"),
+    ("10114", "Seacoast checking"),
+    ("10140", "Petty cash"),
+    ("10151", "Cash in bank"),
+    ("10170", "Undeposited funds"),
+    ("10180", "Intercompany transfer"),
+    ("10200", "Accounts receivable"),
+    ("10204", "Property insurance receivable"),
+    ("10210", "Incentives"),
+    ("10224", "Card processor receivable"),
+    ("10230", "Finance income reserve"),
+    ("10241", "Warranty receivable A"),
+    ("10242", "Warranty receivable B"),
+    ("10245", "Indemnity receivable"),
+    ("10246", "Other warranty receivable"),
+    ("10301", "Prepaid expense"),
+    ("12000", "Wholegoods inventory"),
+    ("12100", "Equipment reserve"),
+    ("13000", "Parts inventory"),
+    ("13010", "Parts inventory reserve"),
+    ("14000", "Work in process"),
+    ("15100", "Buildings"),
+    ("15103", "Paving"),
+    ("15110", "Fencing"),
+    ("15120", "Lighting"),
+    ("15200", "Shop equipment"),
+    ("15300", "Parts equipment"),
+    ("15400", "Furniture and fixtures"),
+    ("15600", "IT hardware"),
+    ("15700", "Autos, trucks and trailers"),
+    ("15800", "Tractors"),
+    ("15950", "Improvements"),
+    ("16100", "Accumulated depreciation, buildings"),
+    ("16103", "Accumulated depreciation, paving"),
+    ("16110", "Accumulated depreciation, fencing"),
+    ("16120", "Accumulated depreciation, lighting"),
+    ("16200", "Accumulated depreciation, shop equipment"),
+    ("16300", "Accumulated depreciation, parts equipment"),
+    ("16400", "Accumulated depreciation, furniture and fixtures"),
+    ("16600", "Accumulated depreciation, IT hardware"),
+    ("16700", "Accumulated depreciation, autos, trucks and trailers"),
+    ("16800", "Accumulated depreciation, tractors"),
+    ("16950", "Accumulated depreciation, improvements"),
+    ("17800", "Capital loan costs"),
+    ("20150", "Sales tax deposit"),
+    ("20350", "Floorplan payable"),
+    ("22100", "Accrued payroll"),
+    ("24100", "Related party loan"),
+    ("24900", "System clearing"),
+    ("25100", "Note payable, bank"),
+    ("27400", "Intercompany clearing"),
+]
+# Accounts that a balance is dealt to, by branch number modulo their count.
+DETAIL_OF = {
+    "10100": ["10113", "10114", "10140", "10151", "10170"],
+    "10200": ["10180", "10200", "10204", "10210", "10224", "10230", "10241", "10242", "10245", "10246", "10301", "14000", "17800"],
+    "20350": ["20150", "20350", "22100", "24100", "24900", "25100"],
+}
+# Inventory and its reserve: even branches wholegoods, odd ones parts; the reserve is a
+# 25th of the balance.
+INVENTORY_ACCOUNT = "12000"
+INVENTORY_PAIRS = [("12000", "12100"), ("13000", "13010")]
+RESERVE_SHARE = 25
+# Fixed assets by the last three digits: cost is 15xxx, its accumulated depreciation
+# 16xxx; the cost is five times the depreciation booked.
+ASSET_SUFFIXES = ["100", "103", "110", "120", "200", "300", "400", "600", "700", "800", "950"]
+ASSET_COST_FACTOR = 5
+
+# --- Fixed values: section rules of the structured balance sheet ------------------------
+# (account prefix, side, section, section order, current asset); the longest prefix wins.
+BS_PREFIX_RULES = [
+    ("101", "Assets", "Cash and equivalents", 10, 1),
+    ("1018", "Assets", "Intercompany", 80, 0),
+    ("102", "Assets", "Accounts receivable", 20, 1),
+    ("10224", "Assets", "Other current assets", 30, 1),
+    ("103", "Assets", "Other current assets", 30, 1),
+    ("12", "Assets", "Wholegoods inventory", 40, 1),
+    ("12100", "Assets", "Reserves", 70, 0),
+    ("13", "Assets", "Parts inventory", 50, 1),
+    ("13010", "Assets", "Reserves", 70, 0),
+    ("14", "Assets", "Work in process", 60, 1),
+    ("15", "Assets", "Property, plant and equipment", 90, 0),
+    ("16", "Assets", "Property, plant and equipment", 90, 0),
+    ("17", "Assets", "Intangibles and other", 100, 0),
+    ("18", "Assets", "Intangibles and other", 100, 0),
+    ("19", "Assets", "Intangibles and other", 100, 0),
+    ("20", "Liabilities and equity", "Accounts payable", 210, 0),
+    ("20350", "Liabilities and equity", "Floorplan payable", 220, 0),
+    ("22", "Liabilities and equity", "Accrued expenses and reserves", 230, 0),
+    ("24", "Liabilities and equity", "Related party loans", 250, 0),
+    ("24900", "Liabilities and equity", "Intercompany liabilities", 260, 0),
+    ("25", "Liabilities and equity", "Notes payable", 240, 0),
+    ("26", "Liabilities and equity", "Notes payable", 240, 0),
+    ("27", "Liabilities and equity", "Equity", 270, 0),
+    ("27400", "Liabilities and equity", "Intercompany liabilities", 260, 0),
+]
+PPE_SECTION = "Property, plant and equipment"
+UNCLASSIFIED = ("Unclassified", 190)

@@ -49,3 +49,17 @@ def classify_section(df: DataFrame, account_col: str, rules=None, prefix_rules=N
         for name, i in (("Statement", 1), ("Section", 2), ("SectionOrder", 3)):
             out = out.withColumn(name, F.coalesce(F.col(name), _prefix_case(acc, prefix_rules, i)))
     return out
+
+
+def longest_prefix(df: DataFrame, account_col: str, rules: DataFrame, prefix_col: str = "prefix") -> DataFrame:
+    """``df`` (one row per account) with the columns of the rule whose prefix of
+    ``account_col`` is the longest, null where no prefix fits.
+
+    An account's prefixes are exploded and meet the rules in an equi-join, so any number
+    of rules costs one join; nothing is compared rule by rule."""
+    values = [c for c in rules.columns if c != prefix_col]
+    prefixes = F.transform(F.sequence(F.lit(1), F.length(account_col)), lambda n: F.substring(F.col(account_col), F.lit(1), n))
+    met = (df.where(F.length(account_col) > 0).select(account_col, F.explode(prefixes).alias(prefix_col)).distinct()
+           .join(rules, prefix_col))
+    best = met.groupBy(account_col).agg(F.max_by(F.struct(*values), F.length(prefix_col)).alias("_rule"))
+    return df.join(best, account_col, "left").select(*df.columns, *[F.col(f"_rule.{c}").alias(c) for c in values])

@@ -97,12 +97,12 @@ def snapshot_as_of(snap: DataFrame, keys: Sequence[str], as_of, date_col: str =
 
 
 def paired_accounts(monthly: DataFrame, acc: str, amount: str, by: Sequence[str],
-                    left_digit: str = "3", right_digit: str = "4") -> DataFrame:
-    """JN15: pair accounts sharing their last four digits (revenue 3xxxx with cost
-    4xxxx; 15xxx with 16xxx), as an equi-join on the derived suffix."""
-    suffix = F.substring(F.col(acc), 2, 4)
-    l = monthly.where(F.substring(acc, 1, 1) == left_digit).groupBy(*by, suffix.alias("suffix"), F.col(acc).alias("LeftAccount")) \
-        .agg(money(F.sum(amount)).alias("LeftAmount"))
-    r = monthly.where(F.substring(acc, 1, 1) == right_digit).groupBy(*by, suffix.alias("suffix"), F.col(acc).alias("RightAccount")) \
-        .agg(money(F.sum(amount)).alias("RightAmount"))
-    return l.join(r, [*by, "suffix"], "full_outer")
+                    left: str = "3", right: str = "4") -> DataFrame:
+    """JN15: pair accounts that agree in what follows their prefix (revenue 3xxxx with cost
+    4xxxx; fixed asset 15xxx with its accumulated depreciation 16xxx), as an equi-join on
+    the derived suffix."""
+    def half(prefix: str, name: str) -> DataFrame:
+        suffix = F.substring(F.col(acc), len(prefix) + 1, 5 - len(prefix))
+        return monthly.where(F.col(acc).startswith(prefix)).groupBy(*by, suffix.alias("suffix"), F.col(acc).alias(f"{name}Account")) \
+            .agg(money(F.sum(amount)).alias(f"{name}Amount"))
+    return half(left, "Left").join(half(right, "Right"), [*by, "suffix"], "full_outer")
