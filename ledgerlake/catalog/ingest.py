@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from ..oracle import midx
 from ..plans import loads as LD
 from ..plans import statements as st
 from ..session import shared_dir
-from ..sources import scan
+from ..sources import commits, scan
 from . import register
 from .common import L
 
@@ -43,7 +44,7 @@ _RUNS = [  # (run, table, kind, status, start hour, minutes, copied, wm_from, wm
     ("run-05", "coacmast", "FULL_RELOAD", "COMPLETE", 4, 6, "(SELECT COUNT(*) FROM coacmast)", None, None, None),
     ("run-06", "journal", "INCREMENTAL", "COMPLETE", 10, 7, "b", "wa", "wb", None),
     ("run-07", "journal", "INCREMENTAL", "COMPLETE", 11, 1, "0", "wb", None, None),
-    ("run-08", "glcal", "FULL_RELOAD", "FAILED", 12, 1, None, None, None, "source read timed out"),
+    ("run-08", "glcal", "FULL_RELOAD", "FAILED", 12, 1, None, None, None, "TimeoutError: source read timed out"),
     ("run-09", "deptmast", "FULL_RELOAD", "RUNNING", 13, None, None, None, None, None),
 ]
 
@@ -233,12 +234,75 @@ def q_append_journal(spark, sf):
     together, as a reader of an append-only table sees them."""
     j = L(spark, sf).journal
     path = f"{shared_dir(spark)}/ledgerlake/scratch/append-{uuid.uuid4().hex}"
-    IG.append_journal(scan.incremental_pull(j, S), path)
+    IG.append_journal(scan.incremental_pull(j, S), path, "run-increment")
     out = j.where(F.col("YJ_UID") <= S).unionByName(spark.read.parquet(path).drop("run"))
     return out.groupBy("period").agg(F.count(F.lit(1)).alias("Legs"), F.sum("YJ_AMT").cast("decimal(18,2)").alias("Amount"),
                                      F.max("YJ_UID").alias("MaxUid"))
 
 
+@register("merge_commit", f"""
+    SELECT o_orderkey, {', '.join(VALS)}, DateAddedUtc, DateModifiedUtc,
+           CASE WHEN MergeAction IN ('INSERT', 'UPDATE') THEN 'run-' || CAST(o_orderkey % 2 AS VARCHAR) ELSE LastRunId END AS LastRunId
+    FROM merged""", extra_ctes=MERGE)
+def q_merge_commit(spark, sf):
+    """Two writers merge the even and the odd keys into one table at the same time; the one
+    that loses a commit merges again, and each run is then repeated, which adds nothing."""
+    root = f"{shared_dir(spark)}/ledgerlake/scratch/merge-{uuid.uuid4().hex}"
+    commits.once(spark, root, lambda path: LD.merge_target(spark, sf).write.parquet(path))
+    staged = LD.merge_staged(spark, sf)
+
+    def run(part: int) -> None:
+        for _ in range(2):
+            IG.merge_into(spark, root, staged.where(F.col("o_orderkey") % 2 == part), ["o_orderkey"], f"run-{part}", LD.MERGE_NOW)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(run, (0, 1)))
+    return IG.read_current(spark, root)
+
+
+@register("append_runs", f"""
+    SELECT period, COUNT(*) AS Legs, CAST(SUM(YJ_AMT) AS DECIMAL(18, 2)) AS Amount, max(YJ_UID) AS MaxUid,
+           CASE WHEN YJ_UID <= {S} THEN 'append-1' ELSE 'append-3' END AS Run
+    FROM journal GROUP BY ALL""")
+def q_append_runs(spark, sf):
+    """Three guarded runs over the journal: an initial one, an increment that fails after
+    its write (never visible), and the increment again."""
+    return _appended(spark, sf)[0].groupBy("period", F.col("run").alias("Run")).agg(
+        F.count(F.lit(1)).alias("Legs"), F.sum("YJ_AMT").cast("decimal(18,2)").alias("Amount"), F.max("YJ_UID").alias("MaxUid"))
+
+
+@register("append_run_log", f"""
+    SELECT * FROM (
+      SELECT 'append-1' AS RunId, 'INITIAL' AS RunKind, 'COMPLETE' AS Status, a AS RowsCopied, CAST(0 AS BIGINT) AS WatermarkFrom, wa AS WatermarkTo,
+             CAST(NULL AS VARCHAR) AS ErrorMessage FROM rl_j
+      UNION ALL SELECT 'append-2', 'INCREMENTAL', 'FAILED', NULL, wa, NULL, 'ConnectionError: lost after the write' FROM rl_j
+      UNION ALL SELECT 'append-3', 'INCREMENTAL', 'COMPLETE', b, wa, wb, NULL FROM rl_j)""", extra_ctes=RUNLOG[:1])
+def q_append_run_log(spark, sf):
+    return _appended(spark, sf)[1].select("RunId", "RunKind", "Status", "RowsCopied", "WatermarkFrom", "WatermarkTo", "ErrorMessage")
+
+
+def _appended(spark, sf):
+    """(rows that a reader sees, the run log) after the three runs."""
+    j = L(spark, sf).journal.select("YJ_UID", "YJ_ACC", "YJ_AMT", "period")
+    root = f"{shared_dir(spark)}/ledgerlake/scratch/runs-{uuid.uuid4().hex}"
+    ticks = (T0 + _h(h) for h in range(100))
+
+    def load(run: str, upto: int | None = None, fails: bool = False):
+        def go(watermark):
+            rows = scan.incremental_pull(j, watermark)
+            counts = IG.append_journal(rows.where(F.col("YJ_UID") <= upto) if upto else rows, f"{root}/journal", run)
+            if fails:
+                raise ConnectionError("lost after the write")
+            return counts
+        return go
+    for run, kind, upto, fails in (("append-1", "INITIAL", S, False), ("append-2", "INCREMENTAL", None, True), ("append-3", "INCREMENTAL", None, False)):
+        try:
+            IG.execute_run(spark, f"{root}/log", "journal", kind, run, load(run, upto, fails), lambda: next(ticks), ["journal"])
+        except ConnectionError:
+            pass  # recorded as FAILED
+    runs = IG.read_runs(spark, f"{root}/log")
+    return IG.visible(spark.read.parquet(f"{root}/journal"), runs), runs
+
+
 # ======================================================================= snapshots
 @register("capture_snapshot", "SELECT * FROM snap", extra_ctes=SNAP)
 def q_capture_snapshot(spark, sf):
@@ -271,7 +335,19 @@ def q_advance_snapshot_watermark(spark, sf):
     SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY SnapshotDate DESC) AS rn
                                FROM snap WHERE SnapshotDate <= {T(LD.SNAP_AS_OF)}) WHERE rn = 1""", extra_ctes=SNAP)
 def q_snapshot_as_of(spark, sf):
-    return JN.snapshot_as_of(LD.snapshot_table(spark, sf), ["o_orderkey"], LD.SNAP_AS_OF)
+    return IG.as_of(LD.snapshot_intervals(spark, sf), LD.SNAP_AS_OF)
+
+
+@register("snapshot_lookup", f"""
+    SELECT r.o_orderkey, r.AsOf, s.SnapshotDate, s.o_totalprice, s.ChangeKind
+    FROM (SELECT o_orderkey, CAST({T(LD.SNAP_AS_OF)} + CAST(o_orderkey % 4 - 2 AS INTEGER) AS DATE) AS AsOf FROM orders) r
+    LEFT JOIN snap s ON s.o_orderkey = r.o_orderkey AND s.SnapshotDate =
+         (SELECT max(q.SnapshotDate) FROM snap q WHERE q.o_orderkey = r.o_orderkey AND q.SnapshotDate <= r.AsOf)""", extra_ctes=SNAP)
+def q_snapshot_lookup(spark, sf):
+    """Every order asks for its state on a day of its own."""
+    asked = LD.orders(spark, sf).select("o_orderkey", F.date_add(F.lit(LD.SNAP_AS_OF), (F.col("o_orderkey") % 4 - 2).cast("int")).alias("AsOf"))
+    return IG.as_of_lookup(asked, LD.snapshot_intervals(spark, sf), ["o_orderkey"], "AsOf").select(
+        "o_orderkey", "AsOf", "SnapshotDate", "o_totalprice", "ChangeKind")
 
 
 @register("snapshot_diff", """
@@ -303,7 +379,7 @@ def q_closed_period_restated(spark, sf):
 def q_lockstep_timing(spark, sf):
     def per(df):
         return df.withColumn("Period", (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int"))
-    m = per(LD.merged_orders(spark, sf)).groupBy("Period").agg(F.min(IG.ADDED).alias("FirstAdded"))
+    m = per(LD.current_orders(spark, sf)).groupBy("Period").agg(F.min(IG.ADDED).alias("FirstAdded"))
     s = per(LD.snapshot_table(spark, sf)).groupBy("Period").agg(F.min("SnapshotCapturedUtc").alias("FirstCaptured"))
     j = m.join(s, "Period", "full_outer")
     return j.withColumn("LagSeconds", F.timestamp_diff("SECOND", F.col("FirstAdded"), F.col("FirstCaptured")).cast("bigint"))

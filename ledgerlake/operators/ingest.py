@@ -15,15 +15,15 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.commits import CommitConflict, commit, commits, present, write_files
+
 EASTERN = "America/New_York"
 ADDED, MODIFIED, RUN = "DateAddedUtc", "DateModifiedUtc", "LastRunId"
 
@@ -107,56 +107,70 @@ def merge_actions(merged: DataFrame) -> DataFrame:
     return merged.agg(F.count_if(a == "INSERT").alias("RowsInserted"), F.count_if(a == "UPDATE").alias("RowsUpdated"))
 
 
-def write_version(df: DataFrame, table_root: str, version: str) -> str:
-    """SNK1 commit: write the merged table as a new version folder, then append a
-    commit row.  Commit rows are never replaced, so a reader always finds one; the
-    newest names the current version.  A version that is committed already is refused
-    (its files may be what ``df`` reads); an attempt gets a folder of its own, so a
-    failed one leaves nothing that is read."""
+def write_version(df: DataFrame, table_root: str, version: str, after: int | None = None) -> str:
+    """SNK1 commit: write ``df`` as a new version and commit it as the one that follows
+    commit ``after``, the version ``df`` was made from (by default the newest one now).
+    A version that is committed already is refused (its files may be what ``df`` reads).
+    ``CommitConflict`` means that another writer committed in between: nothing of this
+    attempt is read, and the caller merges again from the new version."""
     spark = df.sparkSession
-    done = _commits(spark, table_root)
-    if any(r["version"] == version for r in done):
+    done = commits(spark, table_root)
+    if any(c.version == version for c in done):
         raise ValueError(f"version {version!r} of {table_root} is committed already")
-    path = f"{table_root}/v={version}/{uuid.uuid4().hex}"
-    df.drop("MergeAction").write.parquet(path)
-    spark.createDataFrame([(len(done), version, path)], COMMIT).coalesce(1).write.mode("append").parquet(f"{table_root}/_commits")
-    return path
-
-
-COMMIT = "seq long, version string, path string"
-
-
-def _commits(spark, table_root: str) -> list:
-    """Commit rows, oldest first: one per version of the table."""
-    try:
-        rows = spark.read.schema(COMMIT).parquet(f"{table_root}/_commits").collect()
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return []
-    return sorted(rows, key=lambda r: r["seq"])
+    if after is None:
+        after = len(done) - 1
+    return commit(spark, table_root, version, write_files(df.drop("MergeAction"), table_root, version), after).path
+
+
+def merge_into(spark, table_root: str, staged: DataFrame, keys: Sequence[str], run_id: str, now: dt.datetime,
+               attempts: int = 8) -> dict:
+    """SNK1 + SNK4 as one run: merge ``staged`` into the current version, commit the result
+    as version ``run_id`` and return its counts.
+
+    Optimistic: a writer that loses the commit merges again into the version that won, so
+    concurrent runs give the result of one after the other.  A run that is committed already
+    writes nothing (its counts are 0), so a repeated run is safe."""
+    validate_staged(staged, keys)
+    for _ in range(attempts):
+        done = commits(spark, table_root)
+        if any(c.version == run_id for c in done):
+            return {"RowsInserted": 0, "RowsUpdated": 0}
+        if not done:
+            raise ValueError(f"{table_root} has no version to merge into")
+        merged = merge_upsert(spark.read.parquet(done[-1].path), staged, keys, run_id, now, validate=False)
+        seen = Observation()
+        a = F.col("MergeAction")
+        counted = merged.observe(seen, F.count_if(a == "INSERT").alias("RowsInserted"), F.count_if(a == "UPDATE").alias("RowsUpdated"))
+        try:
+            write_version(counted, table_root, run_id, done[-1].seq)
+            return dict(seen.get)
+        except CommitConflict:
+            continue
+    raise CommitConflict(f"run {run_id!r} lost {attempts} commits of {table_root}")
 
 
 def read_current(spark, table_root: str) -> DataFrame:
     """The current version of a versioned table."""
-    return spark.read.parquet(_commits(spark, table_root)[-1]["path"])
+    return spark.read.parquet(commits(spark, table_root)[-1].path)
 
 
 def read_version(spark, table_root: str, version: str) -> DataFrame:
     """An earlier version, which stays readable."""
-    return spark.read.parquet(next(r["path"] for r in _commits(spark, table_root) if r["version"] == version))
+    return spark.read.parquet(next(c.path for c in commits(spark, table_root) if c.version == version))
 
 
 # --- SNK5 ---------------------------------------------------------------------------------
 
-def append_journal(increment: DataFrame, path: str, uid: str = "YJ_UID", partition_by: str = "period",
-                   run_id: str = "run") -> dict:
+def append_journal(increment: DataFrame, path: str, run_id: str, uid: str = "YJ_UID", partition_by: str = "period") -> dict:
     """SNK5: append of a run's increment; returns copied/inserted counts and the new
     watermark (MAX uid, None when the increment is empty).
 
     A run writes partitions of its own (``run``, then the period) and a retry replaces
-    them, so a run that is repeated adds nothing.  The counts are observed by the
-    write itself: they are of the rows written, and the increment is read once."""
+    them, so a run that is repeated adds nothing and two runs never meet.  The counts are
+    observed by the write itself: they are of the rows written, and the increment is read once.
+    Readers take ``visible`` rows, so a run that fails after its write is not seen."""
+    if not run_id:
+        raise ValueError("an append needs the id of its run")
     seen = Observation()
     (increment.observe(seen, F.count(F.lit(1)).alias("n"), F.max(uid).alias("wm")).withColumn("run", F.lit(run_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", partition_by).parquet(path))
@@ -164,6 +178,13 @@ def append_journal(increment: DataFrame, path: str, uid: str = "YJ_UID", partiti
     return {"RowsCopied": stats["n"], "RowsInserted": stats["n"], "RowsUpdated": 0, "WatermarkTo": stats["wm"]}
 
 
+def visible(appended: DataFrame, runs: DataFrame) -> DataFrame:
+    """Rows of runs that the run log has as COMPLETE.  ``run`` is a partition column, so
+    the semi join prunes the folders of other runs."""
+    done = runs.where(F.col("Status") == "COMPLETE").select(F.col("RunId").alias("run")).distinct()
+    return appended.join(done, "run", "left_semi")
+
+
 # --- SNK6 / SNK7 / SNK8 -----------------------------------------------------------------------
 
 def eastern_date(utc: Column) -> Column:
@@ -204,6 +225,31 @@ def snapshot_view(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     return log.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def validity_intervals(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """SNK6 / JN14: the snapshot table with the day each row holds until (``ValidTo``,
+    excluded; null: still valid), by ``lead`` over the captures of a key.  One window for both: the
+    latest capture of a day is the one whose successor is of a later day."""
+    w = Window.partitionBy(*keys).orderBy("SnapshotDate", "SnapshotCapturedUtc", "CaptureRunId")
+    after = F.lead("SnapshotDate").over(w)
+    return log.withColumn("ValidTo", after).where(F.col("ValidTo").isNull() | (F.col("ValidTo") > F.col("SnapshotDate")))
+
+
+def as_of(intervals: DataFrame, day: dt.date) -> DataFrame:
+    """JN14: the rows valid on a day: a filter, no window."""
+    d = F.lit(day)
+    return intervals.where((F.col("SnapshotDate") <= d) & (F.col("ValidTo").isNull() | (F.col("ValidTo") > d))).drop("ValidTo")
+
+
+def as_of_lookup(requests: DataFrame, intervals: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """JN14 for many days: each request (keys and ``day``) with the row of its key valid on
+    that day, or nulls.  An equi-join on the keys with the range as a further condition."""
+    names = {c: f"{c}_" for c in [*keys]}
+    held = intervals.select(*[F.col(k).alias(n) for k, n in names.items()], *[c for c in intervals.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in names.items()])
+    on = on & (F.col("SnapshotDate") <= F.col(day)) & (F.col("ValidTo").isNull() | (F.col("ValidTo") > F.col(day)))
+    return requests.join(held, on, "left").drop(*names.values())
+
+
 def write_capture(captured: DataFrame, path: str) -> None:
     """Append one capture run; partitions are (SnapshotDate, CaptureRunId), so a
     retried run overwrites only its own partition (dynamic overwrite)."""
@@ -304,38 +350,45 @@ def watermark_table(runs: DataFrame) -> DataFrame:
 def run_log_view(events: DataFrame) -> DataFrame:
     """The run log: the latest event of every run (events are append-only, so a
     crash between two writes leaves the earlier state, never a half-updated row)."""
-    w = Window.partitionBy("RunId").orderBy(F.col("EventUtc").desc())
+    w = Window.partitionBy("RunId").orderBy(F.col("EventUtc").desc(), (F.col("Status") == "RUNNING").cast("int"))
     return events.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "EventUtc")
 
 
+def _events_schema() -> T.StructType:
+    from ..sources.schemas import LOAD_CONTROL
+    return T.StructType([*[T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType)
+                                         else f.dataType) for f in LOAD_CONTROL.fields],
+                         T.StructField("EventUtc", T.TimestampNTZType())])
+
+
+def read_runs(spark, log_path: str) -> DataFrame:
+    """The run log as it is now: empty before the first run (other read errors propagate)."""
+    schema = _events_schema()
+    events = spark.read.schema(schema).parquet(log_path) if present(spark, log_path) else spark.createDataFrame([], schema)
+    return run_log_view(events)
+
+
+def record_run(run: DataFrame, log_path: str, at: dt.datetime) -> None:
+    """Append one event: the state of a run (one row) at a time."""
+    schema = _events_schema()
+    run.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields[:-1]], ts(at).alias("EventUtc")) \
+        .coalesce(1).write.mode("append").parquet(log_path)
+
+
 def execute_run(spark, log_path: str, table: str, kind: str, run_id: str, load, clock,
                 allowed_tables: Sequence[str]) -> dict:
     """Open a RUNNING run (watermark chosen by SNK9), call ``load(watermark)`` which
     returns the run's counts (RowsCopied, RowsInserted, ..., WatermarkTo), then
     record COMPLETE; on any error record FAILED with the message and re-raise.
     Only COMPLETE runs advance the next watermark."""
-    from ..sources.schemas import LOAD_CONTROL
-    schema = T.StructType([*[T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType)
-                                           else f.dataType) for f in LOAD_CONTROL.fields],
-                           T.StructField("EventUtc", T.TimestampNTZType())])
-    from ..sources.store import _exists
-    if _exists(spark, log_path):
-        events = spark.read.schema(schema).parquet(log_path)
-    else:  # first run of this log (any other read error propagates)
-        events = spark.createDataFrame([], schema)
-    runs = run_log_view(events)
-
-    def record(df: DataFrame) -> None:
-        df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields[:-1]], ts(clock()).alias("EventUtc")) \
-            .coalesce(1).write.mode("append").parquet(log_path)
-
-    started = start_run(runs, table, kind, run_id, clock(), allowed_tables)
-    watermark = started.first()["WatermarkFrom"]
-    record(started)
+    started = start_run(read_runs(spark, log_path), table, kind, run_id, clock(), allowed_tables)
+    row = started.first()
+    started = spark.createDataFrame([row], started.schema)  # the run as it was opened, not read again
+    record_run(started, log_path, clock())
     try:
-        counts = load(watermark)
+        counts = load(row["WatermarkFrom"])
     except Exception as e:
-        record(fail_run(started, run_id, clock(), f"{type(e).__name__}: {e}"[:4000]))
+        record_run(fail_run(started, run_id, clock(), f"{type(e).__name__}: {e}"[:4000]), log_path, clock())
         raise
-    record(finish_run(started, run_id, clock(), {k: v for k, v in counts.items() if v is not None or k == "WatermarkTo"}))
+    record_run(finish_run(started, run_id, clock(), {k: v for k, v in counts.items() if v is not None or k == "WatermarkTo"}), log_path, clock())
     return counts

@@ -1,12 +1,15 @@
 """Load runs over the driver's data (FIXTURES F4).
 
-* The run log is derived from the ledger: one run per loaded table with the row
-  counts and journal watermarks Spark computes from the data, plus a later
-  failed run, a running one and an empty increment.  Times are fixed literals.
+* The run log comes from runs that are executed over the ledger's tables: counts and
+  journal watermarks of what each load reads, an empty increment, a failed load and a
+  process that is lost.  The clock is fixed.
 * The merge sides are two overlapping slices of ``orders`` (every row is used:
   the key's last digit decides the side), with changed prices, NULL-vs-blank
   statuses and target-only rows that must survive.
 * Snapshot captures run over three versions of the merged table.
+
+The run log, the merged table, the captures and their intervals are each written once
+and read by all queries that need them.
 """
 
 from __future__ import annotations
@@ -18,6 +21,9 @@ from pyspark.sql import functions as F
 
 from ..operators import ingest as IG
 from ..sources.adapter import read_source
+from ..sources.commits import once
+from ..sources.scan import incremental_pull
+from ..sources.store import source_root
 
 # --- Fixed values: load calendar and run ids -------------------------------------------
 RUN_LOG_T0 = dt.datetime(2001, 3, 1, 3, 0, 0)
@@ -35,45 +41,57 @@ def _h(hours: float) -> dt.timedelta:
     return dt.timedelta(hours=hours)
 
 
+#: Runs in order: (run, table, kind, start in hours, minutes).  The last two end badly: a
+#: load that fails, and a process that is gone after it opened its run.
+RUNS = [
+    ("run-01", "journal", "INITIAL", 0, 2),
+    ("run-02", "glcal", "FULL_RELOAD", 1, 3),
+    ("run-03", "glfis", "FULL_RELOAD", 2, 4),
+    ("run-04", "deptmast", "FULL_RELOAD", 3, 5),
+    ("run-05", "coacmast", "FULL_RELOAD", 4, 6),
+    ("run-06", "journal", "INCREMENTAL", 10, 7),
+    ("run-07", "journal", "INCREMENTAL", 11, 1),
+    ("run-08", "glcal", "FULL_RELOAD", 12, 1),
+    ("run-09", "deptmast", "FULL_RELOAD", 13, None),
+]
+LOADED = ("journal", "glcal", "glfis", "deptmast", "coacmast")
+
+
+def _load(led, run_id: str, table: str):
+    """The load of a run: rows of a full reload, or journal rows above the watermark."""
+    def load(watermark):
+        if run_id == "run-08":
+            raise TimeoutError("source read timed out")
+        if table != "journal":
+            n = getattr(led, table).count()
+            return {"RowsCopied": n, "RowsInserted": n, "RowsUpdated": 0}
+        rows = incremental_pull(led.journal, watermark)
+        if run_id == "run-01":
+            rows = rows.where(F.col("YJ_UID") <= JOURNAL_SPLIT_UID)
+        got = rows.agg(F.count(F.lit(1)).alias("n"), F.max("YJ_UID").alias("to")).first()
+        return {"RowsCopied": got["n"], "RowsInserted": got["n"], "RowsUpdated": 0, "WatermarkTo": got["to"]}
+    return load
+
+
+def _replay(led, path: str) -> None:
+    """Execute every run of RUNS on a fixed clock, each event appended to the log at ``path``."""
+    for run_id, table, kind, hour, minutes in RUNS:
+        start = RUN_LOG_T0 + _h(hour)
+        if minutes is None:
+            IG.record_run(IG.start_run(IG.read_runs(led.spark, path), table, kind, run_id, start, LOADED), path, start)
+            continue
+        ticks = iter([start, start, start + dt.timedelta(minutes=minutes), start + dt.timedelta(minutes=minutes)])
+        try:
+            IG.execute_run(led.spark, path, table, kind, run_id, _load(led, run_id, table), lambda: next(ticks), LOADED)
+        except TimeoutError:
+            pass  # recorded as FAILED
+
+
 def run_log(led) -> DataFrame:
-    """The load-control log of the ledger's own loads."""
-    S = JOURNAL_SPLIT_UID
-    uid = F.col("YJ_UID")
-    j = led.journal.agg(
-        F.count_if(uid <= S).alias("a"), F.max(F.when(uid <= S, uid)).alias("wa"),
-        F.count_if(uid > S).alias("b"), F.max(uid).alias("wb"))
-
-    def row(src: DataFrame, run_id, table, kind, status, start_h, minutes, copied, wm_from, wm_to, err=None):
-        start = RUN_LOG_T0 + _h(start_h)
-        end = None if minutes is None else start + dt.timedelta(minutes=minutes)
-        return src.select(
-            F.lit(run_id).alias("RunId"), F.lit(table).alias("TableName"), F.lit(kind).alias("RunKind"),
-            F.lit(status).alias("Status"), IG.ts(start).alias("StartedUtc"),
-            (IG.ts(end) if end else F.lit(None).cast("timestamp_ntz")).alias("EndedUtc"),
-            copied.cast("bigint").alias("RowsCopied"),
-            (copied if status == "COMPLETE" else F.lit(None)).cast("bigint").alias("RowsInserted"),
-            (F.lit(0) if status == "COMPLETE" else F.lit(None)).cast("bigint").alias("RowsUpdated"),
-            F.lit(None).cast("bigint").alias("RowsMerged"),
-            wm_from.cast("bigint").alias("WatermarkFrom"), wm_to.cast("bigint").alias("WatermarkTo"),
-            F.lit(err).cast("string").alias("ErrorMessage"))
-
-    null = F.lit(None)
-    counts = {t: getattr(led, t).agg(F.count(F.lit(1)).alias("n")) for t in ("glcal", "glfis", "deptmast", "coacmast")}
-    rows = [
-        row(j, "run-01", "journal", "INITIAL", "COMPLETE", 0, 2, F.col("a"), F.lit(0), F.col("wa")),
-        row(counts["glcal"], "run-02", "glcal", "FULL_RELOAD", "COMPLETE", 1, 3, F.col("n"), null, null),
-        row(counts["glfis"], "run-03", "glfis", "FULL_RELOAD", "COMPLETE", 2, 4, F.col("n"), null, null),
-        row(counts["deptmast"], "run-04", "deptmast", "FULL_RELOAD", "COMPLETE", 3, 5, F.col("n"), null, null),
-        row(counts["coacmast"], "run-05", "coacmast", "FULL_RELOAD", "COMPLETE", 4, 6, F.col("n"), null, null),
-        row(j, "run-06", "journal", "INCREMENTAL", "COMPLETE", 10, 7, F.col("b"), F.col("wa"), F.col("wb")),
-        row(j, "run-07", "journal", "INCREMENTAL", "COMPLETE", 11, 1, F.lit(0), F.col("wb"), null),
-        row(counts["glcal"], "run-08", "glcal", "FULL_RELOAD", "FAILED", 12, 1, null, null, null, "source read timed out"),
-        row(counts["deptmast"], "run-09", "deptmast", "FULL_RELOAD", "RUNNING", 13, None, null, null, null),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    """The load-control log of the ledger's own loads: executed once per ledger, stored
+    with the ledger and read from there by every query."""
+    path = once(led.spark, f"{led.root}/runlog", lambda p: _replay(led, p))
+    return IG.read_runs(led.spark, path)
 
 
 # --- merge sides -----------------------------------------------------------------------------
@@ -113,7 +131,7 @@ def snapshot_versions(merged: DataFrame) -> list[DataFrame]:
     by key bucket; then some keys change again the same day; then on a later day."""
     k = F.col("o_orderkey")
     base = IG.ts(SNAP_BASE)
-    v1 = merged.drop("MergeAction").withColumn(IG.MODIFIED, base + F.make_dt_interval(F.lit(0), (k % 20).cast("int")))
+    v1 = merged.withColumn(IG.MODIFIED, base + F.make_dt_interval(F.lit(0), (k % 20).cast("int")))
     v1 = v1.withColumn(IG.ADDED, F.when(k % 3 == 0, F.col(IG.MODIFIED)).otherwise(IG.ts(SNAP_BASE - _h(24))))
     hit2 = (k % 20).isin(3, 4)
     v2 = v1.withColumn("o_totalprice", F.when(hit2, F.col("o_totalprice") + 10).otherwise(F.col("o_totalprice"))) \
@@ -124,13 +142,33 @@ def snapshot_versions(merged: DataFrame) -> list[DataFrame]:
     return [v1, v2, v3]
 
 
+def _stored(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return f"{source_root(spark, sf_dir)}/{name}"
+
+
+def current_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current table after the merge run: committed once, then read."""
+    root = _stored(spark, sf_dir, "orders")
+    once(spark, root, lambda path: merge_target(spark, sf_dir).write.parquet(path))
+    IG.merge_into(spark, root, merge_staged(spark, sf_dir), ["o_orderkey"], "run-merge", MERGE_NOW)
+    return IG.read_version(spark, root, "run-merge")
+
+
 def capture_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three captures (each over its own window of modified times), stacked."""
-    versions = snapshot_versions(merged_orders(spark, sf_dir))
-    m = SNAP_MARKS
-    caps = [IG.check_change_kinds(IG.capture_snapshot(v, m[i], m[i + 1], f"cap-{i + 1}")) for i, v in enumerate(versions)]
-    return caps[0].unionByName(caps[1]).unionByName(caps[2])
+    """The three captures (each over its own window of modified times) of the stored
+    table, each one partition of a log that is written once."""
+    def write(path: str) -> None:
+        for i, v in enumerate(snapshot_versions(current_orders(spark, sf_dir))):
+            IG.write_capture(IG.check_change_kinds(IG.capture_snapshot(v, SNAP_MARKS[i], SNAP_MARKS[i + 1], f"cap-{i + 1}")), path)
+    return spark.read.parquet(once(spark, _stored(spark, sf_dir, "captures"), write))
+
+
+def snapshot_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshots with the days they hold for: written once from the capture log."""
+    def write(path: str) -> None:
+        IG.validity_intervals(capture_log(spark, sf_dir), ["o_orderkey"]).write.parquet(path)
+    return spark.read.parquet(once(spark, _stored(spark, sf_dir, "snapshots"), write))
 
 
 def snapshot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return IG.snapshot_view(capture_log(spark, sf_dir), ["o_orderkey"])
+    return snapshot_intervals(spark, sf_dir).drop("ValidTo")

@@ -68,11 +68,12 @@ def _stamp(spark: SparkSession, sf_dir: str) -> str:
 
     def files(p, depth: int):
         for s in fs.listStatus(p):
-            if s.isDirectory() and depth:
-                yield from files(s.getPath(), depth - 1)
-            else:
-                yield f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}"
-    return ",".join(sorted(files(path, 1)))
+            if s.isDirectory():
+                yield from files(s.getPath(), depth + 1)
+            else:  # with the folders above it: a partition value is part of the data
+                names = str(s.getPath()).rsplit("/", depth + 1)[1:]
+                yield f"{'/'.join(names)}:{s.getLen()}:{s.getModificationTime()}"
+    return ",".join(sorted(files(path, 0)))
 
 
 def _root(spark: SparkSession, sf_dir: str) -> str:
@@ -80,6 +81,11 @@ def _root(spark: SparkSession, sf_dir: str) -> str:
     return f"{shared_dir(spark)}/ledgerlake/{tag}"
 
 
+def source_root(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of everything that is derived from the files now in ``sf_dir``."""
+    return _root(spark, sf_dir)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether a Parquet dataset exists at ``path`` (listing only, no data read).
     Only "path not found" / "no files" count as absent; other errors propagate."""
