@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, components, mix, shingles, stored, words_of
+from .common import WordHashes, components, mix, shingles, ship, stored, words_of
 
 BANDS, ROWS = 32, 4
 PERMS = BANDS * ROWS
@@ -218,6 +218,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     percent: int = 80, margin: float = 0.15) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id (the smallest id it is
     linked with over any number of links) and kept (it is that one)."""
+    ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sure = int(PERMS * (percent / 100 - margin))
     signed = stored(src.mapInPandas(_sign(words), SIGNED), "signed")
