@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..functions.columns import money
 from ..oracle import midx, period_of_midx
 from ..operators import windows as WN
 from ..plans import quality as Q
+from ..session import shared_dir
 from ..sources import subledgers
 from . import register
 from .common import CY, P, PL_MONTHLY_SQL, PY, L, lines, pl_monthly
@@ -299,26 +303,66 @@ def q_large_change_alert(spark, sf):
     return Q.large_change_alert(WN.mom_variance(g, ["Company", "AccountNumber"], "Period", "Amount"), "250000")
 
 
+_AMT2 = "CAST(CAST({} AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(12, 2))"
+_COST = f"c * {fixed.COST_NUMERATOR} // {fixed.COST_DENOMINATOR}"
+
+
+def _sub(name: str, acc: str, cents: str, where: str = "") -> str:
+    return (f"SELECT '{name}' AS TableName, co, {acc} AS acc, CAST(year(ship) * 10000 + month(ship) * 100 + day(ship) AS INTEGER) AS Date, "
+            f"l_orderkey, {_AMT2.format(cents)} AS amt FROM jbase {where}")
+
+
+SUBLEDGER_CTES = [("subs", " UNION ALL ".join([
+    _sub("CGIHIST", "rev", "-c", "WHERE dept = '3'"), _sub("CGIHIST", "'4' || substr(rev, 2, 4)", _COST, "WHERE dept = '3'"),
+    _sub("YTDIST", "expacc", "c * dp // 100"),
+    _sub("SUBLED", f"'{fixed.DEPRECIATION_ACCOUNT}'", "c * tp // 100", "WHERE l_returnflag = 'R'"),
+    _sub("PARTHIST", "rev", "-c", "WHERE dept = '4'"), _sub("PARTHIST", "'4' || substr(rev, 2, 4)", _COST, "WHERE dept = '4'"),
+    _sub("INVHCC", "rev", "-c", "WHERE dept = '2'")]))]
+
+
 @register("subledger_coverage", f"""
     SELECT Section, {_m('GlAmount')} AS GlAmount, {_z('SubledgerAmount')} AS SubledgerAmount,
            CASE WHEN SUM(GlAmount) <> 0 THEN CAST(coalesce(SUM(SubledgerAmount), 0) AS DOUBLE) * 100.0 / CAST(SUM(GlAmount) AS DOUBLE) END AS CoveragePct
     FROM (SELECT g.Section, g.GlAmount, s.SubledgerAmount
           FROM (SELECT Company, AccountNumber, Section, {_m('Amount')} AS GlAmount FROM is_lines
                 WHERE Period BETWEEN {PY}01 AND {PY}12 GROUP BY ALL) g
-          LEFT JOIN (SELECT co AS Company, acc AS AccountNumber, {_m('amt')} AS SubledgerAmount FROM (
-                        SELECT co, '33100' AS acc, CAST(CAST(-c AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(12, 2)) AS amt,
-                               {midx('0')} AS _x, CAST((year(ship) * 10000 + month(ship) * 100 + day(ship)) // 100 AS INTEGER) AS Period
-                        FROM jbase WHERE dept = '4'
-                        UNION ALL
-                        SELECT co, '43100', CAST(CAST(c * {fixed.COST_NUMERATOR} // {fixed.COST_DENOMINATOR} AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(12, 2)),
-                               0, CAST((year(ship) * 10000 + month(ship) * 100 + day(ship)) // 100 AS INTEGER)
-                        FROM jbase WHERE dept = '4')
-                     WHERE Period BETWEEN {PY}01 AND {PY}12 GROUP BY co, acc) s
+          LEFT JOIN (SELECT co AS Company, acc AS AccountNumber, {_m('amt')} AS SubledgerAmount FROM subs
+                     WHERE Date // 100 BETWEEN {PY}01 AND {PY}12 GROUP BY co, acc) s
             ON s.Company = g.Company AND s.AccountNumber = g.AccountNumber)
-    GROUP BY Section""")
+    GROUP BY Section""", SUBLEDGER_CTES)
 def q_subledger_coverage(spark, sf):
-    sl = subledgers.normalise(_parthist(spark, sf))
-    return Q.subledger_coverage(sl, lines(spark, sf), PY * 100 + 1, PY * 100 + 12)
+    return Q.subledger_coverage(subledgers.all_subledgers(spark, sf), lines(spark, sf), PY * 100 + 1, PY * 100 + 12)
+
+
+@register("scan_subledgers", """
+    SELECT TableName, co AS Company, acc AS AccountNumber, COUNT(*) AS Rows, CAST(SUM(amt) AS DECIMAL(18, 2)) AS Amount, min(Date) AS FirstDate,
+           max(Date) AS LastDate FROM subs GROUP BY TableName, co, acc""", SUBLEDGER_CTES)
+def q_scan_subledgers(spark, sf):
+    return subledgers.all_subledgers(spark, sf).groupBy("TableName", "Company", "AccountNumber").agg(
+        F.count(F.lit(1)).alias("Rows"), money(F.sum("Amount")).alias("Amount"), F.min("Date").alias("FirstDate"), F.max("Date").alias("LastDate"))
+
+
+@register("merge_subledgers", """
+    SELECT TableName, LastRunId, COUNT(*) AS Rows, CAST(SUM(CASE WHEN t AND NOT up THEN amt WHEN s THEN amt + r ELSE amt END) AS DECIMAL(18, 2)) AS Amount,
+           CAST(SUM(CASE WHEN NOT t THEN 1 ELSE 0 END) AS BIGINT) AS RowsInserted, CAST(SUM(CASE WHEN t AND up THEN 1 ELSE 0 END) AS BIGINT) AS RowsUpdated
+    FROM (SELECT *, s AND r = 1 AS up, CASE WHEN NOT t OR (s AND r = 1) THEN 'run-merge' ELSE 'run-initial' END AS LastRunId
+          FROM (SELECT *, l_orderkey % 10 < 8 AS t, l_orderkey % 10 >= 2 AS s, CASE WHEN l_orderkey % 7 = 0 THEN 1 ELSE 0 END AS r FROM subs))
+    GROUP BY TableName, LastRunId""", SUBLEDGER_CTES)
+def q_merge_subledgers(spark, sf):
+    """Each sub-ledger merged on its own key, committed and read back."""
+    from ..operators import ingest as IG
+    from ..plans import loads as LD
+    root = f"{shared_dir(spark)}/ledgerlake/scratch/subledgers-{uuid.uuid4().hex}"
+    out = None
+    for name, s in subledgers.SUBLEDGERS.items():
+        counts = LD.merge_subledger(spark, sf, name, f"{root}/{name}")
+        new = F.col(IG.RUN) == "run-merge"
+        one = IG.read_current(spark, f"{root}/{name}").groupBy(F.lit(name).alias("TableName"), IG.RUN).agg(
+            F.count(F.lit(1)).alias("Rows"), money(F.sum(s.amount)).alias("Amount"),
+            F.when(F.max(new.cast("int")) == 1, F.lit(counts["RowsInserted"])).otherwise(F.lit(0)).cast("bigint").alias("RowsInserted"),
+            F.when(F.max(new.cast("int")) == 1, F.lit(counts["RowsUpdated"])).otherwise(F.lit(0)).cast("bigint").alias("RowsUpdated"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @register("close_checklist", f"""

@@ -24,6 +24,7 @@ from ..sources.adapter import read_source
 from ..sources.commits import once
 from ..sources.scan import incremental_pull
 from ..sources.store import source_root
+from ..sources.subledgers import SUBLEDGERS, stored_subledger
 
 # --- Fixed values: load calendar and run ids -------------------------------------------
 RUN_LOG_T0 = dt.datetime(2001, 3, 1, 3, 0, 0)
@@ -172,3 +173,24 @@ def snapshot_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_intervals(spark, sf_dir).drop("ValidTo")
+
+
+# --- sub-ledger merges -----------------------------------------------------------------------
+
+#: The column of each sub-ledger that tells which order a row is of, as a number.
+ORDER_OF = {"CGIHIST": "cast(CH_ORD as bigint)", "YTDIST": "DN_TID div 10000000", "SUBLED": "SL_SEQ div 10000000", "PARTHIST": "cast(PH_PO as bigint)",
+            "INVHCC": "EB_TID div 10000000"}
+
+
+def merge_subledger(spark: SparkSession, sf_dir: str, name: str, root: str) -> dict:
+    """JN11: one run of a sub-ledger on its own key (1, 2, 5 or 8 columns), validated and
+    committed: orders ending 0-7 are in the target, staging has those ending 2-9 with
+    the amount raised on every 7th.  Returns the counts of the run."""
+    s = SUBLEDGERS[name]
+    rows, order = stored_subledger(spark, sf_dir, name), F.expr(ORDER_OF[name])
+    target = rows.where(order % 10 < 8).select("*", IG.ts(MERGE_INITIAL).alias(IG.ADDED), IG.ts(MERGE_INITIAL).alias(IG.MODIFIED),
+                                               F.lit("run-initial").alias(IG.RUN))
+    once(spark, root, lambda path: target.write.parquet(path))
+    raised = F.when(order % 7 == 0, F.col(s.amount) + 1).otherwise(F.col(s.amount)).cast(s.schema[s.amount].dataType)
+    staged = rows.where(order % 10 >= 2).withColumn(s.amount, raised)
+    return IG.merge_into(spark, root, staged, list(s.keys), "run-merge", MERGE_NOW)

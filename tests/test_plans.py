@@ -12,7 +12,7 @@ from ledgerlake import catalog
 
 # Queries whose callables run streaming jobs or writes before returning a DataFrame.
 SIDE_EFFECTS = {"stream_append", "stream_merge", "stream_flash", "append_journal",
-                "merge_commit", "stream_merge_disordered", "stream_late_rows", "append_runs", "append_run_log"}
+                "merge_commit", "merge_subledgers", "stream_merge_disordered", "stream_late_rows", "append_runs", "append_run_log"}
 KEYS = [k for k in catalog.REGISTRY if k not in SIDE_EFFECTS]
 EMPTY_PARTITION_WINDOW = re.compile(r"Window \[.*\], \[\], \[")
 
