@@ -142,6 +142,30 @@ def q_aging(spark, sf):
     return _aging(spark, sf)
 
 
+@register("days_sales_outstanding", f"""
+    SELECT o_custkey, {m('SUM(CASE WHEN open THEN c ELSE 0 END)')} AS Receivable, {m('SUM(CASE WHEN age BETWEEN 0 AND 364 THEN c ELSE 0 END)')} AS Sales,
+           CASE WHEN SUM(CASE WHEN age BETWEEN 0 AND 364 THEN c ELSE 0 END) <> 0
+                THEN CAST(SUM(CASE WHEN open THEN c ELSE 0 END) AS DOUBLE) * 365.0::DOUBLE / CAST(SUM(CASE WHEN age BETWEEN 0 AND 364 THEN c ELSE 0 END) AS DOUBLE) END AS DaysOutstanding
+    FROM (SELECT o_custkey, {_AGE} AS age, {c('o_totalprice')} AS c, o_orderstatus = 'O' AND {_AGE} >= 0 AS open FROM orders) GROUP BY o_custkey""")
+def q_days_sales_outstanding(spark, sf):
+    o = _src(spark, sf, "orders")
+    return EX.days_sales_outstanding(o, AS_OF, "o_custkey", "o_orderdate", "o_totalprice", F.col("o_orderstatus") == "O")
+
+
+@register("payments_applied", f"""
+    SELECT o_orderkey, o_custkey, {m('c')} AS Amount, {m('least(c, greatest(0, paid - before))')} AS Applied,
+           {m('c - least(c, greatest(0, paid - before))')} AS StillOpen
+    FROM (SELECT o_orderkey, o_custkey, c, pay AS paid, coalesce(SUM(c) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+          FROM (SELECT * , {c('o_totalprice')} AS c FROM orders WHERE o_orderstatus = 'O')
+          JOIN (SELECT c_custkey, CAST(round(greatest(c_acctbal, 0) * 1000) AS BIGINT) AS pay FROM customer) ON c_custkey = o_custkey)""")
+def q_payments_applied(spark, sf):
+    """Each customer's balance, tenfold, as a payment on the oldest open orders."""
+    o = _src(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
+    pay = _src(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), (F.greatest("c_acctbal", F.lit(0.0)) * 10).alias("paid"))
+    return EX.apply_payments(o, pay, "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice", "paid")
+
+
 @register("top_customers", f"SELECT * FROM ({_AGING_SQL}) ORDER BY Total DESC, o_custkey LIMIT 10")
 def q_top_customers(spark, sf):
     return _aging(spark, sf).orderBy(F.col("Total").desc(), "o_custkey").limit(10)
@@ -174,9 +198,9 @@ def q_parts_margin(spark, sf):
     return EX.parts_margin(_src(spark, sf, "lineitem"), _src(spark, sf, "part"))
 
 
-@register("part_lookup", "SELECT * FROM part WHERE contains(lower(p_name), 'green') ORDER BY p_partkey LIMIT 25")
+@register("part_lookup", "SELECT * FROM part WHERE contains(lower(p_name), 'gear') ORDER BY p_partkey LIMIT 25")
 def q_part_lookup(spark, sf):
-    return EX.search(_src(spark, sf, "part"), "p_name", "p_partkey", "Green")
+    return EX.search(_src(spark, sf, "part"), "p_name", "p_partkey", "Gear")
 
 
 @register("slow_moving_parts", f"""

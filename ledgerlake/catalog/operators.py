@@ -17,7 +17,9 @@ from ..operators import windows as WN
 from ..oracle import midx, period_of_midx
 from ..sources import scan
 from ..sources.schemas import GLCAL, GLCAL_KEY, JOURNAL_KEY
+from ..plans import quality as Q
 from . import register
+from .quality import FAULT_CTES
 from .common import CY, P, PL_MONTHLY_SQL, PY, SERIES_ACCOUNT, L, lines, pl_monthly
 
 money = C.money
@@ -618,6 +620,16 @@ def q_period_gaps(spark, sf):
     return WN.period_gaps(L(spark, sf).journal, ["YJ_CO", "YJ_ACC"], "period")
 
 
+@register("period_gaps_seeded", f"""
+    SELECT YJ_CO, YJ_ACC, {period_of_midx('i + 1')} AS GapFrom, {period_of_midx('nxt - 1')} AS GapTo,
+           CAST(nxt - i - 1 AS INTEGER) AS MissingMonths
+    FROM (SELECT YJ_CO, YJ_ACC, i, lead(i) OVER (PARTITION BY YJ_CO, YJ_ACC ORDER BY i) AS nxt
+          FROM (SELECT DISTINCT YJ_CO, YJ_ACC, {midx('period')} AS i FROM fjournal))
+    WHERE nxt - i > 1""", extra_ctes=FAULT_CTES[:1])
+def q_period_gaps_seeded(spark, sf):
+    return WN.period_gaps(Q.faulted_journal(L(spark, sf).journal), ["YJ_CO", "YJ_ACC"], "period")
+
+
 @register("zero_activity_run", f"""
     SELECT YJ_CO, YJ_ACC, LastActivePeriod, IdleMonths FROM (
         SELECT YJ_CO, YJ_ACC, max(period) AS LastActivePeriod,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -9,9 +11,11 @@ from ..functions.columns import money
 from ..functions.sections import longest_prefix
 from ..operators import joins as JN
 from ..oracle import midx
+from ..plans import loads as LD
 from ..plans import statements as st
 from ..sources.detail import detailed_balances
 from ..sources.store import ledger
+from . import ingest as _INGEST
 from . import register
 
 
@@ -44,7 +48,10 @@ def q_income_statement(spark, sf_dir):
            CAST(SUM(NetIncomeImpact) AS DECIMAL(18, 2)) AS NetIncomeImpact,
            CAST(SUM(Amount) AS DECIMAL(18, 2)) AS Amount
     FROM is_lines WHERE Period = {P}
-    GROUP BY Section, SectionOrder, AccountNumber, AccountName, Company, Division, Branch""")
+    GROUP BY Section, SectionOrder, AccountNumber, AccountName, Company, Division, Branch
+    UNION ALL
+    SELECT 'Total net income', NULL, NULL, NULL, NULL, NULL, NULL, CAST(SUM(NetIncomeImpact) AS DECIMAL(18, 2)), CAST(SUM(Amount) AS DECIMAL(18, 2))
+    FROM is_lines WHERE Period = {P}""")
 def q_income_statement_by_account(spark, sf_dir):
     return st.income_statement(_lines(spark, sf_dir), P, detail="by_account")
 
@@ -134,6 +141,23 @@ def q_monthly_trend(spark, sf):
     return st.monthly_trend(L(spark, sf), "31001", from_period=f"{PY}-03", to_period=P)
 
 
+@register("monthly_trend_default", f"""
+    SELECT GB_DATE AS Period, {_m('GB_AMT')} AS Amount FROM glcal
+    WHERE GB_GLA = '33100' AND {midx('GB_DATE')} > (SELECT {midx('max(GB_DATE)')} - 12 FROM glcal) GROUP BY GB_DATE""")
+def q_monthly_trend_default(spark, sf):
+    """No bounds: the last twelve months."""
+    return st.monthly_trend(L(spark, sf), "33100")
+
+
+@register("monthly_trend_stats", f"""
+    SELECT COUNT(*) AS Months, CAST(SUM(Amount) AS DECIMAL(18, 2)) AS Total, CAST(SUM(Amount) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS Mean,
+           min(Amount) AS Smallest, max(Amount) AS Largest, max(Period) AS LatestPeriod, arg_max(Amount, Period) AS LatestAmount
+    FROM (SELECT GB_DATE AS Period, {_m('GB_AMT')} AS Amount FROM glcal
+          WHERE GB_GLA = '31001' AND GB_DATE >= {PY}03 AND GB_DATE <= {P} GROUP BY GB_DATE)""")
+def q_monthly_trend_stats(spark, sf):
+    return st.monthly_trend_stats(st.monthly_trend(L(spark, sf), "31001", from_period=f"{PY}-03", to_period=P))
+
+
 # --- FS8
 @register("alias_rollup", f"""
     SELECT c.CA_GLFA AS Alias, COUNT(*) AS Lines, {_m('g.GB_AMT')} AS Amount
@@ -371,6 +395,16 @@ def q_data_freshness(spark, sf):
     return st.data_freshness(L(spark, sf))
 
 
+@register("data_freshness_rows", f"""
+    SELECT TableName, COUNT(*) AS Rows, max(m) AS LatestRowUtc, CAST(date_diff('second', max(m), TIMESTAMP '2001-03-10 00:00:00') AS BIGINT) AS SecondsSinceLatest
+    FROM (SELECT 'orders' AS TableName, DateModifiedUtc AS m FROM merged
+          UNION ALL SELECT 'snapshots', DateModifiedUtc FROM snap_rows) GROUP BY TableName""",
+          [*_INGEST.SNAP, ("snap_rows", "SELECT SourceLastSeenUtc AS DateModifiedUtc FROM snap")])
+def q_data_freshness_rows(spark, sf):
+    tables = {"orders": LD.current_orders(spark, sf), "snapshots": LD.snapshot_table(spark, sf).withColumnRenamed("SourceLastSeenUtc", "DateModifiedUtc")}
+    return st.row_freshness(tables, dt.datetime(2001, 3, 10), "DateModifiedUtc")
+
+
 @register("intercompany_check", f"""
     SELECT CASE WHEN GROUPING(GB_CO) = 1 THEN 'Total' ELSE GB_CO END AS Company, {_m('GB_AMT')} AS Balance,
            GROUPING(GB_CO) = 1 AND abs(SUM(GB_AMT)) > {fixed.BALANCE_TOLERANCE} AS OutOfBalance
@@ -596,6 +630,17 @@ def q_cash_summary(spark, sf):
     return rp.cash_summary(L(spark, sf), lines(spark, sf), P)
 
 
+@register("cash_equivalents", f"""
+    SELECT *, CAST(CashInBank + ContractsInTransit + VehicleReceivables AS DECIMAL(18, 2)) AS TotalCashEquivalents FROM (
+      SELECT right(GB_GLC, 2) AS Branch, """ + ", ".join(
+    f"CAST(CAST(coalesce(SUM(CASE WHEN {w} THEN cents END), 0) AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS {n}"
+    for n, w in (("CashInBank", "acc IN ('10113', '10114', '10140', '10151')"), ("ContractsInTransit", "acc = '10170'"), ("VehicleReceivables", "acc = '10200'")))
+    + f""" FROM det WHERE GB_DATE = {P} AND (acc LIKE '101%' OR acc = '10200') GROUP BY right(GB_GLC, 2))""", DETAIL[:1])
+def q_cash_equivalents(spark, sf):
+    led = L(spark, sf)
+    return rp.cash_equivalents(detailed_balances(st.bs_lines(led, P).select(*led.glcal.columns)), P)
+
+
 @register("cash_detail", f"""
     SELECT right(GB_GLC, 2) AS Branch, Section, GB_GLA AS Account, rtrim(ACNME) AS AccountName, {_m('GB_AMT')} AS Balance
     FROM bsl WHERE GB_DATE = {P} GROUP BY ALL""")
@@ -676,6 +721,16 @@ _KPI_SQL = ("kpi", f"""
     FULL JOIN (SELECT GB_CO AS Company, {_z("CASE WHEN GB_GLA = '12000' THEN GB_AMT END")} AS Inventory,
                       CAST(-{_z("CASE WHEN GB_GLA = '20350' THEN GB_AMT END")} AS DECIMAL(18, 2)) AS FloorPlan
                FROM bsl WHERE GB_DATE = {P} GROUP BY GB_CO) s ON f.Company = s.Company""")
+@register("equipment_by_condition", f"""
+    SELECT *, CAST(Revenue - CostOfSales AS DECIMAL(18, 2)) AS GrossMargin, {pct('Revenue - CostOfSales', 'Revenue')} AS MarginPct FROM (
+      SELECT Company, CASE WHEN AccountNumber IN ('31001', '31500', '41001', '41500') THEN 'New' ELSE 'Used' END AS Condition,
+             {_z("CASE WHEN AccountNumber LIKE '3%' THEN NetIncomeImpact END")} AS Revenue,
+             {_z("CASE WHEN AccountNumber LIKE '4%' THEN -NetIncomeImpact END")} AS CostOfSales
+      FROM is_lines WHERE Period BETWEEN {PY}03 AND {P} AND AccountNumber IN ('31001', '31500', '32000', '41001', '41500', '42000') GROUP BY ALL)""")
+def q_equipment_by_condition(spark, sf):
+    return rp.equipment_by_condition(lines(spark, sf), PY * 100 + 3, P)
+
+
 _KPIS = {"equipment_sales": "EquipmentSales", "inventory_turns": "InventoryTurns",
          "floorplan_coverage": "FloorplanCoverage", "parts_margin_pct": "PartsMarginPct",
          "labor_recovery": "LaborRecovery", "rental_performance": "RentalContribution"}
@@ -747,10 +802,32 @@ def q_rolling_12_pnl(spark, sf):
 @register("consolidated_pnl", f"""
     SELECT *, CAST(Combined - Eliminations AS DECIMAL(18, 2)) AS Consolidated FROM (
         SELECT Section, SectionOrder, {_m('NetIncomeImpact')} AS Combined,
-               {_z("CASE WHEN AccountNumber IN ('58200') THEN NetIncomeImpact END")} AS Eliminations
+               {_z("CASE WHEN AccountNumber IN ('10180', '24900', '27400') THEN NetIncomeImpact END")} AS Eliminations
         FROM is_lines WHERE Period = {P} GROUP BY Section, SectionOrder)""")
 def q_consolidated_pnl(spark, sf):
-    return rp.consolidated_pnl(lines(spark, sf), P, elimination_accounts=["58200"])
+    return rp.consolidated_pnl(lines(spark, sf), P)
+
+
+@register("intercompany_netting", f"""
+    SELECT *, CAST(DueFrom - DueTo AS DECIMAL(18, 2)) AS Net, Residual = 0 AS Balanced FROM (
+      SELECT least(co, '01') AS CompanyA, greatest(co, '01') AS CompanyB, COUNT(*) AS Postings,
+             CAST(CAST(SUM(CASE WHEN co = '01' THEN di ELSE 0 END) AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS DueFrom,
+             CAST(CAST(SUM(di) AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS DueTo,
+             CAST(0 AS DECIMAL(18, 2)) AS Residual
+      FROM (SELECT co, c * dp // 100 AS di, CAST(year(ship) * 100 + month(ship) AS INTEGER) AS per FROM jbase WHERE l_linenumber = 1)
+      WHERE di <> 0 AND per <= {P} GROUP BY co)""")
+def q_intercompany_netting(spark, sf):
+    return rp.intercompany_netting(L(spark, sf).journal, fixed.INTERCOMPANY_ACCOUNTS, P)
+
+
+@register("transfer_nets", f"""
+    SELECT *, abs(Net) <= {fixed.BALANCE_TOLERANCE} AS NetsToZero FROM (
+      SELECT acc AS Account, CASE WHEN GROUPING(GB_DIV) = 0 THEN GB_DIV ELSE 'all' END AS Division, COUNT(DISTINCT GB_CO) AS Companies,
+             CAST(CAST(SUM(cents) AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS Net
+      FROM det WHERE GB_DATE = {P} AND acc IN ('10180', '24900', '27400') GROUP BY GROUPING SETS ((acc, GB_DIV), (acc)))""", DETAIL[:1])
+def q_transfer_nets(spark, sf):
+    led = L(spark, sf)
+    return rp.transfer_nets(detailed_balances(st.bs_lines(led, P).select(*led.glcal.columns)), fixed.INTERCOMPANY_ACCOUNTS, P)
 
 
 @register("income_bridge", f"""

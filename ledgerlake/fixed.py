@@ -17,8 +17,9 @@ PRIOR_YEAR = CURRENT_YEAR - 1
 # Tolerances used by the reconciliation checks.
 DRIFT_TOLERANCE = "0.005"
 BALANCE_TOLERANCE = "0.01"
-# Intercompany clearing account.
+# Intercompany clearing account, and all accounts between companies and divisions.
 INTERCOMPANY_ACCOUNT = "27400"
+INTERCOMPANY_ACCOUNTS = ["10180", "24900", "27400"]
 # Company that carries the counterpart of every intercompany leg.
 HOLDING_COMPANY = "01"
 
@@ -269,3 +270,33 @@ BS_PREFIX_RULES = [
 ]
 PPE_SECTION = "Property, plant and equipment"
 UNCLASSIFIED = ("Unclassified", 190)
+
+# --- Fixed values: metrics (FS33, FS40, FS41) ---------------------------------------------
+# (metric, part, section): what a metric adds up, in the sections' display sign (revenue,
+# cost, assets and liabilities all positive).  "flow" rows are of the trailing twelve
+# months, "stock" rows balances.
+METRIC_RULES = [
+    ("CurrentAssets", "stock", "Cash"),
+    ("CurrentAssets", "stock", "Receivables"),
+    ("CurrentAssets", "stock", "Wholegoods inventory"),
+    ("QuickAssets", "stock", "Cash"),
+    ("QuickAssets", "stock", "Receivables"),
+    ("CurrentLiabilities", "stock", "Floorplan payable"),
+    ("EquipmentSales", "flow", "Equipment revenue"),
+    ("CostOfSales", "flow", "Equipment COGS"),
+    ("CostOfSales", "flow", "Parts COGS"),
+    ("CostOfSales", "flow", "Service COGS"),
+    ("CostOfSales", "flow", "Other COGS"),
+    ("PartsRevenue", "flow", "Parts revenue"),
+    ("PartsCost", "flow", "Parts COGS"),
+    ("ServiceRevenue", "flow", "Service revenue"),
+    ("ServiceCost", "flow", "Service COGS"),
+    ("RentalRevenue", "flow", "Other revenue"),
+    ("RentalCost", "flow", "Other COGS"),
+    ("Inventory", "stock", "Wholegoods inventory"),
+    ("FloorPlan", "stock", "Floorplan payable"),
+]
+# Equipment by account prefix (revenue and its cost): new or used.
+CONDITION_PREFIXES = [("31", "New"), ("32", "Used"), ("41", "New"), ("42", "Used")]
+# Cash equivalents (FS33) by prefix of the detailed accounts; the longest prefix wins.
+CASH_EQUIVALENT_PREFIXES = [("101", "CashInBank"), ("10170", "ContractsInTransit"), ("1018", "Intercompany"), ("10200", "VehicleReceivables")]

@@ -122,12 +122,11 @@ def subtotals(lines: DataFrame, amount: str = "NetIncomeImpact") -> DataFrame:
     """AGG17: department totals, Total Fixed, branch-decade totals and chain total.
 
     Overlapping groups (a Parts row is in its department *and* Total Fixed) are
-    expressed by exploding a bounded membership array, then one aggregation."""
-    g = lines.select(
-        F.explode(subtotal_groups(F.col("Department"), F.col("Branch"))).alias("SubtotalGroup"),
-        F.col(amount),
-    )
-    return g.groupBy("SubtotalGroup").agg(F.count(F.lit(1)).alias("Lines"), money(F.sum(amount)).alias(amount))
+    expressed by exploding a bounded membership array: of one row per department and
+    branch, not of the lines."""
+    per = lines.groupBy("Department", "Branch").agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("v"))
+    g = per.select(F.explode(subtotal_groups(F.col("Department"), F.col("Branch"))).alias("SubtotalGroup"), "n", "v")
+    return g.groupBy("SubtotalGroup").agg(F.sum("n").alias("Lines"), money(F.sum("v")).alias(amount))
 
 
 def dept_branch_matrix(lines: DataFrame, amount: str = "NetIncomeImpact") -> DataFrame:

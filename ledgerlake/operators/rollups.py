@@ -174,9 +174,30 @@ def build_coacmast(balances: DataFrame) -> DataFrame:
         F.col("YJ_CC").alias("CA_CC"),
         F.col("YJ_ACC").alias("CA_ACC"),
         alias.alias("CA_GLFA"),
-        F.lit("").alias("CA_CNHA"),
+        F.when(F.substring(acc, 1, 1).isin("1", "2"), F.lit("")).otherwise(F.concat(F.lit("C"), F.substring(acc, 1, 2))).alias("CA_CNHA"),
         F.when(F.substring(acc, 1, 1) == "4", F.lit(fixed.COGS_DEFAULT_PCT))
         .otherwise(F.lit("0.000")).cast("decimal(5,3)").alias("CA_GLCP"),
         F.lit(0).cast("decimal(7,0)").alias("CA_SLS"),
         "CA_YTD", "CA_CUR", "CA_L12",
     )
+
+
+INCOME_KEY = ["Company", "Division", "CostCenter"]
+
+
+def build_income(lines: DataFrame, last_close: int = fixed.LAST_CLOSE) -> DataFrame:
+    """Cumulative net income per company, division and cost center at every month from the
+    key's first to the last close (months without activity carry the balance on)."""
+    from .windows import dense_grid, running_balance
+    monthly = lines.where(F.col("Period") <= last_close).groupBy(*INCOME_KEY, "Period").agg(money(F.sum("NetIncomeImpact")).alias("Amount"))
+    grid = dense_grid(monthly, INCOME_KEY, "Period", "Amount", last_close)
+    return running_balance(grid, INCOME_KEY, "Period", "Amount").select(*INCOME_KEY, "Period", F.col("Balance").alias("NetIncome"))
+
+
+def extend_income(stored: DataFrame, lines: DataFrame, last_close: int, new_close: int) -> DataFrame:
+    """The months after ``last_close`` up to ``new_close``, from the stored balances at the last
+    close and the P&L lines after it: history is not read again."""
+    carried = stored.where(F.col("Period") == last_close).select(*INCOME_KEY, "Period", F.col("NetIncome").alias("Amount"))
+    new = lines.where((F.col("Period") > last_close) & (F.col("Period") <= new_close)).groupBy(*INCOME_KEY, "Period").agg(
+        money(F.sum("NetIncomeImpact")).alias("Amount"))
+    return build_income(carried.unionByName(new).withColumnRenamed("Amount", "NetIncomeImpact"), new_close).where(F.col("Period") > last_close)

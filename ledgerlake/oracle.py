@@ -179,7 +179,7 @@ CTES: list[tuple[str, str]] = [
                          THEN CASE WHEN right(YJ_CC, 2) <= {_q(fixed.SPLIT_ALIAS_CUT)}
                                    THEN {_q(fixed.SPLIT_ALIAS_LOW)} ELSE {_q(fixed.SPLIT_ALIAS_HIGH)} END
                     ELSE 'F' || substr(YJ_ACC, 1, 3) END AS CA_GLFA,
-               '' AS CA_CNHA,
+               CASE WHEN YJ_ACC < '3' THEN '' ELSE 'C' || substr(YJ_ACC, 1, 2) END AS CA_CNHA,
                CAST(CASE WHEN substr(YJ_ACC, 1, 1) = '4' THEN {fixed.COGS_DEFAULT_PCT} ELSE 0 END AS DECIMAL(5, 3)) AS CA_GLCP,
                CAST(0 AS DECIMAL(7, 0)) AS CA_SLS, CA_YTD, CA_CUR, CA_L12
         FROM balances

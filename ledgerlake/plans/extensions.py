@@ -45,6 +45,28 @@ def aging(items: DataFrame, as_of: dt.date, party: str, date_col: str, amount_co
     return it.groupBy(party).agg(*aggs)
 
 
+def days_sales_outstanding(items: DataFrame, as_of: dt.date, party: str, date_col: str, amount_col: str, is_open, days: int = 365) -> DataFrame:
+    """EXT1: per party what is open at ``as_of``, the sales of the ``days`` up to it, and how
+    many days of those sales are open (null without sales)."""
+    age = F.datediff(F.lit(as_of), F.to_date(F.col(date_col)))
+    it = items.select(F.col(party), age.alias("age"), _cents(F.col(amount_col)).alias("c"), is_open.alias("open"))
+    g = it.groupBy(party).agg(F.sum(F.when(F.col("open") & (F.col("age") >= 0), F.col("c")).otherwise(0)).alias("r"),
+                              F.sum(F.when(F.col("age").between(0, days - 1), F.col("c")).otherwise(0)).alias("s"))
+    dso = F.when(F.col("s") != 0, F.col("r").cast("double") * float(days) / F.col("s").cast("double"))
+    return g.select(party, _money(F.col("r")).alias("Receivable"), _money(F.col("s")).alias("Sales"), dso.alias("DaysOutstanding"))
+
+
+def apply_payments(items: DataFrame, payments: DataFrame, party: str, item: str, date_col: str, amount_col: str, paid_col: str) -> DataFrame:
+    """EXT1: a party's payments on its oldest items first: what of each is paid and still
+    open.  One window per party over its open items."""
+    w = Window.partitionBy(party).orderBy(date_col, item).rowsBetween(Window.unboundedPreceding, -1)
+    paid = payments.groupBy(party).agg(F.sum(_cents(F.col(paid_col))).alias("paid"))
+    it = items.select(party, item, date_col, _cents(F.col(amount_col)).alias("c")).withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
+    j = it.join(paid, party)
+    applied = F.least(F.col("c"), F.greatest(F.lit(0), F.col("paid") - F.col("before")))
+    return j.select(item, party, _money(F.col("c")).alias("Amount"), _money(applied).alias("Applied"), _money(F.col("c") - applied).alias("StillOpen"))
+
+
 def customer_balance(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """EXT2: per customer, orders, total and open total, with name and segment."""
     c = _cents(F.col("o_totalprice"))

@@ -47,7 +47,10 @@ def faulted_glcal(glcal: DataFrame) -> DataFrame:
 
 # --- DQ1 / DQ2 ------------------------------------------------------------------------
 
-def _journal_pl(journal: DataFrame, accmast: DataFrame) -> DataFrame:
+def _journal_pl(journal: DataFrame, accmast: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """P&L activity of the journal per ``keys``: summed before the master is joined."""
+    keys = list(dict.fromkeys([*keys, "YJ_CO", "YJ_ACC"]))
+    journal = journal.groupBy(*keys).agg(F.sum("YJ_AMT").alias("YJ_AMT"))
     j = left_dim(journal, accmast, co="YJ_CO", acc="YJ_ACC", cols=("ACTYP",))
     return j.where(is_profit_and_loss(F.col("ACTYP")))
 
@@ -55,7 +58,7 @@ def _journal_pl(journal: DataFrame, accmast: DataFrame) -> DataFrame:
 def recon_total(led, lines: DataFrame, periods: Sequence[int]) -> DataFrame:
     """DQ1: net income per closed period from the journal and from the monthly
     table, side by side with the difference."""
-    j = _journal_pl(led.journal.where(F.col("period").isin(*periods)), led.accmast).select(
+    j = _journal_pl(led.journal.where(F.col("period").isin(*periods)), led.accmast, ["period"]).select(
         F.col("period").alias("Period"), (-F.col("YJ_AMT")).alias("v"))
     m = lines.where(F.col("Period").isin(*periods)).select("Period", F.col("NetIncomeImpact").alias("v"))
     r = full_outer_reconcile(j, m, ["Period"], "v", "v")
@@ -67,7 +70,7 @@ def recon_drift(journal: DataFrame, glcal: DataFrame, accmast: DataFrame, last_c
                 tol: str = fixed.DRIFT_TOLERANCE) -> DataFrame:
     """DQ2: per key and closed period, journal activity vs GLCAL for P&L keys;
     rows whose |difference| > tolerance (expect none)."""
-    j = _journal_pl(journal.where(F.col("period") <= last_close), accmast).select(
+    j = _journal_pl(journal.where(F.col("period") <= last_close), accmast, [*JOURNAL_KEY, "period"]).select(
         *[F.col(c).alias(g) for c, g in zip(JOURNAL_KEY, GLCAL_KEY)], F.col("period").alias("GB_DATE"), "YJ_AMT")
     g = left_dim(glcal, accmast, cols=("ACTYP",)).where(is_profit_and_loss(F.col("ACTYP")))
     return full_outer_reconcile(j, g, [*GLCAL_KEY, "GB_DATE"], "YJ_AMT", "GB_AMT", tol=tol)

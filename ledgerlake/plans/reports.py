@@ -295,6 +295,20 @@ def cash_summary(led, lines: DataFrame, period) -> DataFrame:
                     money(F.col("Inventory") - F.col("FloorPlan")).alias("NetEquity"))
 
 
+def cash_equivalents(balances: DataFrame, period) -> DataFrame:
+    """FS33: per branch cash in bank, contracts in transit and vehicle receivables, and
+    their total; kinds by prefix of the detailed accounts, the longest wins."""
+    from ..functions.sections import longest_prefix
+    per = parse_period(period)
+    rules = balances.sparkSession.createDataFrame(fixed.CASH_EQUIVALENT_PREFIXES, "prefix string, Kind string")
+    acct = balances.where(F.col("GB_DATE") == per).groupBy(F.substring("GB_GLC", -2, 2).alias("Branch"), F.col("GB_GLA").alias("Account")).agg(F.sum("GB_AMT").alias("v"))
+    kinds = longest_prefix(acct.select("Account").distinct(), "Account", rules).where("Kind is not null")
+    names = ["CashInBank", "ContractsInTransit", "VehicleReceivables"]
+    g = acct.join(kinds, "Account").groupBy("Branch").pivot("Kind", names).agg(F.sum("v"))
+    g = g.select("Branch", *[money(F.coalesce(F.col(n), F.lit(0))).alias(n) for n in names])
+    return g.withColumn("TotalCashEquivalents", money(F.col(names[0]) + F.col(names[1]) + F.col(names[2])))
+
+
 def cash_detail(led, period) -> DataFrame:
     """FS33 detail: the balance-sheet accounts behind the cash summary, by branch."""
     per = parse_period(period)
@@ -350,62 +364,81 @@ def contribution_margin(lines: DataFrame, start: int, end: int) -> DataFrame:
     return g.withColumn("ContributionMargin", money(F.col("Revenue") - F.col("DirectCosts")))
 
 
-def ratios(led) -> DataFrame:
-    """FS40: current ratio, quick ratio and working capital per month (company
-    level).  Current assets: cash, receivables, inventory; current liabilities:
-    floor plan payable.  Ratios are one double division of exact sums."""
+def metric_values(sections: DataFrame, by: Sequence[str], part: str, rules=None) -> DataFrame:
+    """One row per ``by`` with a column for each metric of ``part``: ``sections`` (by, Section,
+    Amount in display sign) joined with the rule rows once, summed and pivoted.  A new
+    account needs a section, a new metric a rule; neither is named here."""
+    rules = [r for r in (rules or fixed.METRIC_RULES) if r[1] == part]
+    names = list(dict.fromkeys(r[0] for r in rules))
+    table = sections.sparkSession.createDataFrame([(m, sec) for m, _, sec in rules], "Metric string, Section string")
+    per = sections.groupBy(*by, "Section").agg(F.sum("Amount").alias("Amount"))
+    wide = per.join(table, "Section", "left").groupBy(*by).pivot("Metric", names).agg(F.sum("Amount"))
+    return wide.select(*by, *[money(F.coalesce(F.col(n), F.lit(0))).alias(n) for n in names])
+
+
+def _stocks(led, per: int | None = None) -> DataFrame:
+    """Balance-sheet sections in display sign: of one period, or of all."""
+    from ..functions.sections import classify_section
     from ..operators.joins import left_dim
-    g = left_dim(led.glcal, led.accmast, cols=("ACTYP",)).where(F.col("ACTYP") == "1")
-    a = F.col("GB_GLA")
-    amt = F.col("GB_AMT")
-
-    def s(accs, sign=1):
-        return money(F.coalesce(F.sum(F.when(a.isin(*accs), amt * sign)), F.lit(0)))
-    m = g.groupBy(F.col("GB_DATE").alias("Period")).agg(
-        s(["10100", "10200", "12000"]).alias("CurrentAssets"), s(["10100", "10200"]).alias("QuickAssets"),
-        s(["20350"], -1).alias("CurrentLiabilities"))
-    cl = F.col("CurrentLiabilities").cast("double")
+    from .statements import flag_side
+    g = led.glcal if per is None else led.glcal.where(F.col("GB_DATE") == per)
+    g = left_dim(g, led.accmast, cols=("ACTYP", "ACLIA")).where(F.col("ACTYP") == "1")
+    amount = F.when(F.col("Statement") == "BA", F.col("GB_AMT")).otherwise(-F.col("GB_AMT"))
+    return flag_side(classify_section(g, "GB_GLA")).select(
+        F.col("GB_CO").alias("Company"), F.col("GB_DATE").alias("Period"), "Section", amount.alias("Amount"))
+
+
+def _flows(lines: DataFrame) -> DataFrame:
+    """P&L sections in display sign: expense sections positive."""
+    cost = F.substring("AccountNumber", 1, 1) != "3"
+    return lines.select("*", F.when(cost, -F.col("NetIncomeImpact")).otherwise(F.col("NetIncomeImpact")).alias("Shown")).drop("Amount") \
+        .withColumnRenamed("Shown", "Amount")
+
+
+def _ratio(n, d):
+    return F.when(F.col(d).cast("double") != 0, F.col(n).cast("double") / F.col(d).cast("double"))
+
+
+def ratios(led) -> DataFrame:
+    """FS40: current ratio, quick ratio and working capital per month (all companies), by
+    the sections of the metric rules.  Ratios are one double division of exact sums."""
+    m = metric_values(_stocks(led), ["Period"], "stock")
     return m.select(
-        "Period", "CurrentAssets", "CurrentLiabilities",
-        F.when(cl != 0, F.col("CurrentAssets").cast("double") / cl).alias("CurrentRatio"),
-        F.when(cl != 0, F.col("QuickAssets").cast("double") / cl).alias("QuickRatio"),
+        "Period", "CurrentAssets", "CurrentLiabilities", _ratio("CurrentAssets", "CurrentLiabilities").alias("CurrentRatio"),
+        _ratio("QuickAssets", "CurrentLiabilities").alias("QuickRatio"),
         money(F.col("CurrentAssets") - F.col("CurrentLiabilities")).alias("WorkingCapital"))
 
 
 def dealer_kpis(led, lines: DataFrame, period) -> DataFrame:
     """FS41: equipment sales, inventory turns, floor-plan coverage, parts margin %,
     labour recovery and rental performance per company (trailing 12 closed months
-    for flows, the period's balance for stocks)."""
+    for flows, the period's balance for stocks), by the sections of the metric rules."""
     per = parse_period(period)
-    li = lines.where(F.col("Period").between(_prev_period(per, 11), per))
-    acc = F.col("AccountNumber")
-    v = F.col("NetIncomeImpact")
-
-    def s(accs, sign=1):
-        return money(F.coalesce(F.sum(F.when(acc.isin(*accs), v * sign)), F.lit(0)))
-    flows = li.groupBy("Company").agg(
-        s(["31001", "31500", "32000"]).alias("EquipmentSales"),
-        s(["41001", "41500", "42000", "43100", "44000", "45000"], -1).alias("CostOfSalesTTM"),
-        s(["33100"]).alias("PartsRevenue"), s(["43100"], -1).alias("PartsCost"),
-        s(["34000"]).alias("ServiceRevenue"), s(["44000"], -1).alias("ServiceCost"),
-        s(["35000"]).alias("RentalRevenue"), s(["45000"], -1).alias("RentalCost"))
-    b = bs_lines(led, per)
-    stocks = b.groupBy(F.col("GB_CO").alias("Company")).agg(
-        money(F.coalesce(F.sum(F.when(F.col("GB_GLA") == "12000", F.col("GB_AMT"))), F.lit(0))).alias("Inventory"),
-        money(-F.coalesce(F.sum(F.when(F.col("GB_GLA") == "20350", F.col("GB_AMT"))), F.lit(0))).alias("FloorPlan"))
-    k = flows.join(stocks, "Company", "full_outer")
-
-    def ratio(n, d):
-        return F.when(F.col(d).cast("double") != 0, F.col(n).cast("double") / F.col(d).cast("double"))
+    flows = metric_values(_flows(lines.where(F.col("Period").between(_prev_period(per, 11), per))), ["Company"], "flow")
+    k = flows.join(metric_values(_stocks(led, per), ["Company"], "stock"), "Company", "full_outer")
     return k.select(
-        "Company", "EquipmentSales",
-        ratio("CostOfSalesTTM", "Inventory").alias("InventoryTurns"),
-        ratio("FloorPlan", "Inventory").alias("FloorplanCoverage"),
+        "Company", "EquipmentSales", _ratio("CostOfSales", "Inventory").alias("InventoryTurns"),
+        _ratio("FloorPlan", "Inventory").alias("FloorplanCoverage"),
         safe_pct(F.col("PartsRevenue") - F.col("PartsCost"), F.col("PartsRevenue")).alias("PartsMarginPct"),
-        ratio("ServiceRevenue", "ServiceCost").alias("LaborRecovery"),
+        _ratio("ServiceRevenue", "ServiceCost").alias("LaborRecovery"),
         money(F.col("RentalRevenue") - F.col("RentalCost")).alias("RentalContribution"))
 
 
+def equipment_by_condition(lines: DataFrame, start: int, end: int) -> DataFrame:
+    """FS41: new and used equipment per company: revenue, cost, margin and margin %, the
+    condition by account prefix."""
+    from ..functions.sections import longest_prefix
+    rules = lines.sparkSession.createDataFrame(fixed.CONDITION_PREFIXES, "prefix string, Condition string")
+    acct = lines.where(F.col("Period").between(start, end)).groupBy("Company", "AccountNumber").agg(F.sum("NetIncomeImpact").alias("v"))
+    known = longest_prefix(acct.select("AccountNumber").distinct(), "AccountNumber", rules).where("Condition is not null")
+    revenue = F.substring("AccountNumber", 1, 1) == "3"
+    g = acct.join(known, "AccountNumber").groupBy("Company", "Condition").agg(
+        money(F.coalesce(F.sum(F.when(revenue, F.col("v"))), F.lit(0))).alias("Revenue"),
+        money(F.coalesce(F.sum(F.when(~revenue, -F.col("v"))), F.lit(0))).alias("CostOfSales"))
+    g = g.withColumn("GrossMargin", money(F.col("Revenue") - F.col("CostOfSales")))
+    return g.withColumn("MarginPct", safe_pct(F.col("GrossMargin"), F.col("Revenue")))
+
+
 def cogs_vs_default(led, lines: DataFrame, start: int, end: int) -> DataFrame:
     """FS42: actual cost-of-sales % of the paired revenue vs the chart default
     CA_GLCP, per company, branch and cost account."""
@@ -459,9 +492,9 @@ def rolling_12_pnl(lines: DataFrame) -> DataFrame:
 
 # --- FS38, FS39, FS43 - FS45, FS47, FS50 ------------------------------------------------------
 
-def consolidated_pnl(lines: DataFrame, period, elimination_accounts: Sequence[str] = ()) -> DataFrame:
-    """FS38: section totals over all companies, with intercompany elimination
-    accounts (the caller's list) removed and reported separately."""
+def consolidated_pnl(lines: DataFrame, period, elimination_accounts: Sequence[str] = tuple(fixed.INTERCOMPANY_ACCOUNTS)) -> DataFrame:
+    """FS38: section totals over all companies, P&L lines on accounts between companies
+    (by default the intercompany accounts) eliminated and shown beside."""
     per = parse_period(period)
     li = lines.where(F.col("Period") == per)
     elim = F.col("AccountNumber").isin(*elimination_accounts) if elimination_accounts else F.lit(False)
@@ -472,6 +505,43 @@ def consolidated_pnl(lines: DataFrame, period, elimination_accounts: Sequence[st
     return g.withColumn("Consolidated", money(F.col("Combined") - F.col("Eliminations")))
 
 
+def intercompany_netting(journal: DataFrame, accounts: Sequence[str], upto: int) -> DataFrame:
+    """FS38: due-from and due-to netted by pair of companies, with what does not net.
+
+    The two legs of a posting are found by its id and amount: the n-th debit of an
+    amount meets the n-th credit of it, by company.  A leg without its other side is shown with no
+    second company, so nothing that is eliminated is lost."""
+    legs = journal.where(F.col("YJ_ACC").isin(*accounts) & (F.col("period") <= upto) & (F.col("YJ_AMT") != 0)).select(
+        "YJ_UID", F.col("YJ_CO").alias("co"), F.col("YJ_AMT").alias("amt"), F.abs("YJ_AMT").alias("size"))
+    w = Window.partitionBy("YJ_UID", "amt").orderBy("co")
+    legs = legs.withColumn("n", F.row_number().over(w))
+    on = ["YJ_UID", "size", "n"]
+    debit = legs.where("amt > 0").select(*on, F.col("co").alias("from"), F.col("amt").alias("due_from"))
+    credit = legs.where("amt < 0").select(*on, F.col("co").alias("to"), F.col("amt").alias("due_to"))
+    j = debit.join(credit, on, "full_outer")
+    a, b = F.least("from", "to"), F.greatest("from", "to")
+    paired = F.col("from").isNotNull() & F.col("to").isNotNull()
+    zero = F.lit(0)
+    rows = j.select(a.alias("CompanyA"), F.when(paired, b).alias("CompanyB"),
+                    F.when(F.col("from") == a, F.col("due_from")).otherwise(zero).alias("fa"), F.when(F.col("to") == a, F.col("due_to")).otherwise(zero).alias("ta"),
+                    (F.coalesce("due_from", zero) + F.coalesce("due_to", zero)).alias("r"))
+    g = rows.groupBy("CompanyA", "CompanyB").agg(
+        F.count(F.lit(1)).alias("Postings"), money(F.sum("fa")).alias("DueFrom"), money(-F.sum("ta")).alias("DueTo"), money(F.sum("r")).alias("Residual"))
+    return g.withColumn("Net", money(F.col("DueFrom") - F.col("DueTo"))).withColumn("Balanced", F.col("CompanyB").isNotNull() & (F.col("Residual") == 0))
+
+
+def transfer_nets(balances: DataFrame, accounts: Sequence[str], period) -> DataFrame:
+    """FS38: each intercompany account by division and over all of them, with the companies
+    that carry it: a transfer within the group nets to zero in the last."""
+    per = parse_period(period)
+    b = balances.where((F.col("GB_DATE") == per) & F.col("GB_GLA").isin(*accounts)).groupBy(
+        F.col("GB_GLA").alias("Account"), F.col("GB_DIV").alias("Division"), F.col("GB_CO").alias("co")).agg(F.sum("GB_AMT").alias("v"))
+    g = b.groupingSets([["Account", "Division"], ["Account"]], "Account", "Division").agg(
+        F.grouping_id().alias("gid"), F.count_distinct("co").alias("Companies"), money(F.sum("v")).alias("Net"))
+    return g.select("Account", F.when(F.col("gid") == 0, F.col("Division")).otherwise(F.lit("all")).alias("Division"), "Companies", "Net",
+                    (F.abs("Net") <= F.lit(fixed.BALANCE_TOLERANCE).cast("decimal(10,3)")).alias("NetsToZero"))
+
+
 def income_bridge(lines: DataFrame, a, b) -> DataFrame:
     """FS39: net income of period ``b`` -> period ``a`` explained by section."""
     from .statements import period_compare

@@ -30,7 +30,7 @@ from ..operators import rollups
 from ..session import shared_dir
 from . import adapter, subledgers
 
-LAYOUT_VERSION = "v9"
+LAYOUT_VERSION = "v10"
 TABLES = ("journal", "accmast", "glcal", "glfis", "deptmast", "coacmast", "parthist")
 
 
