@@ -539,7 +539,7 @@ def q_running_balance(spark, sf):
     m = journal_to_period(led.journal)
     bs = led.accmast.where(C.is_balance_sheet(F.col("ACTYP"))).select(
         F.col("ACCO").alias("YJ_CO"), F.col("ACACC").alias("YJ_ACC"))
-    m = m.join(F.broadcast(bs), ["YJ_CO", "YJ_ACC"], "left_semi")
+    m = m.join(bs, ["YJ_CO", "YJ_ACC"], "left_semi")
     return WN.running_balance(m, JOURNAL_KEY)
 
 
@@ -740,7 +740,7 @@ def q_inline_values(spark, sf):
     FROM coacmast c JOIN accmast a ON a.ACCO = c.CA_CO AND a.ACACC = c.CA_ACC""")
 def q_fn_strings(spark, sf):
     led = L(spark, sf)
-    c = led.coacmast.join(F.broadcast(led.accmast.select(F.col("ACCO").alias("CA_CO"), F.col("ACACC").alias("CA_ACC"), "ACNME")),
+    c = led.coacmast.join(led.accmast.select(F.col("ACCO").alias("CA_CO"), F.col("ACACC").alias("CA_ACC"), "ACNME"),
                           ["CA_CO", "CA_ACC"])
     return c.select(
         "CA_CC", F.substring("CA_CC", 1, 1).alias("DeptCode"), F.substring("CA_CC", -2, 2).alias("BranchCode"),

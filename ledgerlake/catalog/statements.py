@@ -285,7 +285,7 @@ DETAIL = [
 def q_structured_balance_sheet(spark, sf):
     led = L(spark, sf)
     bal = st.bs_lines(led, P).select(*led.glcal.columns)
-    return st.structured_balance_sheet(detailed_balances(bal), lines(spark, sf), P, fixed.BS_PREFIX_RULES, fixed.DETAIL_ACCOUNTS)
+    return st.structured_balance_sheet(detailed_balances(bal), st.cumulative_income(led), P, fixed.BS_PREFIX_RULES, fixed.DETAIL_ACCOUNTS)
 
 
 @register("paired_assets", """
@@ -934,6 +934,14 @@ def q_adhoc_select(spark, sf):
     return st.adhoc_select(L(spark, sf), ADHOC_SQL, 5000)
 
 
+@register("adhoc_run_log", f"""
+    SELECT TableName, COUNT(*) AS Runs, max(WatermarkTo) AS WatermarkTo, FALSE AS Truncated FROM runlog WHERE Status = 'COMPLETE' GROUP BY TableName""",
+          _INGEST.RUNLOG)
+def q_adhoc_run_log(spark, sf):
+    return st.adhoc_select(L(spark, sf), "SELECT TableName, COUNT(*) AS Runs, max(WatermarkTo) AS WatermarkTo FROM run_log "
+                                         "WHERE Status = 'COMPLETE' GROUP BY TableName", 100)
+
+
 @register("account_reconcile", """
     SELECT coalesce(a.Company, b.Company) AS Company, coalesce(a.Period, b.Period) AS Period, a.LeftAmount, b.RightAmount,
            CAST(coalesce(a.LeftAmount, 0) - coalesce(b.RightAmount, 0) AS DECIMAL(18, 2)) AS Difference

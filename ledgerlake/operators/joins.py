@@ -23,7 +23,7 @@ def left_dim(fact: DataFrame, accmast: DataFrame, co: str = "GB_CO", acc: str =
              cols: Sequence[str] = ("ACNME", "ACTYP", "ACSTA")) -> DataFrame:
     """JN1: fact LEFT JOIN ACCMAST on company + account (broadcast, bounded)."""
     a = accmast.select(F.col("ACCO").alias(co), F.col("ACACC").alias(acc), *cols)
-    return fact.join(F.broadcast(a), [co, acc], "left")
+    return fact.join(a, [co, acc], "left")
 
 
 def chart_join(fact: DataFrame, coacmast: DataFrame, how: str = "left",
@@ -55,7 +55,7 @@ def agg_then_dim(journal: DataFrame, accmast: DataFrame, keys: Sequence[str] = (
     (the reference's account-only join fans out when companies share an account)."""
     agg = journal.groupBy(*keys).agg(money(F.sum("YJ_AMT")).alias("Amount"))
     a = accmast.select(F.col("ACCO").alias(keys[0]), F.col("ACACC").alias(keys[1]), "ACNME", "ACTYP")
-    return agg.join(F.broadcast(a), list(keys), "inner")
+    return agg.join(a, list(keys), "inner")
 
 
 def anti_orphans(fact: DataFrame, dim: DataFrame, fact_keys: Sequence[str], dim_keys: Sequence[str]) -> DataFrame:

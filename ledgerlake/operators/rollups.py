@@ -32,8 +32,8 @@ def journal_to_period(journal: DataFrame, upto: int | None = None, start: int |
 
 def _account_types(accmast: DataFrame) -> DataFrame:
     # ACCMAST is bounded by companies x chart (not by the journal), so broadcast is safe.
-    return F.broadcast(accmast.select(
-        F.col("ACCO").alias("YJ_CO"), F.col("ACACC").alias("YJ_ACC"), "ACTYP"))
+    return accmast.select(
+        F.col("ACCO").alias("YJ_CO"), F.col("ACACC").alias("YJ_ACC"), "ACTYP")
 
 
 def build_glcal(journal: DataFrame, accmast: DataFrame, last_close: int = fixed.LAST_CLOSE) -> DataFrame:

@@ -36,8 +36,8 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order, n: int) -> DataF
 
 def capped_result(df: DataFrame, order: Sequence, cap: int) -> DataFrame:
     """TOP4: the first ``cap`` rows in ``order`` (a top-k: per-partition heaps,
-    never a full sort) plus a ``Truncated`` flag.  The flag comes from counting at
-    most ``cap + 1`` rows, a limit that stops scanning early; totals belong in a
-    separate aggregate, never in the capped rows."""
-    truncated = df.limit(cap + 1).count() > cap
-    return df.orderBy(*order).limit(cap).withColumn("Truncated", F.lit(truncated))
+    never a full sort) plus a ``Truncated`` flag: whether the top-k of ``cap + 1`` is
+    full.  One pass, nothing is counted beforehand; the flag's window holds those rows
+    only.  Totals belong in a separate aggregate, never in the capped rows."""
+    top = df.orderBy(*order).limit(cap + 1)
+    return top.withColumn("Truncated", F.count(F.lit(1)).over(Window.partitionBy()) > cap).orderBy(*order).limit(cap)

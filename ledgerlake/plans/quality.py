@@ -124,7 +124,7 @@ def recon_ytd(led, kind: str, last_close: int = fixed.LAST_CLOSE) -> DataFrame:
     balance at the last close (balance sheet), per key; counts of keys checked and
     mismatched by account type."""
     y0 = (last_close // 100) * 100 + 1
-    c = led.coacmast.join(F.broadcast(led.accmast.select(F.col("ACCO").alias("CA_CO"), F.col("ACACC").alias("CA_ACC"), "ACTYP")),
+    c = led.coacmast.join(led.accmast.select(F.col("ACCO").alias("CA_CO"), F.col("ACACC").alias("CA_ACC"), "ACTYP"),
                           ["CA_CO", "CA_ACC"], "left")
     keys = ["CA_CO", "CA_DIV", "CA_CC", "CA_ACC"]
     if kind == "pnl":
@@ -174,7 +174,7 @@ def period_completeness(journal: DataFrame, keys: Sequence[str] = ("YJ_CO", "YJ_
 
 def deleted_with_balance(led) -> DataFrame:
     """DQ14: keys of deleted accounts (status 'D') still carrying a balance."""
-    c = led.coacmast.join(F.broadcast(led.accmast.select(F.col("ACCO").alias("CA_CO"), F.col("ACACC").alias("CA_ACC"), "ACSTA")),
+    c = led.coacmast.join(led.accmast.select(F.col("ACCO").alias("CA_CO"), F.col("ACACC").alias("CA_ACC"), "ACSTA"),
                           ["CA_CO", "CA_ACC"])
     return c.where((F.col("ACSTA") == "D") & (F.col("CA_CUR") != 0)).select("CA_CO", "CA_DIV", "CA_CC", "CA_ACC", "CA_CUR")
 
@@ -195,7 +195,7 @@ def unused_accounts(accmast: DataFrame, journal: DataFrame) -> DataFrame:
 def unknown_accounts(journal: DataFrame, accmast: DataFrame) -> DataFrame:
     """Postings to accounts absent from ACCMAST (a fault the seeded ledger shows)."""
     known = accmast.select(F.col("ACCO").alias("YJ_CO"), F.col("ACACC").alias("YJ_ACC"))
-    return journal.join(F.broadcast(known), ["YJ_CO", "YJ_ACC"], "left_anti").groupBy("YJ_CO", "YJ_ACC").agg(
+    return journal.join(known, ["YJ_CO", "YJ_ACC"], "left_anti").groupBy("YJ_CO", "YJ_ACC").agg(
         F.count(F.lit(1)).alias("Legs"), money(F.sum("YJ_AMT")).alias("Amount"))
 
 

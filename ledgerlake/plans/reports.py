@@ -68,7 +68,7 @@ def departmental_pnl(lines: DataFrame, period, account_filter: Column | None = N
     period) first; the measure explode and the department pivot run on that."""
     per = parse_period(period)
     meas, _ = _measures(per)
-    li = lines.where(F.col("Period").between(_prev_period(per, 12), per))
+    li = lines.where(F.col("Period").between(min(_prev_period(per), per // 100 * 100 + 1), per))
     if account_filter is not None:
         li = li.where(account_filter)
     li = li.withColumn("Department", department_column(F.col("Department")))
@@ -88,22 +88,24 @@ def departmental_pnl(lines: DataFrame, period, account_filter: Column | None = N
     out = pv.select("Line", "LineOrder", "Measure", *[c.alias(n) for n, c in cols.items()])
     out = out.withColumn("TotalFixed", money(F.col("Service") + F.col("Parts") + F.col("Rental")))
     out = out.withColumn("Total", money(F.col("Sales") + F.col("TotalFixed") + F.col("Admin") + F.col("Other")))
-    return out.unionByName(_pct_of_revenue(out))
+    return _with_pct_of_revenue(out)
 
 
 REPORT_COLUMNS = ["Sales", "Service", "Parts", "Rental", "Admin", "Other", "TotalFixed", "Total"]
 
 
-def _pct_of_revenue(out: DataFrame) -> DataFrame:
-    """The '%' measure: each current-month line as a percent of its column's total
-    revenue.  The revenue row is joined on the measure (one row per measure), an
-    equi-join, not a cross product."""
-    rev = out.where(F.col("Line") == "Total revenue").select(
-        "Measure", *[F.col(c).alias("rev_" + c) for c in REPORT_COLUMNS])
-    cur = out.where(F.col("Measure") == "Current").join(rev, "Measure")
-    return cur.select("Line", "LineOrder", F.lit("PctOfRevenue").alias("Measure"),
-                      *[safe_pct(F.col(c), F.col("rev_" + c)).cast("decimal(18,2)").alias(c)
-                        for c in REPORT_COLUMNS])
+def _with_pct_of_revenue(out: DataFrame) -> DataFrame:
+    """Adds the '%' measure: each current-month line as a percent of its column's total
+    revenue, found by a window over the measure's lines (a row per line), so the P&L is
+    evaluated once."""
+    w = Window.partitionBy("Measure")
+    rev = {c: F.max(F.when(F.col("Line") == "Total revenue", F.col(c))).over(w) for c in REPORT_COLUMNS}
+    known = out.select("*", *[r.alias("rev_" + c) for c, r in rev.items()], F.max((F.col("Line") == "Total revenue").cast("int")).over(w).alias("has"))
+    own = F.struct(F.col("Measure"), *[F.col(c) for c in REPORT_COLUMNS])
+    pct = F.struct(F.lit("PctOfRevenue").alias("Measure"),
+                   *[safe_pct(F.col(c), F.col("rev_" + c)).cast("decimal(18,2)").alias(c) for c in REPORT_COLUMNS])
+    both = F.when((F.col("Measure") == "Current") & (F.col("has") == 1), F.array(own, pct)).otherwise(F.array(own))
+    return known.select("Line", "LineOrder", F.inline(both))
 
 
 def departmental_pnl_detail(lines: DataFrame, period, department: str) -> DataFrame:
@@ -201,8 +203,8 @@ def retained_earnings(lines: DataFrame, period, distributions: DataFrame | None
 # --- FS25 - FS27, FS29, FS30 balances and unclosed activity ---------------------------
 
 def _typed_chart(led) -> DataFrame:
-    return led.coacmast.join(F.broadcast(led.accmast.select(
-        F.col("ACCO").alias("CA_CO"), F.col("ACACC").alias("CA_ACC"), "ACTYP", "ACSTA")), ["CA_CO", "CA_ACC"], "left")
+    return led.coacmast.join(led.accmast.select(
+        F.col("ACCO").alias("CA_CO"), F.col("ACACC").alias("CA_ACC"), "ACTYP", "ACSTA"), ["CA_CO", "CA_ACC"], "left")
 
 
 def live_ytd(led) -> DataFrame:
@@ -223,7 +225,7 @@ def unclosed_monthly_pnl(led, last_close: int = fixed.LAST_CLOSE) -> DataFrame:
     aggregate first, then join ACCMAST on company and account."""
     j = led.journal.where(F.col("period") > last_close)
     a = j.groupBy("YJ_CO", "YJ_ACC", "period").agg(money(F.sum("YJ_AMT")).alias("amt"))
-    a = a.join(F.broadcast(led.accmast.select(F.col("ACCO").alias("YJ_CO"), F.col("ACACC").alias("YJ_ACC"), "ACTYP")),
+    a = a.join(led.accmast.select(F.col("ACCO").alias("YJ_CO"), F.col("ACACC").alias("YJ_ACC"), "ACTYP"),
                ["YJ_CO", "YJ_ACC"])
     t = F.col("ACTYP")
     return a.groupBy(F.col("period").alias("Period")).agg(

@@ -19,9 +19,9 @@ BAL = [("10151", 100), ("10180", 7), ("10200", 50), ("10224", 3), ("12000", 40),
 def sheet(spark):
     bal = spark.createDataFrame([("01", "01", "001", a, 200102, D(v)) for a, v in BAL],
                                 "GB_CO string, GB_DIV string, GB_GLC string, GB_GLA string, GB_DATE int, GB_AMT decimal(18,2)")
-    lines = spark.createDataFrame([("01", "01", "001", "31001", 200101, D(150))],
-                                  "Company string, Division string, CostCenter string, AccountNumber string, Period int, NetIncomeImpact decimal(18,2)")
-    return st.structured_balance_sheet(bal, lines, 200102, fixed.BS_PREFIX_RULES, fixed.DETAIL_ACCOUNTS).collect()
+    income = spark.createDataFrame([("01", "01", "001", 200101, D(1)), ("01", "01", "001", 200102, D(150))],
+                                   "Company string, Division string, CostCenter string, Period int, NetIncome decimal(18,2)")
+    return st.structured_balance_sheet(bal, income, 200102, fixed.BS_PREFIX_RULES, fixed.DETAIL_ACCOUNTS).collect()
 
 
 def _amount(sheet, label):
