@@ -3,14 +3,16 @@
 *Tokens* are words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case, then one end.
 
 *Model.*  Every word, bigram and trigram of the training texts is kept with its whole
-count; no word is classed, no n-gram dropped.  A state is a context; an arc carries the
-probability of a word, discounted by ``DISCOUNT`` and interpolated with the shorter
-context's; the failure arc goes to the shorter context and carries
-``DISCOUNT * successors / count``, so each state's probabilities sum to one.  The empty
-context has add-one shares of all known tokens and one unknown.
+count; no word is classed, no n-gram dropped.  The model is an automaton: its states are
+the contexts, a seen n-gram is an arc from its context that carries the log-probability of
+its last word (discounted by ``DISCOUNT``, interpolated with the shorter context's), and a
+state's failure arc goes to the context without its first word and carries the log of
+``DISCOUNT * successors / count``; so each state's probabilities sum to one.  The empty
+context, whose arcs are add-one shares of all known tokens and one unknown, fails nowhere.
 
 *Groups.*  Texts are packed, partition by partition, into groups of about
-``group_bytes`` as arrays of word numbers.  In each round a group deals its distinct
+``group_bytes`` as arrays of word numbers, in a table bucketed by group, so that no round
+shuffles them.  In each round a group deals its distinct
 keys, with their training counts in it, into buckets of their hashes; buckets add up
 and send the totals back in the order of the keys.  Rounds: words, bigrams, trigrams
 and successors of words, successors of bigrams.  Nothing is sent anywhere whole.
@@ -18,7 +20,12 @@ and successors of words, successors of bigrams.  Nothing is sent anywhere whole.
 *What need not be asked.*  Buckets tell a group which words and bigrams no other group
 has; every n-gram that holds one is in that group only, which counts it itself, exactly.
 
-*Scoring* runs over a group's arrays, each token from the state of the two before it.
+*Scoring.*  A group builds the states, arcs and failure arcs of its own texts from the totals
+(``Arcs``) and runs each text through them from left to right: the state of the two words
+before, its arc if there is one, else the failure arc and the next state's.
+
+*Disk.*  What is sent is sorted and cut into byte planes, whose upper ones compress away; after
+each round the driver lets go of the round's shuffles, which then are deleted.
 
 Defined results: a null text is empty and has the end as its only token; rows with a
 null id are scored and not learned from; equal texts have equal scores; with nothing
@@ -27,7 +34,7 @@ to learn from all counts are 0.  Tokens and n-grams are told apart by 64-bit has
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -35,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, corpus_size, mix, ship, stored, word_hash, words_of
+from .common import WordHashes, bucketed, corpus_size, mix, reclaim, ship, stored, word_hash, words_of
 from .repeats import M1, M2, bucket_of, firsts, joined
 
 DISCOUNT = 0.75
@@ -49,25 +56,47 @@ CELL = "kind string, bucket int, grp bigint, a binary, b binary"
 REPLY = "grp bigint, kind string, bucket int, b binary, n bigint, first bigint"
 
 
+def planes(n: np.ndarray) -> bytes:
+    """Numbers byte by byte of their places, so that equal high bytes lie together."""
+    return np.ascontiguousarray(n.view(np.uint8).reshape(len(n), n.itemsize).T).tobytes()
+
+
+def unplaned(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 def narrow(n: np.ndarray) -> bytes:
     """Numbers from 0 up in as many bytes each as the largest needs, named in front."""
     kind = np.min_scalar_type(int(n.max(initial=0)))
-    return bytes([kind.itemsize]) + n.astype(kind).tobytes()
+    return bytes([kind.itemsize]) + planes(n.astype(kind))
 
 
 def wide(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"u{raw[0]}", offset=1).astype(np.int64)
+    return unplaned(raw[1:], f"u{raw[0]}").astype(np.int64)
+
+
+def steps(h: np.ndarray) -> bytes:
+    """Ascending hashes by their differences."""
+    return planes(np.diff(h, prepend=np.uint64(0)))
+
+
+def unstepped(raw: bytes) -> np.ndarray:
+    return np.cumsum(unplaned(raw, "u8"), dtype=np.uint64)
 
 
 def _pack(group_bytes: int):
     """Texts as groups of word numbers."""
     def packed(grp: int, docs: list, hashes: list[np.ndarray]) -> pd.DataFrame:
-        words, at = np.unique(np.concatenate(hashes), return_inverse=True)
+        words, at, n = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        often = np.argsort(-n, kind="stable")  # frequent words have small numbers
+        rank = np.empty(len(often), np.int64)
+        rank[often] = np.arange(len(often))
         null = np.array([d[0] is None for d in docs])
         return pd.DataFrame({
             "grp": [grp], "ids": [np.array([d[0] or 0 for d in docs], np.int64).tobytes()], "nulls": [null.tobytes()],
             "learn": [np.array([d[1] for d in docs], bool).tobytes()],
-            "lens": [np.array([len(h) for h in hashes], np.int64).tobytes()], "words": [words.tobytes()], "tokens": [narrow(at)]})
+            "lens": [np.array([len(h) for h in hashes], np.int64).tobytes()], "words": [words[often].tobytes()], "tokens": [narrow(rank[at])]})
 
     def run(batches):
         seen, docs, hashes, size = WordHashes(), [], [], 0
@@ -85,6 +114,19 @@ def _pack(group_bytes: int):
     return run
 
 
+@dataclass
+class Arcs:
+    """Log10 weights.  States of one word and of two (``state1``, ``state2``: whether there
+    is one), their failure arcs, and the arcs of the root and of both kinds (nan: none)."""
+    root: np.ndarray
+    state1: np.ndarray
+    state2: np.ndarray
+    fail1: np.ndarray
+    fail2: np.ndarray
+    arc2: np.ndarray
+    arc3: np.ndarray
+
+
 class Group:
     """A group of texts with what has come back to it."""
 
@@ -92,6 +134,10 @@ class Group:
         self.grp = int(row["grp"])
         self.replies = {k: r.sort_values("bucket") for k, r in replies.groupby("kind")} if replies is not None else {}
         word = np.frombuffer(row["words"], np.uint64)
+        order = np.argsort(word)
+        number = np.empty(len(word), np.int64)
+        number[order] = np.arange(len(word))
+        word = word[order]
         k = self.k = len(word)
         self.word = np.r_[word, BEGIN_HASH]
         self.end = int(np.searchsorted(word, END_HASH))
@@ -99,7 +145,7 @@ class Group:
         self.at = np.cumsum(self.lens) - self.lens
         self.docs_learn = np.frombuffer(row["learn"], bool)
         self.learn = np.repeat(self.docs_learn, self.lens)
-        self.w = wide(row["tokens"])
+        self.w = number[wide(row["tokens"])]
         self.n1 = np.bincount(self.w[self.learn], minlength=k)
 
     def reply(self, kind: str, order: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,23 +202,39 @@ class Group:
         self.after2 = np.bincount(self.c3, first3, len(self.key2)).astype(np.int64)
         self.ask_after2 = self.asked(AFTER_PAIR, self.h2, ~self.alone2 & (self.w2 != self.end))
 
-    def score(self, total: int, words: int) -> tuple[np.ndarray, ...]:
-        """Tokens, known tokens, base score and score of each text."""
+    def arcs(self, total: int, words: int) -> Arcs:
+        """The automaton of this group's n-grams, from the totals over all groups."""
         self.successors()
         after2 = self.reply(AFTER_PAIR, self.ask_after2, self.after2)[0]
-        base = (self.t1[self.w] + 1.0) / (total + words + 1)
-
-        def longer(n, context, after, shorter):
-            of = np.maximum(context, 1)
-            p = (np.maximum(n - DISCOUNT, 0) + DISCOUNT * after * shorter) / of
-            return np.where(context > 0, p, shorter)
+        root = (self.t1 + 1.0) / (total + words + 1)
+
+        def seen(n, of, back, shorter):
+            return np.log10(np.maximum(n - DISCOUNT, 0) / np.maximum(of, 1) + back * shorter, where=n > 0, out=np.full(len(n), np.nan))
+        back1 = DISCOUNT * self.after1 / np.maximum(self.t1, 1)
+        back2 = DISCOUNT * after2 / np.maximum(self.t2, 1)
+        share2 = np.maximum(self.t2 - DISCOUNT, 0) / np.maximum(self.t1[self.v2], 1) + back1[self.v2] * root[self.w2]
+        share2 = np.where(self.t1[self.v2] > 0, share2, root[self.w2])  # of every bigram here, seen or not
+        short3 = np.empty(len(self.t3))
+        short3[self.q] = share2[self.p[self.inner]]
+        state1, state2 = self.t1 > 0, self.t2 > 0
+        return Arcs(root=np.log10(root), state1=state1, state2=state2,
+                    fail1=np.log10(back1, where=state1, out=np.zeros(len(back1))), fail2=np.log10(back2, where=state2, out=np.zeros(len(back2))),
+                    arc2=seen(self.t2, self.t1[self.v2], back1[self.v2], root[self.w2]),
+                    arc3=seen(self.t3, self.t2[self.c3], back2[self.c3], short3))
 
-        p = longer(self.t2[self.p], self.t1[self.v], self.after1[self.v], base)
+    def score(self, total: int, words: int) -> tuple[np.ndarray, ...]:
+        """Tokens, known tokens, base score and score of each text."""
+        arcs = self.arcs(total, words)
+        base = arcs.root[self.w]
+        # from the state of one word: its arc, or its failure arc and the root's
+        p = np.where(np.isnan(arcs.arc2[self.p]), np.where(arcs.state1[self.v], arcs.fail1[self.v], 0.0) + base, arcs.arc2[self.p])
+        # from the state of two words, where there is one: its arc, or its failure arc and the above
         i = np.flatnonzero(self.inner)
-        c = self.p[i - 1]
-        p[i] = longer(self.t3[self.q], self.t2[c], after2[c], p[i])
+        state = self.p[i - 1]
+        longer = np.where(np.isnan(arcs.arc3[self.q]), arcs.fail2[state] + p[i], arcs.arc3[self.q])
+        p[i] = np.where(arcs.state2[state], longer, p[i])
         known = (self.t1[self.w] > 0).astype(np.int64)
-        return self.lens, np.add.reduceat(known, self.at), np.add.reduceat(np.log10(base), self.at), np.add.reduceat(np.log10(p), self.at)
+        return self.lens, np.add.reduceat(known, self.at), np.add.reduceat(base, self.at), np.add.reduceat(p, self.at)
 
     def cells(self, kind: str, hashes: np.ndarray, n: np.ndarray, order: np.ndarray, buckets: int) -> pd.DataFrame:
         h, n = hashes[order], n[order]
@@ -180,7 +242,7 @@ class Group:
         at = firsts(bucket)
         to = np.r_[at[1:], len(h)]
         return pd.DataFrame({"kind": kind, "bucket": bucket[at].astype(np.int32), "grp": np.int64(self.grp),
-                             "a": [h[s:e].tobytes() for s, e in zip(at, to)], "b": [narrow(n[s:e]) for s, e in zip(at, to)]})
+                             "a": [steps(h[s:e]) for s, e in zip(at, to)], "b": [narrow(n[s:e]) for s, e in zip(at, to)]})
 
 
 def _ask_words(buckets: int):
@@ -211,7 +273,7 @@ def _total(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """Adds up a bucket.  Each group's totals, four times, plus two where no other group
     has the key, plus one where it is the first that learns from it."""
     pdf = pdf.sort_values("grp")
-    parts = [np.frombuffer(a, np.uint64) for a in pdf["a"]]
+    parts = [unstepped(a) for a in pdf["a"]]
     h, n = joined(parts), joined([wide(b) for b in pdf["b"]], np.int64)
     o = np.argsort(h, kind="stable")
     at = firsts(h[o])
@@ -228,50 +290,6 @@ def _total(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
                          "n": [int(y.sum()) for _, y in rows], "first": [int((x & 1).sum()) for x, _ in rows]})
 
 
-class Automaton:
-    """States, arcs and failure arcs of a model that fits in memory (tests compare the
-    scores of groups with it)."""
-
-    def __init__(self, counts: np.ndarray, total: int, two: dict[int, int], three: dict[int, int]):
-        """counts: of each word, and of beginnings last; two, three: n-grams by key."""
-        k = self.k = len(counts)
-        self.unigram = (counts[:-1] + 1.0) / (total + k - 1)
-        contexts: dict[tuple, list] = {}
-        for key, n in two.items():
-            contexts.setdefault((key // k,), []).append((key % k, n))
-        for key, n in three.items():
-            contexts.setdefault((key // (k * k), key // k % k), []).append((key % k, n))
-        self.states = {(): 0}
-        self.last, self.fail, self.back, self.arcs = [-1], [0], [1.0], {}
-        for context in sorted(contexts, key=lambda c: (len(c), c)):
-            s = len(self.last)
-            size = two[context[0] * k + context[1]] if len(context) == 2 else int(counts[context[0]])
-            self.states[context] = s
-            self.last.append(context[-1])
-            self.fail.append(self.states.get(context[1:], 0))
-            self.back.append(1 - sum(n - DISCOUNT for _, n in contexts[context]) / size)
-            for w, n in contexts[context]:
-                self.arcs[s * k + w] = (n - DISCOUNT) / size
-        self.start = self.states.get((k - 1,), 0)
-
-    def share(self, state: int, w: int) -> float:
-        if not state:
-            return float(self.unigram[w])
-        return self.arcs.get(state * self.k + w, 0.0) + self.back[state] * self.share(self.fail[state], w)
-
-    def probability(self, state: int, w: int) -> float:
-        """log10 probability of a word after a context."""
-        return math.log10(self.share(state, w))
-
-    def score(self, words: list[int]) -> float:
-        """One traversal: the state is carried, log-probabilities are added."""
-        total, state = 0.0, self.start
-        for w in words:
-            total += self.probability(state, w)
-            state = self.states.get((self.last[state], w)) or self.states.get((w,), 0)
-        return total
-
-
 def _score(total: int, words: int):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]
@@ -292,7 +310,9 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
     learn = F.coalesce(part != held_part, F.lit(False))
-    groups = stored(src.select("doc_id", learn.alias("learn"), "text").mapInPandas(_pack(group_bytes), GROUP), "groups")
+    packed = src.select("doc_id", learn.alias("learn"), "text").mapInPandas(_pack(group_bytes), GROUP)
+    # a few groups to a bucket; 100,000 buckets are the most that Spark allows
+    groups = bucketed(packed, "groups", "grp", min(max(1, -(-size // (4 * group_bytes))), 100_000))
 
     def totals(cells: DataFrame, name: str) -> DataFrame:
         return stored(cells.groupBy("kind", "bucket").applyInPandas(_total, REPLY), name)
@@ -304,6 +324,8 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     for kind in (PAIRS, TRIPLES, AFTER_PAIR):
         asked = grouped.cogroup(replies.groupBy("grp")).applyInPandas(_ask(kind, buckets), CELL)
         replies = replies.unionByName(totals(asked, kind.replace(" ", "-")))
+        del asked
+        reclaim(docs.sparkSession)
     scores = grouped.cogroup(replies.groupBy("grp")).applyInPandas(
         _score(total, words), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == held_part, F.lit(False))

@@ -103,11 +103,54 @@ def test_lm_base_counts_and_probabilities(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+class Automaton:
+    """The model in plain dictionaries, one text at a time."""
+
+    def __init__(self, counts: np.ndarray, total: int, two: dict[int, int], three: dict[int, int]):
+        """counts: of each word, and of beginnings last; two, three: n-grams by key."""
+        k = self.k = len(counts)
+        self.unigram = (counts[:-1] + 1.0) / (total + k - 1)
+        contexts: dict[tuple, list] = {}
+        for key, n in two.items():
+            contexts.setdefault((key // k,), []).append((key % k, n))
+        for key, n in three.items():
+            contexts.setdefault((key // (k * k), key // k % k), []).append((key % k, n))
+        self.states = {(): 0}
+        self.last, self.fail, self.back, self.arcs = [-1], [0], [1.0], {}
+        for context in sorted(contexts, key=lambda c: (len(c), c)):
+            s = len(self.last)
+            size = two[context[0] * k + context[1]] if len(context) == 2 else int(counts[context[0]])
+            self.states[context] = s
+            self.last.append(context[-1])
+            self.fail.append(self.states.get(context[1:], 0))
+            self.back.append(1 - sum(n - lm.DISCOUNT for _, n in contexts[context]) / size)
+            for w, n in contexts[context]:
+                self.arcs[s * k + w] = (n - lm.DISCOUNT) / size
+        self.start = self.states.get((k - 1,), 0)
+
+    def share(self, state: int, w: int) -> float:
+        if not state:
+            return float(self.unigram[w])
+        return self.arcs.get(state * self.k + w, 0.0) + self.back[state] * self.share(self.fail[state], w)
+
+    def probability(self, state: int, w: int) -> float:
+        """log10 probability of a word after a context."""
+        return math.log10(self.share(state, w))
+
+    def score(self, words: list[int]) -> float:
+        """One traversal: the state is carried, log-probabilities are added."""
+        total, state = 0.0, self.start
+        for w in words:
+            total += self.probability(state, w)
+            state = self.states.get((self.last[state], w)) or self.states.get((w,), 0)
+        return total
+
+
 def test_automaton_states_are_distributions():
     counts = np.array([50, 10, 30, 20, 10])  # rare, end, two words, beginnings
     k = 5
     two = {2 * k + 3: 12, 2 * k + 1: 4, 3 * k + 2: 9, 4 * k + 2: 6}
-    a = lm.Automaton(counts, 110, two, {(2 * k + 3) * k + 2: 7})
+    a = Automaton(counts, 110, two, {(2 * k + 3) * k + 2: 7})
     for state in range(len(a.last)):
         assert sum(10 ** a.probability(state, w) for w in range(k - 1)) == pytest.approx(1)
     assert a.score([2, 3, 2, 1]) == pytest.approx(
@@ -127,7 +170,7 @@ def test_lm_keeps_every_ngram(spark):
         np.add.at(counts, c, 1)
         two.update(a * k + b for a, b in zip(c, c[1:]))
         three.update((x * k + y) * k + z for x, y, z in zip(c, c[1:], c[2:]))
-    automaton = lm.Automaton(counts, int(counts[:-1].sum()), two, three)
+    automaton = Automaton(counts, int(counts[:-1].sum()), two, three)
     got = {r.doc_id: r.score for r in lm.score_documents(docs.repartition(3), group_bytes=20_000, bucket_bytes=50_000).collect()}
     for i, w in rows:
         assert got[i] == pytest.approx(automaton.score([number.get(x, 0) for x in w]), rel=1e-9)
