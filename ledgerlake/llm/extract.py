@@ -6,9 +6,11 @@ the whole page, a hashed vector of its tag path (tags, classes, ids), a hashed v
 of its words and a few numbers, and labels each block in the light of all others.
 
 No labels come with pages, so the labeller is trained here: on at most ``sample_pages``
-pages (a documented bound, chosen by a hash of the id) whose blocks are labelled by
-what their markup says, with boilerplate blocks of many kinds put in, and part of
-each path hidden so that words and neighbours have to carry the decision.
+whole pages (a documented bound, chosen by a hash of id and url) whose blocks are labelled by
+what their markup says.  Where no element is an article, the main text is taken to be in the
+deepest element that holds most of the page's unlinked text (``dense``).  Boilerplate blocks of
+many kinds are put in, articles are renamed on every third page, and part of each path is
+hidden, so that words, links and neighbours have to carry the decision.
 
 Scripts, styles and comments in the markup hold no text; character references are
 decoded; white space inside a block is one space; blocks are joined by one newline.
@@ -49,6 +51,8 @@ INSIDE = frozenset(("article", "main"))
 PATH_SIZE, WORD_SIZE, HIDDEN = 96, 64, 16
 SIZE = PATH_SIZE + WORD_SIZE + 5
 #: Paths of what training puts in: (path, words it likes to hold).
+#: What training calls an article instead, on every third page.
+RENAMED = ["div.content", "div#content", "div", "div.post-body", "section", "div.entry", "div.text", "td", "div.story"]
 PUT_IN = [("body", "aside"), ("body", "div.sidebar"), ("body", "header"), ("body", "div#header"), ("body", "footer"), ("body", "form"),
           ("body", "div.notice"), ("body", "div.cookie-notice"), ("body", "div.ad"), ("body", "div.advert"), ("body", "nav", "ul", "li", "a"),
           ("body", "div.menu", "ul", "li", "a"), ("body", "section.comments", "div.comment", "p"), ("body", "div#comments", "p"),
@@ -244,7 +248,11 @@ class Labeller:
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(p) for k, p in self.p.items()}
         pages = sorted(pages, key=lambda p: len(p[0]))
-        batches = [pages[s:s + 16] for s in range(0, len(pages), 16)]
+        batches: list[list] = []
+        for p in pages:  # 16 pages to a batch, fewer where they are long
+            if not batches or len(batches[-1]) * max(len(p[0]), 60) >= 16 * 60:
+                batches.append([])
+            batches[-1].append(p)
         order, step = np.random.default_rng(11), 0
         for _ in range(epochs):
             for k in order.permutation(len(batches)):
@@ -277,10 +285,42 @@ def padded(xs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def lesson(page: list, r: np.random.Generator, seen: dict, longest: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def dense(page: list) -> list[bool | None]:
+    """What text and links say of the blocks of a page without an article: from the root
+    down, the element that holds 0.6 or more of the unlinked words.  Its blocks are main
+    text, those of links are not, nor what the markup rules out; short blocks outside it
+    are not, longer ones remain open."""
+    told = [taught(path) for path, _, _ in page]
+    words = np.array([0.0 if t is False or linked >= 0.5 else len(text.split()) * (1 - linked) for t, (_, text, linked) in zip(told, page)])
+    inside, depth = np.ones(len(page), bool), 0
+    while words.sum():
+        mass: dict[str, float] = {}
+        for i in np.flatnonzero(inside):
+            if len(page[i][0]) > depth + 1:  # its own element is no container
+                mass[page[i][0][depth]] = mass.get(page[i][0][depth], 0.0) + words[i]
+        best = max(sorted(mass), key=mass.get, default=None)
+        if best is None or mass[best] < 0.6 * words.sum():
+            break
+        inside &= np.array([len(path) > depth + 1 and path[depth] == best for path, _, _ in page])
+        depth += 1
+    out: list[bool | None] = []
+    for t, own, w, (_, text, linked) in zip(told, inside, words, page):
+        if t is False or linked >= 0.5:
+            out.append(False)
+        elif own:
+            out.append(bool(w))
+        else:
+            out.append(False if len(text.split()) < 8 else None)
+    return out
+
+
+def lesson(page: list, r: np.random.Generator, seen: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features, labels and weights of one training page, with boilerplate put in."""
-    page = page[:longest]
-    told = [(b, taught(b[0])) for b in page]
+    labels = [taught(b[0]) for b in page]
+    told = list(zip(page, labels if True in labels else dense(page)))
+    if r.integers(3) == 0:
+        name = RENAMED[int(r.integers(len(RENAMED)))]
+        told = [((tuple(name if re.match(r"[^.#]*", s).group() in INSIDE else s for s in path), text, linked), t) for (path, text, linked), t in told]
     texts = [b[1] for b, _ in told]
     for _ in range(int(r.integers(0, 4))):
         steps = PUT_IN[int(r.integers(len(PUT_IN)))]
@@ -292,12 +332,25 @@ def lesson(page: list, r: np.random.Generator, seen: dict, longest: int = 60) ->
     return features([b for b, _ in told], seen, r), y, w
 
 
-def fit(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", sample_pages: int = 300, epochs: int = 12) -> Labeller | None:
+def sample(pages: DataFrame, id_col: str, url_col: str, html_col: str, sample_pages: int) -> list[str]:
+    """At most ``sample_pages`` pages, by a hash of id and url; rows that repeat one are one.
+    Ids are chosen first, by a threshold from the number of rows, so only about as many
+    pages are read out of their files and sent to the driver."""
+    src = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
+    n = src.count()
+    if not n:
+        return []
+    h = F.pmod(F.xxhash64("id", "url"), F.lit(1 << 40))
+    picked = src.where(h <= int((1 << 40) * min(1.0, sample_pages / n))).where("length(html) > 0")
+    one = picked.groupBy("id", "url").agg(F.min("html").alias("html"))
+    return [x["html"] for x in one.orderBy(h, "id", "url").limit(sample_pages).collect()]
+
+
+def fit(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample_pages: int = 300,
+        epochs: int = 12) -> Labeller | None:
     """A labeller trained on a bounded sample."""
-    rows = (pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where("length(html) > 0")
-            .orderBy(F.xxhash64("id"), "id", F.xxhash64("html")).limit(sample_pages).select("html").collect())
     r, seen = np.random.default_rng(5), {}
-    lessons = [lesson(b, r, seen) for b in (blocks(x["html"]) for x in rows) if b]
+    lessons = [lesson(b, r, seen) for b in map(blocks, sample(pages, id_col, url_col, html_col, sample_pages)) if b]
     if not lessons:
         return None
     model = Labeller()
@@ -319,7 +372,7 @@ def _extract(model: Labeller | None):
 def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", **kw) -> DataFrame:
     """One row per page row: page_id, url and the main text, "" if there is none."""
     ship(pages.sparkSession)
-    model = fit(pages, id_col=id_col, html_col=html_col, **kw)
+    model = fit(pages, id_col=id_col, url_col=url_col, html_col=html_col, **kw)
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                        F.coalesce(html_col, F.lit("")).alias("html"))
     return src.mapInPandas(_extract(model), "page_id bigint, url string, text string").select(
