@@ -74,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": minhash.SQL,
+    "op2_license_scan": licenses.SQL,
     "op4_exact_top_k": topk.SQL,
     "op5_sharding": sharding.SQL,
     "op7_suffix_array_dedup": repeats.SQL,

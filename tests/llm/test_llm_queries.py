@@ -242,7 +242,7 @@ def test_every_operator_has_a_query():
 
 
 #: Keys without SQL, and the test here that stands for it.
-BY_TEST = {"op2_license_scan": test_licences_equal_brute_force, "op3_sentencepiece": test_sentencepieces_equal_brute_force_and_round_trip,
+BY_TEST = {"op3_sentencepiece": test_sentencepieces_equal_brute_force_and_round_trip,
            "op6_toxicity": test_toxicity_on_held_out_labels, "op8_html_extraction": test_pages_equal_their_articles,
            "op9_lm_scoring": test_lm_keeps_every_ngram}
 
