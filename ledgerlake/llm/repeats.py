@@ -10,7 +10,9 @@ phrases with the same trigger gram and phrases overlap as a prefix-free parse ne
 A document is its sequence of phrases (the parse); distinct phrases with their
 smallest document are the dictionary.
 
-What is ordered is the dictionary, not the corpus:
+No suffix array is built: equality of WIDTH bytes is all that the removal needs, so phrases
+and windows are told apart by hashes, sorted within buckets, and never put into the order of
+their bytes.  The steps:
 
 0. *Copies.*  A text that an earlier document holds whole loses everything; only the
    first of equal texts goes on.
@@ -492,24 +494,27 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 
 SQL = """
-with d as (select doc_id, lower(hex(encode(coalesce(text, '')))) as h from documents),
-w as (
-  select doc_id, p, substr(h, cast(2 * p + 1 as bigint), 100) as s
-  from d, unnest(range(0, len(h) // 2 - 49)) as u(p) where len(h) >= 100),
+with d as materialized (select doc_id, lower(hex(encode(coalesce(text, '')))) as h from documents),
+-- blocks that overlap, so that no substring is looked up in a long text
+k as materialized (
+  select doc_id, o, substr(h, cast(2 * o + 1 as bigint), 2146) as t from d, unnest(range(0, greatest(len(h) // 2, 1), 1024)) as u(o)),
+w as materialized (
+  select doc_id, o + p as p, substr(t, cast(2 * p + 1 as bigint), 100) as s
+  from k, unnest(range(0, least(1024, len(t) // 2 - 49))) as u(p) where len(t) >= 100),
 m as (select s, min(doc_id) as first from w group by s having min(doc_id) < max(doc_id)),
-hit as (select w.doc_id, w.p from w join m using (s) where m.first < w.doc_id),
+hit as materialized (select w.doc_id, w.p from w join m using (s) where m.first < w.doc_id),
 b as (
-  select d.doc_id, u.p, substr(h, cast(2 * u.p + 1 as bigint), 2) as x, hit.p as q
-  from d, unnest(range(0, len(h) // 2)) as u(p) left join hit on hit.doc_id = d.doc_id and hit.p = u.p),
+  select k.doc_id, o + u.p as p, substr(t, cast(2 * u.p + 1 as bigint), 2) as x
+  from k semi join hit on hit.doc_id = k.doc_id, unnest(range(0, least(1024, len(t) // 2))) as u(p)),
 c as (
-  select doc_id, p, x, max(q) over (partition by doc_id order by p rows between 49 preceding and current row) is not null as gone
-  from b),
+  select b.doc_id, b.p, x, max(hit.p) over (partition by b.doc_id order by b.p rows between 49 preceding and current row) is not null as gone
+  from b left join hit on hit.doc_id = b.doc_id and hit.p = b.p),
 e as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by p), false) as begins from c),
 r as (
   select doc_id, count(*) filter (gone) as n_removed, count(*) filter (begins) as n_spans,
          coalesce(string_agg(x, '' order by p) filter (not gone), '') as kept
   from e group by doc_id)
 select d.doc_id, cast(len(h) // 2 as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed,
-       coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(kept, ''))) as kept_sha256
+       coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(kept, h))) as kept_sha256
 from d left join r using (doc_id)
 """
