@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -68,10 +69,14 @@ def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
 
 
 def reclaim(spark: SparkSession) -> None:
-    """Lets the cleaner delete shuffles that no plan refers to any more: it does so when the
-    driver's JVM collects garbage, which it may not do for long."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Lets Spark's cleaner delete the shuffles that no plan refers to any more.  It does so
+    when the driver's JVM collects garbage, which may not happen for long.  The JVM learns of
+    plans that Python has let go a moment later, from a thread of the gateway, so it
+    collects twice."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(1)
+        spark._jvm.System.gc()
 
 
 def drop_stored(*tables: DataFrame) -> None:

@@ -218,7 +218,7 @@ class Group:
         short3[self.q] = share2[self.p[self.inner]]
         state1, state2 = self.t1 > 0, self.t2 > 0
         return Arcs(root=np.log10(root), state1=state1, state2=state2,
-                    fail1=np.log10(back1, where=state1, out=np.zeros(len(back1))), fail2=np.log10(back2, where=state2, out=np.zeros(len(back2))),
+                    fail1=np.log10(back1, where=back1 > 0, out=np.zeros(len(back1))), fail2=np.log10(back2, where=back2 > 0, out=np.zeros(len(back2))),
                     arc2=seen(self.t2, self.t1[self.v2], back1[self.v2], root[self.w2]),
                     arc3=seen(self.t3, self.t2[self.c3], back2[self.c3], short3))
 
@@ -318,6 +318,7 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return stored(cells.groupBy("kind", "bucket").applyInPandas(_total, REPLY), name)
 
     replies = totals(groups.mapInPandas(_ask_words(buckets), CELL), "words")
+    reclaim(docs.sparkSession)
     r = replies.agg(F.sum("n").alias("n"), F.sum("first").alias("v")).first()
     total, words = r["n"] or 0, r["v"] or 0
     grouped = groups.groupBy("grp")
