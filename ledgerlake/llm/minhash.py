@@ -22,7 +22,8 @@ with about 1e-6.
 
 Defined results: null and empty texts and texts without words have an empty set, are
 linked with nothing and kept; rows with a null id take no part and are kept; rows that
-share an id are one node; ties are broken by the smaller id.
+share an id are one document, linked with all that any of its texts is linked with; ties are
+broken by the smaller id.
 """
 
 from __future__ import annotations
@@ -222,6 +223,29 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sure = int(PERMS * (percent / 100 - margin))
     signed = stored(src.mapInPandas(_sign(words), SIGNED), "signed")
+    # Ids with several texts: each of their texts is a node of its own, by a hash.
+    several = stored(signed.where("id is not null").groupBy("id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("id"), "several")
+    if several.isEmpty():
+        comp = _components(src, signed, words, percent, sure)
+    else:
+        own = src.join(several, "id").select(F.xxhash64("id", "text").alias("node"), "id", "text")
+        keys = stored(own.select("node", "id").distinct(), "keys")
+        keyed = own.select(F.col("node").alias("id"), "text").unionByName(src.join(several, "id", "left_anti"))
+        again = stored(own.select(F.col("node").alias("id"), "text").mapInPandas(_sign(words), SIGNED)
+                       .unionByName(signed.join(several, "id", "left_anti")), "signed")
+        same = keys.join(keys.groupBy("id").agg(F.min("node").alias("b")), "id").where("node <> b").select(F.col("node").alias("a"), "b")
+        found = _components(keyed, again, words, percent, sure, same)
+        # from nodes back to ids, the smallest of which is the component's
+        ids = found.join(keys, "node", "left").select("root", F.coalesce("id", "node").alias("node"))
+        least = ids.groupBy("root").agg(F.min("node").alias("least"))
+        comp = ids.join(least, "root").select("node", F.col("least").alias("root")).distinct()
+    return (signed.join(comp.withColumnRenamed("node", "id"), "id", "left")
+            .select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("root", "id").alias("component_id"),
+                    F.coalesce(F.col("root") == F.col("id"), F.lit(True)).alias("kept")))
+
+
+def _components(src: DataFrame, signed: DataFrame, words: int, percent: int, sure: int, more: DataFrame | None = None) -> DataFrame:
+    """(node, root) of the linked nodes; ``more`` are further links, between nodes that are one document."""
     # Sets that occur more than once, by their smallest id; stored, so that the join
     # below gets exchanges of its own, whose large partitions can be split.
     linked = signed.where("n_shingles > 0 and id is not null")
@@ -230,16 +254,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     others = of.where("id <> rep").select("id").distinct()
     nodes = linked.join(others, "id", "left_anti")
     found = links(src.where("id is not null"), linked, nodes.select("id", "bands"), words, percent, sure)
-    comp = components(found.unionByName(of.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))))
-    return (signed.join(comp.withColumnRenamed("node", "id"), "id", "left")
-            .select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("root", "id").alias("component_id"),
-                    F.coalesce(F.col("root") == F.col("id"), F.lit(True)).alias("kept")))
+    every = found.unionByName(of.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))
+    return components(every if more is None else every.unionByName(more))
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """``docs``, all columns, with one document of each group: the one with the smallest id."""
+    """``docs``, all columns, with one document of each group: the one with the smallest id.
+    Of rows that repeat an id with its text one stays."""
     gone = near_duplicates(docs, id_col=id_col, text_col=text_col, **kw).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), docs[id_col] == F.col("_gone"), "left_anti")
+    left = docs.join(gone.distinct(), docs[id_col] == F.col("_gone"), "left_anti")
+    again = stored(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).count().where("count > 1").select("_id"), "again")
+    if again.isEmpty():
+        return left
+    once = left.join(again, left[id_col] == F.col("_id"), "left_semi")
+    return left.join(again, left[id_col] == F.col("_id"), "left_anti").unionByName(once.dropDuplicates([id_col, text_col]))
 
 
 SQL = r"""

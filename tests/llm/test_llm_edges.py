@@ -203,3 +203,14 @@ def test_pipeline_stages(spark, docs, labels, bench, tmp_path):
     kept = spark.read.parquet(f"{sf}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, kept, sf).columns == docs.columns, name
+
+
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    """Every link of every text of an id counts; repeated rows stay once in the pipeline."""
+    b, c = " ".join(f"b{i}" for i in range(40)), " ".join(f"c{i}" for i in range(40))
+    rows = [(1, b), (2, b), (2, c), (3, c + " x"), (7, "alone here with five words"), (7, "alone here with five words"), (8, b + " y"), (9, "quite another text than these"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((x.doc_id, x.component_id, x.kept) for x in minhash.near_duplicates(docs, words=4).collect())
+    assert got == [(1, 1, True), (2, 1, False), (2, 1, False), (3, 1, False), (7, 7, True), (7, 7, True), (8, 1, False), (9, 9, True), (9, 9, True)]
+    left = sorted((r.doc_id, r.text or "") for r in minhash.keep_one(docs).collect())
+    assert left == [(1, b), (7, "alone here with five words"), (9, ""), (9, "quite another text than these")]
