@@ -230,7 +230,7 @@ def _list(values) -> str:
 
 
 def _detail_sql() -> str:
-    """GLCAL's balance-sheet rows in detailed accounts (FIXTURES F6)."""
+    """GLCAL's balance-sheet rows in detailed accounts (FIXTURES F8)."""
     inv, dep, n = fixed.INVENTORY_ACCOUNT, fixed.ACCUM_DEPRECIATION_ACCOUNT, len(fixed.INVENTORY_PAIRS)
     base = ("(SELECT g.*, CAST(right(g.GB_GLC, 2) AS INTEGER) AS br, CAST(round(g.GB_AMT * 100) AS BIGINT) AS cents FROM glcal g "
             "JOIN accmast a ON a.ACCO = g.GB_CO AND a.ACACC = g.GB_GLA WHERE a.ACTYP = '1')")

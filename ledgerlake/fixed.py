@@ -168,7 +168,7 @@ YEAR_END_ACCOUNT, YEAR_END_MONTH = "55100", 12
 # Run-id format used for merge runs.
 RUN_ID = "00000000-0000-0000-0000-000000000001"
 
-# --- Fixed values: detailed balance-sheet accounts (FIXTURES F6) ------------------------
+# --- Fixed values: detailed balance-sheet accounts (FIXTURES F8) ------------------------
 # (account, name) in account order: the accounts that the structured balance sheet tells
 # apart.  Balances of the chart above are dealt to them by branch.
 DETAIL_ACCOUNTS = [

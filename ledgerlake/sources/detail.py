@@ -1,4 +1,4 @@
-"""Balances in detailed accounts (FIXTURES F6): the GLCAL balances of the few accounts
+"""Balances in detailed accounts (FIXTURES F8): the GLCAL balances of the few accounts
 that the driver's tables post to, dealt to the accounts that a full chart would hold.
 
 Every row becomes one or two rows of the same company, division, cost center and period whose

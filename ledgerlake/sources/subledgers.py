@@ -109,7 +109,7 @@ SUBLEDGERS = {s.name: s for s in (
 
 
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A sub-ledger over all line items of its kind (FIXTURES F7): service work by order
+    """A sub-ledger over all line items of its kind (FIXTURES F9): service work by order
     (CGIHIST), vendor distributions of the expense leg (YTDIST), depreciation entries of
     returned lines (SUBLED), parts sales and cost (PARTHIST), equipment invoices (INVHCC)."""
     ship = F.to_date("l_shipdate")
