@@ -550,6 +550,20 @@ def q_retained_earnings(spark, sf):
     return rp.retained_earnings(lines(spark, sf), P)
 
 
+@register("retained_earnings_distributions", f"""
+    SELECT Company, Opening, NetIncome, Distributions, CAST(Opening + NetIncome - Distributions AS DECIMAL(18, 2)) AS Closing
+    FROM (SELECT r.*, CAST(CAST(coalesce(d.cents, 0) AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2)) AS Distributions
+          FROM (SELECT Company, {_z(f'CASE WHEN Period < {Y0} THEN NetIncomeImpact END')} AS Opening,
+                       {_z(f'CASE WHEN Period >= {Y0} THEN NetIncomeImpact END')} AS NetIncome
+                FROM is_lines WHERE Period <= {P} GROUP BY Company) r
+          LEFT JOIN (SELECT GB_CO, SUM(CASE WHEN GB_DATE = {P} THEN cents ELSE -cents END) AS cents FROM det
+                     WHERE acc = '27550' AND GB_DATE IN ({PY}12, {P}) GROUP BY GB_CO) d ON d.GB_CO = r.Company)""", DETAIL[:1])
+def q_retained_earnings_distributions(spark, sf):
+    led = L(spark, sf)
+    bal = detailed_balances(st.bs_lines(led, [PY * 100 + 12, P]).select(*led.glcal.columns))
+    return rp.retained_earnings(lines(spark, sf), P, rp.distributions(bal, fixed.DISTRIBUTION_ACCOUNTS, P))
+
+
 # --- FS25 - FS27, FS29, FS30
 @register("live_ytd", f"""
     SELECT CA_CO AS Company, CAST(-SUM(CA_CUR) AS DECIMAL(18, 2)) AS LiveYTD FROM tchart

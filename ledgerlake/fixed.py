@@ -223,12 +223,14 @@ DETAIL_ACCOUNTS = [
     ("24900", "System clearing"),
     ("25100", "Note payable, bank"),
     ("27400", "Intercompany clearing"),
+    ("27550", "Distributions"),
 ]
+DISTRIBUTION_ACCOUNTS = ["27550"]
 # Accounts that a balance is dealt to, by branch number modulo their count.
 DETAIL_OF = {
     "10100": ["10113", "10114", "10140", "10151", "10170"],
     "10200": ["10180", "10200", "10204", "10210", "10224", "10230", "10241", "10242", "10245", "10246", "10301", "14000", "17800"],
-    "20350": ["20150", "20350", "22100", "24100", "24900", "25100"],
+    "20350": ["20150", "20350", "22100", "24100", "24900", "25100", "27550"],
 }
 # Inventory and its reserve: even branches wholegoods, odd ones parts; the reserve is a
 # 25th of the balance.

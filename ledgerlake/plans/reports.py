@@ -200,6 +200,16 @@ def retained_earnings(lines: DataFrame, period, distributions: DataFrame | None
     return r.withColumn("Closing", money(F.col("Opening") + F.col("NetIncome") - F.col("Distributions")))
 
 
+def distributions(balances: DataFrame, accounts: Sequence[str], period) -> DataFrame:
+    """FS23: (Company, Amount) paid out in the year to date: how far the balances of the
+    distribution accounts moved since the end of the last year.  Two periods are read."""
+    per = parse_period(period)
+    end = (per // 100 - 1) * 100 + 12
+    b = balances.where(F.col("GB_DATE").isin(end, per) & F.col("GB_GLA").isin(*accounts))
+    moved = F.when(F.col("GB_DATE") == per, F.col("GB_AMT")).otherwise(-F.col("GB_AMT"))
+    return b.groupBy(F.col("GB_CO").alias("Company")).agg(money(F.sum(moved)).alias("Amount"))
+
+
 # --- FS25 - FS27, FS29, FS30 balances and unclosed activity ---------------------------
 
 def _typed_chart(led) -> DataFrame:
