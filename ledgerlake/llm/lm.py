@@ -76,6 +76,16 @@ def wide(raw: bytes) -> np.ndarray:
     return unplaned(raw[1:], f"u{raw[0]}").astype(np.int64)
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and which of them each key is; by hashing, so that only
+    distinct keys are sorted."""
+    at, found = pd.factorize(keys)
+    order = np.argsort(found)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return found[order], rank[at]
+
+
 def steps(h: np.ndarray) -> bytes:
     """Ascending hashes by their differences."""
     return planes(np.diff(h, prepend=np.uint64(0)))
@@ -88,8 +98,8 @@ def unstepped(raw: bytes) -> np.ndarray:
 def _pack(group_bytes: int):
     """Texts as groups of word numbers."""
     def packed(grp: int, docs: list, hashes: list[np.ndarray]) -> pd.DataFrame:
-        words, at, n = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-        often = np.argsort(-n, kind="stable")  # frequent words have small numbers
+        at, words = pd.factorize(np.concatenate(hashes))
+        often = np.argsort(-np.bincount(at), kind="stable")  # frequent words have small numbers
         rank = np.empty(len(often), np.int64)
         rank[often] = np.arange(len(often))
         null = np.array([d[0] is None for d in docs])
@@ -174,7 +184,7 @@ class Group:
         v = np.r_[0, self.w[:-1]]
         v[self.at] = self.k
         self.v = v
-        self.key2, self.p = np.unique(v * self.k + self.w, return_inverse=True)
+        self.key2, self.p = distinct(v * self.k + self.w)
         self.v2, self.w2 = self.key2 // self.k, self.key2 % self.k
         self.h2 = mix(mix(self.word[self.v2] * M1) + self.word[self.w2] * M2)
         self.n2 = np.bincount(self.p[self.learn], minlength=len(self.key2))
@@ -186,7 +196,7 @@ class Group:
         self.inner = np.ones(len(self.w), bool)
         self.inner[self.at] = False
         i = np.flatnonzero(self.inner)
-        key, self.q = np.unique(self.p[i - 1] * self.k + self.w[i], return_inverse=True)
+        key, self.q = distinct(self.p[i - 1] * self.k + self.w[i])
         self.c3, w3 = key // self.k, key % self.k
         self.h3 = mix(mix(self.h2[self.c3] * M1) + self.word[w3] * M2)
         self.n3 = np.bincount(self.q[self.learn[i]], minlength=len(key))

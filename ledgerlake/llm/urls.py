@@ -237,8 +237,8 @@ def fit(vectors: DataFrame, trees: int = TREES, depth: int = DEPTH, rate: float
     return found
 
 
-def train(labelled: DataFrame, train_rows: int = 50_000) -> tuple[Statistics, list[Tree]]:
-    """Statistics over all of ``labelled`` (url, blocked) and trees on about ``train_rows`` of it."""
+def train(labelled: DataFrame, train_rows: int = 50_000, trees: int = TREES) -> tuple[Statistics, list[Tree]]:
+    """Statistics over all of ``labelled`` (url, blocked) and ``trees`` on about ``train_rows`` of it."""
     known = statistics(labelled)
     rows = labelled
     if known.total > train_rows:
@@ -246,11 +246,11 @@ def train(labelled: DataFrame, train_rows: int = 50_000) -> tuple[Statistics, li
     fold = F.pmod(hashed(F.col("url")), F.lit(FOLDS)).cast("int")
     vectors = featured(rows, known, fold).groupBy(*[f"f{i}" for i in range(len(FEATURES))]).agg(
         F.count(F.lit(1)).alias("n"), F.sum("blocked").cast("long").alias("blocked"))
-    return known, fit(vectors) if known.total else []
+    return known, fit(vectors, trees) if known.total else []
 
 
 def judge(pages: DataFrame, *, rules: Sequence[Rule] = RULES, labelled: DataFrame | None = None, id_col: str = "page_id",
-          url_col: str = "url", train_rows: int = 50_000) -> DataFrame:
+          url_col: str = "url", train_rows: int = 50_000, trees: int = TREES) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, and the ``margin`` of the trees
     (above 0: block).  ``labelled``: url, blocked; without it the urls that rules decide."""
     url = F.coalesce(F.col(url_col), F.lit(""))
@@ -260,8 +260,8 @@ def judge(pages: DataFrame, *, rules: Sequence[Rule] = RULES, labelled: DataFram
             .withColumn("rule", rule).withColumn("given", verdict))
     if labelled is None:
         labelled = base.where(F.col("given").isNotNull()).select("url", (F.col("given") == "block").cast("int").alias("blocked"))
-    known, trees = train(labelled, train_rows)
-    scored = featured(base, known).withColumn("margin", margin_of(trees))
+    known, fitted = train(labelled, train_rows, trees)
+    scored = featured(base, known).withColumn("margin", margin_of(fitted))
     return scored.select("page_id", "host", "path", "rule", F.coalesce(
         "given", F.when(F.col("margin") > 0, "block").otherwise("allow")).alias("verdict"), "margin")
 

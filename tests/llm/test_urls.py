@@ -33,7 +33,7 @@ def test_rules_by_hand(spark):
         "http://\u00c4.COM/": ("\u00c4.com", "/", "com/", "allow"),
         "http:///en/": ("", "/en/", None, None),
     }
-    rows = {r.page_id: r for r in urls.judge(_pages(spark, enumerate(given))).collect()}
+    rows = {r.page_id: r for r in urls.judge(_pages(spark, enumerate(given)), trees=1).collect()}
     for i, (u, want) in enumerate(given.items()):
         r = rows[i]
         assert (r.host, r.path, r.rule) == want[:3], u
@@ -114,7 +114,7 @@ def test_accuracy_on_urls_held_out(spark):
         path = "/" + "/".join(f"{r.randrange(10 ** 7)}" if bad else r.choice(["news", "about", "blog", "team"]) for _ in range(r.randrange(1, 4)))
         rows.append((i, f"http://{host}{path}" + ("?a=1&b=2&c=3" if bad and r.random() < .7 else ""), int(bad)))
     df = spark.createDataFrame(rows, "page_id bigint, url string, blocked int")
-    out = urls.judge(df, rules=[], labelled=df.where("page_id % 5 <> 0").select("url", "blocked"))
+    out = urls.judge(df, rules=[], labelled=df.where("page_id % 5 <> 0").select("url", "blocked"), trees=6)
     held = out.where("page_id % 5 = 0").join(df, "page_id")
     assert held.where((F.col("verdict") == "block") == (F.col("blocked") == 1)).count() >= 0.95 * held.count()
 
@@ -122,11 +122,11 @@ def test_accuracy_on_urls_held_out(spark):
 def test_edge_rows(spark):
     rows = [(1, None), (None, "http://a.com/x"), (2, ""), (3, "http://a.net/es/" + "x" * 300_000), (4, "http://a.com/x"), (4, "http://a.com/x"),
             (5, "http://" + "".join(chr(0x4e00 + i) for i in range(3000)))]
-    got = sorted(((r.page_id, r.host[:6], r.rule, r.verdict) for r in urls.judge(_pages(spark, rows)).collect()), key=str)
+    got = sorted(((r.page_id, r.host[:6], r.rule, r.verdict) for r in urls.judge(_pages(spark, rows), trees=1).collect()), key=str)
     assert len(got) == len(rows)
     assert [g for g in got if g[0] == 4] == [(4, "a.com", "com/", "allow")] * 2
     assert [g for g in got if g[0] == 3] == [(3, "a.net", "net/es/", "block")]
-    assert urls.judge(_pages(spark, [])).count() == 0
+    assert urls.judge(_pages(spark, []), trees=1).count() == 0
     nothing = urls.judge(_pages(spark, [(1, "http://a.org/"), (2, None)])).collect()  # no labelled urls
     assert all(r.verdict == "allow" and r.margin == 0 for r in nothing)
 
@@ -134,5 +134,5 @@ def test_edge_rows(spark):
 @pytest.mark.parametrize("train_rows", [20, 10 ** 6])
 def test_the_sample_bounds_training_only(spark, train_rows):
     rows = [(i, f"http://s{i % 7}.net/{'es' if i % 2 else 'de'}/{i}") for i in range(200)]
-    out = urls.judge(_pages(spark, rows), train_rows=train_rows).collect()
+    out = urls.judge(_pages(spark, rows), train_rows=train_rows, trees=1).collect()
     assert len(out) == 200 and all(r.verdict == "block" for r in out if "/es/" in r.path)
