@@ -172,8 +172,8 @@ RUN_ID = "00000000-0000-0000-0000-000000000001"
 # (account, name) in account order: the accounts that the structured balance sheet tells
 # apart.  Balances of the chart above are dealt to them by branch.
 DETAIL_ACCOUNTS = [
-    ("10113", "Ameris checking"),
-    ("10114", "Seacoast checking"),
+    ("10113", "Checking account A"),
+    ("10114", "Checking account B"),
     ("10140", "Petty cash"),
     ("10151", "Cash in bank"),
     ("10170", "Undeposited funds"),
