@@ -29,7 +29,7 @@ G4 = "GB_CO, GB_DIV, GB_GLC, GB_GLA"
 
 @register("scan_table", "SELECT * FROM glcal")
 def q_scan_table(spark, sf):
-    return scan.scan_table(spark, f"{L(spark, sf).root}/glcal", GLCAL)
+    return scan.scan_table(spark, L(spark, sf).path("glcal"), GLCAL)
 
 
 @register("incremental_pull", "SELECT * FROM journal WHERE YJ_UID > 200101010000000000")

@@ -396,4 +396,4 @@ def _parthist(spark, sf):
     schema (SRC2)."""
     from ..sources import scan
     from ..sources.subledgers import PARTHIST
-    return scan.scan_subledger(spark, f"{L(spark, sf).root}/parthist", PARTHIST)
+    return scan.scan_subledger(spark, L(spark, sf).path("parthist"), PARTHIST)
