@@ -66,9 +66,10 @@ def q_parse_period(spark, sf):
     txt = F.concat_ws("-", (d / 10000).cast("int").cast("string"),
                       F.lpad(((d / 100).cast("int") % 100).cast("string"), 2, "0"),
                       F.lpad((d % 100).cast("string"), 2, "0"))
-    return j.select(PR.parse_period_col(txt).alias("ParsedDate"),
-                    PR.parse_period_col((F.col("YJ_PDT") / 100).cast("int").cast("string")).alias("ParsedPosting")) \
-        .groupBy("ParsedDate", "ParsedPosting").agg(F.count(F.lit(1)).alias("Legs"))
+    days = j.groupBy("YJ_DT", "YJ_PDT").agg(F.count(F.lit(1)).alias("n"))  # a text is parsed once per pair of days
+    return days.select(PR.parse_period_col(txt).alias("ParsedDate"),
+                       PR.parse_period_col((F.col("YJ_PDT") / 100).cast("int").cast("string")).alias("ParsedPosting"), "n") \
+        .groupBy("ParsedDate", "ParsedPosting").agg(F.sum("n").alias("Legs"))
 
 
 @register("period_keyword", f"""

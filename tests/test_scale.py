@@ -59,3 +59,17 @@ def test_monthly_is_the_journal_summed(spark, tmp_path):
     want = rows(adapter.derive_journal(spark, str(tmp_path)))
     assert rows(adapter.derive_monthly(spark, str(tmp_path))) == want
     assert None in {key[4] for key in want} and len(want) > 100
+
+
+def test_texts_of_days_are_parsed_after_they_are_counted(spark):
+    plan = catalog.REGISTRY["parse_period"].run(spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+    matching = [line.strip() for line in plan.split("\n") if "regexp_extract" in line]
+    assert len(matching) == 1 and matching[0].startswith("+- Aggregate [YJ_DT#")
+
+
+def test_a_period_text_is_matched_once_a_group(spark):
+    texts = ["2001-02", "200102", "2001-02-28", "2001-13", "200100", "189912", "210001", " 200102", "+200102", "20010", "x", "", None, "209912", "2001-2"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", PR.parse_period_col(F.col("t")).alias("p"))
+    got = {r.t: r.p for r in df.collect()}
+    assert {t: p for t, p in got.items() if p} == {"2001-02": 200102, "200102": 200102, "2001-02-28": 200102, "209912": 209912}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 2
