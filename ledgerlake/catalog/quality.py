@@ -167,7 +167,7 @@ _DUP_KEY = ["YJ_UID", "YJ_CO", "YJ_CC", "YJ_ACC", "YJ_AMT"]
            CAST(SUM(n - 1) AS DOUBLE) * 100.0 / CAST(SUM(n) AS DOUBLE) AS DuplicatePct
     FROM (SELECT COUNT(*) AS n FROM journal GROUP BY {', '.join(_DUP_KEY)})""")
 def q_duplicate_keys(spark, sf):
-    return Q.duplicate_keys(L(spark, sf).journal, _DUP_KEY)
+    return Q.duplicate_keys(L(spark, sf).journal, _DUP_KEY, near="YJ_UID")
 
 
 @register("row_count_check", """

@@ -73,3 +73,12 @@ def test_a_period_text_is_matched_once_a_group(spark):
     got = {r.t: r.p for r in df.collect()}
     assert {t: p for t, p in got.items() if p} == {"2001-02": 200102, "200102": 200102, "2001-02-28": 200102, "209912": 209912}
     assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 2
+
+
+def test_duplicate_keys_dealt_by_id(spark):
+    rows = [(1, "a", D(1)), (1, "a", D(1)), (1, "b", D(1)), (2, "a", None), (2, "a", None), (None, "a", D(1)), (None, "a", D(1)), (None, "b", D(2)), (None, None, None)]
+    df = spark.createDataFrame(rows, "u bigint, c string, v decimal(12,2)")
+    want = Q.duplicate_keys(df, ["u", "c", "v"]).first()
+    got = Q.duplicate_keys(df, ["u", "c", "v"], near="u")
+    assert got.first() == want and (want.Rows, want.DistinctKeys, want.DuplicateRows) == (9, 6, 3)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # one for the rows, one for the sum
