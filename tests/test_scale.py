@@ -82,3 +82,9 @@ def test_duplicate_keys_dealt_by_id(spark):
     got = Q.duplicate_keys(df, ["u", "c", "v"], near="u")
     assert got.first() == want and (want.Rows, want.DistinctKeys, want.DuplicateRows) == (9, 6, 3)
     assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # one for the rows, one for the sum
+
+
+def test_sub_ledgers_share_their_items(spark, fresh):
+    for name in subledgers.SUBLEDGERS:
+        plan = subledgers.derive(spark, fresh, name)._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Window" not in plan, name
