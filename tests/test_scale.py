@@ -1,5 +1,6 @@
 """What a query makes and moves: only the tables it reads, each row's work once."""
 
+import datetime as dt
 import shutil
 from decimal import Decimal as D
 
@@ -9,11 +10,13 @@ from pyspark.sql import functions as F
 from conftest import SMOKE
 from ledgerlake import catalog
 from ledgerlake.functions import periods as PR
+from ledgerlake.operators import ingest as IG
 from ledgerlake.plans import quality as Q
 from ledgerlake.sources import adapter, store, subledgers
-from ledgerlake.sources.commits import present
+from ledgerlake.sources.commits import present, write_bucketed
 from ledgerlake.sources.schemas import JOURNAL_KEY
 
+NOW = dt.datetime(2001, 3, 9)
 TABLES = ["lineitem", "orders", "part", "supplier", "nation", "region", "customer", "events"]
 
 
@@ -33,6 +36,19 @@ def test_monthly_reports_make_no_journal(spark, fresh):
     assert present(spark, f"{root}/glcal")
 
 
+def test_reports_of_the_pnl_view_make_no_journal(spark, fresh):
+    root = store.source_root(spark, fresh)
+    for key in ("rolling_12_pnl", "account_activity", "ytd_prior_ytd"):
+        catalog.REGISTRY[key].run(spark, fresh).collect()
+        assert present(spark, f"{root}/glcal") and not present(spark, f"{root}/journal"), key
+
+
+def test_late_postings_make_the_journal_only(spark, fresh):
+    root = store.source_root(spark, fresh)
+    assert catalog.REGISTRY["late_postings"].run(spark, fresh).collect()
+    assert present(spark, f"{root}/journal") and not present(spark, f"{root}/monthly") and not present(spark, f"{root}/glcal")
+
+
 def test_parts_scan_makes_its_own_table_only(spark, fresh):
     root = store.source_root(spark, fresh)
     assert catalog.REGISTRY["scan_subledger"].run(spark, fresh).collect()
@@ -88,3 +104,54 @@ def test_sub_ledgers_share_their_items(spark, fresh):
     for name in subledgers.SUBLEDGERS:
         plan = subledgers.derive(spark, fresh, name)._jdf.queryExecution().executedPlan().toString()
         assert "Join" not in plan and "Window" not in plan, name
+
+
+STAGED = "k bigint, s string, v decimal(12,2)"
+
+
+def _version(spark, rows):
+    return spark.createDataFrame(rows, STAGED).select("*", IG.ts(NOW).alias(IG.ADDED), IG.ts(NOW).alias(IG.MODIFIED), F.lit("r0").alias(IG.RUN))
+
+
+def _moves(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("ENSURE_REQUIREMENTS")
+
+
+def test_a_merge_deals_each_side_once(spark, tmp_path):
+    """The check of the staged keys included; a target in buckets and rows dealt alike aren't dealt again."""
+    rows = [(k, f"s{k}", D(k)) for k in range(40)]
+    _version(spark, rows).write.parquet(f"{tmp_path}/plain")
+    staged = spark.createDataFrame([(k, s, v + k % 2) for k, s, v in rows[20:]] + [(99, "new", D(1))], STAGED)
+    plain = IG._merged(spark.read.parquet(f"{tmp_path}/plain"), staged, ["k"], "r1", NOW)
+    assert _moves(plain) == 2
+    dealt = staged.repartition(8, "k").persist()
+    bucketed = write_bucketed(_version(spark, rows).repartition(8, "k"), f"{tmp_path}/bucketed", ["k"], 8)
+    assert dealt.count() == 21  # the deal of cached rows is known once they are there
+    merged = IG._merged(bucketed, dealt, ["k"], "r1", NOW)
+    assert _moves(merged) == 0
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, plain.collect()))
+    dealt.unpersist()
+    assert spark.read.parquet(f"{tmp_path}/bucketed").count() == 40 and not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def test_refused_staging_leaves_no_files(spark, tmp_path):
+    root = str(tmp_path / "t")
+    IG.write_version(_version(spark, [(1, "a", D(1))]), root, "r0")
+    for bad, says in (([(1, "x", None), (1, "y", None), (1, "z", None)], "2 duplicate key"), ([(None, "x", None), (None, "x", None), (2, "b", D(2)), (2, "b", D(2))], "2 row.s. with a NULL key")):
+        with pytest.raises(ValueError, match=says):
+            IG.merge_into(spark, root, spark.createDataFrame(bad, STAGED), ["k"], "r1", NOW)
+    assert not list(tmp_path.glob("t/v=r1/**/*.parquet")) and IG.read_current(spark, root).count() == 1
+    assert IG.merge_into(spark, root, spark.createDataFrame([(1, "a", D(2)), (2, "b", None)], STAGED), ["k"], "r1", NOW) == {"RowsInserted": 1, "RowsUpdated": 1}
+
+
+def test_sub_ledger_merges_on_its_dealt_rows(spark, fresh, tmp_path):
+    """A second call on the same folder finds the run committed, and reads the target by its path."""
+    from ledgerlake.plans import loads as LD
+    kept = lambda: set(dict(spark.sparkContext._jsc.getPersistentRDDs()))
+    before = kept()
+    counts = LD.merge_subledger(spark, fresh, "PARTHIST", str(tmp_path / "m"))
+    stored = subledgers.stored_subledger(spark, fresh, "PARTHIST")
+    assert IG.read_current(spark, str(tmp_path / "m")).count() == stored.count()
+    assert counts["RowsInserted"] > 0 and counts["RowsUpdated"] > 0
+    assert LD.merge_subledger(spark, fresh, "PARTHIST", str(tmp_path / "m")) == {"RowsInserted": 0, "RowsUpdated": 0}
+    assert not kept() - before
