@@ -77,6 +77,28 @@ def test_monthly_is_the_journal_summed(spark, tmp_path):
     assert None in {key[4] for key in want} and len(want) > 100
 
 
+def test_monthly_sums_line_items_before_they_become_legs(spark):
+    """The legs are made of the sums by code, so none of the line items is expanded into legs."""
+    plan = adapter.derive_monthly(spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 1 and "Aggregate [" in plan[plan.index("Generate inline"):]
+
+
+def test_legs_of_sums_are_the_legs_summed(spark):
+    """Codes that are null or in no map, null amounts, negative cents and rows that come twice."""
+    types, priorities, states = ["ECONOMY", "PROMO", "other", None], ["1-URGENT", "x", None], ["F", "O", "?", None]
+    days = [dt.datetime(2001, 1, 31), dt.datetime(2001, 2, 1), None]
+    rows = [(i, i % 11, i % 19, [1, 2, None][i % 3], None if i % 7 == 0 else i * 1.37 - 20, None if i % 13 == 0 else 0.07, 0.03, ["R", "N"][i % 2], states[i % 4],
+             days[i // 3 % 3], types[i // 2 % 4], None if i % 17 == 0 else i % 5, i % 6, priorities[i // 5 % 3]) for i in range(240)]
+    items = spark.createDataFrame(rows + rows[:50], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, l_discount double, l_tax double, "
+                                  "l_returnflag string, l_linestatus string, l_shipdate timestamp, p_type string, n_regionkey int, o_custkey bigint, o_orderpriority string")
+    key = ["YJ_CO", "YJ_CC", "YJ_ACC", "period"]
+    total = lambda df: sorted(map(repr, df.groupBy(*key).agg(F.sum("cents").alias("cents")).collect()))
+    cents = adapter.line_items_in_cents(items)
+    want = total(adapter.legs(cents, "period"))
+    assert total(adapter.legs(adapter.sums_by_code(cents), "period", by_code=True)) == want and len(want) > 300
+    assert adapter.legs(cents, "period").count() == sum(10 if r[3] == 1 else 8 for r in rows + rows[:50])
+
+
 def test_texts_of_days_are_parsed_after_they_are_counted(spark):
     plan = catalog.REGISTRY["parse_period"].run(spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
     matching = [line.strip() for line in plan.split("\n") if "regexp_extract" in line]
