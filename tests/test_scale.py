@@ -61,6 +61,46 @@ def test_journal_is_written_without_a_shuffle_of_its_legs(spark):
     assert "Exchange" not in above and "Sort" not in above
 
 
+def test_journal_is_stored_once_a_line_item(spark, fresh):
+    """What the legs of a line item share is written once; readers get every leg."""
+    led = store.ledger(spark, fresh)
+    stored = spark.read.parquet(led.path("journal"))
+    items = adapter.line_items(spark, fresh)
+    first = items.where(F.col("l_linenumber") == 1).count()
+    assert stored.count() == items.count() and first > 0
+    assert led.journal.count() == 8 * items.count() + 2 * first
+
+
+def test_legs_cost_only_the_columns_that_are_read(spark, fresh):
+    plan = catalog.REGISTRY["late_postings"].run(spark, fresh)._jdf.queryExecution().optimizedPlan().toString()
+    made = plan[:plan.index("Relation [")]
+    assert "YJ_PDT" in made and "YJ_AMT" in made and "first" in made
+    for unread in ("p_type", "o_orderpriority", "l_linestatus", "n_regionkey", "branch", "YJ_UID", "YJ_CRT"):
+        assert unread not in made, unread
+
+
+def test_entries_expand_into_the_legs_of_the_line_items(spark, tmp_path):
+    """Written and read back; codes, dates and amounts that are null, lines that come twice."""
+    day = dt.datetime(2001, 1, 31)
+    rows = [(7, 5, 1, 10.0, 0.1, 0.05, "R", "F", day, "PROMO", 1, 33, "2-HIGH"), (7, 5, 1, 10.0, 0.1, 0.05, "R", "F", day, "PROMO", 1, 33, "2-HIGH"),
+            (8, 17, 2, 20.0, None, 0.0, "N", None, None, None, None, None, None), (None, 3, None, None, 0.1, 0.1, None, "O", day, "x", 0, 1, "5-LOW")]
+    items = spark.createDataFrame(rows, "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                                  "l_linestatus string, l_shipdate timestamp, p_type string, n_regionkey int, o_custkey bigint, o_orderpriority string")
+    adapter.entries_from_line_items(items).write.parquet(f"{tmp_path}/entries")
+    got = adapter.journal_from_entries(spark.read.parquet(f"{tmp_path}/entries")).collect()
+    assert len(got) == 10 + 10 + 8 + 8
+    own = sorted((r.leg, r.YJ_CO, r.YJ_CC, r.YJ_ACC, r.YJ_AMT) for r in got if r.YJ_JRL == "0007")
+    amounts = [D("10"), D("-10"), D("7"), D("-7"), D("1"), D("-1"), D("0.5"), D("-0.5"), D("1"), D("-1")]
+    places = [("02", "006", "10200"), ("02", "506", "35000"), ("02", "506", "45000"), ("02", "006", "12000"), ("02", "106", "51910"), ("02", "006", "10100"),
+              ("02", "106", "55100"), ("02", "006", "16100"), ("02", "006", "27400"), ("01", "006", "27400")]
+    want = [(n, *place, amount) for n, (place, amount) in enumerate(zip(places, amounts, strict=True), 1)]
+    assert own == sorted(want * 2)
+    assert {(r.YJ_DT, r.YJ_PDT, r.YJ_RDT, r.YJ_UID, r.YJ_CRT, r.period, r.YJ_DIV, r.YJ_DES) for r in got if r.YJ_JRL == "0007"} == {
+        (20010131, 20010205, 10131, 200101310000000071, "USER33", 200101, "01", "")}
+    blank = {r.leg: (r.YJ_CO, r.YJ_CC, r.YJ_ACC, r.YJ_AMT, r.period) for r in got if r.YJ_JRL == "0008"}
+    assert blank[2] == (None, "201", "32000", D("-20"), None) and blank[5] == (None, "101", "58400", None, None) and blank[4][2] == "20350"
+
+
 def test_monthly_is_the_journal_summed(spark, tmp_path):
     """Null amounts, null dates, repeated lines and a null line number included."""
     read = lambda t: spark.read.parquet(f"{SMOKE}/{t}.parquet")
