@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake import fixed
+from ledgerlake import catalog, fixed
 from ledgerlake.operators import rollups
 from ledgerlake.plans import extensions as EX
 from ledgerlake.plans import reports as rp
@@ -30,6 +30,17 @@ def test_elimination_is_of_accounts_between_companies(spark):
     assert got == {"Other revenue": (7, 7, 0), "Interest expense": (-3, 0, -3)}
 
 
+def test_every_account_between_companies_is_eliminated_and_interest_is_not(spark):
+    rows = [("Other revenue", 40, "10180", 200102, D(7)), ("Other revenue", 40, "10182", 200102, D(5)), ("Other revenue", 40, "24900", 200102, D(3)),
+            ("Other revenue", 40, "27400", 200102, D(-4)), ("Other revenue", 40, "35000", 200102, D(20)), ("Other revenue", 40, "10182", 200101, D(9)),
+            ("Interest expense", 130, "58200", 200102, D(-3)), ("Interest expense", 130, "10182", 200102, D(-2))]
+    lines = spark.createDataFrame(rows, "Section string, SectionOrder int, AccountNumber string, Period int, NetIncomeImpact decimal(18,2)")
+    got = {r.Section: (r.Combined, r.Eliminations, r.Consolidated) for r in rp.consolidated_pnl(lines, 200102).collect()}
+    assert got == {"Other revenue": (31, 11, 20), "Interest expense": (-5, -2, -3)}
+    sql = catalog.oracle_sql()["consolidated_pnl"].rpartition("AccountNumber IN (")[2].partition(")")[0]
+    assert sql == ", ".join(f"'{a}'" for a in fixed.ELIMINATION_ACCOUNTS)
+
+
 def test_a_new_account_of_a_section_is_in_its_metrics(spark):
     rows = spark.createDataFrame([("01", "Parts revenue", D(5)), ("01", "Parts revenue", D(2)), ("02", "Nothing", D(1))], "Company string, Section string, Amount decimal(18,2)")
     got = {r.Company: (r.PartsRevenue, r.EquipmentSales) for r in rp.metric_values(rows, ["Company"], "flow").collect()}
